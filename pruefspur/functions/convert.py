@@ -18,7 +18,7 @@ SPACES = (
 # Fixed value: control characters removed from text columns.
 CONTROL_CHARS = r"[\x00-\x1F\x7F-\x9F]"
 
-_GERMAN_DATE = r"^\d{1,2}\.\d{1,2}\.\d{4}$"
+_GERMAN_DATE = rf"^[{SPACES}]*(\d{{1,2}}\.\d{{1,2}}\.\d{{4}})[{SPACES}]*$"
 _INTEGER = r"^\s*[+-]?\d+\s*$"
 _PLAIN_DOUBLE = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
@@ -71,8 +71,7 @@ def to_integer(c: Column | str, grouping: str = ".") -> Column:
 
 def to_date(c: Column | str) -> Column:
     """``D.M.YYYY`` text to DATE; blank or impossible dates are NULL."""
-    text = trim_spaces(c)
-    return F.when(text.rlike(_GERMAN_DATE), F.try_to_date(text, "d.M.yyyy"))
+    return F.try_to_date(F.regexp_extract(_as_col(c), _GERMAN_DATE, 1), "d.M.yyyy")
 
 
 def iso_date(c: Column | str) -> Column:

@@ -67,6 +67,11 @@ def export_column(field: T.StructField, double_scale: int = 2) -> Column:
     return cv.export_text(c)
 
 
+def _beyond_decimal(c: Column, scale: int) -> Column:
+    """True for floating-point values that have no decimal text: nan, inf, too large."""
+    return F.isnan(c) | (F.abs(c) >= F.lit(10.0 ** (38 - scale)))
+
+
 def export_rows(df: DataFrame, double_scale: int = 2) -> DataFrame:
     """Every column in its exported text form, in file order."""
     return df.select(
@@ -107,12 +112,10 @@ def index_xml(schema: T.StructType, name: str, double_scale: int = 2) -> str:
         element = add(column, kind)
         if accuracy > 0:
             add(element, "Accuracy", str(accuracy))
-        wide = 38 if isinstance(field.dataType, (T.DoubleType, T.FloatType)) else getattr(
-            field.dataType, "precision", 0
-        )
-        if accuracy > 0 and wide > 18:
+        digits = getattr(field.dataType, "precision", 0)
+        if accuracy > 0 and digits > 18:
             # Without a length a reader takes 18 digits.
-            add(column, "MaxLength", str(wide))
+            add(column, "MaxLength", str(digits))
     ET.indent(root, "  ")
     return '<?xml version="1.0" encoding="UTF-8"?>\n' + ET.tostring(root, encoding="unicode") + "\n"
 
@@ -145,9 +148,7 @@ def export_table(
         folder = hadoop.qualified(spark, hadoop.make_dirs(spark, path.replace("\\", "/")))
         staging = hadoop.join(folder, f"_parts-{uuid.uuid4().hex[:12]}")
         lost = [
-            F.count_if(
-                F.col(f"`{f.name}`").isNotNull() & export_column(f, double_scale).isNull()
-            ).alias(f"lost{i}")
+            F.count_if(_beyond_decimal(F.col(f"`{f.name}`"), double_scale)).alias(f"lost{i}")
             for i, f in enumerate(df.schema.fields)
             if isinstance(f.dataType, (T.DoubleType, T.FloatType))
         ]

@@ -14,6 +14,12 @@ from pyspark.sql import functions as F
 QUOTED = {"quote": '"', "escape": '"'}
 
 
+def plain_path(encoded: Column) -> Column:
+    """File metadata columns come percent-encoded; this gives the path as listed."""
+    decoded = F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
+    return F.when(F.contains(encoded, F.lit("%")), decoded).otherwise(encoded)
+
+
 def text_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     return spark.read.text(paths).select(
         F.col("_metadata.file_path").alias("path"),
@@ -81,8 +87,8 @@ def valid_utf8(value: Column) -> Column:
 
 
 def profile(lines: DataFrame, head: int) -> DataFrame:
-    """One row per file in a single scan: its first lines, line count, whether every line is
-    valid UTF-8, and the number of lines with an odd number of quotes.
+    """One row per file in a single scan: its first lines, the number of lines, of blank lines and
+    of lines with an odd number of quotes, and whether every line is valid UTF-8.
 
     Each task emits one row per split; only those are shuffled.
     """
@@ -93,6 +99,7 @@ def profile(lines: DataFrame, head: int) -> DataFrame:
         F.when(F.col("block") == 0, F.col("value").cast("binary")).alias("value"),
         valid_utf8(F.col("value")).alias("utf8"),
         odd_quotes(F.col("value")).alias("odd"),
+        (F.length("value") == 0).alias("blank"),
     )
 
     def run(batches: Iterable) -> Iterator:
@@ -106,6 +113,7 @@ def profile(lines: DataFrame, head: int) -> DataFrame:
                 ("lines", pa.int64()),
                 ("utf8", pa.bool_()),
                 ("odd", pa.int64()),
+                ("blank", pa.int64()),
             ]
         )
 
@@ -119,26 +127,30 @@ def profile(lines: DataFrame, head: int) -> DataFrame:
                     if state is not None:
                         yield row(state)
                     current = (path, block)
-                    state = {"path": path, "head": [], "lines": 0, "utf8": True, "odd": 0}
+                    state = dict(path=path, head=[], lines=0, utf8=True, odd=0, blank=0)
                 part = batch.slice(start, stop - start)
                 if block == 0 and len(state["head"]) < head:
                     wanted = part.column("value").slice(0, head - len(state["head"]))
                     state["head"] += wanted.to_pylist()
                 state["lines"] += part.num_rows
                 state["utf8"] = state["utf8"] and bool(pc.all(part.column("utf8")).as_py())
-                state["odd"] += pc.sum(part.column("odd").cast(pa.int64())).as_py() or 0
+                for flag in ("odd", "blank"):
+                    state[flag] += pc.sum(part.column(flag).cast(pa.int64())).as_py() or 0
         if state is not None:
             yield row(state)
 
     partial = flagged.mapInArrow(
-        run, "path string, head array<binary>, lines bigint, utf8 boolean, odd bigint"
+        run,
+        "path string, head array<binary>, lines bigint, utf8 boolean, odd bigint, blank bigint",
     )
-    return partial.groupBy("path").agg(
+    per_file = partial.groupBy("path").agg(
         F.max("head").alias("head"),
         F.sum("lines").alias("lines"),
         F.bool_and("utf8").alias("utf8"),
         F.sum("odd").alias("odd_quotes"),
+        F.sum("blank").alias("blank_lines"),
     )
+    return per_file.withColumn("path", plain_path(F.col("path")))
 
 
 def raw_names(width: int) -> list[str]:
