@@ -69,10 +69,10 @@ def drop_head(lines: DataFrame, count: int) -> DataFrame:
                 left -= dropped
             yield batch if keep.all() else batch.filter(pa.array(keep))
 
-    columns = [
-        F.col(n).cast("binary") if n == "value" else F.col(n) for n in lines.columns
-    ]
-    as_bytes = lines.select(*[c.alias(n) for c, n in zip(columns, lines.columns)])
+    if "value" not in lines.columns:
+        return lines.mapInArrow(run, lines.schema)
+    # Raw lines need not be valid text, so they travel as bytes.
+    as_bytes = lines.withColumn("value", F.col("value").cast("binary"))
     kept = as_bytes.mapInArrow(run, as_bytes.schema)
     return kept.withColumn("value", F.col("value").cast("string"))
 
