@@ -37,18 +37,20 @@ def delimiter_check(df: DataFrame, sep: str = ";") -> DataFrame:
     )
 
 
-def key_check(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows with a NULL in the key, distinct keys that repeat, and rows beyond the first of each.
+def key_check(df: DataFrame, keys: list[str], by: list[str] | None = None) -> DataFrame:
+    """Rows with a NULL in the key, distinct keys that repeat, and rows beyond the first of each;
+    one row, or one per value of ``by``.
 
     Counts per key are combined before the shuffle, so a hot key costs one row per task.
     """
+    groups = [F.col(f"`{c}`") for c in by or []]
     columns = [F.col(f"`{k}`") for k in keys]
     some_null = F.lit(False)
     for c in columns:
         some_null = some_null | c.isNull()
-    per_key = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
+    per_key = df.groupBy(*groups, *columns).agg(F.count(F.lit(1)).alias("_n"))
     repeated = ~some_null & (F.col("_n") > 1)
-    return per_key.agg(
+    return per_key.groupBy(*groups).agg(
         F.coalesce(F.sum(F.when(some_null, F.col("_n"))), F.lit(0)).alias("null_keys"),
         F.count_if(repeated).alias("duplicate_keys"),
         F.coalesce(F.sum(F.when(repeated, F.col("_n") - 1)), F.lit(0)).alias("surplus_rows"),
@@ -59,6 +61,8 @@ def reject_counts(rejects: dict[str, Column]) -> list[Column]:
     return [F.count_if(flag).alias(name) for name, flag in rejects.items()]
 
 
-def describe_rejects(counts: Iterable[tuple[str, int]]) -> str:
-    bad = [(name, n) for name, n in counts if n]
-    return ", ".join(f"{name}: {n}" for name, n in bad)
+def listed(counts: Iterable[tuple[str, Column]]) -> Column:
+    """The counts above zero as text, ``name: n, name: n``; empty text for none."""
+    return F.concat_ws(
+        ", ", *[F.when(n > 0, F.concat(F.lit(f"{name}: "), n.cast("string"))) for name, n in counts]
+    )

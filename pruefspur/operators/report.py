@@ -50,12 +50,16 @@ class ImportResult:
         rejects: DataFrame | None = None,
     ):
         self.spark = spark
-        self.tables = Tables(tables)
+        self._tables = Tables(tables)
         self.report = report
         self.rejects = (
             rejects if rejects is not None else spark.createDataFrame([], REJECT_REPORT)
         )
 
+    @property
+    def tables(self) -> Tables:
+        return self._tables
+
     def create_views(self) -> "ImportResult":
         """A temp view per table, replacing views of the same name."""
         for name in self.tables:

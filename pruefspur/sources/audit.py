@@ -144,51 +144,108 @@ def raw_fields(
     )
 
 
-def typed_frame(fields: DataFrame, spec: TableSpec, whole_rows_only: bool = False) -> DataFrame:
-    """The declared columns, converted and cleaned in one projection."""
+def typed_frame(
+    fields: DataFrame, spec: TableSpec, whole_rows_only: bool = False, keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """The declared columns, converted and cleaned in one projection, after any to ``keep``."""
     if whole_rows_only:
-        fields = ln.only_whole_rows(fields, len(spec.columns))
+        fields = ln.only_whole_rows(fields)
     columns = []
     for field, column, raw in zip(spec.schema, spec.columns, ln.raw_names(len(spec.columns))):
         value = typed(F.col(f"fields.{raw}"), column, spec)
         columns.append(value.alias(column.name, metadata=field.metadata))
-    return fields.select(*columns)
+    return fields.select(*keep, *columns)
 
 
-def check_frame(fields: DataFrame, spec: TableSpec, with_bytes: bool) -> DataFrame:
-    """One row of counts about a table, from one scan without a shuffle of its rows."""
+def check_frame(
+    fields: DataFrame,
+    spec: TableSpec,
+    line_checks: tuple[Column, Column] | None = None,
+    by: tuple[str, ...] = (),
+) -> DataFrame:
+    """Counts about a table, from one scan without a shuffle of its rows; one row, or one per
+    value of ``by``.  ``line_checks`` are two flags per line: valid UTF-8, odd quotes."""
     names = ln.raw_names(len(spec.columns))
     values = [typed(F.col(f"fields.{n}"), c, spec) for n, c in zip(names, spec.columns)]
+    utf8, odd = line_checks or (F.lit(True), F.lit(False))
     prepared = fields.select(
+        *by,
         *[F.col(f"fields.{n}").alias(f"r{i}") for i, n in enumerate(names)],
         *[v.alias(f"t{i}") for i, v in enumerate(values)],
         F.col("fields._spare").isNotNull().alias("long_row"),
-        *([F.col("value")] if with_bytes else []),
+        utf8.alias("utf8"),
+        odd.alias("odd"),
     )
     rejects = {
         f"x{i}": cv.rejected(F.col(f"r{i}"), F.col(f"t{i}"), blank_ok=c.type == "date")
         for i, c in enumerate(spec.columns)
         if c.type != "string"
     }
-    bytes_checks = (
-        [
-            F.coalesce(F.bool_and(ln.valid_utf8(F.col("value"))), F.lit(True)).alias("utf8"),
-            F.count_if(ln.odd_quotes(F.col("value"))).alias("odd_quotes"),
-        ]
-        if with_bytes
-        else [F.lit(True).alias("utf8"), F.lit(0).alias("odd_quotes")]
-    )
-    return prepared.agg(
+    return prepared.groupBy(*by).agg(
         F.count(F.lit(1)).alias("row_count"),
         F.count_if(
             checks.any_beyond_first([F.col(f"t{i}") for i in range(len(names))])
         ).alias("filled"),
         F.count_if("long_row").alias("long_rows"),
+        F.coalesce(F.bool_and("utf8"), F.lit(True)).alias("utf8"),
+        F.count_if("odd").alias("odd_quotes"),
         *checks.reject_counts(rejects),
-        *bytes_checks,
     )
 
 
+def judged(counts: DataFrame, spec: TableSpec, on_error: str) -> DataFrame:
+    """Adds ``status`` and ``usable`` to counts that also hold ``utf8``, ``odd_quotes``,
+    ``null_keys`` and ``surplus_rows``."""
+    strict = [
+        (c.name, F.col(f"x{i}"))
+        for i, c in enumerate(spec.columns)
+        if c.type != "string" and (c.type != "date" or spec.strict_dates)
+    ]
+    bad = checks.listed(strict) if strict else F.lit("")
+    key_faults = F.col("null_keys") + F.col("surplus_rows")
+    notes = F.concat_ws(
+        "; ",
+        F.when(bad != "", F.concat(F.lit("values that do not convert became NULL ("), bad, F.lit(")"))),
+        F.when(
+            key_faults > 0,
+            F.concat(
+                F.lit("primary key: "),
+                F.col("null_keys").cast("string"),
+                F.lit(" rows with NULL, "),
+                F.col("surplus_rows").cast("string"),
+                F.lit(" repeated rows"),
+            ),
+        ),
+        F.when(
+            F.col("odd_quotes") > 0,
+            F.concat(
+                F.col("odd_quotes").cast("string"),
+                F.lit(
+                    " lines with an open quote; multiline=True reads line breaks within quotes"
+                ),
+            ),
+        ),
+        F.when(F.lit(spec.is_utf8) & ~F.col("utf8"), "index declares UTF-8, data is not"),
+    )
+    fail = F.lit(on_error == "fail")
+    status = (
+        F.when(
+            fail & (bad != ""),
+            F.concat(F.lit("Load failed: values that do not convert ("), bad, F.lit(")")),
+        )
+        .when(fail & (key_faults > 0), "Load failed: NULL or repeated primary keys")
+        .when(F.col("row_count") == 0, "Empty")
+        .when(
+            F.lit(len(spec.columns) > 1) & (F.col("filled") == 0),
+            checks.DELIMITER_WARNING.format(sep=spec.sep),
+        )
+        .when(notes != "", F.concat(F.lit("Warning: "), notes))
+        .otherwise("OK")
+    )
+    usable = (F.col("row_count") > 0) & ~(fail & ((bad != "") | (key_faults > 0)))
+    return counts.select("*", status.alias("status"), usable.alias("usable"))
+
+
 @dataclass(frozen=True)
 class Checked:
     row_count: int
@@ -198,40 +255,6 @@ class Checked:
     usable: bool = True
 
 
-def status_of(counts: dict, spec: TableSpec, on_error: str, keys: Row | None = None) -> tuple[str, bool]:
-    """Status text of a table from its counts, and whether the table is kept."""
-    strict = [
-        (c.name, counts.get(f"x{i}", 0))
-        for i, c in enumerate(spec.columns)
-        if c.type != "string" and (c.type != "date" or spec.strict_dates)
-    ]
-    bad = checks.describe_rejects(strict)
-    key_faults = (keys["null_keys"] + keys["surplus_rows"]) if keys is not None else 0
-    if on_error == "fail" and (bad or key_faults):
-        why = f"values that do not convert ({bad})" if bad else "NULL or repeated primary keys"
-        return f"Load failed: {why}", False
-    if counts["row_count"] == 0:
-        return "Empty", False
-    if len(spec.columns) > 1 and counts["filled"] == 0:
-        return checks.DELIMITER_WARNING.format(sep=spec.sep), True
-    notes = []
-    if bad:
-        notes.append(f"values that do not convert became NULL ({bad})")
-    if key_faults:
-        notes.append(
-            f"primary key: {keys['null_keys']} rows with NULL, "
-            f"{keys['surplus_rows']} repeated rows"
-        )
-    if counts.get("odd_quotes"):
-        notes.append(
-            f"{counts['odd_quotes']} lines with an open quote; multiline=True reads line breaks "
-            "within quotes"
-        )
-    if spec.is_utf8 and not counts["utf8"]:
-        notes.append("index declares UTF-8, data is not")
-    return ("Warning: " + "; ".join(notes) if notes else "OK"), True
-
-
 def check_table(
     spark: SparkSession,
     spec: TableSpec,
@@ -241,22 +264,24 @@ def check_table(
     multiline: bool,
 ) -> Checked:
     fields = raw_fields(spark, spec, None, multiline)
-    counts = check_frame(fields, spec, with_bytes=not multiline).head().asDict()
+    line = F.col("value")
+    flags = None if multiline else (ln.valid_utf8(line), ln.odd_quotes(line))
+    found = check_frame(fields, spec, flags).head().asDict()
     if multiline and charset is None:
-        bytes_row = ln.text_lines(spark, list(spec.paths)).agg(
-            F.bool_and(ln.valid_utf8(F.col("value"))).alias("utf8")
-        )
-        counts["utf8"] = bytes_row.head()["utf8"] is not False
-    chosen = charset or ("utf-8" if counts["utf8"] else cs.EXPORT_FALLBACK)
-    keys = None
-    if check_keys and spec.keys and counts["row_count"]:
+        lines = ln.text_lines(spark, list(spec.paths))
+        found["utf8"] = lines.agg(F.bool_and(ln.valid_utf8(line))).head()[0] is not False
+    chosen = charset or ("utf-8" if found["utf8"] else cs.EXPORT_FALLBACK)
+    found |= {"null_keys": 0, "surplus_rows": 0}
+    if check_keys and spec.keys and found["row_count"]:
         table = typed_frame(raw_fields(spark, spec, chosen, multiline), spec)
         keys = checks.key_check(table, spec.keys).head()
-    status, usable = status_of(counts, spec, on_error, keys)
+        found |= {"null_keys": keys["null_keys"], "surplus_rows": keys["surplus_rows"]}
+    verdict = judged(spark.createDataFrame([Row(**found)]), spec, on_error).head()
     rejects = tuple(
-        (c.name, counts[f"x{i}"]) for i, c in enumerate(spec.columns) if counts.get(f"x{i}")
+        (c.name, found[f"x{i}"]) for i, c in enumerate(spec.columns) if found.get(f"x{i}")
     )
-    return Checked(counts["row_count"] if usable else 0, status, chosen, rejects, usable)
+    rows = found["row_count"] if verdict["usable"] else 0
+    return Checked(rows, verdict["status"], chosen, rejects, verdict["usable"])
 
 
 def path_has_traversal(path: str) -> bool:

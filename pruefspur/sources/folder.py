@@ -36,8 +36,9 @@ from .workbook import workbook_cells, workbook_frame
 TYPE_EXTENSIONS = {
     "csv": ("csv", "txt"),
     "parquet": ("parquet",),
-    "xlsx": ("xlsx",),
-    "excel": ("xlsx",),
+    # The old binary .xls is listed so that it is reported; it cannot be read.
+    "xlsx": ("xlsx", "xls"),
+    "excel": ("xlsx", "xls"),
     "json": ("json", "jsonl"),
     "tsv": ("tsv",),
 }

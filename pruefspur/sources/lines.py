@@ -172,6 +172,6 @@ def without_blank_lines(lines: DataFrame, width: int) -> DataFrame:
     return lines.where(F.length("value") > 0) if width > 1 else lines
 
 
-def only_whole_rows(fields: DataFrame, width: int, struct: str = "fields") -> DataFrame:
+def only_whole_rows(fields: DataFrame, struct: str = "fields") -> DataFrame:
     """Drop the rows that had more fields than declared (opt-in, last resort)."""
     return fields.where(F.col(f"{struct}._spare").isNull())
