@@ -7,3 +7,32 @@ from pyspark import cloudpickle
 # The few functions that run in Python workers travel with the job, so that executors need no
 # copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+from .operators.infer import infer_types  # noqa: E402
+from .operators.report import ImportResult  # noqa: E402
+from .sinks.export import export_table  # noqa: E402
+from .sources.archive import import_archives  # noqa: E402
+from .sources.audit import (  # noqa: E402
+    import_datev_export,
+    import_export,
+    import_export_layout,
+    import_index,
+)
+from .sources.booking import read_booking_batches  # noqa: E402
+from .sources.folder import import_folder  # noqa: E402
+from .sources.index_catalog import IndexLayout, index_catalog  # noqa: E402
+
+__all__ = [
+    "ImportResult",
+    "IndexLayout",
+    "export_table",
+    "import_archives",
+    "import_datev_export",
+    "import_export",
+    "import_export_layout",
+    "import_folder",
+    "import_index",
+    "index_catalog",
+    "infer_types",
+    "read_booking_batches",
+]

@@ -79,8 +79,8 @@ def export_rows(df: DataFrame, double_scale: int = 2) -> DataFrame:
     )
 
 
-def index_xml(schema: T.StructType, name: str, double_scale: int = 2) -> str:
-    """The index describing one exported table."""
+def index_xml(tables: dict[str, T.StructType], media_name: str, double_scale: int = 2) -> str:
+    """The index describing exported tables by name."""
 
     def add(parent: ET.Element, tag: str, text: str | None = None) -> ET.Element:
         child = ET.SubElement(parent, tag)
@@ -89,33 +89,34 @@ def index_xml(schema: T.StructType, name: str, double_scale: int = 2) -> str:
 
     root = ET.Element("DataSet")
     media = add(root, "Media")
-    add(media, "Name", name)
-    table = add(media, "Table")
-    for tag, text in (
-        ("Name", name),
-        ("Description", name),
-        ("URL", f"{name}.txt"),
-        ("UTF8", None),
-        ("DecimalSymbol", ","),
-        ("DigitGroupingSymbol", "."),
-    ):
-        add(table, tag, text)
-    add(add(table, "Range"), "From", "1")
-    body = add(table, "VariableLength")
-    for field in export_order(schema):
-        column = add(body, "VariablePrimaryKey" if _is_key(field) else "VariableColumn")
-        add(column, "Name", field.name)
-        description = (field.metadata or {}).get("description")
-        if description:
-            add(column, "Description", description)
-        kind, accuracy = export_kind(field, double_scale)
-        element = add(column, kind)
-        if accuracy > 0:
-            add(element, "Accuracy", str(accuracy))
-        digits = getattr(field.dataType, "precision", 0)
-        if accuracy > 0 and digits > 18:
-            # Without a length a reader takes 18 digits.
-            add(column, "MaxLength", str(digits))
+    add(media, "Name", media_name)
+    for name, schema in tables.items():
+        table = add(media, "Table")
+        for tag, text in (
+            ("Name", name),
+            ("Description", name),
+            ("URL", f"{name}.txt"),
+            ("UTF8", None),
+            ("DecimalSymbol", ","),
+            ("DigitGroupingSymbol", "."),
+        ):
+            add(table, tag, text)
+        add(add(table, "Range"), "From", "1")
+        body = add(table, "VariableLength")
+        for field in export_order(schema):
+            column = add(body, "VariablePrimaryKey" if _is_key(field) else "VariableColumn")
+            add(column, "Name", field.name)
+            description = (field.metadata or {}).get("description")
+            if description:
+                add(column, "Description", description)
+            kind, accuracy = export_kind(field, double_scale)
+            element = add(column, kind)
+            digits = getattr(field.dataType, "precision", 0)
+            if accuracy > 0:
+                add(element, "Accuracy", str(accuracy))
+                if digits > 18:
+                    # Without a length a reader takes 18 digits.
+                    add(column, "MaxLength", str(digits))
     ET.indent(root, "  ")
     return '<?xml version="1.0" encoding="UTF-8"?>\n' + ET.tostring(root, encoding="unicode") + "\n"
 
@@ -144,7 +145,7 @@ def export_table(
     if not df.columns:
         return report(0, "Table has no columns")
     try:
-        index = index_xml(df.schema, name, double_scale)
+        index = index_xml({name: df.schema}, name, double_scale)
         folder = hadoop.qualified(spark, hadoop.make_dirs(spark, path.replace("\\", "/")))
         staging = hadoop.join(folder, f"_parts-{uuid.uuid4().hex[:12]}")
         lost = [

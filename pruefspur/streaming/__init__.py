@@ -1,0 +1 @@
+"""Empty on purpose: nothing this library covers works on streams."""
