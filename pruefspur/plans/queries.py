@@ -242,6 +242,7 @@ def catalog_of_orders(spark: SparkSession, sf: str) -> DataFrame:
 
 def catalog(spark: SparkSession, sf: str) -> DataFrame:
     """One index per order, parsed to one row per column."""
+    # The outer form keeps the optimizer from computing the columns a second time in a filter.
     return catalog_of_orders(spark, sf).select(
         "index_key",
         "media_name",
@@ -249,7 +250,7 @@ def catalog(spark: SparkSession, sf: str) -> DataFrame:
         "url",
         "is_utf8",
         "skip_lines",
-        F.posexplode("columns").alias("pos", "c"),
+        F.posexplode_outer("columns").alias("pos", "c"),
     ).select(
         "index_key",
         "media_name",
