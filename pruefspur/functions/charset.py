@@ -23,6 +23,8 @@ def is_utf8(charset: str) -> bool:
 
 def single_byte_map(charset: str) -> tuple[str, str]:
     """The characters in which a single-byte charset differs from ISO-8859-1."""
+    if len("a".encode(charset)) != 1 or len("a;".encode(charset)) != 2:
+        raise ValueError(f"charset must be UTF-8 or a single-byte one, not '{charset}'")
     pairs = []
     for code in range(256):
         try:

@@ -18,7 +18,8 @@ SPACES = (
 # Fixed value: control characters removed from text columns.
 CONTROL_CHARS = r"[\x00-\x1F\x7F-\x9F]"
 
-_GERMAN_DATE = rf"^[{SPACES}]*(\d{{1,2}}\.\d{{1,2}}\.\d{{4}})[{SPACES}]*$"
+_GERMAN_DATE = r"^\d{1,2}\.\d{1,2}\.\d{4}$"
+_SPACED_GERMAN_DATE = rf"^[{SPACES}]*(\d{{1,2}}\.\d{{1,2}}\.\d{{4}})[{SPACES}]*$"
 _INTEGER = r"^\s*[+-]?\d+\s*$"
 _PLAIN_DOUBLE = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
@@ -71,7 +72,12 @@ def to_integer(c: Column | str, grouping: str = ".") -> Column:
 
 def to_date(c: Column | str) -> Column:
     """``D.M.YYYY`` text to DATE; blank or impossible dates are NULL."""
-    return F.try_to_date(F.regexp_extract(_as_col(c), _GERMAN_DATE, 1), "d.M.yyyy")
+    c = _as_col(c)
+    # Parsing text that is no date is costly, so only text of the right form gets there.
+    inner = F.regexp_extract(c, _SPACED_GERMAN_DATE, 1)
+    return F.when(c.rlike(_GERMAN_DATE), F.try_to_date(c, "d.M.yyyy")).when(
+        c.rlike(_SPACED_GERMAN_DATE), F.try_to_date(inner, "d.M.yyyy")
+    )
 
 
 def iso_date(c: Column | str) -> Column:

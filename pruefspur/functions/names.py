@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 _FOLD_FROM = string.ascii_uppercase + "ÄÖÜäöü"
 _FOLD_TO = string.ascii_lowercase + "aouaou"
-# A word starts at lower->Upper, and at the last capital of an acronym (EUCountry -> eu_country).
-_WORD_START = "(?<=[a-zäöüß])(?=[A-ZÄÖÜ])|(?<=[A-ZÄÖÜ])(?=[A-Z][a-z])"
+# A word ends before a capital, and an acronym before its last one (EUCountry -> eu_country).
+_WORD_END = "([a-zäöüß])(?=[A-ZÄÖÜ])|([A-ZÄÖÜ])(?=[A-Z][a-z])"
 
 
 def _underscored(c: Column, drop: str) -> Column:
@@ -19,7 +19,7 @@ def _underscored(c: Column, drop: str) -> Column:
 
 def snake_case(c: Column) -> Column:
     """``EUCountryRegionCode`` -> ``eu_country_region_code``, ``Straße Nr.`` -> ``strasse_nr``."""
-    words = F.regexp_replace(c, _WORD_START, "_")
+    words = F.regexp_replace(c, _WORD_END, "$1$2_")
     folded = F.replace(F.translate(words, _FOLD_FROM, _FOLD_TO), F.lit("ß"), F.lit("ss"))
     return _underscored(folded, "[^a-z0-9]+")
 
@@ -61,7 +61,8 @@ def dedupe_names(names: Column) -> Column:
             F.concat(name, F.lit("_"), F.get(free, earlier - 1).cast("string"))
         )
 
-    return F.transform(names, number)
+    unique = F.size(F.array_distinct(names)) == F.size(names)
+    return F.when(unique, names).otherwise(F.transform(names, number))
 
 
 def normalised(spark: SparkSession, names: list[str], rule=snake_case) -> list[str]:

@@ -104,6 +104,22 @@ def join_parts(spark: SparkSession, parts: list[str], target: str) -> None:
         out.close()
 
 
+def concatenate(spark: SparkSession, parts: list[str], target: str) -> bool:
+    """Make one file of parts without moving data, where the file system can; the first part
+    becomes the target.  False, with the parts untouched, where it cannot."""
+    fs, first = _resolve(spark, parts[0])
+    others = [_resolve(spark, p)[1] for p in parts[1:]]
+    jvm_paths = spark._sc._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Path, len(others))
+    for i, p in enumerate(others):
+        jvm_paths[i] = p
+    try:
+        fs.concat(first, jvm_paths)
+    except Exception:  # noqa: BLE001 - not supported by most file systems
+        return False
+    replace_by_rename(spark, parts[0], target)
+    return True
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``; a temporary one only where the
     setting is absent, as on a single machine under test."""

@@ -57,6 +57,15 @@ def inference_counts(
     return df.groupBy(*by).agg(F.count(F.lit(1)).alias("row_count"), *counts, *extra)
 
 
+def verdict(counts: Column, tests: dict) -> Column:
+    """Name of the first test that all present values passed, as an expression."""
+    present = counts[0]
+    found = F.when(present == 0, F.lit(None).cast("string"))
+    for i, name in enumerate(tests):
+        found = found.when(counts[i + 1] == present, name)
+    return found
+
+
 def decide(counts: Sequence[int], tests: dict) -> str | None:
     """Name of the first test that all present values passed."""
     present, *passed = counts

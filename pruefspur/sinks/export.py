@@ -133,7 +133,9 @@ def export_table(
 
     Rows are written in parallel parts.  Up to ``SINGLE_FILE_LIMIT`` bytes the parts are then
     joined into one file; a larger table stays a folder ``<name>.txt`` of parts, which every
-    import here reads as one table.  ``single_file`` forces either form.
+    import here reads as one table.  ``single_file=False`` always keeps the parts;
+    ``single_file=True`` also asks the file system to concatenate a larger table in place, which
+    HDFS can do, and otherwise leaves the parts and says so.
     """
     spark = df.sparkSession
 
@@ -158,20 +160,27 @@ def export_table(
         export_rows(counted, double_scale).write.csv(staging, **CSV_OPTIONS)
         target = hadoop.join(folder, f"{name}.txt")
         parts = [f for f in hadoop.list_files(spark, staging) if f.name.startswith("part-")]
-        if single_file is None:
-            single_file = sum(p.size for p in parts) <= SINGLE_FILE_LIMIT
-        if single_file:
+        small = sum(p.size for p in parts) <= SINGLE_FILE_LIMIT
+        kept_parts = False
+        if small and single_file is not False:
             joined = hadoop.join(folder, f"_joined-{uuid.uuid4().hex[:12]}")
             hadoop.join_parts(spark, [p.path for p in parts], joined)
             hadoop.replace_by_rename(spark, joined, target)
             hadoop.delete(spark, staging)
+        elif single_file and hadoop.concatenate(spark, [p.path for p in parts], target):
+            hadoop.delete(spark, staging)
         else:
             hadoop.replace_by_rename(spark, staging, target)
+            kept_parts = bool(single_file)
         hadoop.write_bytes(spark, hadoop.join(folder, "index.xml"), index.encode())
     except Exception as error:  # noqa: BLE001 - reported
         return report(0, f"Export failed: {short_message(error)}")
     counts = dict(seen.get)
     rows = counts.pop("rows")
     dropped = sum(counts.values())
-    status = f"Warning: {dropped} values are not finite numbers and became empty" if dropped else "OK"
-    return report(rows, status, folder)
+    notes = []
+    if dropped:
+        notes.append(f"{dropped} values are not finite numbers and became empty")
+    if kept_parts:
+        notes.append("too large for one file, kept as parts")
+    return report(rows, "Warning: " + "; ".join(notes) if notes else "OK", folder)

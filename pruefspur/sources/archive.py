@@ -141,6 +141,7 @@ def archive_catalog(found: DataFrame, layout: IndexLayout) -> DataFrame:
         .when(F.col("error").isNotNull(), F.concat(F.lit("Parse error: "), F.col("error")))
         .when(F.col("table_no").isNull(), "Parse error: index names no table")
         .when(F.size("columns") == 0, "Create failed: no columns declared")
+        .when(F.exists("columns", lambda c: c["name"] == ""), "Create failed: a column has no name")
         .when(
             has_traversal(F.col("url")),
             F.concat(F.lit("Path traversal in table URL: "), F.col("url")),

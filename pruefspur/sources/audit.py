@@ -105,7 +105,8 @@ def raw_lines(spark: SparkSession, spec: TableSpec) -> DataFrame:
     """The data lines of a table, undecoded."""
     scanned = ln.text_lines(spark, list(spec.paths))
     return ln.without_blank_lines(
-        ln.drop_head(scanned.select("path", "block", "value"), spec.skip), len(spec.columns)
+        ln.drop_head(scanned.select("path", "block", "more", "value"), spec.skip),
+        len(spec.columns),
     )
 
 
@@ -127,7 +128,10 @@ def raw_fields(
         )
         if spec.skip:
             placed = read.select(
-                F.col("_metadata.file_path").alias("path"), F.lit(0).alias("block"), *read.columns
+                F.col("_metadata.file_path").alias("path"),
+                F.lit(0).alias("block"),
+                F.lit(False).alias("more"),
+                *read.columns,
             )
             read = ln.drop_head(placed, spec.skip)
         names = [*ln.raw_names(width), "_spare"]
@@ -333,6 +337,8 @@ def import_export_layout(
         def run() -> Checked | str:
             if not row["columns"]:
                 return "Create failed: no columns declared"
+            if any(not c["name"] for c in row["columns"]):
+                return "Create failed: a column has no name"
             if path_has_traversal(row["url"]):
                 return f"Path traversal in table URL: {row['url']}"
             data = hadoop.join(folder, row["url"].replace("\\", "/"))

@@ -84,7 +84,7 @@ def booking_value(name: str, raw: Column, year: Column | int) -> Column:
 
 def batch_profile(spark: SparkSession, paths: list[str], charset: str | None) -> DataFrame:
     """One row per file: path, year, columns, data rows, charset."""
-    heads = ln.profile(ln.text_lines(spark, paths), HEADER_LINES)
+    heads = ln.profile(ln.text_lines(spark, paths), HEADER_LINES, HEADER_LINES)
     chosen = F.lit(charset) if charset else F.when(F.col("utf8"), "utf-8").otherwise(
         cs.BOOKING_FALLBACK
     )

@@ -9,7 +9,7 @@ from __future__ import annotations
 import csv
 import json
 from collections import Counter, defaultdict
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from .. import hadoop
 from ..functions import charset as cs
 from ..functions import convert as cv
-from ..functions.names import normalised, table_of_file
+from ..functions.names import dedupe_names, normalised, snake_case, table_of_file
 from ..operators import infer
 from ..operators.report import (
     FILE_REPORT,
@@ -118,7 +118,10 @@ def read_text_files(spark: SparkSession, paths: list[str], shape: TextShape) ->
     )
     block = F.lit(0) if shape.multiline else F.col("_metadata.file_block_start")
     placed = read.select(
-        F.col("_metadata.file_path").alias("path"), block.cast("bigint").alias("block"), *names
+        F.col("_metadata.file_path").alias("path"),
+        block.cast("bigint").alias("block"),
+        (F.lit(False) if shape.multiline else ln.continues()).alias("more"),
+        *names,
     )
     if shape.skip:
         placed = ln.drop_head(placed, shape.skip + int(shape.header))
@@ -140,65 +143,102 @@ class Loaded:
     status: str = "OK"
 
 
+SHAPE = (
+    "path string, names array<string>, sep string, charset string, multiline boolean, "
+    "skipped int, lines bigint"
+)
+
+
+def text_shapes(
+    spark: SparkSession, paths: list[str], file_type: str, options: dict
+) -> DataFrame:
+    """One row per file with a header: how it is to be read, and ``shape_id``."""
+    skip = int(options.get("skip", 0))
+    header = str(options.get("header", True)).lower() == "true"
+    quote = options.get("quote", '"')
+    heads = ln.profile(ln.text_lines(spark, paths), SNIFFED_LINES + skip, skip + 1)
+
+    def run(frames: Iterable) -> Iterator:
+        import pandas as pd
+
+        def shape(row) -> tuple | None:
+            charset = options.get("encoding") or ("utf-8" if row.utf8 else cs.EXPORT_FALLBACK)
+            head = [bytes(b).decode(charset, "replace") for b in row.head]
+            # The reader passes over blank lines by itself.
+            skipped = sum(bool(line.strip()) for line in head[:skip])
+            head = [line for line in head[skip:] if line.strip()]
+            if not head:
+                return None
+            sep = options.get("sep") or ("\t" if file_type == "tsv" else sniff_separator(head))
+            names = header_names(head[0], sep, quote)
+            if not header:
+                names = [f"column{i}" for i in range(len(names))]
+            multiline = bool(row.odd_quotes) and bool(quote)
+            return (row.path, names, sep, charset, multiline, skipped, row.lines)
+
+        columns = ["path", "names", "sep", "charset", "multiline", "skipped", "lines"]
+        for frame in frames:
+            found = [s for s in map(shape, frame.itertuples(index=False)) if s]
+            yield pd.DataFrame(found, columns=columns)
+
+    shapes = heads.select("path", "head", "utf8", "odd_quotes", "lines").mapInPandas(run, SHAPE)
+    named = shapes.withColumn("_plain", F.transform("names", snake_case))
+    return named.withColumn("names", dedupe_names(F.col("_plain"))).select(
+        "*", F.xxhash64("names", "sep", "charset", "multiline", "skipped").alias("shape_id")
+    )
+
+
 def _text_tables(
     spark: SparkSession, files: list[hadoop.StoredFile], file_type: str, options: dict
 ) -> dict[str, Loaded | Exception]:
-    profile = ln.profile(
-        ln.text_lines(spark, [hadoop.literal(f.path) for f in files]),
-        SNIFFED_LINES + int(options.get("skip", 0)),
-    ).collect()
-    known = {r["path"]: r for r in profile}
-    shapes: dict[TextShape, list[hadoop.StoredFile]] = defaultdict(list)
-    outcome: dict[str, Loaded | Exception] = {}
-    skip = int(options.get("skip", 0))
+    """Delimited text.  Only names, shapes and verdicts reach the driver."""
     header = str(options.get("header", True)).lower() == "true"
-    for f in files:
-        row = known.get(f.path)
-        if row is None or row["lines"] <= skip:
-            outcome[f.path] = ValueError("file has no header line")
-            continue
-        charset = options.get("encoding") or (
-            "utf-8" if row["utf8"] else cs.EXPORT_FALLBACK
-        )
-        head = [bytes(b).decode(charset, "replace") for b in row["head"]]
-        # The reader passes over blank lines by itself.
-        skipped = sum(bool(line.strip()) for line in head[:skip])
-        head = [line for line in head[skip:] if line.strip()] or [""]
-        sep = options.get("sep") or ("\t" if file_type == "tsv" else sniff_separator(head))
-        quote = options.get("quote", '"')
-        first = header_names(head[0], sep, quote)
-        names = first if header else [f"column{i}" for i in range(len(first))]
-        multiline = bool(row["odd_quotes"]) if quote else False
-        shape = TextShape(
-            tuple(normalised(spark, names)), sep, charset, multiline, skipped, header, quote,
-            options.get("nullValue", options.get("nullstr", "")),
-        )
-        shapes[shape].append(f)
-
+    quote = options.get("quote", '"')
+    null_value = options.get("nullValue", "")
     sniffing = str(options.get("all_varchar", False)).lower() != "true"
     tests = infer.PLAIN_TESTS if sniffing else infer.GERMAN_TESTS
+    places = [hadoop.literal(f.path) for f in files]
+    found = hadoop.reliable(text_shapes(spark, places, file_type, options))
+    shapes = {
+        r["shape_id"]: TextShape(
+            tuple(r["names"]), r["sep"], r["charset"], r["multiline"], r["skipped"], header,
+            quote, null_value,
+        )
+        for r in found.dropDuplicates(["shape_id"]).collect()
+    }
+    shape_of = {r[0]: r[1] for r in found.select("path", "shape_id").collect()}
+    groups: dict[int, list[hadoop.StoredFile]] = defaultdict(list)
+    outcome: dict[str, Loaded | Exception] = {}
+    for f in files:
+        if f.path in shape_of:
+            groups[shape_of[f.path]].append(f)
+        else:
+            outcome[f.path] = ValueError("file has no header line")
 
     def measure(shape: TextShape, group: list[hadoop.StoredFile]) -> Callable[[], dict]:
         def run() -> dict:
             frame = read_text_files(spark, [hadoop.literal(f.path) for f in group], shape)
             counts = infer.inference_counts(frame, shape.names, tests, by=["_path"])
-            found = counts.withColumn("_path", ln.plain_path(F.col("_path"))).collect()
-            return {r["_path"]: r for r in found}
+            verdicts = counts.select(
+                ln.plain_path(F.col("_path")).alias("path"),
+                "row_count",
+                F.array(
+                    *[infer.verdict(F.col(f"c{i}"), tests) for i in range(len(shape.names))]
+                ).alias("verdicts"),
+            )
+            return {r["path"]: r for r in verdicts.collect()}
 
         return run
 
-    pairs = list(shapes.items())
-    measured = side_by_side(spark, [measure(s, g) for s, g in pairs])
-    for (shape, group), found in zip(pairs, measured):
+    measured = side_by_side(spark, [measure(shapes[i], g) for i, g in groups.items()])
+    for (shape_id, group), result in zip(groups.items(), measured):
+        shape = shapes[shape_id]
         for f in group:
-            if isinstance(found, Exception):
-                outcome[f.path] = found
+            if isinstance(result, Exception):
+                outcome[f.path] = result
                 continue
-            row = found.get(f.path)
-            verdicts = {
-                n: infer.decide(row[f"c{i}"], tests) if row else None
-                for i, n in enumerate(shape.names)
-            }
+            row = result.get(f.path)
+            verdicts = dict(zip(shape.names, row["verdicts"])) if row else {}
             outcome[f.path] = Loaded(
                 row["row_count"] if row else 0,
                 len(shape.names),

@@ -1,7 +1,8 @@
 """Line frames: text files as one row per line, with the raw bytes kept.
 
-A line frame has the columns ``path``, ``block`` (byte offset of the split the line came from)
-and ``value`` (the raw line as text column; its bytes are untouched).  Scans stay splittable.
+A line frame has the columns ``path``, ``block`` (byte offset of the split the line came from),
+``more`` (whether the file goes on after that split) and ``value`` (the raw line; its bytes are
+untouched).  Scans stay splittable.
 """
 
 from __future__ import annotations
@@ -24,24 +25,40 @@ def text_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     return spark.read.text(paths).select(
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("block"),
+        continues().alias("more"),
         F.col("_metadata.file_name").alias("file_name"),
         "value",
     )
 
 
-def _runs(batch, key_names: tuple[str, str]):
-    """Row ranges of a batch that stem from one split, as (path, block, start, stop)."""
+def continues() -> Column:
+    """Whether the file of a row goes on after the row's split."""
+    split_end = F.col("_metadata.file_block_start") + F.col("_metadata.file_block_length")
+    return split_end < F.col("_metadata.file_size")
+
+
+def _short_head(path: str, count: int) -> ValueError:
+    return ValueError(
+        f"the first {count} lines of {path} reach beyond its first split; "
+        "raise spark.sql.files.maxPartitionBytes"
+    )
+
+
+def _runs(batch):
+    """Row ranges of a batch that stem from one split, as (path, block, more, start, stop)."""
     import numpy as np
 
-    path = batch.column(key_names[0]).dictionary_encode()
-    block = batch.column(key_names[1]).to_numpy(zero_copy_only=False)
+    path = batch.column("path").dictionary_encode()
+    block = batch.column("block").to_numpy(zero_copy_only=False)
     code = path.indices.to_numpy(zero_copy_only=False)
     cut = np.flatnonzero((np.diff(code) != 0) | (np.diff(block) != 0)) + 1
     bounds = [0, *cut.tolist(), batch.num_rows]
     names = path.dictionary
+    more = batch.column("more")
     for start, stop in zip(bounds, bounds[1:]):
         if stop > start:
-            yield names[int(code[start])].as_py(), int(block[start]), start, stop
+            place = names[int(code[start])].as_py()
+            yield place, int(block[start]), more[start].as_py(), start, stop
 
 
 def drop_head(lines: DataFrame, count: int) -> DataFrame:
@@ -49,7 +66,7 @@ def drop_head(lines: DataFrame, count: int) -> DataFrame:
 
     A task reads each of its splits in order, so the head of a file is the start of the run of
     rows with block 0.  Rows pass through as Arrow batches; there is no join and no second scan.
-    A head reaching beyond the first split (128 MB) is not looked for.
+    A head that does not end within the first split (128 MB by default) is an error.
     """
     if count <= 0:
         return lines
@@ -58,16 +75,21 @@ def drop_head(lines: DataFrame, count: int) -> DataFrame:
         import numpy as np
         import pyarrow as pa
 
-        current, left = None, 0
+        current, left, open_end = None, 0, False
         for batch in batches:
             keep = np.ones(batch.num_rows, dtype=bool)
-            for path, block, start, stop in _runs(batch, ("path", "block")):
+            for path, block, more, start, stop in _runs(batch):
                 if (path, block) != current:
+                    if left and open_end:
+                        raise _short_head(current[0], count)
                     current, left = (path, block), count if block == 0 else 0
+                    open_end = more
                 dropped = min(left, stop - start)
                 keep[start : start + dropped] = False
                 left -= dropped
             yield batch if keep.all() else batch.filter(pa.array(keep))
+        if left and open_end:
+            raise _short_head(current[0], count)
 
     if "value" not in lines.columns:
         return lines.mapInArrow(run, lines.schema)
@@ -86,15 +108,17 @@ def valid_utf8(value: Column) -> Column:
     return F.is_valid_utf8(value.cast("binary"))
 
 
-def profile(lines: DataFrame, head: int) -> DataFrame:
+def profile(lines: DataFrame, head: int, required: int = 0) -> DataFrame:
     """One row per file in a single scan: its first lines, the number of lines, of blank lines and
     of lines with an odd number of quotes, and whether every line is valid UTF-8.
 
-    Each task emits one row per split; only those are shuffled.
+    Each task emits one row per split; only those are shuffled.  Of the head, ``required`` lines
+    must lie within the first split of a file.
     """
     flagged = lines.select(
         "path",
         "block",
+        "more",
         # Only first splits can hold a head.
         F.when(F.col("block") == 0, F.col("value").cast("binary")).alias("value"),
         valid_utf8(F.col("value")).alias("utf8"),
@@ -120,13 +144,19 @@ def profile(lines: DataFrame, head: int) -> DataFrame:
         def row(s):
             return pa.RecordBatch.from_pylist([s], schema=schema)
 
-        current, state = None, None
+        current, state, open_head = None, None, False
+
+        def finished():
+            if open_head and len(state["head"]) < required:
+                raise _short_head(current[0], required)
+            return row(state)
+
         for batch in batches:
-            for path, block, start, stop in _runs(batch, ("path", "block")):
+            for path, block, more, start, stop in _runs(batch):
                 if (path, block) != current:
                     if state is not None:
-                        yield row(state)
-                    current = (path, block)
+                        yield finished()
+                    current, open_head = (path, block), block == 0 and more
                     state = dict(path=path, head=[], lines=0, utf8=True, odd=0, blank=0)
                 part = batch.slice(start, stop - start)
                 if block == 0 and len(state["head"]) < head:
@@ -137,7 +167,7 @@ def profile(lines: DataFrame, head: int) -> DataFrame:
                 for flag in ("odd", "blank"):
                     state[flag] += pc.sum(part.column(flag).cast(pa.int64())).as_py() or 0
         if state is not None:
-            yield row(state)
+            yield finished()
 
     partial = flagged.mapInArrow(
         run,

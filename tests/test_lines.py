@@ -36,7 +36,7 @@ def test_profile(spark, small_splits, tmp_path):
 
 
 def test_fields(spark):
-    text = ["a;b;c", "", "a", ";;", "a;b;c;d", 'x;"";"y""z"', ' a ; b', "a\;b;c", "#a;b"]
+    text = ["a;b;c", "", "a", ";;", "a;b;c;d", 'x;"";"y""z"', ' a ; b', "a\\;b;c", "#a;b"]
     df = spark.createDataFrame([(t,) for t in text], "v string")
     got = rows(df.select(ln.split_fields(F.col("v"), 3).alias("f")).select("f.*"))
     assert got == [
@@ -44,3 +44,14 @@ def test_fields(spark):
         ("a", "b", "c", "d"), ("x", None, 'y"z', None), (" a ", " b", None, None),
         ("a\\", "b", "c", None), ("#a", "b", None, None),
     ]
+
+
+def test_a_head_that_leaves_the_first_split_is_refused(spark, small_splits, tmp_path):
+    (tmp_path / "f.txt").write_text(("x" * 5000 + "\n") * 4)
+    frame = ln.text_lines(spark, [str(tmp_path)])
+    assert ln.drop_head(frame, 1).count() == 3
+    with pytest.raises(Exception, match="beyond its first split"):
+        ln.drop_head(frame, 2).count()
+    with pytest.raises(Exception, match="beyond its first split"):
+        ln.profile(frame, 2, 2).collect()
+    assert ln.profile(frame, 2, 1).head()["lines"] == 4
