@@ -52,16 +52,11 @@ def cases(spark: SparkSession, sf: str) -> dict:
     archives = q.staged_archives(spark, sf)
     target = hadoop.fresh_folder(spark, "bench-target")
 
-    def folder() -> None:
-        result = import_folder(spark, csvs)
-        for name in result.tables:
-            consume(result.tables[name])
-
     return {
         "export_lineitem": lambda: export_table(items, target, "lineitem").collect(),
         "import_lineitem": lambda: consume(import_export(spark, exported).tables["lineitem"]),
         "infer_types": lambda: consume(infer_types(spark.read.parquet(texts))),
-        "import_folder_csv": folder,
+        "import_folder_csv": lambda: consume(import_folder(spark, csvs).combined),
         "booking_batch": lambda: consume(read_booking_batches(spark, batches).combined),
         "archive_batch": lambda: consume(import_archives(spark, archives).combined("orders")),
         "pk_check": lambda: checks.key_check(items, ["l_orderkey", "l_linenumber"]).collect(),

@@ -35,6 +35,11 @@ from . import fixtures as fx
 PARTS = 4
 
 
+def spread(df: DataFrame, *by: str) -> DataFrame:
+    """At least a few tasks; a scan of many files keeps its own."""
+    return df if df.rdd.getNumPartitions() >= PARTS else df.repartition(PARTS, *by)
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
@@ -442,7 +447,7 @@ def import_xml_layout(spark: SparkSession, sf: str) -> DataFrame:
             [F.col("p_partkey"), F.col("p_name"), F.format_number("p_retailprice", 2)], "|"
         ).alias("line"),
     )
-    fx.write_lines(rows.repartition(PARTS, "line"), f"{folder}/parts", "txt")
+    fx.write_lines(spread(rows, "line"), f"{folder}/parts", "txt")
     hadoop.write_bytes(spark, f"{folder}/schema.xml", _CUSTOM_INDEX.encode())
     parts = audit.import_index(spark, folder, _CUSTOM_LAYOUT).tables["Parts"]
     return parts.withColumn("retail_price", money("retail_price"))
@@ -460,7 +465,7 @@ def charset_pick(spark: SparkSession, sf: str) -> DataFrame:
             fx.joined([F.col("c_custkey"), name], ";").alias("line"),
         )
         hadoop.make_dirs(spark, f"{folder}/{part}.txt")
-        fx.write_lines(rows.repartition(PARTS, "line"), f"{folder}/{part}.txt", "txt", charset)
+        fx.write_lines(spread(rows, "line"), f"{folder}/{part}.txt", "txt", charset)
     schema = T.StructType().add("CustKey", T.LongType()).add("CustName", T.StringType())
     index = fx.index_xml({"western": schema, "unicode": schema}, "charset")
     hadoop.write_bytes(spark, f"{folder}/index.xml", index.encode())
@@ -478,7 +483,7 @@ def skip_lines(spark: SparkSession, sf: str) -> DataFrame:
         F.lit("0;1,00\n1;2,00\n").alias("head"),
         fx.joined([F.col("o_orderkey"), german(F.col("o_totalprice"))], ";").alias("line"),
     )
-    fx.write_lines(rows.repartition(PARTS, "line"), f"{folder}/orders.txt", "txt")
+    fx.write_lines(spread(rows, "line"), f"{folder}/orders.txt", "txt")
     schema = T.StructType().add("OrderKey", T.LongType()).add("Price", T.DoubleType())
     index = fx.index_xml({"orders": schema}, "skip").replace("<From>1<", "<From>3<")
     hadoop.write_bytes(spark, f"{folder}/index.xml", index.encode())
@@ -602,14 +607,13 @@ def _order_texts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _order_result(result) -> DataFrame:
-    frames = [result.tables[n] for n in result.tables]
-    return as_union(frames).withColumn("order_date", day("order_date"))
+    return result.combined.drop("_file_name").withColumn("order_date", day("order_date"))
 
 
 def import_folder_csv(spark: SparkSession, sf: str) -> DataFrame:
     """CSV files with headers: separator found, names normalised, types inferred."""
     folder = hadoop.fresh_folder(spark, "csv")
-    texts = _order_texts(spark, sf).repartition(PARTS, "OrderKey")
+    texts = spread(_order_texts(spark, sf), "OrderKey")
     texts.write.mode("append").csv(
         folder, sep=";", header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False,
         ignoreTrailingWhiteSpace=False,
@@ -626,14 +630,14 @@ def import_folder_tsv(spark: SparkSession, sf: str) -> DataFrame:
         F.lit("\t".join(texts.columns) + "\n").alias("head"),
         fx.joined([F.col(f"`{c}`") for c in texts.columns], "\t").alias("line"),
     )
-    fx.write_lines(rows.repartition(PARTS, "line"), folder, "tsv")
+    fx.write_lines(spread(rows, "line"), folder, "tsv")
     return _order_result(import_folder(spark, folder, "tsv"))
 
 
 def import_folder_parquet(spark: SparkSession, sf: str) -> DataFrame:
     """Parquet files whose text columns are cleaned and typed."""
     folder = hadoop.fresh_folder(spark, "parquet")
-    texts = _order_texts(spark, sf).repartition(PARTS, "OrderKey")
+    texts = spread(_order_texts(spark, sf), "OrderKey")
     texts.write.mode("append").parquet(folder)
     return _order_result(import_folder(spark, folder, "parquet"))
 
@@ -641,7 +645,7 @@ def import_folder_parquet(spark: SparkSession, sf: str) -> DataFrame:
 def import_folder_json(spark: SparkSession, sf: str) -> DataFrame:
     """JSON lines."""
     folder = hadoop.fresh_folder(spark, "json")
-    texts = _order_texts(spark, sf).repartition(PARTS, "OrderKey")
+    texts = spread(_order_texts(spark, sf), "OrderKey")
     texts.write.mode("append").json(folder)
     return _order_result(import_folder(spark, folder, "json"))
 
@@ -650,7 +654,7 @@ def import_folder_xlsx(spark: SparkSession, sf: str) -> DataFrame:
     """Workbooks: number cells, and text cells that inference types."""
     folder = hadoop.fresh_folder(spark, "xlsx")
     texts = _order_texts(spark, sf).withColumn("OrderKey", F.col("OrderKey").cast("double"))
-    fx.write_workbooks(texts.repartition(PARTS, "OrderKey"), folder)
+    fx.write_workbooks(spread(texts, "OrderKey"), folder)
     return _order_result(import_folder(spark, folder, "xlsx"))
 
 
@@ -664,9 +668,9 @@ def folder_options(spark: SparkSession, sf: str) -> DataFrame:
             [F.col("c_custkey"), F.col("c_name"), german(F.col("c_acctbal")), F.lit("true")], "|"
         ).alias("line"),
     )
-    fx.write_lines(rows.repartition(PARTS, "line"), folder, "csv")
+    fx.write_lines(spread(rows, "line"), folder, "csv")
     result = import_folder(spark, folder, delimiter="|", skip=2, all_varchar=True)
-    return as_union([result.tables[n] for n in result.tables])
+    return result.combined.drop("_file_name")
 
 
 # --- batches ------------------------------------------------------------------------------
@@ -697,7 +701,7 @@ def staged_batches(spark: SparkSession, sf: str) -> str:
         F.replace(F.lit(_BATCH_HEAD), F.lit("{year}"), year).alias("head"),
         fx.joined(cells, ";").alias("line"),
     )
-    fx.write_lines(rows.repartition(PARTS, "line"), folder, "csv", "windows-1250")
+    fx.write_lines(spread(rows, "line"), folder, "csv", "windows-1250")
     return folder
 
 
@@ -734,7 +738,10 @@ def staged_archives(spark: SparkSession, sf: str, parts: int = 12) -> str:
     text = exported_rows(orders)
     line = fx.joined([F.col(c) for c in text.columns], ";").alias("line")
     index = fx.index_xml({"orders": orders.schema}, "orders")
-    fx.write_zips(text.select(line).repartition(parts, "line"), folder, index, "orders.txt")
+    rows = text.select(line)
+    if rows.rdd.getNumPartitions() < parts:
+        rows = rows.repartition(parts, "line")
+    fx.write_zips(rows, folder, index, "orders.txt")
     return folder
 
 

@@ -8,12 +8,14 @@ from __future__ import annotations
 
 import csv
 import json
-from collections import Counter, defaultdict
-from collections.abc import Callable, Iterable, Iterator
+from collections import defaultdict
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
+from functools import partial, reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import hadoop
 from ..functions import charset as cs
@@ -30,7 +32,13 @@ from ..operators.report import (
 )
 from . import lines as ln
 from .audit import _free_name, path_has_traversal
-from .workbook import workbook_cells, workbook_frame
+from .workbook import (
+    WORKBOOK_TESTS,
+    workbook_cells,
+    workbook_header,
+    workbook_texts,
+    workbook_verdicts,
+)
 
 # The extensions each file type takes.  Any other type takes its own extension.
 TYPE_EXTENSIONS = {
@@ -135,12 +143,75 @@ def read_text_files(spark: SparkSession, paths: list[str], shape: TextShape) ->
     )
 
 
+Tests = dict[str, Callable[[Column], Column]]
+
+
+@dataclass(frozen=True, eq=False)
+class Shape:
+    """Files that are read alike.  ``read`` gives cleaned columns and the file in ``_path``;
+    ``measure`` gives row count and verdicts, one row per file."""
+
+    names: tuple[str, ...]
+    tests: Tests
+    read: Callable[[list[str]], DataFrame]
+    measure: Callable[[DataFrame], DataFrame]
+
+    def typed(self, paths: list[str], verdicts: tuple[str | None, ...]) -> DataFrame:
+        frame = self.read(paths).select(*[f"`{n}`" for n in self.names], "_path")
+        return infer.convert_columns(frame, dict(zip(self.names, verdicts)), self.tests)
+
+
 @dataclass(frozen=True)
 class Loaded:
-    row_count: int
-    column_count: int
-    build: Callable[[], DataFrame]
-    status: str = "OK"
+    shape: Shape
+    place: str
+    row_count: int = 0
+    verdicts: tuple[str | None, ...] = ()
+
+    def build(self) -> DataFrame:
+        return self.shape.typed([self.place], self.verdicts).drop("_path")
+
+
+Outcome = dict[str, Loaded | Exception]
+
+
+def _verdicts(frame: DataFrame, names: Sequence[str], tests: Tests) -> DataFrame:
+    """Row count and verdicts per file; columns that are not text have none."""
+    text = [n for n in infer.text_columns(frame) if n in names]
+    counts = infer.inference_counts(frame, text, tests, by=["_path"])
+    found = {n: infer.verdict(F.col(f"c{i}"), tests) for i, n in enumerate(text)}
+    none = F.lit(None).cast("string")
+    return counts.select(
+        "_path", "row_count", F.array(*[found.get(n, none) for n in names]).alias("verdicts")
+    )
+
+
+def _measured(spark: SparkSession, groups: dict[Shape, list[hadoop.StoredFile]]) -> Outcome:
+    """Verdicts of all files, one job per shape."""
+
+    def task(shape: Shape, group: list[hadoop.StoredFile]) -> Callable[[], dict]:
+        def run() -> dict:
+            frame = shape.read([hadoop.literal(f.path) for f in group])
+            found = shape.measure(frame).withColumn("_path", ln.plain_path(F.col("_path")))
+            return {r["_path"]: r for r in found.collect()}
+
+        return run
+
+    results = side_by_side(spark, [task(shape, group) for shape, group in groups.items()])
+    outcome: Outcome = {}
+    for (shape, group), result in zip(groups.items(), results):
+        for f in group:
+            if isinstance(result, Exception):
+                outcome[f.path] = result
+                continue
+            row = result.get(f.path)
+            place = hadoop.literal(f.path)
+            outcome[f.path] = (
+                Loaded(shape, place, row["row_count"], tuple(row["verdicts"]))
+                if row
+                else Loaded(shape, place)
+            )
+    return outcome
 
 
 SHAPE = (
@@ -190,7 +261,7 @@ def text_shapes(
 
 def _text_tables(
     spark: SparkSession, files: list[hadoop.StoredFile], file_type: str, options: dict
-) -> dict[str, Loaded | Exception]:
+) -> Outcome:
     """Delimited text.  Only names, shapes and verdicts reach the driver."""
     header = str(options.get("header", True)).lower() == "true"
     quote = options.get("quote", '"')
@@ -199,7 +270,7 @@ def _text_tables(
     tests = infer.PLAIN_TESTS if sniffing else infer.GERMAN_TESTS
     places = [hadoop.literal(f.path) for f in files]
     found = hadoop.reliable(text_shapes(spark, places, file_type, options))
-    shapes = {
+    texts = {
         r["shape_id"]: TextShape(
             tuple(r["names"]), r["sep"], r["charset"], r["multiline"], r["skipped"], header,
             quote, null_value,
@@ -208,51 +279,23 @@ def _text_tables(
     }
     shape_of = {r[0]: r[1] for r in found.select("path", "shape_id").collect()}
     groups: dict[int, list[hadoop.StoredFile]] = defaultdict(list)
-    outcome: dict[str, Loaded | Exception] = {}
+    outcome: Outcome = {}
     for f in files:
         if f.path in shape_of:
             groups[shape_of[f.path]].append(f)
         else:
             outcome[f.path] = ValueError("file has no header line")
 
-    def measure(shape: TextShape, group: list[hadoop.StoredFile]) -> Callable[[], dict]:
-        def run() -> dict:
-            frame = read_text_files(spark, [hadoop.literal(f.path) for f in group], shape)
-            counts = infer.inference_counts(frame, shape.names, tests, by=["_path"])
-            verdicts = counts.select(
-                ln.plain_path(F.col("_path")).alias("path"),
-                "row_count",
-                F.array(
-                    *[infer.verdict(F.col(f"c{i}"), tests) for i in range(len(shape.names))]
-                ).alias("verdicts"),
-            )
-            return {r["path"]: r for r in verdicts.collect()}
-
-        return run
-
-    measured = side_by_side(spark, [measure(shapes[i], g) for i, g in groups.items()])
-    for (shape_id, group), result in zip(groups.items(), measured):
-        shape = shapes[shape_id]
-        for f in group:
-            if isinstance(result, Exception):
-                outcome[f.path] = result
-                continue
-            row = result.get(f.path)
-            verdicts = dict(zip(shape.names, row["verdicts"])) if row else {}
-            outcome[f.path] = Loaded(
-                row["row_count"] if row else 0,
-                len(shape.names),
-                _text_builder(spark, f, shape, verdicts, tests),
-            )
-    return outcome
-
-
-def _text_builder(spark, file, shape, verdicts, tests) -> Callable[[], DataFrame]:
-    def build() -> DataFrame:
-        frame = read_text_files(spark, [hadoop.literal(file.path)], shape).drop("_path")
-        return infer.convert_columns(frame, verdicts, tests)
-
-    return build
+    shaped = {
+        Shape(
+            text.names,
+            tests,
+            partial(read_text_files, spark, shape=text),
+            partial(_verdicts, names=text.names, tests=tests),
+        ): groups[i]
+        for i, text in texts.items()
+    }
+    return outcome | _measured(spark, shaped)
 
 
 def _first_keys(head: list[bytes]) -> list[str] | None:
@@ -270,62 +313,116 @@ def _first_keys(head: list[bytes]) -> list[str] | None:
 
 def _columnar_tables(
     spark: SparkSession, files: list[hadoop.StoredFile], file_type: str, options: dict
-) -> dict[str, Loaded | Exception]:
+) -> Outcome:
     """Parquet and JSON: the reader knows the types, text columns are cleaned and inferred."""
     keys: dict[str, list[str] | None] = {}
     if file_type != "parquet":
-        heads = ln.profile(ln.text_lines(spark, [hadoop.literal(f.path) for f in files]), 1)
+        heads = ln.profile(ln.text_lines(spark, [hadoop.literal(f.path) for f in files]), 1, 1)
         keys = {r["path"]: _first_keys(r["head"]) for r in heads.collect()}
-    tests = infer.GERMAN_TESTS if file_type == "parquet" else {
-        **infer.GERMAN_TESTS,
-        "timestamp": cv.iso_timestamp,
-    }
-
-    def load(f: hadoop.StoredFile) -> Callable[[], Loaded]:
-        def run() -> Loaded:
-            place = hadoop.literal(f.path)
-            if file_type == "parquet":
-                read = spark.read.options(**options).parquet(place)
-            else:
-                first = keys.get(f.path, [])
-                read = spark.read.options(multiLine=first is None, **options).json(place)
-                # The reader sorts names; the file's own order reads better.
-                order = [k for k in first or () if k in read.columns]
-                order += [c for c in read.columns if c not in order]
-                read = read.select(*[F.col(f"`{c}`") for c in order])
-            frame = infer.clean_columns(read.toDF(*normalised(spark, read.columns)))
-            columns = infer.text_columns(frame)
-            row = infer.inference_counts(frame, columns, tests).head()
-            verdicts = {n: infer.decide(row[f"c{i}"], tests) for i, n in enumerate(columns)}
-            return Loaded(
-                row["row_count"],
-                len(frame.columns),
-                lambda: infer.convert_columns(frame, verdicts, tests),
-            )
+    tests: Tests = dict(infer.GERMAN_TESTS)
+    if file_type != "parquet":
+        tests["timestamp"] = cv.iso_timestamp
+
+    def reader(multiline: bool):
+        if file_type == "parquet":
+            return spark.read.options(**options).format("parquet")
+        return spark.read.options(multiLine=multiline, **options).format("json")
+
+    def schema_of(f: hadoop.StoredFile) -> Callable[[], tuple]:
+        def run() -> tuple:
+            first = keys.get(f.path, [])
+            fields = reader(first is None).load(hadoop.literal(f.path)).schema.fields
+            # The JSON reader sorts names; the file's own order reads better.
+            at = {k: i for i, k in enumerate(first or ())}
+            fields = sorted(fields, key=lambda c: at.get(c.name, len(at)))
+            return first is None, T.StructType(fields).json()
 
         return run
 
-    return dict(zip([f.path for f in files], side_by_side(spark, [load(f) for f in files])))
+    def read(paths: list[str], schema: T.StructType, names: list[str], multiline: bool):
+        loaded = reader(multiline).schema(schema).load(paths)
+        named = loaded.select(
+            *[F.col(f"`{c}`").alias(n) for c, n in zip(schema.names, names)],
+            F.col("_metadata.file_path").alias("_path"),
+        )
+        return infer.clean_columns(named)
+
+    outcome: Outcome = {}
+    groups: dict[tuple, list[hadoop.StoredFile]] = defaultdict(list)
+    for f, found in zip(files, side_by_side(spark, [schema_of(f) for f in files])):
+        if isinstance(found, Exception):
+            outcome[f.path] = found
+        else:
+            groups[found].append(f)
+    shaped = {}
+    for (multiline, text), group in groups.items():
+        schema = T.StructType.fromJson(json.loads(text))
+        names = normalised(spark, schema.names)
+        shape = Shape(
+            tuple(names),
+            tests,
+            partial(read, schema=schema, names=names, multiline=multiline),
+            partial(_verdicts, names=names, tests=tests),
+        )
+        shaped[shape] = group
+    return outcome | _measured(spark, shaped)
 
 
 def _workbook_tables(
     spark: SparkSession, files: list[hadoop.StoredFile], options: dict
-) -> dict[str, Loaded | Exception]:
-    def load(f: hadoop.StoredFile) -> Callable[[], Loaded]:
-        def run() -> Loaded:
-            cells = workbook_cells(spark, [hadoop.literal(f.path)])
-            all_text = str(options.get("all_varchar", False)).lower() == "true"
-            frame, rows = workbook_frame(spark, cells, all_text)
-            return Loaded(rows, len(frame.columns), lambda: frame)
+) -> Outcome:
+    """Workbooks, grouped by the names in their first row."""
+    all_text = str(options.get("all_varchar", False)).lower() == "true"
+
+    def header_of(f: hadoop.StoredFile) -> Callable[[], Row]:
+        return lambda: workbook_header(workbook_cells(spark, [hadoop.literal(f.path)]))
+
+    outcome: Outcome = {}
+    groups: dict[tuple, list[hadoop.StoredFile]] = defaultdict(list)
+    for f, found in zip(files, side_by_side(spark, [header_of(f) for f in files])):
+        if isinstance(found, Exception):
+            outcome[f.path] = found
+        else:
+            groups[found].append(f)
+
+    def read(paths: list[str], names: list[str], header_row: int) -> DataFrame:
+        return workbook_texts(workbook_cells(spark, paths), names, header_row)
+
+    shaped = {}
+    for (header_row, given), group in groups.items():
+        names = normalised(spark, list(given))
+        shape = Shape(
+            tuple(names),
+            WORKBOOK_TESTS,
+            partial(read, names=names, header_row=header_row),
+            partial(workbook_verdicts, names=names, all_text=all_text),
+        )
+        shaped[shape] = group
+    return outcome | _measured(spark, shaped)
 
-        return run
 
-    return dict(zip([f.path for f in files], side_by_side(spark, [load(f) for f in files])))
+class FolderResult(ImportResult):
+    """Adds ``combined``: all tables as one frame, columns matched by name, with ``_file_name``.
+    Files that are read and typed alike are one scan."""
+
+    def __init__(self, spark, builders, report, loaded: list[Loaded]):
+        super().__init__(spark, builders, report)
+        self._loaded = loaded
+
+    @property
+    def combined(self) -> DataFrame:
+        alike: dict[tuple, list[str]] = defaultdict(list)
+        for one in self._loaded:
+            alike[(one.shape, one.verdicts)].append(one.place)
+        frames = [shape.typed(places, verdicts) for (shape, verdicts), places in alike.items()]
+        both = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+        name = F.regexp_extract(ln.plain_path(F.col("_path")), "([^/]*)$", 1)
+        return both.withColumn("_path", name).withColumnRenamed("_path", "_file_name")
 
 
 def import_folder(
     spark: SparkSession, path: str, file_type: str = "csv", **options
-) -> ImportResult:
+) -> FolderResult:
     """Import all files of a type in a folder, one table per file.
 
     Types: csv (.csv, .txt), tsv, parquet, json (.json, .jsonl), jsonl, xlsx or excel; any other
@@ -337,7 +434,7 @@ def import_folder(
 
     def only(name: str, status: str) -> ImportResult:
         rows = [(name, "", 0, 0, status)]
-        return ImportResult(spark, {}, report_frame(spark, rows, FILE_REPORT))
+        return FolderResult(spark, {}, report_frame(spark, rows, FILE_REPORT), [])
 
     if path_has_traversal(path):
         return only("(security)", TRAVERSAL)
@@ -356,9 +453,8 @@ def import_folder(
 
     stems = spark.createDataFrame([(f.name,) for f in files], "name string")
     tables = {r[0]: r[1] for r in stems.select("name", table_of_file(F.col("name"))).collect()}
-    repeated = Counter(tables.values())
     taken: set[str] = set()
-    builders, report = {}, []
+    builders, report, kept = {}, [], []
     for f in files:
         result = loaded[f.path]
         table = tables[f.name]
@@ -366,9 +462,8 @@ def import_folder(
             report.append((table, f.name, 0, 0, f"Load failed: {short_message(result)}"))
             continue
         name = _free_name(table, taken)
-        status = result.status
-        if repeated[table] > 1 and name != table:
-            status = f"OK (several files are called '{table}')"
+        status = "OK" if name == table else f"OK (several files are called '{table}')"
         builders[name] = result.build
-        report.append((name, f.name, result.row_count, result.column_count, status))
-    return ImportResult(spark, builders, report_frame(spark, report, FILE_REPORT))
+        kept.append(result)
+        report.append((name, f.name, result.row_count, len(result.shape.names), status))
+    return FolderResult(spark, builders, report_frame(spark, report, FILE_REPORT), kept)

@@ -6,13 +6,12 @@ spread over tasks.  Sheet XML is streamed, never held whole.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import convert as cv
-from ..functions.names import normalised
 from ..operators import infer
 
 CELLS = "path string, row_no bigint, kinds array<string>, texts array<string>"
@@ -152,56 +151,58 @@ def workbook_cells(spark: SparkSession, paths: list[str]) -> DataFrame:
     return files.mapInPandas(run, CELLS)
 
 
-def workbook_frame(
-    spark: SparkSession, cells: DataFrame, all_text: bool = False
-) -> tuple[DataFrame, int]:
-    """Table and row count of one workbook: its first row names the columns.  A column of number
-    cells is DOUBLE, of date cells DATE or TIMESTAMP, of boolean cells BOOLEAN; any mixture is
-    text that type inference then looks at."""
+def workbook_header(cells: DataFrame) -> tuple[int, tuple[str, ...]]:
+    """Number of the first row of a workbook and the names in it."""
     first = cells.orderBy("row_no").select("row_no", "texts").head()
     if first is None:
         raise ValueError("the first sheet is empty")
-    names = normalised(
-        spark, [t if t else f"column{i}" for i, t in enumerate(first["texts"])]
-    )
-    body = cells.where(F.col("row_no") > first["row_no"])
+    return first["row_no"], tuple(t or f"column{i}" for i, t in enumerate(first["texts"]))
+
+
+def workbook_texts(cells: DataFrame, names: Sequence[str], header_row: int) -> DataFrame:
+    """Cleaned text columns, the cell kinds as ``_k0``, ... and the file in ``_path``."""
+    body = cells.where(F.col("row_no") > header_row)
     filled = body.where(F.exists("texts", lambda t: t.isNotNull()))
-    texts = filled.select(
+    return filled.select(
         *[cv.clean_text(F.get("texts", F.lit(i))).alias(n) for i, n in enumerate(names)],
         *[F.get("kinds", F.lit(i)).alias(f"_k{i}") for i in range(len(names))],
+        F.col("path").alias("_path"),
     )
-    tests = {
-        **infer.GERMAN_TESTS,
-        "number": cv.plain_double,
-        "boolean": cv.plain_boolean,
-        "timestamp": lambda c: F.coalesce(
-            cv.iso_timestamp(c), cv.iso_date(c).cast("timestamp_ntz")
-        ),
-        "date": cv.iso_date,
-    }
+
+
+# What a column of one kind of cells becomes, besides what inference makes of text.
+WORKBOOK_TESTS = {
+    **infer.GERMAN_TESTS,
+    "number": cv.plain_double,
+    "boolean": cv.plain_boolean,
+    "timestamp": lambda c: F.coalesce(cv.iso_timestamp(c), cv.iso_date(c).cast("timestamp_ntz")),
+    "date": cv.iso_date,
+}
+
+
+def workbook_verdicts(texts: DataFrame, names: Sequence[str], all_text: bool) -> DataFrame:
+    """A column of number cells is DOUBLE, of date cells DATE or TIMESTAMP, of boolean cells
+    BOOLEAN; any mixture is text that type inference looks at."""
     kinds = [
-        F.array(*[F.count_if(F.col(f"_k{i}") == kind) for kind in "nbd"]).alias(f"k{i}")
-        for i in range(len(names))
-    ]
-    moments = [
-        F.count_if((F.col(f"_k{i}") == "d") & (F.length(F.col(f"`{n}`")) > 10)).alias(f"m{i}")
+        F.array(
+            *[F.count_if(F.col(f"_k{i}") == kind) for kind in "nbd"],
+            F.count_if((F.col(f"_k{i}") == "d") & (F.length(F.col(f"`{n}`")) > 10)),
+        ).alias(f"k{i}")
         for i, n in enumerate(names)
     ]
-    counts = infer.inference_counts(
-        texts, names, infer.GERMAN_TESTS, extra=[*kinds, *moments]
-    ).head()
-    verdicts = {}
-    for i, n in enumerate(names):
-        numbers, booleans, dates = counts[f"k{i}"]
-        present = counts[f"c{i}"][0]
-        verdict = None
-        if present and not all_text:
-            if numbers == present:
-                verdict = "number"
-            elif booleans == present:
-                verdict = "boolean"
-            elif dates == present:
-                verdict = "timestamp" if counts[f"m{i}"] else "date"
-        verdicts[n] = verdict or infer.decide(counts[f"c{i}"], infer.GERMAN_TESTS)
-    table = infer.convert_columns(texts.select(*[f"`{n}`" for n in names]), verdicts, tests)
-    return table, counts["row_count"]
+    counts = infer.inference_counts(texts, names, by=["_path"], extra=kinds)
+
+    def settled(i: int) -> Column:
+        present, kind = F.col(f"c{i}")[0], F.col(f"k{i}")
+        by_kind = (
+            F.when(F.lit(all_text) | (present == 0), F.lit(None).cast("string"))
+            .when(kind[0] == present, "number")
+            .when(kind[1] == present, "boolean")
+            .when((kind[2] == present) & (kind[3] > 0), "timestamp")
+            .when(kind[2] == present, "date")
+        )
+        return F.coalesce(by_kind, infer.verdict(F.col(f"c{i}"), infer.GERMAN_TESTS))
+
+    return counts.select(
+        "_path", "row_count", F.array(*[settled(i) for i in range(len(names))]).alias("verdicts")
+    )

@@ -190,3 +190,13 @@ def test_separators():
     assert sniff_separator(["a,b", "1,2"]) == ","
     assert sniff_separator(["a\tb", "1\t2"]) == "\t"
     assert sniff_separator(["a"]) == ","
+
+
+def test_combined(spark, tmp_path):
+    (tmp_path / "a 1.csv").write_text("x;y\n1;2,5\n")
+    (tmp_path / "b.csv").write_text("x;y\n2;3,5\n")
+    (tmp_path / "c.csv").write_text("y;z\nn/a;7\n")
+    combined = import_folder(spark, str(tmp_path)).combined
+    assert {(r["_file_name"], r["x"], str(r["y"]), r["z"]) for r in combined.collect()} == {
+        ("a 1.csv", 1, "2.5", None), ("b.csv", 2, "3.5", None), ("c.csv", None, "n/a", 7),
+    }
