@@ -25,6 +25,7 @@ from ..operators.report import (
 )
 from . import lines as ln
 from .index_catalog import AUDIT, LAYOUTS, IndexLayout, index_catalog
+from .records import records, split_starts
 
 
 @dataclass(frozen=True)
@@ -102,50 +103,28 @@ def typed(raw: Column, column: ColumnSpec, spec: TableSpec) -> Column:
 
 
 def raw_lines(spark: SparkSession, spec: TableSpec) -> DataFrame:
-    """The data lines of a table, undecoded."""
+    """The lines of a table after those to skip, undecoded."""
     scanned = ln.text_lines(spark, list(spec.paths))
-    return ln.without_blank_lines(
-        ln.drop_head(scanned.select("path", "block", "more", "value"), spec.skip),
-        len(spec.columns),
-    )
+    return ln.drop_head(scanned.select("path", "block", "more", "value"), spec.skip)
 
 
 def raw_fields(
-    spark: SparkSession, spec: TableSpec, charset: str | None, multiline: bool = False
+    spark: SparkSession, spec: TableSpec, charset: str | None, starts: DataFrame | None = None
 ) -> DataFrame:
-    """The rows of a table as a struct ``fields`` of text; ``charset`` None leaves bytes as they
-    are, which is enough for counting."""
+    """The rows of a table as a struct ``fields`` of text, with the raw ``value``.
+
+    ``charset`` None leaves bytes as they are, which is enough for counting.  ``starts`` makes
+    lines within quotes part of one record.
+    """
     width = len(spec.columns)
-    if multiline:
-        schema = ", ".join(f"{n} string" for n in [*ln.raw_names(width), "_spare"])
-        utf8 = charset is None or cs.is_utf8(charset)
-        read = spark.read.schema(schema).csv(
-            list(spec.paths),
-            sep=spec.sep,
-            multiLine=True,
-            encoding="UTF-8" if utf8 else "ISO-8859-1",
-            **ln.QUOTED,
-        )
-        if spec.skip:
-            placed = read.select(
-                F.col("_metadata.file_path").alias("path"),
-                F.lit(0).alias("block"),
-                F.lit(False).alias("more"),
-                *read.columns,
-            )
-            read = ln.drop_head(placed, spec.skip)
-        names = [*ln.raw_names(width), "_spare"]
-        columns = [F.col(n) for n in names]
-        if not utf8:
-            columns = [cs.decoded(F.encode(c, "ISO-8859-1"), charset) for c in columns]
-        return read.select(F.struct(*[c.alias(n) for c, n in zip(columns, names)]).alias("fields"))
-    scanned = raw_lines(spark, spec)
+    rows = raw_lines(spark, spec)
+    if starts is not None:
+        rows = records(rows, starts, spec.sep)
+    rows = ln.without_blank_lines(rows, width)
     text = F.col("value")
     if charset is not None and not cs.is_utf8(charset):
         text = cs.decoded(text.cast("binary"), charset)
-    return scanned.select(
-        ln.split_fields(text, width, spec.sep).alias("fields"), F.col("value")
-    )
+    return rows.select(ln.split_fields(text, width, spec.sep).alias("fields"), F.col("value"))
 
 
 def typed_frame(
@@ -257,6 +236,7 @@ class Checked:
     charset: str
     rejects: tuple[tuple[str, int], ...] = ()
     usable: bool = True
+    starts: DataFrame | None = None
 
 
 def check_table(
@@ -267,17 +247,14 @@ def check_table(
     check_keys: bool,
     multiline: bool,
 ) -> Checked:
-    fields = raw_fields(spark, spec, None, multiline)
+    starts = split_starts(raw_lines(spark, spec), spec.sep) if multiline else None
     line = F.col("value")
-    flags = None if multiline else (ln.valid_utf8(line), ln.odd_quotes(line))
-    found = check_frame(fields, spec, flags).head().asDict()
-    if multiline and charset is None:
-        lines = ln.text_lines(spark, list(spec.paths))
-        found["utf8"] = lines.agg(F.bool_and(ln.valid_utf8(line))).head()[0] is not False
+    flags = (ln.valid_utf8(line), ln.odd_quotes(line))
+    found = check_frame(raw_fields(spark, spec, None, starts), spec, flags).head().asDict()
     chosen = charset or ("utf-8" if found["utf8"] else cs.EXPORT_FALLBACK)
     found |= {"null_keys": 0, "surplus_rows": 0}
     if check_keys and spec.keys and found["row_count"]:
-        table = typed_frame(raw_fields(spark, spec, chosen, multiline), spec)
+        table = typed_frame(raw_fields(spark, spec, chosen, starts), spec)
         keys = checks.key_check(table, spec.keys).head()
         found |= {"null_keys": keys["null_keys"], "surplus_rows": keys["surplus_rows"]}
     verdict = judged(spark.createDataFrame([Row(**found)]), spec, on_error).head()
@@ -285,7 +262,7 @@ def check_table(
         (c.name, found[f"x{i}"]) for i, c in enumerate(spec.columns) if found.get(f"x{i}")
     )
     rows = found["row_count"] if verdict["usable"] else 0
-    return Checked(rows, verdict["status"], chosen, rejects, verdict["usable"])
+    return Checked(rows, verdict["status"], chosen, rejects, verdict["usable"], starts)
 
 
 def path_has_traversal(path: str) -> bool:
@@ -316,8 +293,8 @@ def import_export_layout(
 
     ``on_error="fail"`` refuses a table with values that do not convert or with bad keys; the
     default keeps it, turns such values into NULL and reports them.  ``charset`` skips the choice
-    between UTF-8 and windows-1252.  ``multiline`` reads line breaks within quotes at the price of
-    unsplittable files.  ``drop_bad_rows`` drops rows with more fields than declared.
+    between UTF-8 and windows-1252.  ``multiline`` reads line breaks within quotes, which takes
+    one more scan.  ``drop_bad_rows`` drops rows with more fields than declared.
     """
     if path_has_traversal(path):
         return _only_status(spark, "(security)", TRAVERSAL)
@@ -363,9 +340,7 @@ def import_export_layout(
             report.append((name, outcome.row_count, outcome.status))
             rejects += [(name, column, n) for column, n in outcome.rejects]
             if outcome.usable:
-                builders[name] = _builder(
-                    spark, specs[name], outcome.charset, multiline, drop_bad_rows
-                )
+                builders[name] = _builder(spark, specs[name], outcome, drop_bad_rows)
         elif isinstance(outcome, str):
             report.append((name, 0, outcome))
         else:
@@ -378,9 +353,9 @@ def import_export_layout(
     )
 
 
-def _builder(spark, spec, charset, multiline, drop_bad_rows) -> Callable[[], DataFrame]:
+def _builder(spark, spec, checked: Checked, drop_bad_rows: bool) -> Callable[[], DataFrame]:
     return lambda: typed_frame(
-        raw_fields(spark, spec, charset, multiline), spec, drop_bad_rows
+        raw_fields(spark, spec, checked.charset, checked.starts), spec, drop_bad_rows
     )
 
 

@@ -32,6 +32,7 @@ from ..operators.report import (
 )
 from . import lines as ln
 from .audit import _free_name, path_has_traversal
+from .records import records, split_starts
 from .workbook import (
     WORKBOOK_TESTS,
     workbook_cells,
@@ -104,41 +105,44 @@ def header_names(first: str, sep: str, quote: str) -> list[str]:
 
 
 def read_text_files(spark: SparkSession, paths: list[str], shape: TextShape) -> DataFrame:
-    """Files of one shape as text columns, with the file in ``_path``."""
+    """Files of one shape as cleaned text columns, with the file in ``_path``."""
     width = len(shape.names)
-    options = {
-        "sep": shape.sep,
-        "quote": shape.quote,
-        "escape": shape.quote or '"',
-        "nullValue": shape.null_value,
-    }
-    utf8 = cs.is_utf8(shape.charset)
     names = ln.raw_names(width)
-    schema = ", ".join(f"{n} string" for n in names)
-    head_in_reader = shape.header and not shape.skip
-    read = spark.read.schema(schema).csv(
-        paths,
-        header=head_in_reader,
-        enforceSchema=True,
-        multiLine=shape.multiline,
-        encoding="UTF-8" if utf8 else "ISO-8859-1",
-        **options,
-    )
-    block = F.lit(0) if shape.multiline else F.col("_metadata.file_block_start")
-    placed = read.select(
-        F.col("_metadata.file_path").alias("path"),
-        block.cast("bigint").alias("block"),
-        (F.lit(False) if shape.multiline else ln.continues()).alias("more"),
-        *names,
-    )
-    if shape.skip:
-        placed = ln.drop_head(placed, shape.skip + int(shape.header))
-
-    def text(c: Column) -> Column:
-        return c if utf8 else cs.decoded(F.encode(c, "ISO-8859-1"), shape.charset)
-
-    return placed.select(
-        *[cv.clean_text(text(F.col(r))).alias(n) for r, n in zip(names, shape.names)],
+    quote = shape.quote
+    csv_options = {"sep": shape.sep, "quote": quote, "escape": quote or '"',
+                   "nullValue": shape.null_value}
+    head = shape.skip + int(shape.header)
+    if shape.multiline:
+        scanned = ln.text_lines(spark, paths).select("path", "block", "more", "value")
+        body = ln.drop_head(scanned, head)
+        rows = records(body, split_starts(body, shape.sep), shape.sep)
+        text = cs.decoded(F.col("value").cast("binary"), shape.charset)
+        split = F.from_csv(text, ", ".join(f"{n} string" for n in names), csv_options)
+        filled = ln.without_blank_lines(rows, width)
+        cells = filled.select("path", split.alias("f")).select("path", "f.*")
+    else:
+        utf8 = cs.is_utf8(shape.charset)
+        read = spark.read.schema(", ".join(f"{n} string" for n in names)).csv(
+            paths,
+            header=shape.header and not shape.skip,
+            enforceSchema=True,
+            encoding="UTF-8" if utf8 else "ISO-8859-1",
+            **csv_options,
+        )
+        cells = read.select(
+            F.col("_metadata.file_path").alias("path"),
+            F.col("_metadata.file_block_start").alias("block"),
+            ln.continues().alias("more"),
+            *names,
+        )
+        if shape.skip:
+            cells = ln.drop_head(cells, head)
+        if not utf8:
+            cells = cells.select(
+                "path", *[cs.decoded(F.encode(n, "ISO-8859-1"), shape.charset).alias(n) for n in names]
+            )
+    return cells.select(
+        *[cv.clean_text(F.col(r)).alias(n) for r, n in zip(names, shape.names)],
         F.col("path").alias("_path"),
     )
 
