@@ -28,6 +28,7 @@ from ..operators.report import (
     short_message,
     side_by_side,
 )
+from ..operators.union import stacked
 from . import lines as ln
 from .audit import TableSpec, check_frame, judged, path_has_traversal, table_spec, typed_frame
 from .index_catalog import AUDIT, IndexLayout, has_traversal, index_text, parse_indexes
@@ -312,7 +313,7 @@ class ArchiveResult(ImportResult):
             raise KeyError(source_table)
         keep = {"_source_zip": _zip_name(F.col("_archive"))}
         frames = [self._typed(chosen.where(F.col("layout_id") == i), i, keep=keep) for i in ids]
-        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+        return stacked(frames)
 
 
 def entry_fields(

@@ -25,6 +25,7 @@ from ..operators.report import (
     report_frame,
     short_message,
 )
+from ..operators.union import stacked
 from . import lines as ln
 from .audit import path_has_traversal
 
@@ -145,8 +146,7 @@ class BookingResult(ImportResult):
 
     @property
     def combined(self) -> DataFrame:
-        frames = [booking_frame(self.spark, *group) for group in self._groups]
-        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+        return stacked([booking_frame(self.spark, *group) for group in self._groups])
 
     def reject_counts(self) -> DataFrame:
         """Values per file and column that were present but did not convert."""

@@ -11,7 +11,7 @@ import json
 from collections import defaultdict
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
-from functools import partial, reduce
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +30,7 @@ from ..operators.report import (
     short_message,
     side_by_side,
 )
+from ..operators.union import stacked
 from . import lines as ln
 from .audit import _free_name, path_has_traversal
 from .records import records, split_starts
@@ -419,9 +420,9 @@ class FolderResult(ImportResult):
         for one in self._loaded:
             alike[(one.shape, one.verdicts)].append(one.place)
         frames = [shape.typed(places, verdicts) for (shape, verdicts), places in alike.items()]
-        both = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
         name = F.regexp_extract(ln.plain_path(F.col("_path")), "([^/]*)$", 1)
-        return both.withColumn("_path", name).withColumnRenamed("_path", "_file_name")
+        named = [f.withColumn("_path", name).withColumnRenamed("_path", "_file_name") for f in frames]
+        return stacked(named)
 
 
 def import_folder(
