@@ -49,11 +49,6 @@ def list_files(spark: SparkSession, folder: str) -> list[StoredFile]:
     return sorted(found, key=lambda f: f.name)
 
 
-def size_of(spark: SparkSession, path: str) -> int:
-    fs, p = _resolve(spark, path)
-    return fs.getContentSummary(p).getLength()
-
-
 def make_dirs(spark: SparkSession, path: str) -> str:
     fs, p = _resolve(spark, path)
     fs.mkdirs(p)

@@ -105,7 +105,7 @@ with listed as (
 ), numbered as (
   select *, row_number() over (partition by doc_id, name order by pos) as nth from named
 )
-select doc_id, pos, case when nth = 1 then name else name || '_' || nth end as name
+select doc_id, cast(pos as integer) as pos, case when nth = 1 then name else name || '_' || nth end as name
 from numbered""",
     "index_catalog": """
 with spec as (
@@ -118,7 +118,7 @@ with spec as (
 )
 select o_orderkey as index_key, o_orderstatus as media_name, 'Orders' || o_orderkey as table_name,
        'orders_' || o_orderkey || '.txt' as url, o_custkey % 2 = 0 as is_utf8,
-       greatest(o_orderkey % 4 - 1, 0) as skip_lines, pos, name,
+       cast(greatest(o_orderkey % 4 - 1, 0) as integer) as skip_lines, pos, name,
        case pos when 0 then 'bigint'
             when 1 then case when s = 0 then 'bigint'
                              else 'decimal(' || least(case when p <= s then s + 1 else p end, 38)

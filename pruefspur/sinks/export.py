@@ -149,7 +149,7 @@ def export_table(
     try:
         index = index_xml({name: df.schema}, name, double_scale)
         folder = hadoop.qualified(spark, hadoop.make_dirs(spark, path.replace("\\", "/")))
-        staging = hadoop.join(folder, f"_parts-{uuid.uuid4().hex[:12]}")
+        target = hadoop.join(folder, f"{name}.txt")
         lost = [
             F.count_if(_beyond_decimal(F.col(f"`{f.name}`"), double_scale)).alias(f"lost{i}")
             for i, f in enumerate(df.schema.fields)
@@ -157,20 +157,19 @@ def export_table(
         ]
         seen = Observation()
         counted = df.observe(seen, F.count(F.lit(1)).alias("rows"), *lost)
-        export_rows(counted, double_scale).write.csv(staging, **CSV_OPTIONS)
-        target = hadoop.join(folder, f"{name}.txt")
-        parts = [f for f in hadoop.list_files(spark, staging) if f.name.startswith("part-")]
+        # Parts are written where they may stay, so that a large table is never moved.
+        hadoop.delete(spark, target)
+        export_rows(counted, double_scale).write.csv(target, **CSV_OPTIONS)
+        parts = [f for f in hadoop.list_files(spark, target) if f.name.startswith("part-")]
+        joined = hadoop.join(folder, f"_joined-{uuid.uuid4().hex[:12]}")
         small = sum(p.size for p in parts) <= SINGLE_FILE_LIMIT
         kept_parts = False
         if small and single_file is not False:
-            joined = hadoop.join(folder, f"_joined-{uuid.uuid4().hex[:12]}")
             hadoop.join_parts(spark, [p.path for p in parts], joined)
             hadoop.replace_by_rename(spark, joined, target)
-            hadoop.delete(spark, staging)
-        elif single_file and hadoop.concatenate(spark, [p.path for p in parts], target):
-            hadoop.delete(spark, staging)
+        elif single_file and hadoop.concatenate(spark, [p.path for p in parts], joined):
+            hadoop.replace_by_rename(spark, joined, target)
         else:
-            hadoop.replace_by_rename(spark, staging, target)
             kept_parts = bool(single_file)
         hadoop.write_bytes(spark, hadoop.join(folder, "index.xml"), index.encode())
     except Exception as error:  # noqa: BLE001 - reported

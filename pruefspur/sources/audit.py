@@ -247,6 +247,8 @@ def check_table(
     check_keys: bool,
     multiline: bool,
 ) -> Checked:
+    if charset is not None and not cs.is_utf8(charset):
+        cs.single_byte_map(charset)  # refuses what cannot be decoded before anything is read
     starts = split_starts(raw_lines(spark, spec), spec.sep) if multiline else None
     line = F.col("value")
     flags = (ln.valid_utf8(line), ln.odd_quotes(line))

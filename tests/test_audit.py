@@ -291,3 +291,30 @@ def test_generic_layout_has_columns_below_the_table(spark, tmp_path):
     (tmp_path / "t.txt").write_text("1,5\n")
     data = import_index(spark, str(tmp_path), "generic").tables["T"]
     assert data.dtypes == [("ab_c", "decimal(18,1)")] and rows(data) == [(D("1.5"),)]
+
+
+def test_byte_order_mark(spark, tmp_path):
+    text = "7;Größe\n8;x\n".encode("utf-8-sig")
+    folder = write_export(
+        tmp_path / "b", [table("T", [column("A", "Numeric"), column("B")])], {"T.txt": text}
+    )
+    assert rows(import_export(spark, folder).tables["T"], "a") == [(7, "Größe"), (8, "x")]
+
+
+def test_multi_byte_charsets_are_refused(spark, tmp_path):
+    folder = write_export(
+        tmp_path / "b", [table("T", [column("A"), column("B")])], {"T.txt": "a;b\n"}
+    )
+    result = import_export(spark, folder, charset="utf-16")
+    assert "single-byte" in status(result, "T")[1] and not result.tables
+
+
+def test_forms_of_line_ends(spark, tmp_path):
+    folder = write_export(
+        tmp_path / "l",
+        [table("T", [column("A"), column("B")])],
+        {"T.txt": b"a;b\r\nc;d\ne;f\rg;h"},
+    )
+    assert rows(import_export(spark, folder).tables["T"], "a") == [
+        ("a", "b"), ("c", "d"), ("e", "f"), ("g", "h")
+    ]
