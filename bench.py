@@ -76,6 +76,7 @@ def main() -> None:
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )

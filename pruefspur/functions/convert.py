@@ -20,7 +20,6 @@ CONTROL_CHARS = r"[\x00-\x1F\x7F-\x9F]"
 
 _GERMAN_DATE = r"^\d{1,2}\.\d{1,2}\.\d{4}$"
 _SPACED_GERMAN_DATE = rf"^[{SPACES}]*(\d{{1,2}}\.\d{{1,2}}\.\d{{4}})[{SPACES}]*$"
-_INTEGER = r"^\s*[+-]?\d+\s*$"
 _PLAIN_DOUBLE = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
@@ -46,28 +45,27 @@ def _number_text(c: Column, decimal: str, grouping: str) -> Column:
     return plain if decimal == "." else F.replace(plain, F.lit(decimal), F.lit("."))
 
 
-def _class_of(*symbols: str) -> str:
-    return "".join("\\" + s if not s.isalnum() else s for s in symbols if s)
-
-
 def to_decimal(
     c: Column | str, precision: int, scale: int, decimal: str = ",", grouping: str = "."
 ) -> Column:
     """Localised decimal text to DECIMAL(precision, scale), rounding half up; bad text is NULL.
 
-    The guard admits only signs, digits and the two symbols; the cast then refuses whatever is
-    still not a number.  Without it an exponent such as ``1e3`` would be read as 1000.
+    The cast refuses whatever is not a number, but would read exponents (1e3) and the digits of
+    other scripts; both are kept from it by byte checks, which cost less than a pattern.
     """
     c = _as_col(c)
-    guard = rf"^\s*[+-]?[0-9{_class_of(decimal, grouping)}]+\s*$"
+    plain = ~F.contains(c, F.lit("e")) & ~F.contains(c, F.lit("E"))
+    if (decimal + grouping).isascii():
+        plain = plain & (F.octet_length(c) == F.length(c))
+    else:
+        plain = c.rlike(rf"^\s*[+-]?[0-9\Q{decimal}{grouping}\E]+\s*$")
     number = _number_text(c, decimal, grouping).try_cast(f"decimal({precision},{scale})")
-    return F.when(c.rlike(guard), number)
+    return F.when(plain, number)
 
 
 def to_integer(c: Column | str, grouping: str = ".") -> Column:
     """Grouped integer text to BIGINT; anything but sign and digits is NULL."""
-    plain = _number_text(_as_col(c), ".", grouping)
-    return F.when(plain.rlike(_INTEGER), plain.try_cast("bigint"))
+    return _number_text(_as_col(c), ".", grouping).try_cast("bigint")
 
 
 def to_date(c: Column | str) -> Column:

@@ -15,6 +15,7 @@ def spark():
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )

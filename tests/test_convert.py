@@ -32,6 +32,12 @@ def test_german_decimals(spark):
         "1_000": None,
         "1,2,3": None,
         "abc": None,
+        "1E3": None,
+        "1d": None,
+        "NaN": None,
+        "Infinity": None,
+        "1_0": None,
+        "0x10": None,
         "": None,
         " ": None,
         "--5": None,
@@ -51,6 +57,12 @@ def test_german_integers(spark):
         "12,6": None,
         "1e3": None,
         "0x1F": None,
+        "1_000": None,
+        "12.": 12,
+        "٣": None,
+        "1L": None,
+        "- 5": None,
+        "\t8\n": 8,
         "9223372036854775807": 9223372036854775807,
         "9223372036854775808": None,
         "": None,
@@ -100,6 +112,9 @@ def test_declared_symbols(spark):
     assert apply(spark, ["1 234,5"], lambda c: cv.to_decimal(c, 18, 2, ",", " ")) == [D("1234.50")]
     assert apply(spark, ["1.234"], lambda c: cv.to_decimal(c, 18, 2, ".", "")) == [D("1.23")]
     assert apply(spark, ["1,234"], lambda c: cv.to_integer(c, ",")) == [1234]
+    assert apply(spark, ["1’234·5", "1e3"], lambda c: cv.to_decimal(c, 18, 2, "·", "’")) == [
+        D("1234.50"), None,
+    ]
     assert apply(spark, ["1^2"], lambda c: cv.to_decimal(c, 18, 2, "^", "]")) == [D("1.20")]
 
 
