@@ -24,6 +24,10 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(31))
 
 
+def _step(k: int) -> np.uint64:
+    return U(k * int(_GOLDEN) & 0xFFFFFFFFFFFFFFFF)
+
+
 def _powers(step: np.uint64, n: int) -> np.ndarray:
     out = np.empty(n, np.uint64)
     if n:
@@ -83,7 +87,7 @@ def shingle_sets(texts: Sequence[str | None], size: int = SHINGLE) -> Iterator[n
             yield np.unique(rolled[a : b - size + 1])
         elif b > a:
             short = hashes[a:b] * factors[: b - a]
-            yield mix(np.add.reduce(short, keepdims=True) + U(int(b - a)) * _GOLDEN)
+            yield mix(np.add.reduce(short, keepdims=True) + _step(int(b - a)))
         else:
             yield np.empty(0, np.uint64)
 
@@ -107,7 +111,7 @@ def super_minhash(sets: Sequence[np.ndarray], m: int) -> np.ndarray:
     for j in range(m):
         if not len(x):
             break
-        rand = mix(x + U(j + 1) * _GOLDEN)
+        rand = mix(x + _step(j + 1))
         at = np.arange(len(x))
         k = j + (((rand >> U(32)) * U(m - j)) >> U(32)).astype(np.int64)
         slot = order[at, k]

@@ -128,10 +128,11 @@ def group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     usable = signed.filter((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     same = ["p1", "p2", "n_shingles"]
     alike = usable.groupBy(same).agg(F.min("doc_id").alias("node"))
+    first = alike.select("node", F.col("p1").alias("q1"), F.col("p2").alias("q2"))
     nodes = reliable(
-        usable.join(alike.select("node", *same), (F.col("node") == F.col("doc_id")) & (alike.p1 == usable.p1) & (alike.p2 == usable.p2), "inner")
-        .select("node", usable.n_shingles.alias("n"), "digests", "bands")
-        .dropDuplicates(["node"])
+        usable.join(first, (F.col("node") == F.col("doc_id")) & (F.col("q1") == F.col("p1")) & (F.col("q2") == F.col("p2")))
+        .dropDuplicates(["node", "p1", "p2"])
+        .select("node", F.col("n_shingles").alias("n"), "digests", "bands")
     )
     texts = texts.filter(F.col("_id").isNotNull() & F.col("_text").isNotNull())
     cells = nodes.select("node", F.posexplode("bands").alias("band", "cell"))
