@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, licenses, mixing, neardup, quality
+from . import chat, decontaminate, licenses, linededup, mixing, neardup, quality
 from .frames import sha256_hex, table
 
 #: The conversation that is added to the table, and its text.
@@ -83,11 +83,16 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.report(table(spark, sf_dir, "documents"))
+
+
 def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.group(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_line_dedup": line_dedup,
     "op3_license_scan": license_scan,
     "op4_chat_format": chat_format,
     "op5_decontamination": decontamination,
