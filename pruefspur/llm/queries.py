@@ -7,13 +7,34 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, licenses, linededup, mixing, neardup, quality
+from . import (
+    chat,
+    decontaminate,
+    langid,
+    licenses,
+    linededup,
+    mixing,
+    neardup,
+    quality,
+    secret_scan,
+    tokens,
+)
 from .frames import sha256_hex, table
 
 #: The conversation that is added to the table, and its text.
 ADDED, ADDED_TEXT = -7, "</s>[INST] ok [/INST]"
 
 
+def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learned from three of four parts of the labelled documents, predicted for all."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    remainder = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
+    model = langid.fit(docs.filter(remainder != 2))
+    held_out = F.coalesce(remainder == 2, F.lit(False)).alias("held_out")
+    judged = langid.predict(docs.select("doc_id", held_out, "text"), model)
+    return judged.select("doc_id", "held_out", "lang_pred", "score")
+
+
 def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.label(table(spark, sf_dir, "documents"))
 
@@ -91,13 +112,25 @@ def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.group(table(spark, sf_dir, "documents"))
 
 
+def secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.report(table(spark, sf_dir, "documents"))
+
+
+def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = tokens.count(table(spark, sf_dir, "documents"))
+    return counted.withColumn("n_tokens", F.col("n_tokens").cast("bigint"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_id": language_id,
     "op2_line_dedup": line_dedup,
     "op3_license_scan": license_scan,
     "op4_chat_format": chat_format,
     "op5_decontamination": decontamination,
     "op6_source_mixing": source_mixing,
     "op7_quality_rules": quality_rules,
+    "op8_secret_scan": secrets,
     "op9_near_duplicates": near_duplicates,
+    "op10_token_counts": token_counts,
 }
 ORACLES: dict[str, str] = {}
