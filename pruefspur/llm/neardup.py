@@ -31,17 +31,29 @@ FIRST_BANDS = 8
 #: At a similarity of 0.75, 30 of them do on average with a deviation under 4.8, so 57 is over 5.5
 #: deviations away: under 1e-7 of the links.
 DIFFERENT = 57
+#: Bits of a set's parity sketch.  An element that only one of two sets has changes one bit of the
+#: difference of their sketches, so the bits that differ are never more than such elements: what this
+#: filter drops is no link, without any chance of error.
+PARITY = 1024
 #: Shingles whose signatures are computed at once.
 AT_ONCE = 150_000
 DIGESTS = SLOTS * 4 // 64
 
 
+def _parity(sets: list[np.ndarray]) -> np.ndarray:
+    """A row of ``PARITY`` bits per set, as signed words."""
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    bit = (mix(np.concatenate(sets) ^ U(0x5A5A5A5A)) & U(PARITY - 1)).astype(np.int64)
+    odd = np.bincount(owner * PARITY + bit, minlength=len(sets) * PARITY).astype(np.uint8) & 1
+    return np.packbits(odd.reshape(len(sets), PARITY), axis=1).view(np.int64)
+
+
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sets = list(shingle_sets(batch.column(1).to_pylist()))
         sizes = np.array([len(s) for s in sets], np.int64)
         prints = np.array([[mix(s).sum(dtype=np.uint64), mix(s ^ U(0xA5A5A5A5)).sum(dtype=np.uint64)] for s in sets], np.uint64).reshape(-1, 2)
-        for a, b in spans_of(sizes.tolist(), AT_ONCE):
+        for a, b in spans_of((sizes + 64).tolist(), AT_ONCE):
             made = mix(super_minhash(sets[a:b], SLOTS))
             bands = made.reshape(b - a, BANDS, ROWS)
             keys = np.arange(1, BANDS + 1, dtype=np.uint64)[None, :] * U(0x2545F4914F6CDD1D)
@@ -61,8 +73,9 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     pa.array(signed[:, 1].copy()),
                     lists(np.ascontiguousarray(keys), BANDS),
                     lists(np.ascontiguousarray(digests), DIGESTS),
+                    lists(_parity(sets[a:b]), PARITY // 64),
                 ],
-                names=["doc_id", "n_shingles", "p1", "p2", "bands", "digests"],
+                names=["doc_id", "n_shingles", "p1", "p2", "bands", "digests", "parity"],
             )
 
 
@@ -92,7 +105,7 @@ def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 def _likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """Pairs that the sizes of their sets and their signatures' digests allow to be links."""
-    side = lambda x: nodes.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("digests").alias(f"d{x}"))
+    side = lambda x: nodes.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("digests").alias(f"d{x}"), F.col("parity").alias(f"q{x}"))
     return pairs.join(side("a"), "a").join(side("b"), "b").filter(_allowed()).select("a", "b")
 
 
@@ -105,7 +118,12 @@ def _allowed():
         x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
         differing = differing + F.bit_count(x.bitwiseAND(ones))
     sizes = (100 * F.col("na") >= PERCENT * F.col("nb")) & (100 * F.col("nb") >= PERCENT * F.col("na"))
-    return sizes & (differing <= DIFFERENT)
+    odd = F.lit(0)
+    for i in range(PARITY // 64):
+        odd = odd + F.bit_count(F.col("qa")[i].bitwiseXOR(F.col("qb")[i]))
+    # With a similarity of p percent, (100 - p) / (100 + p) of both sizes is what only one set has.
+    apart = (100 + PERCENT) * odd <= (100 - PERCENT) * (F.col("na") + F.col("nb"))
+    return sizes & apart & (differing <= DIFFERENT)
 
 
 def group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -122,7 +140,7 @@ def group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     signed = reliable(
         texts.mapInArrow(
             _signatures,
-            "doc_id bigint, n_shingles bigint, p1 bigint, p2 bigint, bands array<bigint>, digests array<bigint>",
+            "doc_id bigint, n_shingles bigint, p1 bigint, p2 bigint, bands array<bigint>, digests array<bigint>, parity array<bigint>",
         )
     )
     usable = signed.filter((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
@@ -132,12 +150,14 @@ def group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     nodes = reliable(
         usable.join(first, (F.col("node") == F.col("doc_id")) & (F.col("q1") == F.col("p1")) & (F.col("q2") == F.col("p2")))
         .dropDuplicates(["node", "p1", "p2"])
-        .select("node", F.col("n_shingles").alias("n"), "digests", "bands")
+        .select("node", F.col("n_shingles").alias("n"), "digests", "parity", "bands")
     )
     texts = texts.filter(F.col("_id").isNotNull() & F.col("_text").isNotNull())
     cells = nodes.select("node", F.posexplode("bands").alias("band", "cell"))
-    crowded = cells.groupBy("cell").agg(F.min("node").alias("leader"), F.max("node").alias("last"))
-    crowded = crowded.filter(F.col("leader") < F.col("last")).select("cell", "leader")
+    # A node drawn by a hash of node and cell, so that a group's cells have different leaders.
+    drawn = F.min_by("node", F.xxhash64("node", "cell")).alias("leader")
+    crowded = cells.groupBy("cell").agg(F.min("node").alias("first"), F.max("node").alias("last"), drawn)
+    crowded = crowded.filter(F.col("first") < F.col("last")).select("cell", "leader")
     members = reliable(cells.join(crowded, "cell").select("cell", "band", "leader", "node"))
 
     links = None
@@ -145,14 +165,15 @@ def group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     for step in ("first leaders", "other leaders", "the rest"):
         if step == "first leaders":
             found = members.filter((F.col("band") < FIRST_BANDS) & (F.col("leader") != F.col("node")))
-            pairs = _likely(found.select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct(), nodes)
+            pair = found.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"))
+            pairs = _likely(pair.distinct(), nodes)
         else:
             here = members.join(tied, "node", "left").select("cell", "node", F.coalesce("component", "node").alias("component"))
             mixed = here.groupBy("cell").agg(
                 F.min("component").alias("low"),
                 F.max("component").alias("high"),
-                F.min_by("node", F.xxhash64("node")).alias("leader"),
-                F.min_by("component", F.xxhash64("node")).alias("of_leader"),
+                F.min_by("node", F.xxhash64("cell", "node")).alias("leader"),
+                F.min_by("component", F.xxhash64("cell", "node")).alias("of_leader"),
             )
             mixed = mixed.filter(F.col("low") < F.col("high"))
             if step == "other leaders":
@@ -160,9 +181,9 @@ def group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
                 pair = found.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"))
                 pairs = _likely(pair.distinct(), nodes)
             else:
-                open_ = reliable(here.join(mixed.select("cell"), "cell", "left_semi").join(nodes.select("node", "n", "digests"), "node"))
+                open_ = reliable(here.join(mixed.select("cell"), "cell", "left_semi").join(nodes.select("node", "n", "digests", "parity"), "node"))
                 side = lambda x: open_.select(
-                    "cell", F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("digests").alias(f"d{x}"), F.col("component").alias(f"c{x}")
+                    "cell", F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("digests").alias(f"d{x}"), F.col("parity").alias(f"q{x}"), F.col("component").alias(f"c{x}")
                 )
                 pairs = (
                     side("a")
