@@ -9,6 +9,7 @@ compared by a banded bit-parallel edit distance on the lines' texts.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +30,11 @@ BROADCAST_KEYS = 500_000
 #: An edit changes two of them at most.
 CLASSES = 32
 _CHARS_AT_ONCE = 1 << 20
+#: Hash value and signature bit of a character; characters beyond the table share its entries by
+#: their low bits, which only adds candidates.
+_VALUES = mix(np.arange(1, (1 << 16) + 1, dtype=np.uint64) * U(0x9E3779B97F4A7C15))
+_BITS = (U(1) << (_VALUES >> U(59))).astype(np.uint32)
 _STEP = U(0x8CB92BA72F3D8DD7)
-_TABLE = mix(np.arange(1, 1 << 16, dtype=np.uint64) * U(0x9E3779B97F4A7C15))
 _INVERSE = U(pow(int(_STEP), -1, 1 << 64))
 
 
@@ -57,48 +61,57 @@ def probes(length: int, shorter: int, edits: int = EDITS) -> Iterator[tuple[int,
             yield i, place, size
 
 
-def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Index and probe rows of lines: key, line, whether it is an index row, signature.  A probe of the
-    line's own length at the segment's own place is the index row itself."""
-    for batch in batches:
-        ids = batch.column(0).to_numpy(zero_copy_only=False)
-        texts = batch.column(1).to_pylist()
-        for a, b in spans_of([len(t) + 1 for t in texts], _CHARS_AT_ONCE):
-            yield _key_rows(ids[a:b], texts[a:b])
+def _keys(index: bool):
+    """Index rows of lines, or the rows that probe: key, line, whether the key is the line's own index
+    key too, signature."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            texts = batch.column(1).to_pylist()
+            for a, b in spans_of([len(t) + 1 for t in texts], _CHARS_AT_ONCE):
+                yield _key_rows(ids[a:b], texts[a:b], index)
+
+    return run
 
 
-def _key_rows(ids: np.ndarray, texts: list[str]) -> pa.RecordBatch:
+@lru_cache(maxsize=4096)
+def _wanted(length: int, index: bool) -> np.ndarray:
+    """Per key of a line of this length: indexed length, segment, place, size, whether it is its own."""
+    rows = [
+        (length - d, i, at, size, d == 0 and at == segments(length)[i][0])
+        for d in range(min(EDITS, length - 1) + 1)
+        for i, at, size in probes(length, d)
+    ]
+    return np.array([r for r in rows if r[4] or not index], np.int64)
+
+
+def _key_rows(ids: np.ndarray, texts: list[str], index: bool) -> pa.RecordBatch:
     sizes = np.array([len(t) for t in texts], np.int64)
-    chars = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+    chars = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32) & np.uint32(0xFFFF)
     begins = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-    place = np.arange(len(chars)) - np.repeat(begins, sizes)
-    value = mix(chars.astype(np.uint64) * U(0x9E3779B97F4A7C15) + U(1))
-    powers = _powers(_STEP, int(sizes.max()) + 1)
-    inverse = _powers(_INVERSE, int(sizes.max()) + 1)
-    rolled = np.concatenate([np.zeros(1, np.uint64), np.cumsum(value * powers[place], dtype=np.uint64)])
-    parity = np.bitwise_xor.reduceat(U(1) << (value >> U(59)), begins) if len(chars) else np.zeros(0, np.uint64)
-    signature = parity.astype(np.uint32).view(np.int32)
+    rolled = np.empty(len(chars) + 1, np.uint64)
+    rolled[0] = 0
+    np.cumsum(_VALUES[chars] * _powers(_STEP, len(chars)), dtype=np.uint64, out=rolled[1:])
+    inverse = _powers(_INVERSE, len(chars))
+    signature = np.bitwise_xor.reduceat(_BITS[chars], begins).view(np.int32)
 
     keys, owners, own = [], [], []
-    # Lines of one length have their segments and probes at the same places.
-    order = np.argsort(sizes, kind="stable")
-    edge = np.flatnonzero(np.diff(sizes[order], prepend=-1, append=-1))
-    for lo, hi in zip(edge[:-1], edge[1:], strict=True):
-        rows = order[lo:hi]
-        length = int(sizes[rows[0]])
-        wanted = [
-            (length - d, i, at, size, d == 0 and at == segments(length)[i][0])
-            for d in range(min(EDITS, length - 1) + 1)
-            for i, at, size in probes(length, d)
-        ]
-        spec = np.array(wanted, np.int64)
-        at = begins[rows][:, None] + spec[None, :, 2]
-        span = rolled[at + spec[None, :, 3]] - rolled[at]
-        span = mix(span * inverse[spec[None, :, 2]])
-        salt = (spec[:, 0] * 64 + spec[:, 1]).astype(np.uint64) * U(0xD1B54A32D192ED03)
-        keys.append(mix(span ^ salt[None, :]).reshape(-1))
-        owners.append(np.repeat(rows, len(wanted)))
-        own.append(np.tile(spec[:, 4].astype(bool), len(rows)))
+    lengths, which = np.unique(sizes, return_inverse=True)
+    specs = [_wanted(int(n), index) for n in lengths]
+    widths = np.array([len(x) for x in specs])
+    # All but the shortest lines have equally many keys, so this is one turn as a rule.
+    for width in np.unique(widths):
+        numbered = np.cumsum(widths == width) - 1
+        table = np.stack([x for x in specs if len(x) == width])
+        rows = np.flatnonzero(widths[which] == width)
+        spec = table[numbered[which[rows]]]
+        at = begins[rows][:, None] + spec[:, :, 2]
+        span = (rolled[at + spec[:, :, 3]] - rolled[at]) * inverse[at]
+        salt = (spec[:, :, 0] * 64 + spec[:, :, 1]).astype(np.uint64) * U(0xD1B54A32D192ED03)
+        keys.append(mix(mix(span) ^ salt).reshape(-1))
+        owners.append(np.repeat(rows, width))
+        own.append(spec[:, :, 4].astype(bool).reshape(-1))
     key, owner = np.concatenate(keys), np.concatenate(owners)
     return pa.RecordBatch.from_arrays(
         [
@@ -199,11 +212,11 @@ def line_links(lines: DataFrame) -> DataFrame:
     many lines is a large join cell, which the engine splits.
     """
     long_ = lines.filter(F.length("_line") >= LEAST_CHARS).select("_key", "_line")
-    rows = long_.mapInArrow(_keys, "key bigint, line bigint, own boolean, signature int")
+    schema = "key bigint, line bigint, own boolean, signature int"
     # The engine keeps each row once; repeats of a line are one node of the join.
-    rows = rows.repartition(F.col("key")).dropDuplicates(["key", "line", "own"])
-    index = rows.filter("own").select("key", F.col("line").alias("a"), F.col("signature").alias("sa"))
-    probe = rows.select("key", F.col("line").alias("b"), F.col("signature").alias("sb"), "own")
+    keyed = lambda index: long_.mapInArrow(_keys(index), schema).repartition(F.col("key")).dropDuplicates(["key", "line", "own"])
+    index = keyed(True).select("key", F.col("line").alias("a"), F.col("signature").alias("sa"))
+    probe = keyed(False).select("key", F.col("line").alias("b"), F.col("signature").alias("sb"), "own")
     near = F.bit_count(F.col("sa").bitwiseXOR(F.col("sb"))) <= 2 * EDITS
     # Two index rows meet twice; one order of them is enough.
     met = index.join(probe, "key").filter((F.col("a") != F.col("b")) & (~F.col("own") | (F.col("a") < F.col("b"))) & near)
