@@ -12,7 +12,7 @@ from ..hadoop import reliable
 
 
 def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A task's links, cut to one link per node: to the smallest node it is tied to here."""
+    """A task's links, cut to one row per node: the smallest node it is tied to here."""
     parent: dict[int, int] = {}
 
     def find(x: int) -> int:
@@ -28,7 +28,7 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ra, rb = find(a), find(b)
             if ra != rb:
                 parent[max(ra, rb)] = min(ra, rb)
-    nodes = [n for n in parent if find(n) != n]
+    nodes = list(parent)
     for at in range(0, len(nodes), 50_000):
         part = nodes[at : at + 50_000]
         yield pa.RecordBatch.from_arrays(
@@ -36,14 +36,23 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def components(links: DataFrame) -> DataFrame:
+#: Links that one task takes in: about 100 MB of its memory.
+LINKS_A_TASK = 400_000
+
+
+def components(links: DataFrame, links_a_task: int = LINKS_A_TASK) -> DataFrame:
     """``node`` and ``component`` (its smallest node) for every node of ``links(a, b)``.
 
-    A task holds the nodes of its own share of links, never all of them; the driver holds counts.
-    Each pass takes the smallest label among a node's neighbours and then the label of that label,
-    and is written to the checkpoint folder, so a lost executor costs no more than one pass.
+    The links are dealt to as many tasks as their number asks for, and each task ties its own share;
+    the driver holds counts.  Where there is more than one task, their trees are tied by passes: each takes
+    the smallest label among a node's neighbours and then the label of that label, and is written to
+    the checkpoint folder, so a lost executor costs no more than one pass.
     """
-    tied = links.select("a", "b").mapInArrow(_forest, "a bigint, b bigint")
+    links = reliable(links.select("a", "b"))
+    tasks = max(1, -(-links.count() // links_a_task))
+    tied = links.coalesce(tasks).mapInArrow(_forest, "a bigint, b bigint")
+    if tasks == 1:
+        return tied.select(F.col("a").alias("node"), F.col("b").alias("component"))
     both = reliable(tied.unionByName(tied.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
     labels = reliable(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("label")))
     while True:

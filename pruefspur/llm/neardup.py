@@ -3,8 +3,8 @@
 Documents with equal shingle sets are one node.  Nodes that share a band of their signatures are
 candidates; a candidate becomes a link only when the full sets say so.  A group of n copies would
 make n * n candidates, of which most tell nothing: two nodes that are tied already need not be
-compared.  So each band cell first compares its nodes with one leader, and then with another; only
-nodes still in different components of a cell are compared with all of the others.
+compared.  So a band cell first compares its nodes with a leader that it draws among them; only
+nodes still in different components of a cell are then compared with all of the others.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ PERCENT = 75
 SLOTS, ROWS = 128, 4
 BANDS = SLOTS // ROWS
 #: Bands whose cells have leaders in the first pass.
-FIRST_BANDS = 8
+FIRST_BANDS = 16
 #: A candidate is verified when at most this many of the 128 four-bit digests of its slots differ.
 #: At a similarity of 0.75, 30 of them do on average with a deviation under 4.8, so 57 is over 5.5
 #: deviations away: under 1e-7 of the links.
@@ -160,41 +160,28 @@ def group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     crowded = crowded.filter(F.col("first") < F.col("last")).select("cell", "leader")
     members = reliable(cells.join(crowded, "cell").select("cell", "band", "leader", "node"))
 
-    links = None
-    tied = None
-    for step in ("first leaders", "other leaders", "the rest"):
-        if step == "first leaders":
-            found = members.filter((F.col("band") < FIRST_BANDS) & (F.col("leader") != F.col("node")))
-            pair = found.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"))
-            pairs = _likely(pair.distinct(), nodes)
-        else:
-            here = members.join(tied, "node", "left").select("cell", "node", F.coalesce("component", "node").alias("component"))
-            mixed = here.groupBy("cell").agg(
-                F.min("component").alias("low"),
-                F.max("component").alias("high"),
-                F.min_by("node", F.xxhash64("cell", "node")).alias("leader"),
-                F.min_by("component", F.xxhash64("cell", "node")).alias("of_leader"),
-            )
-            mixed = mixed.filter(F.col("low") < F.col("high"))
-            if step == "other leaders":
-                found = here.join(mixed, "cell").filter(F.col("component") != F.col("of_leader"))
-                pair = found.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"))
-                pairs = _likely(pair.distinct(), nodes)
-            else:
-                open_ = reliable(here.join(mixed.select("cell"), "cell", "left_semi").join(nodes.select("node", "n", "digests", "parity"), "node"))
-                side = lambda x: open_.select(
-                    "cell", F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("digests").alias(f"d{x}"), F.col("parity").alias(f"q{x}"), F.col("component").alias(f"c{x}")
-                )
-                pairs = (
-                    side("a")
-                    .join(side("b"), "cell")
-                    .filter((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _allowed())
-                    .select("a", "b")
-                    .distinct()
-                )
-        new = reliable(_links(reliable(pairs), texts))
-        links = new if links is None else links.unionByName(new)
-        tied = components(links)
+    # Cells of the first bands: every node with its cell's leader.
+    found = members.filter((F.col("band") < FIRST_BANDS) & (F.col("leader") != F.col("node")))
+    pair = found.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
+    links = reliable(_links(reliable(_likely(pair, nodes)), texts))
+    tied = components(links)
+    # All cells in which nodes of several components are left: every node with every one of another.
+    here = members.join(tied, "node", "left").select("cell", "node", F.coalesce("component", "node").alias("component"))
+    mixed = here.groupBy("cell").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    mixed = mixed.filter(F.col("low") < F.col("high")).select("cell")
+    signs = nodes.select("node", "n", "digests", "parity")
+    open_ = reliable(here.join(mixed, "cell", "left_semi").join(signs, "node"))
+    side = lambda x: open_.select(
+        "cell",
+        F.col("node").alias(x),
+        F.col("n").alias(f"n{x}"),
+        F.col("digests").alias(f"d{x}"),
+        F.col("parity").alias(f"q{x}"),
+        F.col("component").alias(f"c{x}"),
+    )
+    apart = (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))
+    pairs = side("a").join(side("b"), "cell").filter(apart & _allowed()).select("a", "b").distinct()
+    tied = reliable(components(links.unionByName(_links(reliable(pairs), texts))))
 
     alike = alike.join(tied, "node", "left").select(*same, F.coalesce("component", "node").alias("component"))
     result = signed.select("doc_id", *same).join(alike, same, "left")
