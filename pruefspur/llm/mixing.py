@@ -3,7 +3,7 @@
 A source's documents are cut to blocks.  Within a round of slots, block j of a source with weight
 w may not run before slot (j-1)/w and must have run by slot j/w; taking the released block with the
 earliest deadline in each slot keeps all deadlines, so at any point a source is less than one block
-from its share.  A round repeats until a source runs out; the sources left share on by their
+from its share of the round, and a round's whole slots are the weights to less than one slot.  A round repeats until a source runs out; the sources left share on by their
 weights.  No document is left out or repeated.
 """
 
@@ -73,15 +73,17 @@ class Phase:
 
 
 def phases(blocks: Mapping[str, int], weights: Mapping[str, float], resolution: int = RESOLUTION) -> list[Phase]:
-    """Rounds until every block has its slot: full rounds while all sources can fill them, then one
-    round in which the source that runs out gives what it has left.  At most two phases per source."""
+    """Rounds until every block has its slot.  A round is as long as the resolution, or as the source
+    that runs out first allows; then the others share on.  A few phases per source."""
     made, slot = [], 0
     done = dict.fromkeys(blocks, 0)
     while left := {s: n - done[s] for s, n in sorted(blocks.items()) if n > done[s]}:
-        full = shares({s: weights[s] for s in left}, max(resolution, len(left)))
-        rounds = min(left[s] // full[s] for s in left)
-        counts = full if rounds else {s: min(full[s], left[s]) for s in left}
-        rounds = max(1, rounds)
+        goal = {s: weights[s] for s in left}
+        total = sum(goal.values())
+        lasts = min(int(left[s] * total / goal[s]) for s in left)
+        full = shares(goal, max(len(left), min(max(resolution, len(left)), lasts)))
+        counts = {s: min(full[s], left[s]) for s in left}
+        rounds = min(left[s] // counts[s] for s in left)
         made.append(Phase(slot, rounds, tuple(schedule(counts)), counts, dict(done)))
         slot += rounds * sum(counts.values())
         for s, a in counts.items():
@@ -126,7 +128,7 @@ def mix(
     without it weights are the square roots of the sources' sizes.  A null source is the source
     ``""``.  Documents of a source are taken in the order of a hash of the id, ties by the id itself and then
     by a hash of all columns; repeated rows are documents of their own.  An empty table gives an empty mix.
-    The driver holds the sources and their schedule (at most two rounds per source), never rows.
+    The driver holds the sources and their schedule (a few rounds per source), never rows.
     """
     spark = docs.sparkSession
     name = F.coalesce(F.col(source_col).cast("string"), F.lit(""))
