@@ -44,25 +44,65 @@ def archive_prefix(c: Column) -> Column:
     return _underscored(F.regexp_replace(c, r"(?i)\.zip$", ""), "[^A-Za-z0-9]+")
 
 
+def _given(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, also where ``use`` builds a lambda on it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def dedupe_names(names: Column) -> Column:
     """Number repeated names of an array in order: x, x, x -> x, x_2, x_3.
 
     A number whose result is itself a name of the array is passed over, so the outcome is free
-    of duplicates.  Works within one row; no shuffle.
+    of duplicates.  Works within one row; no shuffle.  The names are sorted once, and each run of
+    equal ones is numbered by itself.
     """
 
-    def number(name: Column, pos: Column) -> Column:
-        earlier = F.size(F.filter(F.slice(names, F.lit(1), pos), lambda n: n == name))
-        free = F.filter(
-            F.sequence(F.lit(2), F.size(names) * 2 + 2),
-            lambda k: ~F.array_contains(names, F.concat(name, F.lit("_"), k.cast("string"))),
+    def spell(run: Column, distinct: Column) -> Column:
+        name = F.get(run, F.lit(0))["name"]
+        taken = F.size(F.filter(distinct, lambda n: F.startswith(n, F.concat(name, F.lit("_")))))
+        numbers = F.sequence(F.lit(2), F.size(run) + taken + 1)
+        numbered = F.transform(numbers, lambda k: F.concat(name, F.lit("_"), k.cast("string")))
+        free = F.when(F.size(run) > 1, F.array_except(numbered, distinct)).otherwise(F.array(name))
+        return _given(
+            free,
+            lambda ready: F.transform(
+                run,
+                lambda x, k: F.struct(
+                    x["pos"].alias("pos"),
+                    F.when(k == 0, x["name"]).otherwise(F.get(ready, k - 1)).alias("name"),
+                ),
+            ),
         )
-        return F.when(earlier == 0, name).otherwise(
-            F.concat(name, F.lit("_"), F.get(free, earlier - 1).cast("string"))
+
+    def number(placed: Column) -> Column:
+        distinct = F.array_distinct(F.transform(placed, lambda x: x["name"]))
+        begins = F.filter(
+            F.transform(
+                placed,
+                lambda x, k: F.when(
+                    (k == 0) | ~F.get(placed, k - 1)["name"].eqNullSafe(x["name"]), k
+                ),
+            ),
+            lambda k: k.isNotNull(),
         )
 
+        def runs(distinct: Column, begins: Column) -> Column:
+            def one(start: Column, i: Column) -> Column:
+                stop = F.coalesce(F.get(begins, i + 1), F.size(placed))
+                return _given(
+                    F.slice(placed, start + 1, stop - start), lambda run: spell(run, distinct)
+                )
+
+            spelled = F.flatten(F.transform(begins, one))
+            return F.transform(F.array_sort(spelled), lambda x: x["name"])
+
+        return _given(distinct, lambda d: _given(begins, lambda b: runs(d, b)))
+
+    placed = F.array_sort(
+        F.transform(names, lambda n, i: F.struct(n.alias("name"), i.alias("pos")))
+    )
     unique = F.size(F.array_distinct(names)) == F.size(names)
-    return F.when(unique, names).otherwise(F.transform(names, number))
+    return F.when(unique, names).otherwise(_given(placed, number))
 
 
 def normalised(spark: SparkSession, names: list[str], rule=snake_case) -> list[str]:

@@ -92,9 +92,15 @@ def side_by_side(spark: SparkSession, tasks: list[Callable]) -> list:
         return list(pool.map(run, tasks))
 
 
+MESSAGE_CHARS = 160
+
+
 def short_message(error: Exception) -> str:
+    """The first line of a message, without its end where that could be a row of the data."""
     lines = [line for line in str(error).splitlines() if line.strip()]
-    return lines[0] if lines else type(error).__name__
+    if not lines:
+        return type(error).__name__
+    return lines[0] if len(lines[0]) <= MESSAGE_CHARS else lines[0][:MESSAGE_CHARS] + "..."
 
 
 def report_frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:

@@ -14,8 +14,6 @@ from ..functions import convert as cv
 from ..operators.report import EXPORT_REPORT, TRAVERSAL, report_frame, short_message
 from ..sources.audit import path_has_traversal
 
-# Outputs up to this size become one file; the bound keeps that step small.
-SINGLE_FILE_LIMIT = 256 * 1024 * 1024
 CSV_OPTIONS = {
     "sep": ";",
     "quote": '"',
@@ -126,16 +124,15 @@ def export_table(
     path: str,
     name: str,
     *,
-    single_file: bool | None = None,
+    single_file: bool = True,
     double_scale: int = 2,
 ) -> DataFrame:
     """Write ``<path>/<name>.txt`` and ``<path>/index.xml``; the result is the report.
 
-    Rows are written in parallel parts.  Up to ``SINGLE_FILE_LIMIT`` bytes the parts are then
-    joined into one file; a larger table stays a folder ``<name>.txt`` of parts, which every
-    import here reads as one table.  ``single_file=False`` always keeps the parts;
-    ``single_file=True`` also asks the file system to concatenate a larger table in place, which
-    HDFS can do, and otherwise leaves the parts and says so.
+    Rows are written in parallel parts.  With ``single_file`` they become one file ``<name>.txt``,
+    whatever their size: the file system joins them in place where it can, and otherwise they are
+    streamed one after the other.  Without it ``<name>.txt`` is a folder of parts, which every
+    import here reads as one table, and the status says so.
     """
     spark = df.sparkSession
 
@@ -162,15 +159,11 @@ def export_table(
         export_rows(counted, double_scale).write.csv(target, **CSV_OPTIONS)
         parts = [f for f in hadoop.list_files(spark, target) if f.name.startswith("part-")]
         joined = hadoop.join(folder, f"_joined-{uuid.uuid4().hex[:12]}")
-        small = sum(p.size for p in parts) <= SINGLE_FILE_LIMIT
-        kept_parts = False
-        if small and single_file is not False:
-            hadoop.join_parts(spark, [p.path for p in parts], joined)
+        if single_file:
+            places = [p.path for p in parts]
+            if not hadoop.concatenate(spark, places, joined):
+                hadoop.join_parts(spark, places, joined)
             hadoop.replace_by_rename(spark, joined, target)
-        elif single_file and hadoop.concatenate(spark, [p.path for p in parts], joined):
-            hadoop.replace_by_rename(spark, joined, target)
-        else:
-            kept_parts = bool(single_file)
         hadoop.write_bytes(spark, hadoop.join(folder, "index.xml"), index.encode())
     except Exception as error:  # noqa: BLE001 - reported
         return report(0, f"Export failed: {short_message(error)}")
@@ -180,6 +173,5 @@ def export_table(
     notes = []
     if dropped:
         notes.append(f"{dropped} values are not finite numbers and became empty")
-    if kept_parts:
-        notes.append("too large for one file, kept as parts")
-    return report(rows, "Warning: " + "; ".join(notes) if notes else "OK", folder)
+    status = "Warning: " + "; ".join(notes) if notes else "OK"
+    return report(rows, status if single_file else f"{status} (a folder of parts)", folder)

@@ -199,6 +199,13 @@ def judged(counts: DataFrame, spec: TableSpec, on_error: str) -> DataFrame:
                 F.lit(" repeated rows"),
             ),
         ),
+        F.when(
+            F.col("long_rows") > 0,
+            F.concat(
+                F.col("long_rows").cast("string"),
+                F.lit(" rows have more fields than declared, which were cut"),
+            ),
+        ),
         F.when(
             F.col("odd_quotes") > 0,
             F.concat(
@@ -217,6 +224,7 @@ def judged(counts: DataFrame, spec: TableSpec, on_error: str) -> DataFrame:
             F.concat(F.lit("Load failed: values that do not convert ("), bad, F.lit(")")),
         )
         .when(fail & (key_faults > 0), "Load failed: NULL or repeated primary keys")
+        .when(fail & (F.col("long_rows") > 0), "Load failed: rows with more fields than declared")
         .when(F.col("row_count") == 0, "Empty")
         .when(
             F.lit(len(spec.columns) > 1) & (F.col("filled") == 0),
@@ -225,7 +233,9 @@ def judged(counts: DataFrame, spec: TableSpec, on_error: str) -> DataFrame:
         .when(notes != "", F.concat(F.lit("Warning: "), notes))
         .otherwise("OK")
     )
-    usable = (F.col("row_count") > 0) & ~(fail & ((bad != "") | (key_faults > 0)))
+    usable = (F.col("row_count") > 0) & ~(
+        fail & ((bad != "") | (key_faults > 0) | (F.col("long_rows") > 0))
+    )
     return counts.select("*", status.alias("status"), usable.alias("usable"))
 
 

@@ -70,7 +70,7 @@ def test_batch(spark, tmp_path):
     old = result.tables["Export_2023_Kunden"]
     assert dict(old.dtypes)["saldo"] == "decimal(20,2)"
     assert [r["name"] for r in old.orderBy("nr").collect()] == [
-        "Müller GmbH", "Schmidt & Co. KG", "Bäckerei Größe",
+        "Nördlich Werft AG", "Ohm & Söhne OHG", "Straßenbau Jäger",
     ]
     combined = result.combined("Kunden")
     assert combined.count() == 15

@@ -41,17 +41,17 @@ def test_sample_export(spark, sample):
         ("anzahl", "bigint"),
     ]
     assert rows(kunden, "nr") == [
-        ("K001", "Müller GmbH", D("1234.56"), day(2024, 3, 15), 5),
-        ("K002", "Schmidt & Co. KG", D("-567.89"), day(2023, 1, 1), 12),
-        ("K003", "Bäckerei Größe", D("0.00"), day(2025, 2, 28), 0),
+        ("D17", "Nördlich Werft AG", D("9871.03"), day(2021, 11, 7), 8),
+        ("D18", "Ohm & Söhne OHG", D("-44.12"), day(2022, 4, 30), 31),
+        ("D19", "Straßenbau Jäger", D("0.00"), day(2020, 2, 29), 0),
     ]
     assert rows(result.tables["Buchungen"], "lfd_nr") == [
-        (1, "4000", D("1500.00"), day(2024, 6, 1)),
-        (2, "8000", D("-250.75"), day(2024, 6, 15)),
-        (3, "4000", D("3200.10"), day(2024, 6, 30)),
+        (1, "4000", D("12040.90"), day(2024, 6, 1)),
+        (2, "8000", D("-7.05"), day(2024, 6, 15)),
+        (3, "4000", D("618.00"), day(2024, 6, 30)),
     ]
     result.create_views()
-    assert spark.sql("select sum(saldo) from Kunden").head()[0] == D("666.67")
+    assert spark.sql("select sum(saldo) from Kunden").head()[0] == D("9826.91")
 
 
 def test_names_from_descriptions(spark, sample):

@@ -57,7 +57,7 @@ def test_files_and_report(spark, mixed, tmp_path):
     ]
 
 
-@pytest.mark.parametrize("single", [True, False, None])
+@pytest.mark.parametrize("single", [True, False])
 def test_round_trip(spark, mixed, tmp_path, single):
     folder = str(tmp_path)
     for _ in range(2):  # the second export replaces the first
@@ -78,11 +78,12 @@ def test_round_trip(spark, mixed, tmp_path, single):
     assert rows(back, "id") == rows(expected, "id")
 
 
-def test_large_tables_stay_in_parts(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(export, "SINGLE_FILE_LIMIT", 100)
-    export_table(spark.range(1000), str(tmp_path), "big").collect()
-    assert (tmp_path / "big.txt").is_dir()
-    assert import_export(spark, str(tmp_path)).tables["big"].count() == 1000
+def test_the_parameter_alone_decides_on_parts(spark, tmp_path):
+    for single, name in ((True, "one"), (False, "parts")):
+        report = export_table(spark.range(1000).repartition(4), str(tmp_path / name), "big", single_file=single)
+        assert report.head()["status"] == ("OK" if single else "OK (a folder of parts)")
+        assert (tmp_path / name / "big.txt").is_dir() == (not single)
+        assert import_export(spark, str(tmp_path / name)).tables["big"].count() == 1000
 
 
 def test_keys_survive_and_come_first(spark, tmp_path):
