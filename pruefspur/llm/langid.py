@@ -139,11 +139,11 @@ def fit(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text", key
     share = F.create_map(*[F.lit(x) for s, n in found.items() for x in (s, min(out_of, -(-sample * out_of // n)))])
     numbers = F.create_map(*[F.lit(x) for i, s in enumerate(languages) for x in (s, i)])
     taken = rows.filter(F.pmod("_h", F.lit(out_of)) < share[F.col("lang")])
-    taken = taken.select("lang", "text")
+    taken = taken.select("lang", "text", "_h")
     sizes = {r["lang"]: r["n"] for r in taken.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     least = F.create_map(*[F.lit(x) for s in languages for x in (s, max(1, -(-sizes.get(s, 0) * SHARE // 1000)))])
     grams_ = (
-        taken.repartition(F.col("text"))
+        taken.repartition(F.col("_h"))
         .mapInArrow(_learned, "lang string, gram bigint, n bigint")
         .groupBy("lang", "gram")
         .agg(F.sum("n").alias("n"))
