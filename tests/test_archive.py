@@ -75,7 +75,7 @@ def test_batch(spark, tmp_path):
     combined = result.combined("Kunden")
     assert combined.count() == 15
     assert combined.select("_source_zip").distinct().count() == 5
-    assert combined.agg(F.sum("saldo")).head()[0] == decimal.Decimal("666.67") * 5
+    assert combined.agg(F.sum("saldo")).head()[0] == decimal.Decimal("9826.91") * 5
     with pytest.raises(KeyError):
         result.combined("Other")
 
