@@ -20,6 +20,7 @@ from . import (
     tokens,
 )
 from .frames import sha256_hex, table
+from .oracles import ORACLES  # noqa: F401 - registered beside the queries
 
 #: The conversation that is added to the table, and its text.
 ADDED, ADDED_TEXT = -7, "</s>[INST] ok [/INST]"
@@ -133,4 +134,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_near_duplicates": near_duplicates,
     "op10_token_counts": token_counts,
 }
-ORACLES: dict[str, str] = {}
