@@ -500,7 +500,7 @@ def ragged_rows(spark: SparkSession, sf: str) -> DataFrame:
         .otherwise(F.concat_ws(";", key, name, F.col("c_mktsegment"), F.lit("")))
     )
     split = table(spark, sf, "customer").select(
-        lines.split_fields(line, 3).alias("fields"),
+        lines.split_fields(line, 3).alias("fields"), lines.surplus(line, 3).alias("long_row")
     )
     kept = lines.only_whole_rows(split).select("fields.*")
     every = split.select("fields.*")

@@ -338,7 +338,10 @@ def entry_fields(
         chunks = chunks.unionByName(spread)
     lines = chunks.select(*KEY, "_utf8", F.explode(F.split("text", "\n")).alias("value"))
     body = ln.without_blank_lines(lines, width)
-    return body.withColumn("fields", ln.split_fields(F.col("value"), width))
+    line = F.col("value")
+    return body.withColumns(
+        {"fields": ln.split_fields(line, width), "long_row": ln.surplus(line, width)}
+    )
 
 
 def import_archives(

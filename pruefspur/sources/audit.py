@@ -111,7 +111,8 @@ def raw_lines(spark: SparkSession, spec: TableSpec) -> DataFrame:
 def raw_fields(
     spark: SparkSession, spec: TableSpec, charset: str | None, starts: DataFrame | None = None
 ) -> DataFrame:
-    """The rows of a table as a struct ``fields`` of text, with the raw ``value``.
+    """The rows of a table as a struct ``fields`` of text, with the raw ``value`` and whether it is
+    a ``long_row``.
 
     ``charset`` None leaves bytes as they are, which is enough for counting.  ``starts`` makes
     lines within quotes part of one record.
@@ -124,7 +125,11 @@ def raw_fields(
     text = F.col("value")
     if charset is not None and not cs.is_utf8(charset):
         text = cs.decoded(text.cast("binary"), charset)
-    return rows.select(ln.split_fields(text, width, spec.sep).alias("fields"), F.col("value"))
+    return rows.select(
+        ln.split_fields(text, width, spec.sep).alias("fields"),
+        ln.surplus(text, width, spec.sep).alias("long_row"),
+        "value",
+    )
 
 
 def typed_frame(
@@ -155,7 +160,7 @@ def check_frame(
         *by,
         *[F.col(f"fields.{n}").alias(f"r{i}") for i, n in enumerate(names)],
         *[v.alias(f"t{i}") for i, v in enumerate(values)],
-        F.col("fields._spare").isNotNull().alias("long_row"),
+        "long_row",
         utf8.alias("utf8"),
         odd.alias("odd"),
     )
@@ -210,9 +215,7 @@ def judged(counts: DataFrame, spec: TableSpec, on_error: str) -> DataFrame:
             F.col("odd_quotes") > 0,
             F.concat(
                 F.col("odd_quotes").cast("string"),
-                F.lit(
-                    " lines with an open quote; multiline=True reads line breaks within quotes"
-                ),
+                F.lit(" lines with an open quote, read each for itself"),
             ),
         ),
         F.when(F.lit(spec.is_utf8) & ~F.col("utf8"), "index declares UTF-8, data is not"),
@@ -255,18 +258,38 @@ def check_table(
     charset: str | None,
     on_error: str,
     check_keys: bool,
-    multiline: bool,
+    multiline: bool | None,
+    drop_bad_rows: bool = False,
 ) -> Checked:
+    """Counts about the rows that will be loaded.
+
+    One scan says which charset the table has and whether quotes span lines.  Where the answer is
+    not what that scan took for granted, the counts are taken again from the rows as they will be.
+    """
     if charset is not None and not cs.is_utf8(charset):
         cs.single_byte_map(charset)  # refuses what cannot be decoded before anything is read
     starts = split_starts(raw_lines(spark, spec), spec.sep) if multiline else None
     line = F.col("value")
     flags = (ln.valid_utf8(line), ln.odd_quotes(line))
-    found = check_frame(raw_fields(spark, spec, None, starts), spec, flags).head().asDict()
+
+    def counted(read_as: str | None) -> dict:
+        fields = raw_fields(spark, spec, read_as, starts)
+        if not drop_bad_rows:
+            return check_frame(fields, spec, flags).head().asDict()
+        got = check_frame(ln.only_whole_rows(fields), spec, flags).head().asDict()
+        return got | {"dropped": fields.where("long_row").count()}
+
+    found = counted(charset)
     chosen = charset or ("utf-8" if found["utf8"] else cs.EXPORT_FALLBACK)
+    spans = multiline is None and found["odd_quotes"] > 0
+    if spans:
+        starts = split_starts(raw_lines(spark, spec), spec.sep)
+    if spans or not (charset or cs.is_utf8(chosen)):
+        found = counted(chosen)
+    dropped = found.pop("dropped", 0)
     found |= {"null_keys": 0, "surplus_rows": 0}
     if check_keys and spec.keys and found["row_count"]:
-        table = typed_frame(raw_fields(spark, spec, chosen, starts), spec)
+        table = typed_frame(raw_fields(spark, spec, chosen, starts), spec, drop_bad_rows)
         keys = checks.key_check(table, spec.keys).head()
         found |= {"null_keys": keys["null_keys"], "surplus_rows": keys["surplus_rows"]}
     verdict = judged(spark.createDataFrame([Row(**found)]), spec, on_error).head()
@@ -274,7 +297,11 @@ def check_table(
         (c.name, found[f"x{i}"]) for i, c in enumerate(spec.columns) if found.get(f"x{i}")
     )
     rows = found["row_count"] if verdict["usable"] else 0
-    return Checked(rows, verdict["status"], chosen, rejects, verdict["usable"], starts)
+    status = verdict["status"]
+    if dropped:
+        note = f"{dropped} rows with more fields than declared were dropped"
+        status = f"Warning: {note}" if status == "OK" else f"{status}; {note}"
+    return Checked(rows, status, chosen, rejects, verdict["usable"], starts)
 
 
 def path_has_traversal(path: str) -> bool:
@@ -297,7 +324,7 @@ def import_export_layout(
     *,
     on_error: str = "null",
     charset: str | None = None,
-    multiline: bool = False,
+    multiline: bool | None = None,
     check_keys: bool = True,
     drop_bad_rows: bool = False,
 ) -> ImportResult:
@@ -305,8 +332,9 @@ def import_export_layout(
 
     ``on_error="fail"`` refuses a table with values that do not convert or with bad keys; the
     default keeps it, turns such values into NULL and reports them.  ``charset`` skips the choice
-    between UTF-8 and windows-1252.  ``multiline`` reads line breaks within quotes, which takes
-    one more scan.  ``drop_bad_rows`` drops rows with more fields than declared.
+    between UTF-8 and windows-1252.  Line breaks within quotes are read
+    where the file has any, which takes one more scan; ``multiline`` True or False settles it
+    beforehand.  ``drop_bad_rows`` drops and counts rows with more fields than declared.
     """
     if path_has_traversal(path):
         return _only_status(spark, "(security)", TRAVERSAL)
@@ -334,7 +362,9 @@ def import_export_layout(
             if not row["url"] or not hadoop.exists(spark, data):
                 return f"Load failed: no data file '{row['url']}'"
             spec = specs[name] = table_spec(row, [hadoop.literal(data)], layout, name)
-            return check_table(spark, spec, charset, on_error, check_keys, multiline)
+            return check_table(
+                spark, spec, charset, on_error, check_keys, multiline, drop_bad_rows
+            )
 
         return run
 

@@ -7,6 +7,7 @@ untouched).  Scans stay splittable.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -187,14 +188,46 @@ def raw_names(width: int) -> list[str]:
     return [f"_f{i}" for i in range(width)]
 
 
+#: Fields beyond the declared ones up to which a line is parsed as it is.
+SPARE_FIELDS = 1000
+
+
 def split_fields(value: Column, width: int, sep: str = ";") -> Column:
     """A line as a struct of ``width`` text fields and one spare.
 
     Short lines are padded with NULL, empty and ``""`` fields are NULL, spaces are kept.  The
-    spare is not NULL where the line had more fields than declared.
+    spare is not NULL where the first field beyond the declared ones holds something; see
+    ``surplus`` for all of them.  A line of very many fields is cut behind the declared ones before
+    it is parsed, so that no line can exceed the parser's bound.
     """
     schema = ", ".join(f"{n} string" for n in [*raw_names(width), "_spare"])
-    return F.from_csv(value, schema, {"sep": sep, **QUOTED, "maxColumns": str(width + 10000)})
+    most = width + SPARE_FIELDS
+    return F.from_csv(
+        F.when(separators(value, sep) < most, value).otherwise(_cut(value, width, sep)),
+        schema,
+        {"sep": sep, **QUOTED, "maxColumns": str(most + 1)},
+    )
+
+
+def separators(value: Column, sep: str) -> Column:
+    return F.length(value) - F.length(F.replace(value, F.lit(sep), F.lit("")))
+
+
+def _cut(value: Column, width: int, sep: str) -> Column:
+    """The first ``width`` fields of a line and their separators."""
+    mark = re.escape(sep)
+    field = rf'(?:"[^"]*+(?:""[^"]*+)*+"[^{mark}]*+|[^{mark}]*+)'
+    return F.regexp_extract(value, rf"(?s)^(?:{field}{mark}){{{width}}}", 0)
+
+
+def surplus(value: Column, width: int, sep: str = ";") -> Column:
+    """True where a line holds something in a field beyond the declared ones.  Separators at its
+    end with nothing behind them are no surplus."""
+    # What stands in quotes is no separator; an empty field may be a pair of quotes.
+    bare = F.regexp_replace(value, '"[^"]+"', "x")
+    beyond = F.slice(F.split(bare, re.escape(sep)), F.lit(width + 1), F.greatest(separators(bare, sep), F.lit(0)) + 1)
+    filled = F.exists(beyond, lambda f: ~F.rtrim(f, F.lit("\r")).isin("", '""'))
+    return F.when(separators(value, sep) >= width, filled).otherwise(F.lit(False))
 
 
 def without_blank_lines(lines: DataFrame, width: int) -> DataFrame:
@@ -202,6 +235,6 @@ def without_blank_lines(lines: DataFrame, width: int) -> DataFrame:
     return lines.where(F.length("value") > 0) if width > 1 else lines
 
 
-def only_whole_rows(fields: DataFrame, struct: str = "fields") -> DataFrame:
+def only_whole_rows(fields: DataFrame) -> DataFrame:
     """Drop the rows that had more fields than declared (opt-in, last resort)."""
-    return fields.where(F.col(f"{struct}._spare").isNull())
+    return fields.where(~F.col("long_row"))
