@@ -223,10 +223,14 @@ def _cut(value: Column, width: int, sep: str) -> Column:
 def surplus(value: Column, width: int, sep: str = ";") -> Column:
     """True where a line holds something in a field beyond the declared ones.  Separators at its
     end with nothing behind them are no surplus."""
-    # What stands in quotes is no separator; an empty field may be a pair of quotes.
-    bare = F.regexp_replace(value, '"[^"]+"', "x")
-    beyond = F.slice(F.split(bare, re.escape(sep)), F.lit(width + 1), F.greatest(separators(bare, sep), F.lit(0)) + 1)
-    filled = F.exists(beyond, lambda f: ~F.rtrim(f, F.lit("\r")).isin("", '""'))
+    # Fields that are a pair of quotes are emptied; other doubled quotes become a letter, which
+    # leaves the quotes that open and close a field, and no separators between them.
+    mark = re.escape(sep)
+    bare = F.regexp_replace(value, f'(^|{mark})""(?={mark}|$)', "$1")
+    bare = F.regexp_replace(F.replace(bare, F.lit('""'), F.lit("q")), '"[^"]*+"', "x")
+    fields = F.split(bare, mark)
+    beyond = F.slice(fields, F.lit(width + 1), F.greatest(F.size(fields) - width, F.lit(0)))
+    filled = F.exists(beyond, lambda f: F.rtrim(f, F.lit("\r")) != "")
     return F.when(separators(value, sep) >= width, filled).otherwise(F.lit(False))
 
 

@@ -24,13 +24,14 @@ def test_surplus_fields_fail_a_strict_import(spark, tmp_path):
 def test_surplus_behind_an_empty_field_counts(spark, tmp_path):
     columns = [column("a"), column("b")]
     text = "1;2\n3;4;;LOST\n5;6;\n7;\"x;y\"\n8;9;\"\";\"z;z\"\n"
+    text += '9;"a; ""b""";"";""\n10;"a; ""b""";"";more\n'
     folder = write_export(tmp_path / "x", [table("T", columns)], {"T.txt": text})
     result = import_export(spark, folder)
-    assert status(result, "T") == (5, "Warning: 2 rows have more fields than declared, which were cut")
+    assert status(result, "T") == (7, "Warning: 3 rows have more fields than declared, which were cut")
     whole = import_export(spark, folder, drop_bad_rows=True)
-    note = "Warning: 2 rows with more fields than declared were dropped"
-    assert status(whole, "T") == (3, note)
-    assert sorted(r[0] for r in whole.tables["T"].collect()) == ["1", "5", "7"]
+    note = "Warning: 3 rows with more fields than declared were dropped"
+    assert status(whole, "T") == (4, note)
+    assert sorted(r[0] for r in whole.tables["T"].collect()) == ["1", "5", "7", "9"]
 
 
 def test_a_line_of_very_many_fields_is_one_long_row(spark, tmp_path):
