@@ -20,10 +20,12 @@ from ..functions import convert as cv
 from ..functions.names import batch_column, dedupe_names
 from ..operators.report import (
     BATCH_REPORT,
+    REJECT_REPORT,
     TRAVERSAL,
     ImportResult,
     report_frame,
     short_message,
+    side_by_side,
 )
 from ..operators.union import stacked
 from . import lines as ln
@@ -119,7 +121,7 @@ def booking_frame(
     raw: bool = False,
 ) -> DataFrame:
     """Rows of files that share columns, year and charset; ``raw`` adds the text of the typed
-    columns as ``_raw_<name>``."""
+    columns as ``_raw_<name>``, and ``_long_row`` for rows with surplus fields."""
     scanned = ln.text_lines(spark, paths)
     body = ln.without_blank_lines(ln.drop_head(scanned, HEADER_LINES), len(columns))
     text = F.col("value")
@@ -128,10 +130,12 @@ def booking_frame(
     fields = body.select(
         ln.split_fields(text, len(columns)).alias("fields"),
         ln.plain_path(F.col("file_name")).alias("file_name"),
+        ln.surplus(text, len(columns)).alias("long_row"),
     )
     cells = {n: F.col(f"fields.{r}") for n, r in zip(columns, ln.raw_names(len(columns)))}
     shown = [booking_value(n, c, year).alias(n) for n, c in cells.items()]
     extra = [c.alias(f"_raw_{n}") for n, c in cells.items() if raw and n in COLUMN_TYPES]
+    extra += [F.col("long_row").alias("_long_row")] if raw else []
     # A column of the file that is itself called file_name keeps its place.
     tail = "file_name" if "file_name" not in cells else "source_file_name"
     return fields.select(*shown, *extra, F.col("file_name").alias(tail))
@@ -140,8 +144,8 @@ def booking_frame(
 class BookingResult(ImportResult):
     """Adds ``combined``: all batches as one frame, columns matched by name."""
 
-    def __init__(self, spark, tables, report, groups: list[tuple]):
-        super().__init__(spark, tables, report)
+    def __init__(self, spark, tables, report, groups: list[tuple], rejects=None):
+        super().__init__(spark, tables, report, rejects)
         self._groups = groups
 
     @property
@@ -150,24 +154,11 @@ class BookingResult(ImportResult):
 
     def reject_counts(self) -> DataFrame:
         """Values per file and column that were present but did not convert."""
-        counted = []
-        for paths, columns, year, charset in self._groups:
-            typed_names = [c for c in columns if c in COLUMN_TYPES]
-            if not typed_names:
-                continue
-            frame = booking_frame(self.spark, paths, columns, year, charset, raw=True)
-            flags = [
-                F.struct(
-                    F.lit(n).alias("column_name"),
-                    F.count_if(
-                        cv.rejected(F.col(f"_raw_{n}"), F.col(n), blank_ok=True)
-                    ).alias("rejected"),
-                )
-                for n in typed_names
-            ]
-            per_file = frame.groupBy(frame.columns[-1]).agg(F.array(*flags).alias("counts"))
-            counted.append(per_file.select(F.col(frame.columns[-1]).alias("file_name"),
-                                           F.inline("counts")))
+        counted = [
+            batch_faults(self.spark, *group).select("file_name", F.inline("counts"))
+            for group in self._groups
+            if set(group[1]) & set(COLUMN_TYPES)
+        ]
         if not counted:
             return self.spark.createDataFrame(
                 [], "file_name string, column_name string, rejected bigint"
@@ -175,6 +166,26 @@ class BookingResult(ImportResult):
         return reduce(DataFrame.unionByName, counted)
 
 
+def batch_faults(
+    spark: SparkSession, paths: list[str], columns: list[str], year: int, charset: str
+) -> DataFrame:
+    """Per file of a group: rows with surplus fields, and in ``counts`` the values per typed column
+    that were present but did not convert.  One scan; counts are combined before the shuffle."""
+    frame = booking_frame(spark, paths, columns, year, charset, raw=True)
+    rejected = [
+        F.struct(
+            F.lit(n).alias("column_name"),
+            F.count_if(cv.rejected(F.col(f"_raw_{n}"), F.col(n), blank_ok=True)).alias("rejected"),
+        )
+        for n in columns
+        if n in COLUMN_TYPES
+    ]
+    counts = F.array(*rejected).cast("array<struct<column_name: string, rejected: bigint>>")
+    return frame.groupBy(F.col(frame.columns[-1]).alias("file_name")).agg(
+        F.count_if("_long_row").alias("long_rows"), counts.alias("counts")
+    )
+
+
 def batch_files(spark: SparkSession, folder: str) -> list[hadoop.StoredFile]:
     return [
         f
@@ -186,12 +197,13 @@ def batch_files(spark: SparkSession, folder: str) -> list[hadoop.StoredFile]:
 
 
 def read_booking_batches(
-    spark: SparkSession, path: str, charset: str | None = None
+    spark: SparkSession, path: str, charset: str | None = None, on_error: str = "null"
 ) -> BookingResult:
     """Import every booking batch of a folder: a table per file, and all of them ``combined``.
 
     Dates take their year from the start of the batch period, so a period crossing the turn of
-    the year gives its later months the earlier year.
+    the year gives its later months the earlier year.  Values that do not convert become NULL and
+    surplus fields are cut; both are in the status, and ``on_error="fail"`` refuses such a file.
     """
 
     def only(name: str, status: str) -> BookingResult:
@@ -225,35 +237,66 @@ def read_booking_batches(
     except Exception as error:  # noqa: BLE001 - reported
         return only("(import)", f"Load failed: {short_message(error)}")
 
-    groups: dict[tuple, list[str]] = defaultdict(list)
+    groups: dict[tuple, list[hadoop.StoredFile]] = defaultdict(list)
     builders: dict[str, Callable[[], DataFrame]] = {}
-    report = []
+    report, rejects = [], []
     for f in files:
-        table = f.name[: -len(FILE_SUFFIX)]
         row = known.get(f.path)
         if row is None or row["year"] is None:
             status = "Failed to parse header (could not extract year from Datum-von field)"
-            report.append((table, f.name, 0, status))
-            continue
-        if not row["named"]:
-            report.append((table, f.name, 0, "Failed to parse column names from row 2"))
-            continue
-        place = hadoop.literal(f.path)
-        groups[(row["id"], row["year"], row["charset"])].append(place)
-        builders[table] = _builder(
-            spark, [place], layouts[row["id"]], row["year"], row["charset"]
-        )
-        status = (
-            f"Warning: {row['odd_quotes']} lines with an open quote" if row["odd_quotes"] else "OK"
-        )
-        report.append((table, f.name, row["row_count"], status))
+            report.append((_table(f), f.name, 0, status))
+        elif not row["named"]:
+            report.append((_table(f), f.name, 0, "Failed to parse column names from row 2"))
+        else:
+            groups[(row["id"], row["year"], row["charset"])].append(f)
+
+    def group(key: tuple, members: list[hadoop.StoredFile]) -> tuple:
+        return [hadoop.literal(f.path) for f in members], layouts[key[0]], *key[1:]
+
+    def faults(key: tuple) -> Callable[[], dict]:
+        return lambda: {
+            r["file_name"]: r for r in batch_faults(spark, *group(key, groups[key])).collect()
+        }
+
+    kept = []
+    for key, found in zip(groups, side_by_side(spark, [faults(k) for k in groups])):
+        usable = []
+        for f in groups[key]:
+            if isinstance(found, Exception):
+                report.append((_table(f), f.name, 0, f"Load failed: {short_message(found)}"))
+                continue
+            row, seen = known[f.path], found.get(f.name)
+            bad = [c for c in seen["counts"] if c["rejected"]] if seen else []
+            rejects += [(_table(f), c["column_name"], c["rejected"]) for c in bad]
+            notes = []
+            if bad:
+                named = ", ".join(f"{c['column_name']}: {c['rejected']}" for c in bad)
+                notes.append(f"values that do not convert became NULL ({named})")
+            if seen and seen["long_rows"]:
+                notes.append(f"{seen['long_rows']} rows have more fields than declared, which were cut")
+            if notes and on_error == "fail":
+                report.append((_table(f), f.name, 0, "Load failed: " + "; ".join(notes)))
+                continue
+            if row["odd_quotes"]:
+                notes.append(f"{row['odd_quotes']} lines with an open quote")
+            status = "Warning: " + "; ".join(notes) if notes else "OK"
+            report.append((_table(f), f.name, row["row_count"], status))
+            builders[_table(f)] = _builder(spark, *group(key, [f]))
+            usable.append(f)
+        if usable:
+            kept.append(group(key, usable))
     return BookingResult(
         spark,
         builders,
-        report_frame(spark, report, BATCH_REPORT),
-        [(paths, layouts[i], year, cset) for (i, year, cset), paths in groups.items()],
+        report_frame(spark, sorted(report, key=lambda r: r[1]), BATCH_REPORT),
+        kept,
+        report_frame(spark, rejects, REJECT_REPORT),
     )
 
 
+def _table(file: hadoop.StoredFile) -> str:
+    return file.name[: -len(FILE_SUFFIX)]
+
+
 def _builder(spark, *group) -> Callable[[], DataFrame]:
     return lambda: booking_frame(spark, *group)

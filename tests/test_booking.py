@@ -42,7 +42,8 @@ def test_batches(spark, tmp_path):
     result = read_booking_batches(spark, str(tmp_path))
     no_header = "Failed to parse header (could not extract year from Datum-von field)"
     assert sorted(rows(result.report)) == [
-        ("EXTF_Buchungsstapel_23 +ä", "EXTF_Buchungsstapel_23 +ä.csv", 3, "OK"),
+        ("EXTF_Buchungsstapel_23 +ä", "EXTF_Buchungsstapel_23 +ä.csv", 3,
+         "Warning: values that do not convert became NULL (belegdatum: 1)"),
         ("EXTF_Buchungsstapel_24", "EXTF_Buchungsstapel_24.CSV", 1, "OK"),
         ("EXTF_Buchungsstapel_bad", "EXTF_Buchungsstapel_bad.csv", 0, no_header),
         ("EXTF_Buchungsstapel_none", "EXTF_Buchungsstapel_none.csv", 0, no_header),
@@ -70,6 +71,21 @@ def test_batches(spark, tmp_path):
     assert [r["buchungstext"] for r in result.tables["EXTF_Buchungsstapel_24"].collect()] == ["Ü€"]
     rejected = {(r[0], r[1]): r[2] for r in rows(result.reject_counts())}
     assert rejected[(name, "belegdatum")] == 1 and sum(rejected.values()) == 1
+    assert rows(result.rejects) == [("EXTF_Buchungsstapel_23 +ä", "belegdatum", 1)]
+
+
+def test_faults_are_told_and_refused(spark, tmp_path):
+    write(tmp_path, "EXTF_Buchungsstapel_a.csv", [head(2024), "Konto;Kurs", "1;2,5;;LOST", "2;abc"])
+    write(tmp_path, "EXTF_Buchungsstapel_b.csv", [head(2024), "Konto;Kurs", "3;1,5;"])
+    told = read_booking_batches(spark, str(tmp_path))
+    notes = (
+        "values that do not convert became NULL (kurs: 1); "
+        "1 rows have more fields than declared, which were cut"
+    )
+    assert [r[2:] for r in rows(told.report)] == [(2, f"Warning: {notes}"), (1, "OK")]
+    refused = read_booking_batches(spark, str(tmp_path), on_error="fail")
+    assert [r[2:] for r in rows(refused.report)] == [(0, f"Load failed: {notes}"), (1, "OK")]
+    assert list(refused.tables) == ["EXTF_Buchungsstapel_b"] and refused.combined.count() == 1
 
 
 def test_layouts_are_matched_by_name(spark, tmp_path):
