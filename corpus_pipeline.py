@@ -25,8 +25,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines whose class has an earlier line are cut out; a document with no line left goes."""
-    return linededup.filtered(docs)
+    """Lines whose class has an earlier line are cut out, equal lines of every length; a document with
+    no line left goes."""
+    return linededup.filtered(docs, least_equal=0)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -22,7 +22,7 @@ from .frames import WORD, once, packed
 from .kernels import U, _powers, mix, spans_of
 
 EDITS = 2
-#: Code points of a line from which on it is compared; shorter ones are never repeats.
+#: Code points of a line from which on edits link it: two edits in a shorter one mean little.
 LEAST_CHARS = 24
 #: Line keys sent to every task (16 bytes each); more of them are joined by a shuffle.
 BROADCAST_KEYS = 500_000
@@ -230,24 +230,27 @@ def line_links(lines: DataFrame) -> DataFrame:
     return full.mapInArrow(_verified, "a bigint, b bigint").distinct()
 
 
-def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def classify(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_equal: int = LEAST_CHARS
+) -> DataFrame:
     """A row per line with a word: ``_id``, ``_text_hash``, ``_no`` (its number in the text), ``first``
     (id, text hash and number of the first line of its class), ``copies`` (equal lines, itself
     included), ``links`` (different lines within the edits).
 
     A class is what chains of links and equal lines tie together.  Lines under ``LEAST_CHARS`` code
-    points and lines without a word are not compared: each is its own class, lines without a word
-    have no row.  A null or empty text has no lines.  Rows that repeat an id and a text are one
-    document.  A null id comes first in order.  Other columns are not read.
+    points have no links.  Equal lines are one class from ``least_equal`` code points on, with 0 at
+    every length; each shorter one is its own class.  Lines without a word have no row.  A null or
+    empty text has no lines.  Rows that repeat an id and a text are one document.  A null id comes
+    first in order.  Other columns are not read.
     """
     lines = _lines(docs, id_col, text_col)
     links = reliable(line_links(lines))
     degree = links.select(F.explode(F.array("a", "b")).alias("_key")).groupBy("_key").agg(F.count(F.lit(1)).alias("links"))
     tied = components(links).select(F.col("node").alias("_key"), F.col("component").alias("class"))
     here = lines.select(
-        F.struct("_id", "_text_hash", "_no").alias("at"), "_key", "_key2", (F.length("_line") >= LEAST_CHARS).alias("long")
+        F.struct("_id", "_text_hash", "_no").alias("at"), "_key", "_key2", (F.length("_line") >= least_equal).alias("compared")
     )
-    compared = here.filter("long")
+    compared = here.filter("compared")
     equal = compared.groupBy("_key", "_key2").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("copies"))
     equal = equal.join(tied, "_key", "left").join(degree, "_key", "left")
     own = equal.filter(F.col("class").isNull())
@@ -257,7 +260,9 @@ def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         shared.join(lowest, "class").select("_key", "_key2", F.col("lowest").alias("first"), "copies", "links")
     )
     known = compared.join(classes, ["_key", "_key2"]).select("at", "first", "copies", "links")
-    short = here.filter(~F.col("long")).select(
+    if least_equal <= 0:
+        return known.select("at.*", "first", "copies", "links")
+    short = here.filter(~F.col("compared")).select(
         "at", F.col("at").alias("first"), F.lit(1).cast("bigint").alias("copies"), F.lit(0).cast("bigint").alias("links")
     )
     return known.unionByName(short).select("at.*", "first", "copies", "links")
@@ -268,9 +273,11 @@ def _is_first():
     return at.eqNullSafe(F.col("first"))
 
 
-def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def report(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_equal: int = LEAST_CHARS
+) -> DataFrame:
     """``classify`` with plain columns: the line, its class as document and line, and whether it stays."""
-    return classify(docs, id_col, text_col).select(
+    return classify(docs, id_col, text_col, least_equal).select(
         F.col("_id").alias(id_col),
         F.col("_no").cast("bigint").alias("line_no"),
         F.col("first._id").alias("class_doc_id"),
@@ -281,11 +288,11 @@ def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     )
 
 
-def filtered(docs: DataFrame) -> DataFrame:
+def filtered(docs: DataFrame, least_equal: int = LEAST_CHARS) -> DataFrame:
     """The documents without lines that an earlier line repeats, with all their columns; ``n_chars`` is
     counted anew where it is there.  A document of which no word is left is dropped: each of its
     lines stands elsewhere.  A document that had no word before stays as it is."""
-    lines = classify(docs)
+    lines = classify(docs, least_equal=least_equal)
     gone = lines.filter(~_is_first()).groupBy("_id", "_text_hash").agg(F.collect_set("_no").alias("_gone"))
     work = packed(docs, _doc=F.col("doc_id"), _text=F.col("text"), _hash=F.xxhash64(F.coalesce("text", F.lit(""))))
     met = work.join(gone, F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_text_hash")), "left")

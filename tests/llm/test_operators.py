@@ -8,6 +8,7 @@ import re
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from pruefspur.llm import (
     chat,
     components,
@@ -19,6 +20,7 @@ from pruefspur.llm import (
     mixing,
     neardup,
     quality,
+    queries,
     secret_scan,
     tokens,
 )
@@ -192,6 +194,25 @@ def test_lines_of_odd_tables(docs):
     assert linededup.report(docs).count() > 0
 
 
+def test_short_equal_lines_are_one_class(spark, tmp_path):
+    tail = "a line of a good many words, the same in both texts"
+    rows = [(1, f"Les.\n{tail}\nAll rights reserved."), (2, f"Les.\n{tail}\nAll rights reserved."), (3, "Let.\nLes.\nLes.")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    frame.write.parquet(f"{tmp_path}/documents.parquet")
+    found = queries.line_dedup(spark, str(tmp_path)).collect()
+    at = lambda r: (r["doc_id"], r["line_no"])
+    first = {at(r): (r["class_doc_id"], r["class_line_no"], r["copies"]) for r in found}
+    assert first == {
+        (1, 0): (1, 0, 4), (1, 1): (1, 1, 2), (1, 2): (1, 2, 2),
+        (2, 0): (1, 0, 4), (2, 1): (1, 1, 2), (2, 2): (1, 2, 2),
+        # One edit apart, and too short for edits to count.
+        (3, 0): (3, 0, 1), (3, 1): (1, 0, 4), (3, 2): (1, 0, 4),
+    }
+    assert {at(r) for r in found if r["kept"]} == {(1, 0), (1, 1), (1, 2), (3, 0)}
+    left = {r["doc_id"]: r["text"] for r in corpus_pipeline.line_dedup(spark, frame, str(tmp_path)).collect()}
+    assert left == {1: rows[0][1], 3: "Let."}
+
+
 def test_licenses(spark, docs, nothing):
     given = [
         (1, "Released under the MIT License. mit-license! MIT license"),
