@@ -1,93 +1,118 @@
 """Mixing sources to target weights by Pfair scheduling.
 
-A source's documents are cut to blocks.  Within a round of slots, block j of a source with weight
-w may not run before slot (j-1)/w and must have run by slot j/w; taking the released block with the
-earliest deadline in each slot keeps all deadlines, so at any point a source is less than one block
-from its share of the round, and a round's whole slots are the weights to less than one slot.  A round repeats until a source runs out; the sources left share on by their
-weights.  No document is left out or repeated.
+A source's documents are cut to blocks.  In a phase, block j (from 0) of a source with the share w
+may not run before slot floor(j / w) and must have run by slot ceil((j + 1) / w); taking the released
+block with the earliest deadline in each slot keeps all deadlines.  The shares are exact fractions
+and the slots are counted through the whole phase, so at any point of it a source is less than one
+block from its share.  When a source runs out, a phase of the sources left begins; they share on by
+their weights.  No document is left out or repeated.
 """
 
 from __future__ import annotations
 
 import heapq
-from collections.abc import Mapping
+from array import array
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
+from fractions import Fraction
+from itertools import islice
+from math import gcd, lcm
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .frames import once, packed
+from ..hadoop import fresh_folder
+from .frames import packed
 
-#: Slots of a round: weights are honoured to one part in this many.
-RESOLUTION = 1000
 #: Documents of a block.
 BLOCK = 16
 #: Documents numbered together: the pieces of a source are about this large.
 RANKED = 2_000
 #: Pieces of all sources up to which their offsets (40 bytes each) go to every task.
 OFFSETS = 100_000
-
-
-def shares(weights: Mapping[str, float], slots: int) -> dict[str, int]:
-    """Whole slots per source, one at least, by largest remainder."""
-    total = sum(weights.values())
-    exact = {s: w * slots / total for s, w in weights.items()}
-    given = {s: max(1, int(x)) for s, x in exact.items()}
-    spare = slots - sum(given.values())
-    by_rest = sorted(exact, key=lambda s: (int(exact[s]) - exact[s], s))
-    for s in by_rest[: max(0, spare)]:
-        given[s] += 1
-    return given
+#: Blocks of a source whose slots are one row of the timetable.
+RUN = 256
+#: Slots (8 bytes each) up to which the timetable goes to every task; a longer one is written in parts
+#: of this many and joined by a shuffle.
+HELD_SLOTS = 1 << 20
+
+
+def whole(weights: Mapping[str, float]) -> list[int]:
+    """The weights, as their decimals stand, in the smallest whole numbers."""
+    exact = [Fraction(str(w)) for w in weights.values()]
+    scale = lcm(*[w.denominator for w in exact])
+    parts = [int(w * scale) for w in exact]
+    return [a // gcd(*parts) for a in parts]
+
+
+def turns(parts: Sequence[int]) -> Iterator[int]:
+    """Without end, the place in ``parts`` of the source that has the next slot: earliest deadline
+    first among the released, in whole numbers."""
+    total = sum(parts)
+    ready = [(-(-total // a), s, 1) for s, a in enumerate(parts)]
+    heapq.heapify(ready)
+    # Per slot the blocks that are released with it.
+    later: dict[int, list[tuple[int, int, int]]] = {}
+    slot = 0
+    while True:
+        for job in later.pop(slot, ()):
+            heapq.heappush(ready, job)
+        _, s, j = heapq.heappop(ready)
+        yield s
+        slot += 1
+        a = parts[s]
+        job = (-(-(j + 1) * total // a), s, j + 1)
+        release = j * total // a
+        if release <= slot:
+            heapq.heappush(ready, job)
+        else:
+            later.setdefault(release, []).append(job)
 
 
 def schedule(counts: Mapping[str, int]) -> list[str]:
-    """One round: each source as often as its count, earliest deadline first among the released."""
-    slots = sum(counts.values())
-    released: dict[int, list[tuple[int, str, int]]] = {}
-    for s, a in counts.items():
-        if a:
-            released.setdefault(0, []).append((-(-slots // a), s, 1))
-    ready: list[tuple[int, str, int]] = []
-    order = []
-    for slot in range(slots):
-        for job in released.pop(slot, ()):
-            heapq.heappush(ready, job)
-        deadline, s, j = heapq.heappop(ready)
-        order.append(s)
-        a = counts[s]
-        if j < a:
-            again = max(slot + 1, j * slots // a)
-            released.setdefault(again, []).append((-(-(j + 1) * slots // a), s, j + 1))
-    return order
+    """Each source as often as its count, by ``turns``."""
+    given = {s: a for s, a in counts.items() if a}
+    names = list(given)
+    return [names[s] for s in islice(turns(list(given.values())), sum(given.values()))]
 
 
 @dataclass(frozen=True)
 class Phase:
-    """Equal rounds: their first slot, how many, the order of one, and each source's first block."""
+    """Slots shared by the same sources: the first one, the sources, which of them has each slot,
+    each source's blocks in the phase, and its first one."""
 
     first_slot: int
-    rounds: int
-    order: tuple[str, ...]
+    names: tuple[str, ...]
+    order: array
     counts: Mapping[str, int]
     first_block: Mapping[str, int]
 
 
-def phases(blocks: Mapping[str, int], weights: Mapping[str, float], resolution: int = RESOLUTION) -> list[Phase]:
-    """Rounds until every block has its slot.  A round is as long as the resolution, or as the source
-    that runs out first allows; then the others share on.  A few phases per source."""
+def phases(blocks: Mapping[str, int], weights: Mapping[str, float]) -> list[Phase]:
+    """Phases until every block has its slot.  A phase ends where the next slot is due to a source
+    that has no block left; what lies beyond the last slot at which all shares are whole, where
+    there is one, begins a phase of its own, in which the order goes on as it would."""
     made, slot = [], 0
     done = dict.fromkeys(blocks, 0)
     while left := {s: n - done[s] for s, n in sorted(blocks.items()) if n > done[s]}:
-        goal = {s: weights[s] for s in left}
-        total = sum(goal.values())
-        lasts = min(int(left[s] * total / goal[s]) for s in left)
-        full = shares(goal, max(len(left), min(max(resolution, len(left)), lasts)))
-        counts = {s: min(full[s], left[s]) for s in left}
-        rounds = min(left[s] // counts[s] for s in left)
-        made.append(Phase(slot, rounds, tuple(schedule(counts)), counts, dict(done)))
-        slot += rounds * sum(counts.values())
+        names = tuple(left)
+        rest = list(left.values())
+        order = array("H" if len(names) <= 1 << 16 else "L")
+        parts = whole({s: weights[s] for s in names})
+        for s in islice(turns(parts), sum(rest)):
+            if not rest[s]:
+                break
+            rest[s] -= 1
+            order.append(s)
+        if len(order) > sum(parts):
+            for s in order[len(order) - len(order) % sum(parts) :]:
+                rest[s] += 1
+            del order[len(order) - len(order) % sum(parts) :]
+        counts = {s: left[s] - n for s, n in zip(names, rest, strict=True)}
+        made.append(Phase(slot, names, order, counts, dict(done)))
+        slot += len(order)
         for s, a in counts.items():
-            done[s] += rounds * a
+            done[s] += a
     return made
 
 
@@ -96,21 +121,33 @@ def tempered(counts: Mapping[str, int], power: float = 0.5) -> dict[str, float]:
     return {s: n**power for s, n in counts.items()}
 
 
-def _timetable(spark: SparkSession, plan: list[Phase]) -> DataFrame:
-    """Per source its phases in order, each with the slots of its turns in one round."""
-    table: dict[str, list[tuple]] = {}
+def _runs(plan: list[Phase]) -> Iterator[tuple[str, int, list[int]]]:
+    """Source, number of the run, and the slots of its ``RUN`` blocks; a source's last run is shorter."""
+    open_: dict[str, tuple[int, list[int]]] = {}
     for p in plan:
-        turns: dict[str, list[int]] = {}
-        for at, s in enumerate(p.order):
-            turns.setdefault(s, []).append(p.first_slot + at)
-        for s, slots in turns.items():
-            table.setdefault(s, []).append(
-                (p.first_block[s], p.first_block[s] + p.rounds * len(slots), len(p.order), slots)
-            )
-    return spark.createDataFrame(
-        list(table.items()),
-        "_name string, _phases array<struct<first: bigint, stop: bigint, step: bigint, slots: array<bigint>>>",
-    )
+        for at, k in enumerate(p.order, p.first_slot):
+            name = p.names[k]
+            run, slots = open_.setdefault(name, (0, []))
+            slots.append(at)
+            if len(slots) == RUN:
+                yield name, run, slots
+                open_[name] = (run + 1, [])
+    for name, (run, slots) in open_.items():
+        if slots:
+            yield name, run, slots
+
+
+def _timetable(spark: SparkSession, plan: list[Phase], held: int) -> DataFrame:
+    """``_runs`` as a frame: up to ``held`` slots for every task, more of them written in parts."""
+    kind = "_name string, _run bigint, _slots array<bigint>"
+    runs = _runs(plan)
+    if sum(len(p.order) for p in plan) <= held:
+        return F.broadcast(spark.createDataFrame(list(runs), kind))
+    folder, parts = fresh_folder(spark, "mix"), []
+    while rows := list(islice(runs, max(1, held // RUN))):
+        parts.append(f"{folder}/{len(parts)}")
+        spark.createDataFrame(rows, kind).write.parquet(parts[-1])
+    return spark.read.schema(kind).parquet(*parts)
 
 
 def mix(
@@ -119,7 +156,7 @@ def mix(
     source_col: str = "source",
     id_col: str = "doc_id",
     block: int = BLOCK,
-    resolution: int = RESOLUTION,
+    held: int = HELD_SLOTS,
 ) -> DataFrame:
     """All documents with their columns and ``mix_slot`` (the block's place in the mix) and
     ``mix_position`` (the document's; unique, with gaps only behind a source's short last block).
@@ -128,7 +165,8 @@ def mix(
     without it weights are the square roots of the sources' sizes.  A null source is the source
     ``""``.  Documents of a source are taken in the order of a hash of the id, ties by the id itself and then
     by a hash of all columns; repeated rows are documents of their own.  An empty table gives an empty mix.
-    The driver holds the sources and their schedule (a few rounds per source), never rows.
+    The driver holds the sources and two bytes per block (four and more beyond 65,536 sources), never
+    rows.
     """
     spark = docs.sparkSession
     name = F.coalesce(F.col(source_col).cast("string"), F.lit(""))
@@ -148,7 +186,7 @@ def mix(
     least = min(goal.values())
     goal = {s: goal.get(s, least) for s in counts}
     blocks = {s: -(-n // block) for s, n in counts.items()}
-    plan = phases(blocks, goal, resolution)
+    plan = phases(blocks, goal)
     # A source is numbered in pieces by its hash, and the pieces' sizes are summed up: no task sorts
     # a whole source.
     pieces = max(1, -(-max(counts.values()) // RANKED))
@@ -165,15 +203,10 @@ def mix(
         F.broadcast(offsets) if pieces * len(counts) <= OFFSETS else offsets, ["_name", "_piece"]
     )
     ranked = ranked.withColumn("_rank", (F.col("_rank") + F.col("_offset")).cast("bigint"))
-    placed = once(
-        ranked.join(F.broadcast(_timetable(spark, plan)), "_name"),
-        _phase=F.get(
-            F.filter("_phases", lambda p: (F.floor(F.col("_rank") / block) >= p["first"]) & (F.floor(F.col("_rank") / block) < p["stop"])), F.lit(0)
-        ),
-    )
-    turn = F.floor(F.col("_rank") / block) - F.col("_phase.first")
-    length = F.size("_phase.slots")
-    slot = F.get("_phase.slots", (turn % length).cast("int")) + F.floor(turn / length) * F.col("_phase.step")
+    number = F.floor(F.col("_rank") / block)
+    ranked = ranked.withColumn("_run", F.floor(number / RUN).cast("bigint")).withColumn("_turn", (number % RUN).cast("int"))
+    placed = ranked.join(_timetable(spark, plan, held), ["_name", "_run"])
+    slot = F.get("_slots", F.col("_turn"))
     own = [F.col(f"_in.`{c}`") for c in docs.columns if c.lower() not in ("mix_slot", "mix_position")]
     return placed.withColumn("_slot", slot.cast("bigint")).select(
         *own,

@@ -360,6 +360,25 @@ def test_mixing(spark, docs, nothing):
     assert mixing.mix(nothing).columns == [*nothing.columns, "mix_slot", "mix_position"]
 
 
+def test_mixing_keeps_to_the_weights_through_a_phase(spark):
+    goal = {"a": 19} | {f"b{i}": 2 for i in range(19)}
+    rows = [("a",)] * 4000 + [(f"b{i}",) for i in range(19)] * 421
+    frame = spark.createDataFrame([(i, s) for i, (s,) in enumerate(rows)], "doc_id long, source string")
+    mixed = mixing.mix(frame, goal, block=1)
+    order = [r["source"] for r in mixed.orderBy("mix_slot").collect()]
+    assert sorted(order) == sorted(s for s, in rows)
+    total, given = sum(goal.values()), dict.fromkeys(goal, 0)
+    # Some twelve rounds of a thousand slots; a source's deviation is largest around its own turns.
+    for slot, s in enumerate(order[:11_990]):
+        assert abs(given[s] * total - goal[s] * slot) < total
+        given[s] += 1
+        assert abs(given[s] * total - goal[s] * (slot + 1)) < total
+    assert all(abs(n * total - goal[s] * 11_990) < total for s, n in given.items())
+    # A timetable written in parts gives the same places.
+    place = lambda df: {r["doc_id"]: r["mix_position"] for r in df.collect()}
+    assert place(mixing.mix(frame, goal, block=1, held=3000)) == place(mixed)
+
+
 def measured(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
     seen, repeated = {}, set()
