@@ -1,10 +1,9 @@
-"""Benchmark decontamination with spaced seeds.
+"""Benchmark decontamination with short seeds.
 
-A seed is a window of words of which a fixed mask ignores some.  Two windows that agree on the
-words a mask keeps have the same hash, whatever stands in the ignored places.  The three masks
-ignore disjoint places that together are the whole window, so a window with one substituted word
-is found by one of them.  Test and training hashes are joined, and around a hit the words of both
-are compared along its diagonal.
+A seed is a run of ``SEED`` words.  Substitutions that break every such run of a stretch are at least
+a fourth of its words, and a stretch that counts as an overlap has a fifth at most: so every overlap
+has a seed, wherever its substitutions stand.  Test and training hashes are joined, and along the
+diagonal of a hit the words of both are compared at every window whose stretch can hold the hit.
 """
 
 from __future__ import annotations
@@ -14,16 +13,23 @@ from pyspark.sql import functions as F
 
 from .frames import once, packed
 
+#: Words of a window.
 SPAN = 12
-#: The places each mask keeps.
-MASKS = tuple(tuple(i for i in range(SPAN) if i % 3 != left_out) for left_out in range(3))
-#: Words compared to the left and to the right of a hit.
+#: Words of a seed.
+SEED = 4
+#: Words compared to the left and to the right of a window.
 REACH = 12
-#: A hit is an overlap when its window has at most this many substituted words,
+#: A run of agreeing words is looked at from its first seed, and from each whose place in the item is
+#: a multiple of this.
+STEP = 16
+#: The windows looked at from a seed: from the one whose stretch ends with the seed to the last one
+#: whose stretch begins before the next seed that is looked at.
+FIRST, LAST = SEED - SPAN - REACH, REACH + STEP - 1
+#: A window is an overlap when it has at most this many substituted words,
 SUBSTITUTED = 1
 #: or when the compared stretch has at least this many words of which this share (percent) agree.
 STRETCH, SHARE = 20, 80
-#: Seeds sent to every task at once.  A seed row is under 3 kB, so this bounds a broadcast to tens
+#: Seeds sent to every task at once.  A seed row is under 2 kB, so this bounds a broadcast to tens
 #: of megabytes; a larger benchmark goes through in several blocks, each against all documents.
 BLOCK = 20_000
 
@@ -32,18 +38,8 @@ def _words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
 
 
-def _keys(at: Column) -> Column:
-    """The hash of each mask at a place of ``_hashes``."""
-    return F.array(
-        *[F.xxhash64(F.lit(m), *[F.get("_hashes", at + k) for k in kept]) for m, kept in enumerate(MASKS)]
-    )
-
-
-def _seeded(df: DataFrame) -> DataFrame:
-    """A row per place and mask: ``_pos`` and ``_key``."""
-    last = F.size("_hashes") - SPAN
-    df = df.filter(last >= 0).select("*", F.explode(F.sequence(F.lit(0), last)).alias("_pos"))
-    return df.select("*", F.explode(_keys(F.col("_pos"))).alias("_key"))
+def _key(at: Column) -> Column:
+    return F.xxhash64(*[F.get("_hashes", at + k) for k in range(SEED)])
 
 
 def _hashed(df: DataFrame) -> DataFrame:
@@ -55,14 +51,16 @@ def seeds(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text
     """The seeds of the items, with the item's words around each.  Items under ``SPAN`` words have
     none: they are too short to tell a leak from common speech."""
     items = benchmark.select(F.col(item_col).alias("item"), F.col(text_col).alias("_text"))
-    return _seeded(_hashed(items)).select(
-        "_key",
+    df = _hashed(items).filter(F.size("_hashes") >= SPAN)
+    df = df.select("*", F.explode(F.sequence(F.lit(0), F.size("_hashes") - SEED)).alias("_pos"))
+    before = F.least(F.col("_pos"), F.lit(REACH - FIRST))
+    return df.select(
+        _key(F.col("_pos")).alias("_key"),
         "item",
         F.col("_pos").alias("item_pos"),
-        F.least(F.col("_pos"), F.lit(REACH)).alias("before"),
-        F.slice(
-            "_words", F.greatest(F.col("_pos") - REACH, F.lit(0)) + 1, F.least(F.col("_pos"), F.lit(REACH)) + SPAN + REACH
-        ).alias("around"),
+        F.get("_hashes", F.col("_pos") - 1).alias("_last"),
+        before.alias("before"),
+        F.slice("_words", F.col("_pos") - before + 1, before + LAST + SPAN + REACH).alias("around"),
     )
 
 
@@ -106,24 +104,33 @@ ANCHOR = 0
 
 def _hits(work: DataFrame, part: DataFrame, anchors: bool) -> DataFrame:
     """Verified hits, and with ``anchors`` one row per document that has no leak in it."""
-    last = F.size("_hashes") - SPAN
+    last = F.when(F.size("_hashes") >= SPAN, F.size("_hashes") - SEED).otherwise(-1)
     df = _hashed(work)
     if anchors:
         # Place -1 stands for the document itself.  An inner join drops what hit nothing before any
         # row with its words is written out.
-        df = df.select("*", F.explode(F.sequence(F.lit(-1), F.greatest(last, F.lit(-1)))).alias("_pos"))
-        keys = F.when(F.col("_pos") < 0, F.array(F.lit(ANCHOR).cast("bigint"))).otherwise(_keys(F.col("_pos")))
-        df = df.select("*", F.explode(keys).alias("_key"))
+        df = df.select("*", F.explode(F.sequence(F.lit(-1), last)).alias("_pos"))
+        key = F.when(F.col("_pos") < 0, F.lit(ANCHOR).cast("bigint")).otherwise(_key(F.col("_pos")))
         own = part.sparkSession.range(1, numPartitions=1).select(F.lit(ANCHOR).cast("bigint").alias("_key"))
         part = part.withColumn("_own", F.lit(False)).unionByName(
             own.withColumn("_own", F.lit(True)), allowMissingColumns=True
         )
     else:
-        df = _seeded(df)
+        df = df.filter(last >= 0).select("*", F.explode(F.sequence(F.lit(0), last)).alias("_pos"))
+        key = _key(F.col("_pos"))
         part = part.withColumn("_own", F.lit(False))
+    df = df.select("*", F.explode(F.array(key)).alias("_key"))
     part = part.withColumnRenamed("_key", "_seed")
     here = F.col("_pos") >= 0
-    joined = df.join(F.broadcast(part), (F.col("_key") == F.col("_seed")) & ((here & ~F.col("_own")) | (~here & F.col("_own"))))
+    head = (
+        (F.col("_pos") == 0)
+        | F.col("_last").isNull()
+        | (F.col("_last") != F.get("_hashes", F.col("_pos") - 1))
+        | (F.col("item_pos") % STEP == 0)
+    )
+    joined = df.join(
+        F.broadcast(part), (F.col("_key") == F.col("_seed")) & ((here & ~F.col("_own") & head) | (~here & F.col("_own")))
+    )
     start = F.greatest(F.col("_pos") - F.col("before"), F.lit(0))
     # Where the document begins later than the item, the item's words before that have no partner.
     skip = F.col("before") - (F.col("_pos") - start)
@@ -145,18 +152,35 @@ def _hits(work: DataFrame, part: DataFrame, anchors: bool) -> DataFrame:
     # generation and every seed would be written out with its document's words.
     pairs = F.arrays_zip(F.col("_theirs").alias("a"), F.col("_ours").alias("b"))
     same = F.transform(pairs, lambda p: F.coalesce(p["a"] == p["b"], F.lit(False)))
-    hits = once(hits, _same=F.when(~F.col("_own"), same))
     compared = F.least(F.size("_theirs"), F.size("_ours"))
-    window = agree(F.slice("_same", F.col("_left") + 1, F.lit(SPAN)))
-    total = agree(F.col("_same"))
-    leak = (window >= SPAN - SUBSTITUTED) | (
-        (compared >= STRETCH) & (100 * total >= SHARE * compared)
-    )
-    return hits.filter(F.col("_own") | leak).select(
-        "_row",
-        "_in",
-        F.when(~F.col("_own"), F.struct("item", "item_pos", "doc_pos", total.alias("agree"))).alias("leak"),
+    hits = once(hits, _same=F.when(~F.col("_own"), F.slice(same, F.lit(1), compared)))
+    first = F.greatest(F.col("_left") + FIRST, F.lit(0))
+    last = F.least(F.col("_left") + LAST, F.size("_same") - SPAN)
+
+    def window(at: Column) -> Column:
+        before = F.least(at, F.lit(REACH))
+        stretch = F.slice("_same", at - before + 1, before + SPAN + REACH)
+        return F.struct(
+            (at - F.col("_left")).alias("by"),
+            agree(F.slice("_same", at + 1, F.lit(SPAN))).alias("inside"),
+            agree(stretch).alias("total"),
+            F.size(stretch).alias("n"),
+        )
+
+    places = F.when(last >= first, F.sequence(first, last))
+    hits = once(hits, _windows=F.when(~F.col("_own"), F.transform(places, window)))
+    overlap = lambda w: (w["inside"] >= SPAN - SUBSTITUTED) | ((w["n"] >= STRETCH) & (100 * w["total"] >= SHARE * w["n"]))
+    leaks = F.transform(
+        F.filter("_windows", overlap),
+        lambda w: F.struct(
+            F.col("item"),
+            (F.col("item_pos") + w["by"]).alias("item_pos"),
+            (F.col("doc_pos") + w["by"]).alias("doc_pos"),
+            w["total"].alias("agree"),
+        ),
     )
+    hits = once(hits, _leaks=leaks)
+    return hits.filter(F.col("_own") | (F.size("_leaks") > 0)).select("_row", "_in", F.explode_outer("_leaks").alias("leak"))
 
 
 def report(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", block: int = BLOCK) -> DataFrame:

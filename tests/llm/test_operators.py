@@ -321,6 +321,58 @@ def test_decontamination(spark, docs, nothing):
     assert decontaminate.report(frame, benchmark.limit(0)).filter("contaminated").count() == 0
 
 
+def test_every_overlap_has_a_seed():
+    def fewest(n):
+        """Substitutions that leave no agreeing run of a seed's length, over all patterns of n words."""
+        runs = {0: 0}
+        for _ in range(n):
+            longer = {run + 1: k for run, k in runs.items() if run + 1 < decontaminate.SEED}
+            runs = longer | {0: min(runs.values()) + 1}
+        return min(runs.values())
+
+    longest = decontaminate.SPAN + 2 * decontaminate.REACH
+    for n in range(decontaminate.STRETCH, longest + 1):
+        assert 100 * (n - fewest(n)) < decontaminate.SHARE * n
+    assert fewest(decontaminate.SPAN) > decontaminate.SUBSTITUTED
+
+
+def test_decontamination_wherever_substitutions_stand(spark):
+    rng = random.Random(11)
+    items = [[f"w{rng.randrange(300)}" for _ in range(n)] for n in (20, 24, 30, 45, 120)]
+    rows = []
+    for i in range(70):
+        item = items[i % 5]
+        n = rng.choice([x for x in (20, 24, 30, 36) if x <= len(item)])
+        at = rng.randrange(len(item) - n + 1)
+        part = item[at : at + n]
+        # Every fifth word, or a fifth of the words drawn; some a word beyond what counts.
+        places = range(i % 4, n, 5) if i % 2 else rng.sample(range(n), n // 5 + (i % 6 == 0))
+        for k in places:
+            part[k] = "other"
+        around = [[f"x{rng.randrange(50)}" for _ in range(rng.choice([0, 0, 5, 40]))] for _ in range(2)]
+        rows.append((i, " ".join([*around[0], *part, *around[1]])))
+    rows += [(90, " ".join(items[4])), (91, " ".join(items[4][:60] + ["z"] * 9 + items[4][30:]))]
+
+    def brute(mine, theirs):
+        for i in range(len(theirs) - 11):
+            for j in range(len(mine) - 11):
+                span = range(-min(i, j, 12), min(len(theirs) - i, len(mine) - j, 24))
+                same = {o for o in span if theirs[i + o] == mine[j + o]}
+                if len(same & set(range(12))) >= 11 or (len(span) >= 20 and 100 * len(same) >= 80 * len(span)):
+                    yield j
+
+    benchmark = spark.createDataFrame([(k, " ".join(x)) for k, x in enumerate(items)], "item_id long, text string")
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    for block in (decontaminate.BLOCK, 60):
+        found = {r["doc_id"]: r for r in decontaminate.report(frame, benchmark, block=block).collect()}
+        for i, text in rows:
+            at = {k: list(brute(text.split(" "), x)) for k, x in enumerate(items)}
+            places = sum(at.values(), [])
+            assert found[i]["items"] == [k for k, x in at.items() if x]
+            assert (found[i]["n_hits"], found[i]["first_word"]) == (len(places), min(places, default=None))
+    assert sum(r["contaminated"] for r in found.values()) >= 30
+
+
 def test_schedule_deviates_less_than_a_block():
     rng = random.Random(7)
     for _ in range(30):
