@@ -45,8 +45,9 @@ def _export_index() -> str:
             for pos, (name, kind) in enumerate(c.split() for c in columns.split(", "))
         )
         parts.append(
-            f"select '{table}' as table_name, (select count(*) from {table}) as row_count, "
-            f"'OK' as status, pos, name, type from (values {rows}) as c(pos, name, type)"
+            f"select form, '{table}' as table_name, (select count(*) from {table}) as row_count, "
+            f"status, pos, name, type from (values {rows}) as c(pos, name, type) cross join "
+            "(values ('file', 'OK'), ('parts', 'OK (a folder of parts)')) as f(form, status)"
         )
     return "\nunion all\n".join(parts)
 

@@ -327,19 +327,25 @@ def _flat_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
 
 
 def export_index(spark: SparkSession, sf: str) -> DataFrame:
-    """Every flat table exported, and the indexes read back with the row counts reported."""
+    """Every flat table exported in both forms, and the indexes read back with the rows reported."""
     root = hadoop.fresh_folder(spark, "export-index")
     reports = [
-        export_table(df, f"{root}/{n}", n, single_file=False)
+        export_table(df, f"{root}/{form}/{n}", n, single_file=form == "file").withColumn(
+            "form", F.lit(form)
+        )
+        for form in ("parts", "file")
         for n, df in _flat_tables(spark, sf).items()
     ]
-    columns = index_catalog(spark, f"{root}/*/index.xml").select(
-        "table_name", F.posexplode("columns").alias("pos", "c")
+    columns = index_catalog(spark, f"{root}/*/*/index.xml").select(
+        F.regexp_extract("index_path", "/([a-z]+)/[^/]+/index.xml$", 1).alias("form"),
+        "table_name",
+        F.posexplode("columns").alias("pos", "c"),
     )
     return (
         as_union(reports)
-        .join(columns, "table_name")
+        .join(columns, ["form", "table_name"])
         .select(
+            "form",
             "table_name",
             "row_count",
             "status",
