@@ -203,9 +203,145 @@ from sized
 group by conv_id
 """
 
+# Every pair of texts with a shingle in common, its overlap counted, and the groups followed link by
+# link.
+JACCARD = r"""
+with recursive d as (
+  select row_number() over () as r, doc_id,
+    regexp_extract_all(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x20\x09-\x0D]+') as w
+  from documents
+),
+sets as (
+  select r, doc_id, case
+      when len(w) = 0 then []
+      when len(w) < 3 then [array_to_string(w, ' ')]
+      else list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))
+    end as s
+  from d
+),
+classes as (select list_sort(s) as s, min(r) as k, len(s) as n, min(doc_id) as first from sets where len(s) > 0 group by 1, 3),
+held as (select k, n, unnest(s) as g from classes),
+common as (
+  select a.k as a, b.k as b, a.n as na, b.n as nb, count(*) as c
+  from held a join held b on a.g = b.g and a.k < b.k and 100 * a.n >= 90 * b.n and 100 * b.n >= 90 * a.n
+  group by all
+),
+links as (select a, b from common where 100 * c >= 90 * (na + nb - c)),
+edges as (select a, b from links union all select b, a from links),
+reach(a, b) as (
+  select a, b from edges union select reach.a, edges.b from reach join edges on reach.b = edges.a
+),
+lowest as (
+  select x.k, least(x.first, min(y.first)) as component_id
+  from classes x left join reach on reach.a = x.k left join classes y on y.k = reach.b group by x.k, x.first
+)
+select sets.doc_id, len(sets.s)::bigint as n_shingles, coalesce(component_id, sets.doc_id) as component_id
+from sets left join classes on classes.s = list_sort(sets.s) left join lowest on lowest.k = classes.k
+"""
+
+# The CRC of each distinct word byte by byte, with a table made by its polynomial.
+RESAMPLING = r"""
+with recursive steps(i, c, k) as (
+  select i, i::ubigint, 0 from range(256) as t(i)
+  union all
+  select i, case when c % 2 = 1 then xor(c // 2, 3988292384::ubigint) else c // 2 end, k + 1 from steps where k < 8
+),
+crc as (select list(c order by i) as t from steps where k = 8),
+texts as (
+  select row_number() over () as r, true as ours, doc_id, coalesce(text, '') as text from documents
+  union all
+  select -row_number() over (), false, null, coalesce(text, '') from benchmark
+),
+words as (
+  select r, ours, doc_id, regexp_extract_all(
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from texts
+),
+each_ as (select r, ours, unnest(w) as f from words),
+known as (select distinct f from each_),
+hexed as (select f, hex(encode(f)) as h from known),
+hashed as (
+  select f, (xor(list_reduce(
+      list_prepend(4294967295::ubigint, list_transform(range(1, length(h), 2), lambda i: ('0x' || h[i:i + 1])::ubigint)),
+      lambda x, y: xor(x // 256, t[(xor(x, y) % 256)::bigint + 1])), 4294967295::ubigint) % 10000)::bigint as bucket
+  from hexed, crc
+),
+counts as (
+  select bucket, count(*) filter (ours) as s, count(*) filter (not ours) as t
+  from each_ join hashed using (f) group by bucket
+),
+total as (select coalesce(sum(s), 0) + 10000 as s_all, coalesce(sum(t), 0) + 10000 as t_all from counts),
+gain as (
+  select bucket, floor(1000 * ln(((t + 1) * s_all)::double / ((s + 1) * t_all)::double))::bigint as g from counts, total
+),
+weights as (
+  select r, sum(g)::bigint as weight from each_ join hashed using (f) join gain using (bucket) where ours group by r
+),
+scored as (
+  select words.r, doc_id, len(w)::bigint as n_features, coalesce(weight, 0) as weight,
+    coalesce(weight, 0) + floor(-1000 * ln(-ln(
+      (('0x' || sha256('2024:' || coalesce(doc_id::varchar, ''))[1:8])::bigint + 0.5::double) / 4294967296::double)))::bigint as score
+  from words left join weights on weights.r = words.r where ours
+),
+placed as (
+  select *, row_number() over (partition by n_features >= 20 order by score desc, doc_id nulls last, r) as place,
+    count(*) over (partition by n_features >= 20) as n
+  from scored
+)
+select doc_id, n_features, weight, score,
+  case when n_features >= 20 and place <= n * 10 // 100 then place end as rank
+from placed
+"""
+
+
+def _clusters(rounds: int = 3) -> str:
+    """The rounds written out one after the other."""
+    steps = []
+    for i in range(rounds + 1):
+        steps.append(f"""
+near{i} as (
+  select r, c, dist from (
+    select v.r, m.c, list_sum(list_transform(range(1, 65), lambda j: (v.x[j] - m.x[j]) * (v.x[j] - m.x[j])))::bigint as dist
+    from kept v, m{i} m
+  ) qualify row_number() over (partition by r order by dist, c) = 1
+)""")
+        if i < rounds:
+            # // cuts towards zero; the remainder's sign tells where the floor is one less.
+            steps.append(f"""
+parts{i} as (
+  select c, j, sum(x[j])::bigint as s, count(*) as n from near{i} join kept using (r), range(1, 65) as t(j) group by c, j
+),
+m{i + 1} as (
+  select m.c, coalesce(p.x, m.x) as x from m{i} m left join (
+    select c, list((s - ((s % n) + n) % n) // n order by j) as x from parts{i} group by c
+  ) p using (c)
+)""")
+    return f"""
+with v as (select row_number() over () as r, vec_id, embedding as e from embeddings),
+kept as (
+  select r, vec_id, list_transform(e, lambda x: floor(64 * x::double)::bigint) as x
+  from v where len(e) = 64 and len(list_filter(e, lambda x: x is not null and isfinite(x))) = 64
+),
+m0 as (
+  select row_number() over (order by h, x) - 1 as c, x
+  from (select sha256('1:' || coalesce(vec_id::varchar, '')) as h, x from kept) order by h, x limit 16
+),{",".join(steps)}
+select vec_id, near{rounds}.c::integer as cluster, dist as distance,
+  (sum(dist) over (partition by near{rounds}.c))::bigint as cluster_inertia, (sum(dist) over ())::bigint as inertia,
+  sha256(array_to_string(m.x, ',')) as centroid_sha256
+from near{rounds} join kept using (r) join m{rounds} m on m.c = near{rounds}.c
+"""
+
+
 ORACLES: dict[str, str] = {
     "op3_license_scan": LICENSES,
     "op4_chat_format": CHAT,
     "op5_decontamination": LEAKS,
     "op7_quality_rules": QUALITY,
+    "op11_jaccard_join": JACCARD,
+    "op12_importance_resampling": RESAMPLING,
+    "op13_centroid_clustering": _clusters(),
 }

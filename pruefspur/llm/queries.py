@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
+    centroids,
     chat,
     decontaminate,
+    importance,
+    jaccard,
     langid,
     licenses,
     linededup,
@@ -123,6 +126,18 @@ def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("n_tokens", F.col("n_tokens").cast("bigint"))
 
 
+def jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents"))
+
+
+def importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": language_id,
     "op2_line_dedup": line_dedup,
@@ -134,4 +149,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secret_scan": secrets,
     "op9_near_duplicates": near_duplicates,
     "op10_token_counts": token_counts,
+    "op11_jaccard_join": jaccard_join,
+    "op12_importance_resampling": importance_resampling,
+    "op13_centroid_clustering": centroid_clustering,
 }
