@@ -28,6 +28,9 @@ SHINGLE, PERCENT = 3, 90
 PLACE_BITS = 16
 #: Bits of a signature: the parity of how many shingles fall on each.
 BITS = 1024
+#: Texts (16 bytes of keys each) up to which the keys of those wanted go to every task; more of them
+#: are joined by a shuffle.
+BROADCAST_KEYS = 500_000
 #: Rows of one cell, size band and side that meet in one tile.
 TILE = 1024
 _TEXT_BYTES_AT_ONCE = 1 << 24
@@ -122,6 +125,10 @@ def _verified(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
     return run
 
 
+def _sizes_fit(percent: int) -> Column:
+    return (100 * F.col("na") >= percent * F.col("nb")) & (100 * F.col("nb") >= percent * F.col("na"))
+
+
 def _may_link(percent: int) -> Column:
     """Whether sizes ``na`` and ``nb`` and the signatures allow the threshold.  A shingle that one of two
     sets lacks changes one bit, so the overlap is at most half of what the sizes are more than the
@@ -130,16 +137,17 @@ def _may_link(percent: int) -> Column:
     for i in range(BITS // 64):
         differing = differing + F.bit_count(F.col("qa")[i].bitwiseXOR(F.col("qb")[i]))
     both = F.col("na") + F.col("nb")
-    sizes = (100 * F.col("na") >= percent * F.col("nb")) & (100 * F.col("nb") >= percent * F.col("na"))
-    return sizes & ((100 + percent) * (both - differing) >= 2 * percent * both)
+    return _sizes_fit(percent) & ((100 + percent) * (both - differing) >= 2 * percent * both)
 
 
 def _links(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """The pairs of nodes that hold on their full sets; only their texts are moved."""
     needed = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     # A node's text is found by its content, which is the same in every scan.
-    of = nodes.select("node", "t1", "t2").join(needed, "node")
-    found = texts.join(of.select("t1", "t2"), ["t1", "t2"], "left_semi").dropDuplicates(["t1", "t2"])
+    of = reliable(nodes.select("node", "t1", "t2").join(needed, "node"))
+    keys = of.select("t1", "t2")
+    keys = F.broadcast(keys) if of.count() <= BROADCAST_KEYS else keys
+    found = texts.join(keys, ["t1", "t2"], "left_semi").dropDuplicates(["t1", "t2"])
     full = reliable(of.join(found, ["t1", "t2"]).select("node", "_text"))
     side = lambda x: full.select(F.col("node").alias(x), F.col("_text").alias(f"t{x}"))
     moved = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "ta", "tb")
@@ -150,37 +158,41 @@ def _side(rows: DataFrame, x: str, *more: str) -> DataFrame:
     return rows.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("bits").alias(f"q{x}"), *more)
 
 
-def led(members: DataFrame) -> DataFrame:
-    """Pairs of nodes with leaders of their cells, a few per node: the leader that most cells have in
-    common, and in about eight of a node's cells one drawn for that cell.  ``members`` has cell and
-    node, a row each."""
+def led(members: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Pairs of nodes with leaders of their cells that the sizes allow, a few per node: the leader that
+    most cells have in common, and in about eight of a node's cells one drawn for that cell.
+    ``members`` has cell, node and n."""
     crowd = members.groupBy("node").agg(F.count(F.lit(1)).alias("cells"))
     rows = members.join(crowd, "node")
     # What was copied shares more of its shingles than an edited copy does, so it leads most of its cells.
     leaders = rows.groupBy("cell").agg(
-        F.max(F.struct("cells", F.xxhash64("node").alias("h"), "node")).alias("top"),
-        F.min(F.struct(F.xxhash64("node", "cell").alias("h"), "node")).alias("drawn"),
+        F.max(F.struct("cells", F.xxhash64("node").alias("h"), "node", "n")).alias("top"),
+        F.min(F.struct(F.lit(0).cast("bigint").alias("cells"), F.xxhash64("node", "cell").alias("h"), "node", "n")).alias("drawn"),
     )
-    here = rows.join(leaders.select("cell", F.col("top.node").alias("top"), F.col("drawn.node").alias("drawn")), "cell")
+    here = rows.join(leaders, "cell")
     few = F.pmod(F.xxhash64("cell", "node"), F.greatest(F.floor(F.col("cells") / 8), F.lit(1))) == 0
-    met = here.select("node", F.explode(F.array("top", F.when(few, F.col("drawn")))).alias("leader"))
-    met = met.filter(F.col("leader") != F.col("node"))
-    return met.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
+    met = here.select("node", F.col("n").alias("na"), F.explode(F.array("top", F.when(few, F.col("drawn")))).alias("leader"))
+    met = met.withColumn("nb", F.col("leader.n")).filter((F.col("leader.node") != F.col("node")) & _sizes_fit(percent))
+    pair = F.least("node", "leader.node").alias("a"), F.greatest("node", "leader.node").alias("b")
+    return met.select(*pair).distinct()
 
 
-def tiled(rows: DataFrame, percent: int = PERCENT, tile: int = TILE) -> DataFrame:
+def tiled(rows: DataFrame, signs: DataFrame, percent: int = PERCENT, tile: int = TILE) -> DataFrame:
     """Pairs of nodes of different components that share a cell and may link.  ``rows`` has cell, node,
-    n, bits and component.
+    n and component, ``signs`` each node's bits.
 
     Partners' sizes lie in one band or in two neighbouring ones.  A cell's rows of a band are dealt to
     parts of about ``tile`` rows, and any two parts that must meet are one join key."""
     # A little wider than the threshold's ratio, so that rounding puts no partners two bands apart.
     step = max(math.log(100 / percent), 0.01) * (1 + 1e-6)
     rows = rows.withColumn("band", F.floor(F.log(F.col("n")) / step).cast("int"))
-    parts = rows.groupBy("cell", "band").agg(F.ceil(F.count(F.lit(1)) / tile).cast("int").alias("parts"))
+    size = F.count(F.lit(1))
+    parts = rows.groupBy("cell", "band").agg(F.ceil(size / tile).cast("int").alias("parts"), (size == 1).alias("alone"))
     near = lambda by, name: parts.select("cell", (F.col("band") - by).alias("band"), F.col("parts").alias(name))
     spread = parts.join(near(1, "above"), ["cell", "band"], "left").join(near(-1, "below"), ["cell", "band"], "left")
-    rows = rows.join(spread, ["cell", "band"])
+    # What stands alone in its band and beside empty ones has no partner in its cell.
+    spread = spread.filter(~F.col("alone") | F.col("above").isNotNull() | F.col("below").isNotNull())
+    rows = rows.join(spread, ["cell", "band"]).join(signs.select("node", "bits"), "node")
     rows = rows.withColumn("part", F.pmod(F.xxhash64("node", "cell"), F.col("parts")).cast("int"))
 
     def meeting(beside: str) -> DataFrame:
@@ -242,18 +254,18 @@ def join(
     nodes = written(nodes.select("node", "n", "t1", "t2", "bits", "prefix"), "nodes")
     texts = numbered.select("t1", "t2", "_text").filter(F.col("_text").isNotNull())
 
-    cells = nodes.select("node", F.explode("prefix").alias("cell"))
+    cells = nodes.select("node", "n", F.explode("prefix").alias("cell"))
     crowded = cells.groupBy("cell").agg(F.min("node").alias("low"), F.max("node").alias("high"))
     members = written(cells.join(crowded.filter("low < high").select("cell"), "cell"), "members")
     signs = nodes.select("node", "n", "bits")
-    pairs = led(members).join(_side(signs, "a"), "a").join(_side(signs, "b"), "b").filter(_may_link(percent))
+    pairs = led(members, percent).join(_side(signs, "a"), "a").join(_side(signs, "b"), "b").filter(_may_link(percent))
     links = reliable(_links(written(pairs.select("a", "b"), "led"), nodes, texts, percent))
 
     tied = components(links)
-    here = members.join(tied, "node", "left").select("cell", "node", F.coalesce("component", "node").alias("component"))
+    here = members.join(tied, "node", "left").select("cell", "node", "n", F.coalesce("component", "node").alias("component"))
     mixed = here.groupBy("cell").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    open_ = written(here.join(mixed.filter("low < high").select("cell"), "cell").join(signs, "node"), "open")
-    more = _links(written(tiled(open_, percent, tile), "tiled"), nodes, texts, percent)
+    open_ = written(here.join(mixed.filter("low < high").select("cell"), "cell"), "open")
+    more = _links(written(tiled(open_, signs, percent, tile), "tiled"), nodes, texts, percent)
     tied = components(links.unionByName(more))
 
     alike = alike.join(tied, "node", "left").withColumn("component", F.coalesce("component", "node"))

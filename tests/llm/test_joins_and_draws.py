@@ -10,6 +10,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from pruefspur.llm import centroids, importance, jaccard, kernels
 
@@ -100,9 +101,10 @@ def test_tiles_lose_no_pair(spark, percent):
     """Every pair of sets in one cell that the sizes allow comes out of exactly those tiles that meet."""
     rng = random.Random(percent)
     sizes = [rng.randint(1, 400) for _ in range(60)] + [90, 100, 81, 900, 1000, 9, 10]
-    rows = [(cell, 100 * cell + i, n, [0] * 16, i % 5) for cell in (1, 2) for i, n in enumerate(sizes)]
-    frame = spark.createDataFrame(rows, "cell long, node long, n long, bits array<long>, component long")
-    got = {tuple(r) for r in jaccard.tiled(frame, percent, 4).collect()}
+    rows = [(cell, 100 * cell + i, n, None, i % 5) for cell in (1, 2) for i, n in enumerate(sizes)]
+    frame = spark.createDataFrame(rows, "cell long, node long, n long, nothing int, component long")
+    signs = frame.select("node", F.array(*[F.lit(0).cast("bigint")] * 16).alias("bits"))
+    got = {tuple(r) for r in jaccard.tiled(frame, signs, percent, 4).collect()}
     want = {
         (a[1], b[1])
         for a, b in itertools.combinations(rows, 2)
