@@ -60,6 +60,20 @@ def qualified(spark: SparkSession, path: str) -> str:
     return fs.makeQualified(p).toString()
 
 
+def first_bytes(spark: SparkSession, path: str, count: int) -> bytes:
+    """The first bytes of a file, or of the first file of a folder that has any."""
+    fs, p = _resolve(spark, path)
+    if fs.getFileStatus(p).isDirectory():
+        files = (f for f in list_files(spark, path) if not f.is_dir and f.size and f.name[0] not in "._")
+        first = next(files, None)
+        return first_bytes(spark, first.path, count) if first else b""
+    stream = fs.open(p)
+    try:
+        return bytes(stream.readNBytes(count))
+    finally:
+        stream.close()
+
+
 def write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
     fs, p = _resolve(spark, path)
     out = fs.create(p, True)

@@ -15,6 +15,7 @@ FILE_REPORT = (
 BATCH_REPORT = "table_name string, file_name string, row_count bigint, status string"
 ARCHIVE_REPORT = "table_name string, row_count bigint, status string, source_zip string"
 EXPORT_REPORT = "table_name string, file_path string, row_count bigint, status string"
+CHARSET_REPORT = "table_name string, charset string"
 REJECT_REPORT = "table_name string, column_name string, rejected bigint"
 
 TRAVERSAL = "Path traversal detected: path contains '..' components"
@@ -40,7 +41,8 @@ class Tables(Mapping):
 
 
 class ImportResult:
-    """What an import gives: ``tables`` (lazy), ``report`` and ``rejects``."""
+    """What an import gives: ``tables`` (lazy), ``report``, ``rejects`` and ``charsets`` (what text tables
+    were read as)."""
 
     def __init__(
         self,
@@ -48,6 +50,7 @@ class ImportResult:
         tables: dict[str, Callable[[], DataFrame]],
         report: DataFrame,
         rejects: DataFrame | None = None,
+        charsets: DataFrame | None = None,
     ):
         self.spark = spark
         self._tables = Tables(tables)
@@ -55,6 +58,9 @@ class ImportResult:
         self.rejects = (
             rejects if rejects is not None else spark.createDataFrame([], REJECT_REPORT)
         )
+        self.charsets = (
+            charsets if charsets is not None else spark.createDataFrame([], CHARSET_REPORT)
+        )
 
     @property
     def tables(self) -> Tables:

@@ -167,6 +167,25 @@ select p_partkey as part_key, p_name as part_name, p_retailprice as retail_price
     "charset_pick": """
 select c_custkey as cust_key, c_name || ' Müller & Söhne €' as cust_name, origin
 from customer cross join (values ('western'), ('unicode')) as o(origin)""",
+    "charset_candidates": """
+select replace(charset, '-', '_') as table_name, c_custkey as cust_key,
+       c_name || ' ' || sample as cust_name, charset
+from customer cross join (values
+  ('windows-1252', 'Müller & Söhne – „Größe“ 5 €'), ('iso-8859-15', 'Müller & Söhne 5 € Œuvre'),
+  ('cp850', 'Müller Ñandú Ávila São Größe'), ('cp437', 'Länge ≥ 5 √ ≤ Größe ≈'),
+  ('windows-1250', 'Łódź Müller Kraków żółw'), ('utf-8', 'Łódź Größe ≥ 5 €')) as s(charset, sample)""",
+    "wide_charsets": """
+select replace(charset, '-', '_') as table_name, c_custkey as cust_key,
+       c_name || ' Größe 5 € ' || chr(2578) || chr(256) || chr(2561) || ' ' || chr(9472) as cust_name, charset
+from customer cross join (values ('utf-16-le'), ('utf-16-be')) as s(charset)""",
+    "folder_separators": """
+select o_orderkey as order_key, o_custkey as cust_key,
+       case when o_orderkey % 4 = 0 then 'x' else o_orderpriority end as rank_text,
+       (select count(*) from orders) as row_count,
+       (select count(*) from orders where o_orderkey % 4 = 0) as surplus_rows
+from orders""",
+    "folder_bad_rows": """
+select c_custkey as key, c_name as name, '(options)' as refused from customer where c_custkey % 3 <> 0""",
     "skip_lines": "select o_orderkey as order_key, o_totalprice as price from orders",
     "ragged_rows": """
 with shaped as (

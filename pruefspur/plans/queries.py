@@ -476,6 +476,93 @@ def charset_pick(spark: SparkSession, sf: str) -> DataFrame:
     return as_union([t.withColumn("origin", F.lit(n)) for n, t in tables.items()])
 
 
+#: A name as files in each charset may hold it.
+CHARSET_SAMPLES = {
+    "windows-1252": "Müller & Söhne – „Größe“ 5 €",
+    "iso-8859-15": "Müller & Söhne 5 € Œuvre",
+    "cp850": "Müller Ñandú Ávila São Größe",
+    "cp437": "Länge ≥ 5 √ ≤ Größe ≈",
+    "windows-1250": "Łódź Müller Kraków żółw",
+    "utf-8": "Łódź Größe ≥ 5 €",
+}
+
+
+def _charset_export(spark: SparkSession, sf: str, samples: dict[str, str]) -> str:
+    """An audit export with a table per charset, called after it; wide files start with their mark."""
+    customer = table(spark, sf, "customer")
+    folder = hadoop.fresh_folder(spark, "charsets")
+    schema = T.StructType().add("CustKey", T.LongType()).add("CustName", T.StringType())
+    names = {c: c.replace("-", "_") for c in samples}
+    for charset, sample in samples.items():
+        rows = customer.select(
+            F.lit("kunden").alias("stem"),
+            F.lit("\ufeff" if charset.startswith("utf-16") else "").alias("head"),
+            fx.joined([F.col("c_custkey"), F.concat_ws(" ", "c_name", F.lit(sample))], ";").alias("line"),
+        )
+        hadoop.make_dirs(spark, f"{folder}/{names[charset]}.txt")
+        fx.write_lines(spread(rows, "line"), f"{folder}/{names[charset]}.txt", "txt", charset)
+    index = fx.index_xml({n: schema for n in names.values()}, "charsets")
+    hadoop.write_bytes(spark, f"{folder}/index.xml", index.encode())
+    return folder
+
+
+def _with_charsets(result) -> DataFrame:
+    tables = [t.withColumn("table_name", F.lit(n)) for n, t in result.tables.items()]
+    return as_union(tables).join(F.broadcast(result.charsets), "table_name")
+
+
+def charset_candidates(spark: SparkSession, sf: str) -> DataFrame:
+    """Files in five charsets that are not UTF-8 and one that is, each named and read right."""
+    return _with_charsets(audit.import_export(spark, _charset_export(spark, sf, CHARSET_SAMPLES)))
+
+
+def wide_charsets(spark: SparkSession, sf: str) -> DataFrame:
+    """UTF-16 files of both byte orders in many splits; some names hold two characters whose halves
+    look like the end of a line."""
+    odd = "Größe 5 € \u0a12\u0100\u0a01 \u2500"
+    folder = _charset_export(spark, sf, {"utf-16-le": odd, "utf-16-be": odd})
+    small = spark.newSession()
+    small.conf.set("spark.sql.files.maxPartitionBytes", "65536")
+    small.conf.set("spark.sql.files.openCostInBytes", "0")
+    return _with_charsets(audit.import_export(small, folder))
+
+
+def folder_separators(spark: SparkSession, sf: str) -> DataFrame:
+    """Files whose first lines fit a comma better than the separator of the rest, and rows with more
+    fields than the header: the report tells of them."""
+    folder = hadoop.fresh_folder(spark, "separators")
+    orders = table(spark, sf, "orders")
+    key = F.col("o_orderkey").cast("string")
+    misleading = "".join(f"{i};0;A, B;surplus\n" for i in range(-30, 0))
+    line = F.when(F.col("o_orderkey") % 4 == 0, F.concat_ws(";", key, "o_custkey", F.lit("x"), F.lit("more")))
+    line = line.otherwise(F.concat_ws(";", key, "o_custkey", "o_orderpriority"))
+    rows = orders.select(
+        F.lit("orders").alias("stem"), F.lit("OrderKey;CustKey;Rank, Text\n" + misleading).alias("head"), line.alias("line")
+    )
+    fx.write_lines(spread(rows, "line"), folder, "csv")
+    result = import_folder(spark, folder, "csv")
+    noted = F.regexp_extract("status", r"^Warning: (\d+) rows have more fields", 1).cast("bigint")
+    lines_ = F.sum(F.col("row_count") - 30).alias("row_count")
+    told = result.report.agg(lines_, F.sum(noted - 30).alias("surplus_rows")).head()
+    return result.combined.drop("_file_name").where("order_key >= 0").select(
+        "*", *[F.lit(told[c]).alias(c) for c in ("row_count", "surplus_rows")]
+    )
+
+
+def folder_bad_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows with more fields than the header dropped on request, and an option that is refused."""
+    folder = hadoop.fresh_folder(spark, "bad-rows")
+    key = F.col("c_custkey")
+    line = F.concat_ws("|", key.cast("string"), "c_name", F.when(key % 3 == 0, F.lit("x|y")))
+    rows = table(spark, sf, "customer").select(
+        F.lit("customer").alias("stem"), F.lit("Key|Name|Note\n").alias("head"), line.alias("line")
+    )
+    fx.write_lines(spread(rows, "line"), folder, "dat")
+    kept = import_folder(spark, folder, "dat", drop_bad_rows=True)
+    refused = import_folder(spark, folder, "dat", ignore_all="yes").report.head()
+    return kept.combined.select("key", "name", F.lit(refused["table_name"]).alias("refused"))
+
+
 def skip_lines(spark: SparkSession, sf: str) -> DataFrame:
     """Two header lines per data file, passed over because the range starts at line 3."""
     folder = hadoop.fresh_folder(spark, "skip")
@@ -791,6 +878,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "import_datev_dir": import_datev_dir,
     "import_xml_layout": import_xml_layout,
     "charset_pick": charset_pick,
+    "charset_candidates": charset_candidates,
+    "wide_charsets": wide_charsets,
+    "folder_separators": folder_separators,
+    "folder_bad_rows": folder_bad_rows,
     "skip_lines": skip_lines,
     "ragged_rows": ragged_rows,
     "delimiter_check": delimiter_check,

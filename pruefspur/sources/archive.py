@@ -294,7 +294,7 @@ class ArchiveResult(ImportResult):
     def _typed(self, targets: DataFrame, layout_id: int, tasks: int | None = None, keep=()):
         row = self._layouts[layout_id]
         fields = entry_fields(targets, row, self._charset, self._opener, tasks)
-        spec = table_spec(row, [], self._layout)
+        spec = table_spec(row, "", self._layout)
         if keep:
             fields = fields.withColumns(keep)
         return typed_frame(fields, spec, keep=tuple(keep))
@@ -394,7 +394,7 @@ def import_archives(
 
     def measure(layout_id: int, row: Row) -> Callable[[], DataFrame]:
         def run() -> DataFrame:
-            spec = table_spec(row, [], layout)
+            spec = table_spec(row, "", layout)
             targets = loadable.where(F.col("layout_id") == layout_id)
             fields = entry_fields(targets, row, charset, opener)
             flags = (F.col("_utf8"), ln.odd_quotes(F.col("value")))

@@ -15,6 +15,7 @@ from ..functions import charset as cs
 from ..functions import convert as cv
 from ..operators import checks
 from ..operators.report import (
+    CHARSET_REPORT,
     IMPORT_REPORT,
     REJECT_REPORT,
     TRAVERSAL,
@@ -28,6 +29,10 @@ from .index_catalog import AUDIT, LAYOUTS, IndexLayout, index_catalog
 from .records import records, split_starts
 
 
+#: Bytes of a file's start that tell a wide charset.
+FIRST_BYTES = 512
+
+
 @dataclass(frozen=True)
 class ColumnSpec:
     name: str
@@ -51,6 +56,7 @@ class TableSpec:
     sep: str = ";"
     strict_dates: bool = False
     is_utf8: bool = False
+    place: str = ""
 
     @property
     def keys(self) -> list[str]:
@@ -70,8 +76,8 @@ class TableSpec:
         return T.StructType(fields)
 
 
-def table_spec(row: Row, paths: list[str], layout: IndexLayout, name: str | None = None) -> TableSpec:
-    """Table description from a catalog row."""
+def table_spec(row: Row, place: str, layout: IndexLayout, name: str | None = None) -> TableSpec:
+    """Table description from a catalog row and the place of its data, if it is a file of its own."""
     columns = tuple(
         ColumnSpec(c["name"], c["kind"], c["type"], c["precision"], c["is_primary_key"],
                    c["description"])
@@ -79,7 +85,8 @@ def table_spec(row: Row, paths: list[str], layout: IndexLayout, name: str | None
     )
     return TableSpec(
         name=name or row["table_name"],
-        paths=tuple(paths),
+        paths=(hadoop.literal(place),) if place else (),
+        place=place,
         columns=columns,
         decimal=row["decimal_symbol"],
         grouping=row["digit_grouping"],
@@ -102,9 +109,9 @@ def typed(raw: Column, column: ColumnSpec, spec: TableSpec) -> Column:
     return cv.clean_text(raw)
 
 
-def raw_lines(spark: SparkSession, spec: TableSpec) -> DataFrame:
-    """The lines of a table after those to skip, undecoded."""
-    scanned = ln.text_lines(spark, list(spec.paths))
+def raw_lines(spark: SparkSession, spec: TableSpec, charset: str | None = None) -> DataFrame:
+    """The lines of a table after those to skip, undecoded unless the charset is a wide one."""
+    scanned = ln.text_lines(spark, list(spec.paths), charset)
     return ln.drop_head(scanned.select("path", "block", "more", "value"), spec.skip)
 
 
@@ -118,12 +125,12 @@ def raw_fields(
     lines within quotes part of one record.
     """
     width = len(spec.columns)
-    rows = raw_lines(spark, spec)
+    rows = raw_lines(spark, spec, charset)
     if starts is not None:
         rows = records(rows, starts, spec.sep)
     rows = ln.without_blank_lines(rows, width)
     text = F.col("value")
-    if charset is not None and not cs.is_utf8(charset):
+    if charset is not None and not (cs.is_utf8(charset) or cs.is_wide(charset)):
         text = cs.decoded(text.cast("binary"), charset)
     return rows.select(
         ln.split_fields(text, width, spec.sep).alias("fields"),
@@ -263,12 +270,16 @@ def check_table(
 ) -> Checked:
     """Counts about the rows that will be loaded.
 
-    One scan says which charset the table has and whether quotes span lines.  Where the answer is
+    One scan says whether the table is UTF-8 and whether quotes span lines.  Where the answer is
     not what that scan took for granted, the counts are taken again from the rows as they will be.
+    The first bytes of the data tell a wide charset; which other one it is, all of its lines that are not
+    UTF-8 say.
     """
-    if charset is not None and not cs.is_utf8(charset):
-        cs.single_byte_map(charset)  # refuses what cannot be decoded before anything is read
-    starts = split_starts(raw_lines(spark, spec), spec.sep) if multiline else None
+    if charset is not None:
+        cs.readable(charset)  # refuses what cannot be decoded before anything is read
+    else:
+        charset = cs.wide_order(hadoop.first_bytes(spark, spec.place, FIRST_BYTES))
+    starts = split_starts(raw_lines(spark, spec, charset), spec.sep) if multiline else None
     line = F.col("value")
     flags = (ln.valid_utf8(line), ln.odd_quotes(line))
 
@@ -280,10 +291,12 @@ def check_table(
         return got | {"dropped": fields.where("long_row").count()}
 
     found = counted(charset)
-    chosen = charset or ("utf-8" if found["utf8"] else cs.EXPORT_FALLBACK)
+    chosen = charset or "utf-8"
+    if not (charset or found["utf8"]):
+        chosen = ln.charset_of(raw_lines(spark, spec), cs.EXPORT_CHARSETS).head()["charset"]
     spans = multiline is None and found["odd_quotes"] > 0
     if spans:
-        starts = split_starts(raw_lines(spark, spec), spec.sep)
+        starts = split_starts(raw_lines(spark, spec, chosen), spec.sep)
     if spans or not (charset or cs.is_utf8(chosen)):
         found = counted(chosen)
     dropped = found.pop("dropped", 0)
@@ -332,7 +345,7 @@ def import_export_layout(
 
     ``on_error="fail"`` refuses a table with values that do not convert or with bad keys; the
     default keeps it, turns such values into NULL and reports them.  ``charset`` skips the choice
-    between UTF-8 and windows-1252.  Line breaks within quotes are read
+    of one, which ``ImportResult.charsets`` tells.  Line breaks within quotes are read
     where the file has any, which takes one more scan; ``multiline`` True or False settles it
     beforehand.  ``drop_bad_rows`` drops and counts rows with more fields than declared.
     """
@@ -361,7 +374,7 @@ def import_export_layout(
             data = hadoop.join(folder, row["url"].replace("\\", "/"))
             if not row["url"] or not hadoop.exists(spark, data):
                 return f"Load failed: no data file '{row['url']}'"
-            spec = specs[name] = table_spec(row, [hadoop.literal(data)], layout, name)
+            spec = specs[name] = table_spec(row, data, layout, name)
             return check_table(
                 spark, spec, charset, on_error, check_keys, multiline, drop_bad_rows
             )
@@ -376,10 +389,11 @@ def import_export_layout(
     outcomes = side_by_side(spark, [prepare(r, n) for r, n in zip(rows, names)])
 
     builders: dict[str, Callable[[], DataFrame]] = {}
-    report, rejects = [], []
+    report, rejects, charsets = [], [], []
     for name, outcome in zip(names, outcomes):
         if isinstance(outcome, Checked):
             report.append((name, outcome.row_count, outcome.status))
+            charsets.append((name, outcome.charset))
             rejects += [(name, column, n) for column, n in outcome.rejects]
             if outcome.usable:
                 builders[name] = _builder(spark, specs[name], outcome, drop_bad_rows)
@@ -392,6 +406,7 @@ def import_export_layout(
         builders,
         report_frame(spark, report, IMPORT_REPORT),
         report_frame(spark, rejects, REJECT_REPORT),
+        report_frame(spark, charsets, CHARSET_REPORT),
     )
 
 

@@ -87,20 +87,8 @@ def booking_value(name: str, raw: Column, year: Column | int) -> Column:
 
 def batch_profile(spark: SparkSession, paths: list[str], charset: str | None) -> DataFrame:
     """One row per file: path, year, columns, data rows, charset."""
-    heads = ln.profile(ln.text_lines(spark, paths), HEADER_LINES, HEADER_LINES)
-    chosen = F.lit(charset) if charset else F.when(F.col("utf8"), "utf-8").otherwise(
-        cs.BOOKING_FALLBACK
-    )
-
-    def line(i: int) -> Column:
-        raw = F.get("head", F.lit(i))
-        if charset:
-            return cs.decoded(raw, charset)
-        return F.when(F.col("utf8"), raw.cast("string")).otherwise(
-            cs.decoded(raw, cs.BOOKING_FALLBACK)
-        )
-
-    lines = heads.select("*", line(0).alias("line1"), line(1).alias("line2"))
+    heads = ln.profiles(spark, paths, HEADER_LINES, HEADER_LINES, cs.BOOKING_CHARSETS, charset=charset)
+    lines = heads.withColumns({"line1": F.get("head", F.lit(0)), "line2": F.get("head", F.lit(1))})
     named = lines.withColumn("_names", header_columns(F.col("line2")))
     columns = named.withColumn("columns", dedupe_names(F.col("_names")))
     # Blank lines are no rows, save in one-column files.
@@ -111,7 +99,7 @@ def batch_profile(spark: SparkSession, paths: list[str], charset: str | None) ->
         header_year(F.col("line1")).alias("year"),
         "columns",
         F.greatest(rows, F.lit(0)).alias("row_count"),
-        chosen.alias("charset"),
+        "charset",
         "odd_quotes",
     )
 
@@ -122,10 +110,10 @@ def booking_frame(
 ) -> DataFrame:
     """Rows of files that share columns, year and charset; ``raw`` adds the text of the typed
     columns as ``_raw_<name>``, and ``_long_row`` for rows with surplus fields."""
-    scanned = ln.text_lines(spark, paths)
+    scanned = ln.text_lines(spark, paths, charset)
     body = ln.without_blank_lines(ln.drop_head(scanned, HEADER_LINES), len(columns))
     text = F.col("value")
-    if not cs.is_utf8(charset):
+    if not (cs.is_utf8(charset) or cs.is_wide(charset)):
         text = cs.decoded(text.cast("binary"), charset)
     fields = body.select(
         ln.split_fields(text, len(columns)).alias("fields"),

@@ -23,6 +23,7 @@ from ..functions import convert as cv
 from ..functions.names import dedupe_names, normalised, snake_case, table_of_file
 from ..operators import infer
 from ..operators.report import (
+    CHARSET_REPORT,
     FILE_REPORT,
     TRAVERSAL,
     ImportResult,
@@ -53,9 +54,14 @@ TYPE_EXTENSIONS = {
     "tsv": ("tsv",),
 }
 SEPARATORS = (";", ",", "\t", "|")
-SNIFFED_LINES = 20
 # Option names of other readers and what they are called here.
 OPTION_NAMES = {"delimiter": "sep", "delim": "sep", "nullstr": "nullValue", "charset": "encoding"}
+#: What delimited text takes; any other option is refused, so that none is passed over in silence.
+TEXT_OPTIONS = (
+    "all_varchar", "drop_bad_rows", "encoding", "header", "nullValue", "quote", "sep", "skip"
+)
+#: No text has these characters, so a line read with them is one field.
+NO_SEPARATOR, NO_QUOTE = "\ufffe", "\uffff"
 
 
 def extension(name: str) -> str:
@@ -84,16 +90,22 @@ class TextShape:
     header: bool
     quote: str = '"'
     null_value: str = ""
+    drop_bad_rows: bool = False
 
 
-def sniff_separator(lines: list[str]) -> str:
-    """The separator that splits most head lines into the same number of fields as the first."""
+def likeliest_separator(header: str, widths: Iterable[tuple[int, int, int]]) -> str:
+    """The separator with most places in lines of a file that hold it as often as the header line does,
+    so that a comma within numbers does not pass for one that parts more columns.  ``widths`` are
+    (number of the separator, bin of the count, lines)."""
+    lines = {(sep, at): n for sep, at, n in widths}
 
     def score(sep: str) -> tuple[int, int]:
-        widths = [len(row) for row in csv.reader(lines, delimiter=sep)]
-        if not widths or widths[0] < 2:
+        count = len(next(csv.reader([header], delimiter=sep), [])) - 1
+        if count < 1:
             return (0, 0)
-        return (sum(w == widths[0] for w in widths), widths[0])
+        shared = ln.PLAIN_COUNTS + count % ln.SHARED_COUNTS
+        found = lines.get((SEPARATORS.index(sep), count if count < ln.PLAIN_COUNTS else shared), 0)
+        return (found * count, count)
 
     best = max(SEPARATORS, key=score)
     return best if score(best) > (0, 0) else ","
@@ -105,46 +117,41 @@ def header_names(first: str, sep: str, quote: str) -> list[str]:
     return [f if f else f"column{i}" for i, f in enumerate(fields)]
 
 
+def _file_lines(spark: SparkSession, paths: list[str], shape: TextShape) -> DataFrame:
+    """The lines of files of one shape behind their headers, as ``path`` and text."""
+    if shape.multiline or shape.skip or cs.is_wide(shape.charset):
+        scanned = ln.text_lines(spark, paths, shape.charset).select("path", "block", "more", "value")
+        body = ln.drop_head(scanned, shape.skip + int(shape.header))
+        if shape.multiline:
+            body = records(body, split_starts(body, shape.sep), shape.sep)
+        text = cs.decoded(F.col("value").cast("binary"), shape.charset)
+        return body.select("path", text.alias("value"))
+    # The reader of delimited text passes over a header line by itself, without any Python.
+    utf8 = cs.is_utf8(shape.charset)
+    read = spark.read.schema("value string").csv(
+        paths, header=shape.header, enforceSchema=True, sep=NO_SEPARATOR, quote=NO_QUOTE,
+        escape=NO_QUOTE, encoding="UTF-8" if utf8 else "ISO-8859-1",
+    )
+    value = F.col("value") if utf8 else cs.decoded(F.encode("value", "ISO-8859-1"), shape.charset)
+    return read.select(F.col("_metadata.file_path").alias("path"), value.alias("value"))
+
+
 def read_text_files(spark: SparkSession, paths: list[str], shape: TextShape) -> DataFrame:
-    """Files of one shape as cleaned text columns, with the file in ``_path``."""
+    """Files of one shape as cleaned text columns, with the file in ``_path`` and whether a row has
+    fields beyond the header's in ``_long_row``."""
     width = len(shape.names)
+    lines = ln.without_blank_lines(_file_lines(spark, paths, shape), width)
+    options = {"quote": shape.quote, "escape": shape.quote or NO_QUOTE, "nullValue": shape.null_value}
+    rows = lines.select(
+        "path",
+        ln.split_fields(F.col("value"), width, shape.sep, options).alias("f"),
+        ln.surplus(F.col("value"), width, shape.sep, shape.quote).alias("long_row"),
+    )
     names = ln.raw_names(width)
-    quote = shape.quote
-    csv_options = {"sep": shape.sep, "quote": quote, "escape": quote or '"',
-                   "nullValue": shape.null_value}
-    head = shape.skip + int(shape.header)
-    if shape.multiline:
-        scanned = ln.text_lines(spark, paths).select("path", "block", "more", "value")
-        body = ln.drop_head(scanned, head)
-        rows = records(body, split_starts(body, shape.sep), shape.sep)
-        text = cs.decoded(F.col("value").cast("binary"), shape.charset)
-        split = F.from_csv(text, ", ".join(f"{n} string" for n in names), csv_options)
-        filled = ln.without_blank_lines(rows, width)
-        cells = filled.select("path", split.alias("f")).select("path", "f.*")
-    else:
-        utf8 = cs.is_utf8(shape.charset)
-        read = spark.read.schema(", ".join(f"{n} string" for n in names)).csv(
-            paths,
-            header=shape.header and not shape.skip,
-            enforceSchema=True,
-            encoding="UTF-8" if utf8 else "ISO-8859-1",
-            **csv_options,
-        )
-        cells = read.select(
-            F.col("_metadata.file_path").alias("path"),
-            F.col("_metadata.file_block_start").alias("block"),
-            ln.continues().alias("more"),
-            *names,
-        )
-        if shape.skip:
-            cells = ln.drop_head(cells, head)
-        if not utf8:
-            cells = cells.select(
-                "path", *[cs.decoded(F.encode(n, "ISO-8859-1"), shape.charset).alias(n) for n in names]
-            )
-    return cells.select(
-        *[cv.clean_text(F.col(r)).alias(n) for r, n in zip(names, shape.names)],
+    return rows.select(
+        *[cv.clean_text(F.col(f"f.{r}")).alias(n) for r, n in zip(names, shape.names)],
         F.col("path").alias("_path"),
+        F.col("long_row").alias("_long_row"),
     )
 
 
@@ -160,9 +167,14 @@ class Shape:
     tests: Tests
     read: Callable[[list[str]], DataFrame]
     measure: Callable[[DataFrame], DataFrame]
+    drop_bad_rows: bool = False
+    charset: str = ""
 
     def typed(self, paths: list[str], verdicts: tuple[str | None, ...]) -> DataFrame:
-        frame = self.read(paths).select(*[f"`{n}`" for n in self.names], "_path")
+        frame = self.read(paths)
+        if self.drop_bad_rows:
+            frame = frame.where(~F.col("_long_row"))
+        frame = frame.select(*[f"`{n}`" for n in self.names], "_path")
         return infer.convert_columns(frame, dict(zip(self.names, verdicts)), self.tests)
 
 
@@ -172,6 +184,15 @@ class Loaded:
     place: str
     row_count: int = 0
     verdicts: tuple[str | None, ...] = ()
+    long_rows: int = 0
+
+    @property
+    def notes(self) -> list[str]:
+        if not self.long_rows:
+            return []
+        if self.shape.drop_bad_rows:
+            return [f"{self.long_rows} rows with more fields than the header were dropped"]
+        return [f"{self.long_rows} rows have more fields than the header, which were cut"]
 
     def build(self) -> DataFrame:
         return self.shape.typed([self.place], self.verdicts).drop("_path")
@@ -180,14 +201,27 @@ class Loaded:
 Outcome = dict[str, Loaded | Exception]
 
 
-def _verdicts(frame: DataFrame, names: Sequence[str], tests: Tests) -> DataFrame:
-    """Row count and verdicts per file; columns that are not text have none."""
+def _verdicts(
+    frame: DataFrame, names: Sequence[str], tests: Tests, drop_bad_rows: bool = False
+) -> DataFrame:
+    """Row count and verdicts per file; columns that are not text have none.  Rows that will be dropped
+    count as ``long_rows`` only."""
     text = [n for n in infer.text_columns(frame) if n in names]
-    counts = infer.inference_counts(frame, text, tests, by=["_path"])
+    long_row = F.col("_long_row") if "_long_row" in frame.columns else F.lit(False)
+    if drop_bad_rows:
+        kept = [F.when(~long_row, F.col(f"`{n}`")).alias(n) if n in text else F.col(f"`{n}`") for n in names]
+        frame = frame.select(*kept, "_path", "_long_row")
+    counts = infer.inference_counts(
+        frame, text, tests, by=["_path"], extra=[F.count_if(long_row).alias("long_rows")]
+    )
     found = {n: infer.verdict(F.col(f"c{i}"), tests) for i, n in enumerate(text)}
     none = F.lit(None).cast("string")
+    rows = F.col("row_count") - F.col("long_rows") if drop_bad_rows else F.col("row_count")
     return counts.select(
-        "_path", "row_count", F.array(*[found.get(n, none) for n in names]).alias("verdicts")
+        "_path",
+        rows.alias("row_count"),
+        F.array(*[found.get(n, none) for n in names]).alias("verdicts"),
+        "long_rows",
     )
 
 
@@ -212,13 +246,19 @@ def _measured(spark: SparkSession, groups: dict[Shape, list[hadoop.StoredFile]])
             row = result.get(f.path)
             place = hadoop.literal(f.path)
             outcome[f.path] = (
-                Loaded(shape, place, row["row_count"], tuple(row["verdicts"]))
+                Loaded(
+                    shape, place, row["row_count"], tuple(row["verdicts"]),
+                    row.asDict().get("long_rows", 0),
+                )
                 if row
                 else Loaded(shape, place)
             )
     return outcome
 
 
+#: Lines of a file's start among which the header is looked for, blank ones included.
+HEADER_REACH = 20
+
 SHAPE = (
     "path string, names array<string>, sep string, charset string, multiline boolean, "
     "skipped int, lines bigint"
@@ -232,32 +272,36 @@ def text_shapes(
     skip = int(options.get("skip", 0))
     header = str(options.get("header", True)).lower() == "true"
     quote = options.get("quote", '"')
-    heads = ln.profile(ln.text_lines(spark, paths), SNIFFED_LINES + skip, skip + 1)
+    heads = ln.profiles(
+        spark, paths, HEADER_REACH + skip, skip + 1, seps=SEPARATORS, charset=options.get("encoding")
+    )
 
     def run(frames: Iterable) -> Iterator:
         import pandas as pd
 
         def shape(row) -> tuple | None:
-            charset = options.get("encoding") or ("utf-8" if row.utf8 else cs.EXPORT_FALLBACK)
-            head = [bytes(b).decode(charset, "replace") for b in row.head]
-            # The reader passes over blank lines by itself.
-            skipped = sum(bool(line.strip()) for line in head[:skip])
-            head = [line for line in head[skip:] if line.strip()]
-            if not head:
+            # Blank lines before the header are passed over with the lines to skip.
+            filled = [i for i, line in enumerate(row.head) if i >= skip and line.strip()]
+            if not filled:
                 return None
-            sep = options.get("sep") or ("\t" if file_type == "tsv" else sniff_separator(head))
+            skipped, head = filled[0], list(row.head)[filled[0] :]
+            widths = [(w["sep"], w["bin"], w["n"]) for w in ([] if row.widths is None else row.widths)]
+            sep = options.get("sep") or (
+                "\t" if file_type == "tsv" else likeliest_separator(head[0], widths)
+            )
             names = header_names(head[0], sep, quote)
             if not header:
                 names = [f"column{i}" for i in range(len(names))]
             multiline = bool(row.odd_quotes) and bool(quote)
-            return (row.path, names, sep, charset, multiline, skipped, row.lines)
+            return (row.path, names, sep, row.charset, multiline, skipped, row.lines)
 
         columns = ["path", "names", "sep", "charset", "multiline", "skipped", "lines"]
         for frame in frames:
             found = [s for s in map(shape, frame.itertuples(index=False)) if s]
             yield pd.DataFrame(found, columns=columns)
 
-    shapes = heads.select("path", "head", "utf8", "odd_quotes", "lines").mapInPandas(run, SHAPE)
+    known = heads.select("path", "head", "charset", "odd_quotes", "lines", "widths")
+    shapes = known.mapInPandas(run, SHAPE)
     named = shapes.withColumn("_plain", F.transform("names", snake_case))
     return named.withColumn("names", dedupe_names(F.col("_plain"))).select(
         "*", F.xxhash64("names", "sep", "charset", "multiline", "skipped").alias("shape_id")
@@ -273,12 +317,13 @@ def _text_tables(
     null_value = options.get("nullValue", "")
     sniffing = str(options.get("all_varchar", False)).lower() != "true"
     tests = infer.PLAIN_TESTS if sniffing else infer.GERMAN_TESTS
+    drop_bad_rows = str(options.get("drop_bad_rows", False)).lower() == "true"
     places = [hadoop.literal(f.path) for f in files]
     found = hadoop.reliable(text_shapes(spark, places, file_type, options))
     texts = {
         r["shape_id"]: TextShape(
             tuple(r["names"]), r["sep"], r["charset"], r["multiline"], r["skipped"], header,
-            quote, null_value,
+            quote, null_value, drop_bad_rows,
         )
         for r in found.dropDuplicates(["shape_id"]).collect()
     }
@@ -296,7 +341,9 @@ def _text_tables(
             text.names,
             tests,
             partial(read_text_files, spark, shape=text),
-            partial(_verdicts, names=text.names, tests=tests),
+            partial(_verdicts, names=text.names, tests=tests, drop_bad_rows=drop_bad_rows),
+            drop_bad_rows,
+            text.charset,
         ): groups[i]
         for i, text in texts.items()
     }
@@ -410,8 +457,8 @@ class FolderResult(ImportResult):
     """Adds ``combined``: all tables as one frame, columns matched by name, with ``_file_name``.
     Files that are read and typed alike are one scan."""
 
-    def __init__(self, spark, builders, report, loaded: list[Loaded]):
-        super().__init__(spark, builders, report)
+    def __init__(self, spark, builders, report, loaded: list[Loaded], charsets=None):
+        super().__init__(spark, builders, report, charsets=charsets)
         self._loaded = loaded
 
     @property
@@ -432,7 +479,9 @@ def import_folder(
 
     Types: csv (.csv, .txt), tsv, parquet, json (.json, .jsonl), jsonl, xlsx or excel; any other
     type matches that extension and is read as CSV.  Options are reader options, such as
-    ``delimiter=";"``, ``all_varchar=True``, ``skip=2``, ``header=False`` or ``encoding``.
+    ``delimiter=";"``, ``all_varchar=True``, ``skip=2``, ``header=False`` or ``encoding``.  The separator
+    of delimited text is that of most lines.  Fields beyond the header's are cut and counted, and
+    ``drop_bad_rows`` drops such rows; an option that delimited text does not take is refused.
     """
     kind = file_type.lower()
     options = {OPTION_NAMES.get(k, k): v for k, v in options.items()}
@@ -443,6 +492,16 @@ def import_folder(
 
     if path_has_traversal(path):
         return only("(security)", TRAVERSAL)
+    delimited = kind not in ("parquet", "json", "jsonl", "xlsx", "excel")
+    unknown = sorted(set(options) - set(TEXT_OPTIONS)) if delimited else []
+    if unknown:
+        known = ", ".join(TEXT_OPTIONS)
+        return only("(options)", f"Unknown options: {', '.join(unknown)}. Known: {known}")
+    if options.get("encoding"):
+        try:
+            cs.readable(options["encoding"])
+        except (LookupError, ValueError) as error:
+            return only("(options)", short_message(error))
     files = matching_files(spark, path.replace("\\", "/"), kind)
     if not files:
         return only("(no files)", f"No matching files found for type: {file_type}")
@@ -459,7 +518,7 @@ def import_folder(
     stems = spark.createDataFrame([(f.name,) for f in files], "name string")
     tables = {r[0]: r[1] for r in stems.select("name", table_of_file(F.col("name"))).collect()}
     taken: set[str] = set()
-    builders, report, kept = {}, [], []
+    builders, report, kept, charsets = {}, [], [], []
     for f in files:
         result = loaded[f.path]
         table = tables[f.name]
@@ -468,7 +527,13 @@ def import_folder(
             continue
         name = _free_name(table, taken)
         status = "OK" if name == table else f"OK (several files are called '{table}')"
+        if result.notes:
+            shared = [] if name == table else [f"several files are called '{table}'"]
+            status = "Warning: " + "; ".join(result.notes + shared)
+        if result.shape.charset:
+            charsets.append((name, result.shape.charset))
         builders[name] = result.build
         kept.append(result)
         report.append((name, f.name, result.row_count, len(result.shape.names), status))
-    return FolderResult(spark, builders, report_frame(spark, report, FILE_REPORT), kept)
+    told = report_frame(spark, charsets, CHARSET_REPORT)
+    return FolderResult(spark, builders, report_frame(spark, report, FILE_REPORT), kept, told)

@@ -8,10 +8,14 @@ untouched).  Scans stay splittable.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from .. import hadoop
+from ..functions import charset as cs
 
 QUOTED = {"quote": '"', "escape": '"'}
 
@@ -22,14 +26,133 @@ def plain_path(encoded: Column) -> Column:
     return F.when(F.contains(encoded, F.lit("%")), decoded).otherwise(encoded)
 
 
-def text_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
-    return spark.read.text(paths).select(
+def text_lines(spark: SparkSession, paths: list[str], charset: str | None = None) -> DataFrame:
+    """Lines with their bytes untouched; those of a wide charset are split where it ends lines, and
+    come as text."""
+    wide = cs.is_wide(charset)
+    ends = {"lineSep": "\n\0" if cs.canonical(charset) == "utf-16-le" else "\0\n"} if wide else {}
+    lines = spark.read.options(**ends).text(paths).select(
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("block"),
         continues().alias("more"),
         F.col("_metadata.file_name").alias("file_name"),
         "value",
     )
+    if not wide:
+        return lines
+    raw = lines.withColumn("value", F.col("value").cast("binary"))
+    # Two characters may meet so that a line seems to end between their halves.  Pieces of an odd
+    # size are the sign of it.
+    if not raw.where(F.octet_length("value") % 2 == 1).isEmpty():
+        raw = _whole_characters(raw, ends["lineSep"].encode())
+    # Half a character at the end of a file is none.
+    even = F.substring(F.col("value"), F.lit(1), F.octet_length("value") - F.octet_length("value") % 2)
+    return raw.withColumn("value", cs.wide_text(even, charset))
+
+
+_LINE, _HEAD, _REST = range(3)
+
+
+def _whole_characters(raw: DataFrame, line_end: bytes) -> DataFrame:
+    """Lines of a wide charset put together again where they were cut inside a character.
+
+    A cut leaves an odd piece, and the next odd piece ends the line.  So a split begins inside a line
+    where the splits before it hold an odd number of odd pieces: one small row per split says so to
+    every task.  Only lines that cross a split are shuffled; they count to the split they end in.
+    """
+    order = Window.partitionBy("path").orderBy("block")
+    odd = F.count_if(F.octet_length("value") % 2 == 1).alias("odd")
+    before = F.sum("odd").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    starts = hadoop.reliable(
+        raw.groupBy("path", "block").agg(odd).select("path", "block", (F.coalesce(before, F.lit(0)) % 2 == 1).alias("inside"))
+    )
+
+    columns = raw.columns
+    names = [*columns, "kind"]
+
+    def run(batches: Iterable) -> Iterator:
+        import pyarrow as pa
+
+        def row(part, value, kind):
+            fixed = [part.column(i).slice(0, 1) for i in range(4)]
+            return pa.RecordBatch.from_arrays(
+                [*fixed, pa.array([value], pa.binary()), pa.array([kind], pa.int32())], names=names
+            )
+
+        def whole(part):
+            kind = pa.array([_LINE] * part.num_rows, pa.int32())
+            return pa.RecordBatch.from_arrays([*part.columns, kind], names=names)
+
+        current, place, pending, lead = None, None, [], False
+        for batch in batches:
+            values, starts_inside = batch.column("value"), batch.column("inside")
+            lines = batch.select(columns)
+            for path, block, _, start, stop in _runs(batch):
+                if (path, block) != current:
+                    if pending:
+                        yield row(place, line_end.join(pending), _REST if lead else _HEAD)
+                    current, pending, place = (path, block), [], lines.slice(start, 1)
+                    lead = inside = starts_inside[start].as_py()
+                at = start
+                for i in range(start, stop):
+                    ends = len(values[i].as_buffer()) % 2 == 1
+                    if not inside and not ends:
+                        continue
+                    if i > at:
+                        yield whole(lines.slice(at, i - at))
+                    at = i + 1
+                    pending.append(values[i].as_py())
+                    if inside and ends:
+                        yield row(place, line_end.join(pending), _REST if lead else _LINE)
+                        pending, lead = [], False
+                    inside = inside != ends
+                if stop > at:
+                    yield whole(lines.slice(at, stop - at))
+        if pending:
+            yield row(place, line_end.join(pending), _REST if lead else _HEAD)
+
+    kinds = ", ".join(f"{n} {t}" for n, t in raw.dtypes)
+    parts = raw.join(F.broadcast(starts), ["path", "block"]).select(*columns, "inside")
+    parts = parts.mapInArrow(run, f"{kinds}, kind int")
+    pieces = parts.where(F.col("kind") != _LINE).withColumn("first", F.col("kind") == _HEAD)
+    # Within a split the rest of an earlier line comes before the head of the next.
+    numbered = pieces.withColumn("line", F.count_if("first").over(order.orderBy("block", "first")))
+    listed = F.array_sort(F.collect_list(F.struct("block", "first", "value")))
+    joined = F.reduce(
+        listed,
+        F.lit(None).cast("binary"),
+        lambda text, p: F.when(text.isNull(), p["value"]).otherwise(F.concat(text, F.lit(line_end), p["value"])),
+    )
+    crossing = numbered.groupBy("path", "line").agg(
+        F.max("block").alias("block"), F.max("more").alias("more"), F.max("file_name").alias("file_name"), joined.alias("value")
+    )
+    return parts.where(F.col("kind") == _LINE).select(*columns).unionByName(crossing.select(*columns))
+
+
+def charset_scores(values, charsets: Sequence[str]) -> list[int]:
+    """How well each charset fits an Arrow array of raw lines: a histogram of their bytes, weighed."""
+    import numpy as np
+
+    bytes_ = np.frombuffer(b"".join(values.drop_null().to_pylist()), np.uint8)
+    seen = np.bincount(bytes_, minlength=256)[128:]
+    return [int(seen @ np.array(cs.byte_weights(c))) for c in charsets]
+
+
+def charset_of(lines: DataFrame, charsets: tuple[str, ...]) -> DataFrame:
+    """The likeliest charset of all lines that are not UTF-8, in one row; each task sums up its own."""
+    odd = lines.select(F.col("value").cast("binary").alias("value")).where(~F.is_valid_utf8("value"))
+
+    def run(batches: Iterable) -> Iterator:
+        import pyarrow as pa
+
+        total = [0] * len(charsets)
+        for batch in batches:
+            total = [a + b for a, b in zip(total, charset_scores(batch.column(0), charsets))]
+        yield pa.RecordBatch.from_arrays([pa.array([total], pa.list_(pa.int64()))], names=["scores"])
+
+    scored = odd.mapInArrow(run, "scores array<bigint>")
+    summed = F.array(*[F.sum(F.get("scores", F.lit(i))) for i in range(len(charsets))])
+    return scored.agg(summed.alias("scores")).select(cs.likeliest(F.col("scores"), charsets).alias("charset"))
 
 
 def continues() -> Column:
@@ -109,28 +232,55 @@ def valid_utf8(value: Column) -> Column:
     return F.is_valid_utf8(value.cast("binary"))
 
 
-def profile(lines: DataFrame, head: int, required: int = 0) -> DataFrame:
+#: Separator counts that have a bin of their own, and bins that the higher ones share.
+PLAIN_COUNTS, SHARED_COUNTS = 192, 64
+
+
+def count_bin(n: Column) -> Column:
+    """The bin of a line's number of separators."""
+    return F.when(n < PLAIN_COUNTS, n).otherwise(PLAIN_COUNTS + n % SHARED_COUNTS).cast("int")
+
+
+def outside_quotes(value: Column) -> Column:
+    """A line without its quoted parts."""
+    return F.when(F.contains(value, F.lit('"')), F.regexp_replace(value, '"[^"]*+("|$)', "")).otherwise(value)
+
+
+def profile(
+    lines: DataFrame,
+    head: int,
+    required: int = 0,
+    charsets: tuple[str, ...] = cs.EXPORT_CHARSETS,
+    seps: tuple[str, ...] = (),
+) -> DataFrame:
     """One row per file in a single scan: its first lines, the number of lines, of blank lines and
-    of lines with an odd number of quotes, and whether every line is valid UTF-8.
+    of lines with an odd number of quotes, whether every line is valid UTF-8, the ``charset`` its
+    bytes point to, and in ``widths`` how many lines have how many of each separator outside quotes
+    (separator, bin of the count, lines).
 
     Each task emits one row per split; only those are shuffled.  Of the head, ``required`` lines
     must lie within the first split of a file.
     """
+    utf8 = valid_utf8(F.col("value"))
+    bare = outside_quotes(F.col("value"))
     flagged = lines.select(
         "path",
         "block",
         "more",
-        # Only first splits can hold a head.
-        F.when(F.col("block") == 0, F.col("value").cast("binary")).alias("value"),
-        valid_utf8(F.col("value")).alias("utf8"),
+        # Only first splits can hold a head, and only bytes that are not UTF-8 are weighed.
+        F.when((F.col("block") == 0) | ~utf8, F.col("value").cast("binary")).alias("value"),
+        utf8.alias("utf8"),
         odd_quotes(F.col("value")).alias("odd"),
         (F.length("value") == 0).alias("blank"),
+        *[count_bin(separators(bare, s)).alias(f"n{i}") for i, s in enumerate(seps)],
     )
 
     def run(batches: Iterable) -> Iterator:
+        import numpy as np
         import pyarrow as pa
         import pyarrow.compute as pc
 
+        width = pa.struct([("sep", pa.int32()), ("bin", pa.int32()), ("n", pa.int64())])
         schema = pa.schema(
             [
                 ("path", pa.string()),
@@ -139,10 +289,16 @@ def profile(lines: DataFrame, head: int, required: int = 0) -> DataFrame:
                 ("utf8", pa.bool_()),
                 ("odd", pa.int64()),
                 ("blank", pa.int64()),
+                ("scores", pa.list_(pa.int64())),
+                ("widths", pa.list_(width)),
             ]
         )
 
         def row(s):
+            bins = s.pop("bins")
+            s["widths"] = [
+                {"sep": int(i), "bin": int(b), "n": int(bins[i, b])} for i, b in zip(*np.nonzero(bins))
+            ]
             return pa.RecordBatch.from_pylist([s], schema=schema)
 
         current, state, open_head = None, None, False
@@ -158,13 +314,26 @@ def profile(lines: DataFrame, head: int, required: int = 0) -> DataFrame:
                     if state is not None:
                         yield finished()
                     current, open_head = (path, block), block == 0 and more
-                    state = dict(path=path, head=[], lines=0, utf8=True, odd=0, blank=0)
+                    state = dict(
+                        path=path, head=[], lines=0, utf8=True, odd=0, blank=0,
+                        scores=[0] * len(charsets),
+                        bins=np.zeros((len(seps), PLAIN_COUNTS + SHARED_COUNTS), np.int64),
+                    )
                 part = batch.slice(start, stop - start)
                 if block == 0 and len(state["head"]) < head:
                     wanted = part.column("value").slice(0, head - len(state["head"]))
                     state["head"] += wanted.to_pylist()
                 state["lines"] += part.num_rows
-                state["utf8"] = state["utf8"] and bool(pc.all(part.column("utf8")).as_py())
+                if not pc.all(part.column("utf8")).as_py():
+                    state["utf8"] = False
+                    odd = part.column("value").filter(pc.invert(part.column("utf8")))
+                    added = charset_scores(odd, charsets)
+                    state["scores"] = [a + b for a, b in zip(state["scores"], added)]
+                for i in range(len(seps)):
+                    state["bins"][i] += np.bincount(
+                        part.column(f"n{i}").to_numpy(zero_copy_only=False),
+                        minlength=state["bins"].shape[1],
+                    )
                 for flag in ("odd", "blank"):
                     state[flag] += pc.sum(part.column(flag).cast(pa.int64())).as_py() or 0
         if state is not None:
@@ -172,16 +341,69 @@ def profile(lines: DataFrame, head: int, required: int = 0) -> DataFrame:
 
     partial = flagged.mapInArrow(
         run,
-        "path string, head array<binary>, lines bigint, utf8 boolean, odd bigint, blank bigint",
+        "path string, head array<binary>, lines bigint, utf8 boolean, odd bigint, blank bigint, "
+        "scores array<bigint>, widths array<struct<sep: int, bin: int, n: bigint>>",
     )
+    if seps:
+        partial = hadoop.reliable(partial)  # a row per split, summed up twice
     per_file = partial.groupBy("path").agg(
         F.max("head").alias("head"),
         F.sum("lines").alias("lines"),
         F.bool_and("utf8").alias("utf8"),
         F.sum("odd").alias("odd_quotes"),
         F.sum("blank").alias("blank_lines"),
+        F.array(*[F.sum(F.get("scores", F.lit(i))) for i in range(len(charsets))]).alias("_scores"),
     )
-    return per_file.withColumn("path", plain_path(F.col("path")))
+    if seps:
+        bins = partial.select("path", F.inline("widths")).groupBy("path", "sep", "bin")
+        # As many as there are bins, whatever the size of the file.
+        listed = F.collect_list(F.struct("sep", "bin", "n")).alias("widths")
+        widths = bins.agg(F.sum("n").alias("n")).groupBy("path").agg(listed)
+        per_file = per_file.join(widths, "path", "left")
+    told = F.when(F.col("utf8"), "utf-8").otherwise(cs.likeliest(F.col("_scores"), charsets))
+    return per_file.withColumns({"path": plain_path(F.col("path")), "charset": told}).drop("_scores")
+
+
+def profiles(
+    spark: SparkSession,
+    paths: list[str],
+    head: int,
+    required: int = 0,
+    charsets: tuple[str, ...] = cs.EXPORT_CHARSETS,
+    seps: tuple[str, ...] = (),
+    charset: str | None = None,
+) -> DataFrame:
+    """``profile`` of files in any charset, with their heads as text.  Files of a wide charset show in
+    their first bytes; only they are read once more, by the lines that they really have."""
+
+    def texts(found: DataFrame, known: str | None) -> DataFrame:
+        named = found.withColumn("charset", F.lit(known)) if known else found
+        read = "utf-8" if cs.is_wide(known) else None
+        line = lambda raw: cs.chosen_text(raw, F.lit(read) if read else F.col("charset"), charsets)
+        if known and not cs.is_wide(known):
+            line = lambda raw: cs.decoded(raw, known)
+        return named.withColumn("head", F.transform("head", line))
+
+    def of(names: list[str], wide: str | None) -> DataFrame:
+        return profile(text_lines(spark, names, wide), head, required, charsets, seps)
+
+    if charset:
+        return texts(of(paths, charset), charset)
+    found = hadoop.reliable(of(paths, None))
+
+    def orders(frames: Iterable) -> Iterator:
+        for frame in frames:
+            told = [cs.wide_order(bytes(h[0])) if len(h) else None for h in frame["head"]]
+            yield frame.assign(wide=told)[["path", "wide"]]
+
+    wide = found.select("path", "head").mapInPandas(orders, "path string, wide string")
+    marked = {r["path"]: r["wide"] for r in wide.where("wide is not null").collect()}
+    result = texts(found if not marked else found.where(~F.col("path").isin(*marked)), None)
+    for order in cs.WIDE:
+        own = [hadoop.literal(p) for p, o in marked.items() if o == order]
+        if own:
+            result = result.unionByName(texts(of(own, order), order))
+    return result
 
 
 def raw_names(width: int) -> list[str]:
@@ -192,7 +414,9 @@ def raw_names(width: int) -> list[str]:
 SPARE_FIELDS = 1000
 
 
-def split_fields(value: Column, width: int, sep: str = ";") -> Column:
+def split_fields(
+    value: Column, width: int, sep: str = ";", options: dict[str, str] | None = None
+) -> Column:
     """A line as a struct of ``width`` text fields and one spare.
 
     Short lines are padded with NULL, empty and ``""`` fields are NULL, spaces are kept.  The
@@ -202,10 +426,11 @@ def split_fields(value: Column, width: int, sep: str = ";") -> Column:
     """
     schema = ", ".join(f"{n} string" for n in [*raw_names(width), "_spare"])
     most = width + SPARE_FIELDS
+    quote = (options or QUOTED)["quote"]
     return F.from_csv(
-        F.when(separators(value, sep) < most, value).otherwise(_cut(value, width, sep)),
+        F.when(separators(value, sep) < most, value).otherwise(_cut(value, width, sep, quote)),
         schema,
-        {"sep": sep, **QUOTED, "maxColumns": str(most + 1)},
+        {"sep": sep, **(QUOTED if options is None else options), "maxColumns": str(most + 1)},
     )
 
 
@@ -213,21 +438,26 @@ def separators(value: Column, sep: str) -> Column:
     return F.length(value) - F.length(F.replace(value, F.lit(sep), F.lit("")))
 
 
-def _cut(value: Column, width: int, sep: str) -> Column:
+def _cut(value: Column, width: int, sep: str, quote: str = '"') -> Column:
     """The first ``width`` fields of a line and their separators."""
     mark = re.escape(sep)
-    field = rf'(?:"[^"]*+(?:""[^"]*+)*+"[^{mark}]*+|[^{mark}]*+)'
+    if not quote:
+        return F.regexp_extract(value, rf"(?s)^(?:[^{mark}]*+{mark}){{{width}}}", 0)
+    q = re.escape(quote)
+    field = rf"(?:{q}[^{q}]*+(?:{q}{q}[^{q}]*+)*+{q}[^{mark}]*+|[^{mark}]*+)"
     return F.regexp_extract(value, rf"(?s)^(?:{field}{mark}){{{width}}}", 0)
 
 
-def surplus(value: Column, width: int, sep: str = ";") -> Column:
+def surplus(value: Column, width: int, sep: str = ";", quote: str = '"') -> Column:
     """True where a line holds something in a field beyond the declared ones.  Separators at its
     end with nothing behind them are no surplus."""
-    # Fields that are a pair of quotes are emptied; other doubled quotes become a letter, which
-    # leaves the quotes that open and close a field, and no separators between them.
-    mark = re.escape(sep)
-    bare = F.regexp_replace(value, f'(^|{mark})""(?={mark}|$)', "$1")
-    bare = F.regexp_replace(F.replace(bare, F.lit('""'), F.lit("q")), '"[^"]*+"', "x")
+    mark, bare = re.escape(sep), value
+    if quote:
+        # Fields that are a pair of quotes are emptied; other doubled quotes become a letter, which
+        # leaves the quotes that open and close a field, and no separators between them.
+        q = re.escape(quote)
+        bare = F.regexp_replace(value, f"(^|{mark}){q}{q}(?={mark}|$)", "$1")
+        bare = F.regexp_replace(F.replace(bare, F.lit(quote * 2), F.lit("q")), f"{q}[^{q}]*+{q}", "x")
     fields = F.split(bare, mark)
     beyond = F.slice(fields, F.lit(width + 1), F.greatest(F.size(fields) - width, F.lit(0)))
     filled = F.exists(beyond, lambda f: F.rtrim(f, F.lit("\r")) != "")

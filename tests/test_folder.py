@@ -5,7 +5,8 @@ import pytest
 
 from helpers import rows
 from pruefspur import import_folder, infer_types
-from pruefspur.sources.folder import sniff_separator
+from pruefspur.sources import lines as ln
+from pruefspur.sources.folder import SEPARATORS, likeliest_separator
 
 day = datetime.date
 moment = datetime.datetime
@@ -185,11 +186,72 @@ def test_inference(spark, values, kind):
     assert infer_types(df).dtypes == [("v", kind)]
 
 
-def test_separators():
-    assert sniff_separator(["a;b,c;d", "1;2,5;3"]) == ";"
-    assert sniff_separator(["a,b", "1,2"]) == ","
-    assert sniff_separator(["a\tb", "1\t2"]) == "\t"
-    assert sniff_separator(["a"]) == ","
+def test_separators(spark, tmp_path):
+    texts = {
+        ";": "a;b,c;d\n1;2,5;3\n",
+        ",": "a,b\n1,2\n",
+        "\t": "a\tb\n1\t2\n",
+        "|": 'a|b,c\n' + "1,1|2;2;2,3\n" * 3 + '";;;"|",,,"\n' * 9,
+        "": "a\n1\n",
+    }
+    for i, text in enumerate(texts.values()):
+        (tmp_path / f"{i}.csv").write_text(text)
+    found = ln.profiles(spark, [str(tmp_path)], 1, 1, seps=SEPARATORS).collect()
+    got = {r["path"].rsplit("/", 1)[1]: likeliest_separator(r["head"][0], [tuple(w) for w in r["widths"]]) for r in found}
+    assert got == {f"{i}.csv": sep or "," for i, sep in enumerate(texts)}
+
+
+def test_first_lines_may_mislead(spark, small_splits, tmp_path):
+    head = "Nr;Wert;Ort, Land\n" + "1;2;A, B;zu viel\n" * 25
+    (tmp_path / "m.csv").write_text(head + "".join(f"{i};3,5;Bonn\n" for i in range(2000)))
+    result = import_folder(spark, str(tmp_path))
+    assert report(result)["m.csv"] == (
+        "m", 2025, 3, "Warning: 25 rows have more fields than the header, which were cut"
+    )
+    assert result.tables["m"].dtypes == [("nr", "bigint"), ("wert", "double"), ("ort_land", "string")]
+    kept = import_folder(spark, str(tmp_path), drop_bad_rows=True)
+    assert report(kept)["m.csv"][1:] == (
+        2000, 3, "Warning: 25 rows with more fields than the header were dropped"
+    )
+    assert kept.tables["m"].count() == 2000
+
+
+def test_overwide_lines_are_cut(spark, tmp_path):
+    (tmp_path / "w.csv").write_text("a;b\n1;2\n" + ";".join(["7"] * 30_000) + "\n3;4\n")
+    result = import_folder(spark, str(tmp_path))
+    assert rows(result.tables["w"], "a") == [(1, 2), (3, 4), (7, 7)]
+    assert "1 rows have more fields" in report(result)["w.csv"][3]
+
+
+def test_unknown_options_are_refused(spark, tmp_path):
+    (tmp_path / "o.csv").write_text("a;b\n1;2\n")
+    refused = import_folder(spark, str(tmp_path), skp=1).report.head()
+    assert refused["table_name"] == "(options)" and "skp" in refused["status"]
+    refused = import_folder(spark, str(tmp_path), encoding="shift_jis").report.head()
+    assert refused["table_name"] == "(options)" and "single-byte" in refused["status"]
+
+
+@pytest.mark.parametrize("charset", ["utf-16", "utf-16-le", "utf-16-be", "cp850", "windows-1250"])
+def test_charsets_of_files(spark, small_splits, tmp_path, charset):
+    text = "Nr;Name\r\n" + "".join(f"{i};Müller Ñandú Größe\r\n" if charset == "cp850" else f"{i};Łódź żółw Größe\r\n" for i in range(3000))
+    (tmp_path / "c.csv").write_bytes(text.encode(charset))
+    (tmp_path / "u.csv").write_text("Nr;Name\n1;Größe\n", encoding="utf-8")
+    result = import_folder(spark, str(tmp_path))
+    known = {r["table_name"]: r["charset"] for r in result.charsets.collect()}
+    assert known == {"c": "utf-16-le" if charset == "utf-16" else charset, "u": "utf-8"}
+    want = "Müller Ñandú Größe" if charset == "cp850" else "Łódź żółw Größe"
+    assert sorted(rows(result.tables["c"])) == [(i, want) for i in range(3000)]
+    assert rows(result.tables["u"]) == [(1, "Größe")]
+
+
+@pytest.mark.parametrize("charset", ["utf-16-le", "utf-16-be"])
+def test_lines_of_wide_charsets(spark, small_splits, tmp_path, charset):
+    """Characters whose halves look like a line end do not end a line."""
+    texts = [f"{i} ਓĀ ਁ─ਂ\u0100" if i % 7 == 3 else f"{i} ü" for i in range(4000)]
+    (tmp_path / "w.txt").write_bytes(("\ufeff" + "\n".join(texts)).encode(charset))
+    lines = ln.text_lines(spark, [str(tmp_path)], charset)
+    assert lines.rdd.getNumPartitions() > 5
+    assert sorted(r["value"] for r in lines.collect()) == sorted(texts)
 
 
 def test_combined(spark, tmp_path):
