@@ -2,6 +2,10 @@
 
 A column takes the first type that every present value (not NULL, not blank) converts to.  A
 column without present values stays text.
+
+Which types a value converts to is a mask of one bit per test, and a column's mask is the bitwise
+AND of its values'.  What a value's characters are besides digits (its shape) rules most tests out, or
+says that they hold, so that hardly any conversion is tried.
 """
 
 from __future__ import annotations
@@ -33,10 +37,58 @@ PLAIN_TESTS: dict[str, Callable[[Column], Column]] = {
 }
 
 
+# What any test may trim: control characters and spaces.
+_OUTER = "".join(map(chr, [*range(0x20), *range(0x7F, 0xA0)])) + cv.SPACES
+#: Digits that surely fit a BIGINT.
+_SAFE_DIGITS = 18
+
+
+def _only(shape: Column, characters: str) -> Column:
+    """Whether a shape has none but some characters."""
+    return F.translate(shape, characters, "") == ""
+
+
+# Per test: whether a value of this shape may pass.  A test without an entry is tried on every value.
+_MAY_PASS: dict[str, Callable[[Column], Column]] = {
+    "boolean": lambda shape: F.lower(shape).isin("t", "f", "true", "false"),
+    "integer": lambda shape: shape.isin("", "+", "-"),
+    "plain_number": lambda shape: _only(shape, "+-.eE"),
+    # Its points are taken out before spaces are, so they may stand between.
+    "german_number": lambda shape: _only(shape, "+-.," + _OUTER),
+    "german_date": lambda shape: shape == "..",
+    "iso_date": lambda shape: shape.isin("--", "//"),
+    "timestamp": lambda shape: F.contains(shape, F.lit(":")),
+}
+# Tests that every run of a few digits passes.
+_ALL_DIGITS = ("integer", "plain_number", "german_number")
+
+
 def text_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if f.dataType.typeName() in ("string", "char", "varchar")]
 
 
+def _bare(value: Column) -> Column:
+    """Whether a value begins and ends with a visible ASCII character, so that nothing is to be trimmed."""
+    ends = [F.ascii(value), F.ascii(F.right(value, F.lit(1)))]
+    return F.coalesce(ends[0].between(0x21, 0x7E) & ends[1].between(0x21, 0x7E), F.lit(False))
+
+
+def passed_tests(
+    value: Column, body: Column, shape: Column, tests: dict[str, Callable[[Column], Column]]
+) -> Column:
+    """A mask with bit i set where a value passes test i.  ``body`` is the value without what surrounds
+    it, ``shape`` what is left of that without its digits."""
+    mask = F.lit(0)
+    digits = 0
+    for i, (name, test) in enumerate(tests.items()):
+        may = _MAY_PASS[name](shape) if name in _MAY_PASS else F.lit(True)
+        mask = mask + F.when(may & test(value).isNotNull(), 1 << i).otherwise(0)
+        digits += (1 << i) * (name in _ALL_DIGITS)
+    # What the tests make of surrounding spaces differs, so bare digits only.
+    few = (shape == "") & F.length(body).between(1, _SAFE_DIGITS) & (F.length(value) == F.length(body))
+    return F.when(few, F.lit(digits)).otherwise(mask)
+
+
 def inference_counts(
     df: DataFrame,
     columns: Sequence[str] | None = None,
@@ -44,34 +96,43 @@ def inference_counts(
     by: Sequence[str] = (),
     extra: Sequence[Column] = (),
 ) -> DataFrame:
-    """Per column an array ``[present, passed test 1, ...]``, named by column position
-    (``c0``, ...), plus ``row_count`` and any extra aggregates."""
+    """Per column an array of the present values and the mask of the tests all of them passed, named by
+    column position (``c0``, ...), plus ``row_count`` and any extra aggregates."""
     columns = text_columns(df) if columns is None else columns
     tests = GERMAN_TESTS if tests is None else tests
-    counts = []
-    for i, name in enumerate(columns):
-        c = F.col(f"`{name}`")
-        present = c.isNotNull() & (cv.trim_spaces(c) != "")
-        passed = [F.count_if(present & test(c).isNotNull()) for test in tests.values()]
-        counts.append(F.array(F.count_if(present), *passed).alias(f"c{i}"))
-    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("row_count"), *counts, *extra)
+    value = {i: F.col(f"`{name}`") for i, name in enumerate(columns)}
+    # Each step stands in a projection of its own, so that it is evaluated once.
+    df = df.select("*", *[_bare(c).alias(f"_f{i}") for i, c in value.items()])
+    bodies = {i: F.when(F.col(f"_f{i}"), c).otherwise(F.trim(c, F.lit(_OUTER))) for i, c in value.items()}
+    df = df.select("*", *[b.alias(f"_b{i}") for i, b in bodies.items()])
+    df = df.select("*", *[F.translate(f"_b{i}", "0123456789", "").alias(f"_s{i}") for i in value])
+    masks = []
+    for i, c in value.items():
+        present = F.col(f"_f{i}") | (c.isNotNull() & (cv.trim_spaces(c) != ""))
+        mask = passed_tests(c, F.col(f"_b{i}"), F.col(f"_s{i}"), tests)
+        masks.append(F.when(present, mask).alias(f"_m{i}"))
+    df = df.select("*", *masks)
+    found = [
+        F.array(F.count(f"_m{i}"), F.coalesce(F.bit_and(f"_m{i}"), F.lit(0)).cast("bigint")).alias(f"c{i}")
+        for i in value
+    ]
+    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("row_count"), *found, *extra)
 
 
 def verdict(counts: Column, tests: dict) -> Column:
     """Name of the first test that all present values passed, as an expression."""
-    present = counts[0]
-    found = F.when(present == 0, F.lit(None).cast("string"))
+    found = F.when(counts[0] == 0, F.lit(None).cast("string"))
     for i, name in enumerate(tests):
-        found = found.when(counts[i + 1] == present, name)
+        found = found.when(counts[1].bitwiseAND(1 << i) != 0, name)
     return found
 
 
 def decide(counts: Sequence[int], tests: dict) -> str | None:
     """Name of the first test that all present values passed."""
-    present, *passed = counts
+    present, mask = counts
     if not present:
         return None
-    return next((name for name, n in zip(tests, passed) if n == present), None)
+    return next((name for i, name in enumerate(tests) if mask >> i & 1), None)
 
 
 def convert_columns(
