@@ -1,5 +1,7 @@
 """Audit-data ingest and export on Spark."""
 
+import copyreg
+import functools
 import sys
 
 from pyspark import cloudpickle
@@ -8,6 +10,20 @@ from pyspark import cloudpickle
 # copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+
+def _sent(cached):
+    """Cached functions of this package travel as functions, with a cache of their own; others by name."""
+    if (cached.__module__ or "").split(".")[0] != __name__:
+        return cached.__qualname__
+    return _cached, (cached.__wrapped__, cached.cache_parameters()["maxsize"])
+
+
+def _cached(function, maxsize):
+    return functools.lru_cache(maxsize)(function)
+
+
+copyreg.pickle(functools._lru_cache_wrapper, _sent)
+
 from .operators.infer import infer_types  # noqa: E402
 from .operators.report import ImportResult  # noqa: E402
 from .sinks.export import export_table  # noqa: E402
