@@ -1,9 +1,11 @@
-"""Benchmark decontamination with short seeds.
-
-A seed is a run of ``SEED`` words.  Substitutions that break every such run of a stretch are at least
-a fourth of its words, and a stretch that counts as an overlap has a fifth at most: so every overlap
-has a seed, wherever its substitutions stand.  Test and training hashes are joined, and along the
-diagonal of a hit the words of both are compared at every window whose stretch can hold the hit.
+"""Benchmark decontamination with spaced seeds.
+
+A seed is a few words at the fixed places of a mask; the words at its ignored places may differ.
+With the mask 11011 every overlap has a seed, wherever its substitutions stand: words that no seed
+fits lie in runs of four at most, of which no two neighbours have two words each, and so many
+substitutions no overlap has (the tests go through all patterns).  Test and training hashes are
+joined, and along the diagonal of a hit the words of both are compared at every window whose stretch
+can hold the hit.
 """
 
 from __future__ import annotations
@@ -15,12 +17,13 @@ from .frames import once, packed
 
 #: Words of a window.
 SPAN = 12
-#: Words of a seed.
-SEED = 4
+#: The places of a seed that are hashed, of ``SEED`` words in a row.
+MASK = (0, 1, 3, 4)
+SEED = MASK[-1] + 1
 #: Words compared to the left and to the right of a window.
 REACH = 12
-#: A run of agreeing words is looked at from its first seed, and from each whose place in the item is
-#: a multiple of this.
+#: Seeds that hit one after the other are looked at from the first one, and from each whose place in the
+#: item is a multiple of this.
 STEP = 16
 #: The windows looked at from a seed: from the one whose stretch ends with the seed to the last one
 #: whose stretch begins before the next seed that is looked at.
@@ -39,7 +42,13 @@ def _words(text: Column) -> Column:
 
 
 def _key(at: Column) -> Column:
-    return F.xxhash64(*[F.get("_hashes", at + k) for k in range(SEED)])
+    return F.xxhash64(*[F.get("_hashes", at + k) for k in MASK])
+
+
+def _before_seed(at: Column) -> Column:
+    """The words which, if they agree too, make the seed before this one hit; null for the first."""
+    new = [k - 1 for k in MASK if k - 1 not in MASK]
+    return F.when(at > 0, F.xxhash64(*[F.get("_hashes", at + k) for k in new]))
 
 
 def _hashed(df: DataFrame) -> DataFrame:
@@ -58,7 +67,7 @@ def seeds(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text
         _key(F.col("_pos")).alias("_key"),
         "item",
         F.col("_pos").alias("item_pos"),
-        F.get("_hashes", F.col("_pos") - 1).alias("_last"),
+        _before_seed(F.col("_pos")).alias("_last"),
         before.alias("before"),
         F.slice("_words", F.col("_pos") - before + 1, before + LAST + SPAN + REACH).alias("around"),
     )
@@ -125,7 +134,7 @@ def _hits(work: DataFrame, part: DataFrame, anchors: bool) -> DataFrame:
     head = (
         (F.col("_pos") == 0)
         | F.col("_last").isNull()
-        | (F.col("_last") != F.get("_hashes", F.col("_pos") - 1))
+        | (F.col("_last") != _before_seed(F.col("_pos")))
         | (F.col("item_pos") % STEP == 0)
     )
     joined = df.join(

@@ -177,11 +177,12 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     languages the one with more labelled documents wins, then the first by name.  A null text and one without a letter is ``und`` with score 0;
     so is every text when no language was learned.  Rows are judged each for itself.
     """
-    known = docs.sparkSession.sparkContext.broadcast(model)
+    # Arrays and names only: a broadcast value of a class of this package would ask executors for it.
+    known = docs.sparkSession.sparkContext.broadcast((model.languages, model.slices, model.chance))
     kept = [c for c in docs.columns if c.lower() not in ("lang_pred", "score")]
 
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = known.value
+        m = Model(*known.value)
         for batch in batches:
             texts = [(t or "").lower() for t in batch.column(0).to_pylist()]
             langs: list[str] = []

@@ -121,8 +121,8 @@ select doc_id, len(words)::bigint as n_words, coalesce(n_base, 0)::bigint as n_b
 from d left join per on per.r = d.r
 """
 
-# A place of a document and one of an item whose words agree where one of three masks looks, and the
-# agreement around them.
+# Every diagonal on which a document and an item have words in common that could make an overlap, and
+# every window along it.
 LEAKS = r"""
 with items as (
   select item_id as item, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') as iw from benchmark
@@ -132,25 +132,19 @@ d as (
     regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') as dw
   from documents
 ),
-ipos as (select item, iw, unnest(range(1, len(iw) - 10)) as i from items where len(iw) >= 12),
-dpos as (select r, unnest(range(1, len(dw) - 10)) as j, dw from d where len(dw) >= 12),
-iwin as (select item, i, iw[i:i + 11] as v from ipos),
-dwin as (select r, j, dw[j:j + 11] as v from dpos),
-masks as (select unnest([0, 1, 2]) as m),
-ikey as (
-  select item, i, m, array_to_string(list_filter(v, lambda x, k: (k - 1) % 3 <> m), ' ') as k
-  from iwin, masks
+ipos as (select item, len(iw) as ni, unnest(range(1, len(iw) + 1)) as i, unnest(iw) as w from items where len(iw) >= 12),
+dpos as (select r, unnest(range(1, len(dw) + 1)) as j, unnest(dw) as w from d where len(dw) >= 12),
+diagonals as (
+  select r, item, j - i as shift from ipos join dpos using (w) group by all having count(*) >= 11
 ),
-dkey as (
-  select r, j, m, array_to_string(list_filter(v, lambda x, k: (k - 1) % 3 <> m), ' ') as k
-  from dwin, masks
+windows as (
+  select x.r, x.item, x.shift, iw, dw, unnest(range(greatest(1, 1 - x.shift), least(len(iw), len(dw) - x.shift) - 10)) as i
+  from diagonals x join items on items.item is not distinct from x.item join d on d.r = x.r
 ),
-hits as (select distinct r, item, i, j from ikey join dkey using (m, k)),
 spread as (
-  select h.r, h.item, h.i, h.j, iw, dw,
-    least(h.i - 1, h.j - 1, 12) as before,
-    least(len(iw) - h.i, len(dw) - h.j, 23) as after
-  from hits h join items on items.item is not distinct from h.item join d on d.r = h.r
+  select *, i + shift as j, least(i - 1, i + shift - 1, 12) as before,
+    least(len(iw) - i, len(dw) - i - shift, 23) as after
+  from windows
 ),
 compared as (
   select r, item, i, j, before + after + 1 as n,

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import base64
 import os
+import re
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
@@ -41,10 +42,32 @@ def _encoder(path: str):
     return tiktoken.Encoding("public", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}), widths
 
 
+#: White space as the pattern takes it, and the length of a run from which the encoder's own search for
+#: its end may run out of stack.
+BLANKS = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+LONG_RUN = 10_000
+
+
+def token_ids(text: str, path: str = VOCABULARY, long_run: int = LONG_RUN) -> list[int]:
+    """The tokens of a text.
+
+    A long run of white space is cut out where the pattern cuts it in any case: it is one piece without its
+    last character, which goes with what follows, or with it at the end of the text.  So the tokens are
+    the same, and the pattern never has to search through the run."""
+    encoder, _ = _encoder(path)
+    out, at = [], 0
+    for run in re.finditer(f"[{BLANKS}]{{{long_run},}}", text):
+        stop = run.end() if run.end() == len(text) else run.end() - 1
+        out += encoder.encode_ordinary(text[at : run.start()])
+        out += encoder._encode_single_piece(text[run.start() : stop].encode())
+        at = stop
+    return out + encoder.encode_ordinary(text[at:])
+
+
 def token_ends(text: str, path: str = VOCABULARY) -> np.ndarray:
     """The byte at which each token of a text ends."""
-    encoder, widths = _encoder(path)
-    return np.cumsum(widths[np.array(encoder.encode_ordinary(text), np.int64)])
+    _, widths = _encoder(path)
+    return np.cumsum(widths[np.array(token_ids(text, path), np.int64)])
 
 
 def attribute(ends: np.ndarray, borders: Sequence[int], rule: str = RULE) -> tuple[np.ndarray, np.ndarray]:

@@ -2,8 +2,12 @@
 empty tables and extra columns with clashing names."""
 
 import hashlib
+import os
+import pathlib
 import random
 import re
+import subprocess
+import sys
 
 import numpy as np
 import pytest
@@ -322,13 +326,22 @@ def test_decontamination(spark, docs, nothing):
 
 
 def test_every_overlap_has_a_seed():
+    mask = sum(1 << k for k in decontaminate.MASK)
+    assert 0 < len(decontaminate.MASK) < decontaminate.SEED
+
     def fewest(n):
-        """Substitutions that leave no agreeing run of a seed's length, over all patterns of n words."""
-        runs = {0: 0}
+        """Substitutions that leave no place where the mask's words agree, over all patterns of n words."""
+        states = {(): 0}
         for _ in range(n):
-            longer = {run + 1: k for run, k in runs.items() if run + 1 < decontaminate.SEED}
-            runs = longer | {0: min(runs.values()) + 1}
-        return min(runs.values())
+            after = {}
+            for last, k in states.items():
+                for same in (0, 1):
+                    now = (*last, same)[-decontaminate.SEED :]
+                    bits = sum(x << i for i, x in enumerate(now))
+                    if len(now) < decontaminate.SEED or bits & mask != mask:
+                        after[now] = min(k + 1 - same, after.get(now, n))
+            states = after
+        return min(states.values())
 
     longest = decontaminate.SPAN + 2 * decontaminate.REACH
     for n in range(decontaminate.STRETCH, longest + 1):
@@ -561,6 +574,45 @@ def test_components(spark, share):
     assert {r["node"]: r["component"] for r in found.collect()} == root
 
 
+def test_long_white_space_has_the_same_tokens(spark):
+    pytest.importorskip("tiktoken")
+    encoder, _ = tokens._encoder(tokens.VOCABULARY)
+    rng = random.Random(2)
+    blanks = [" ", "  ", "\n", "\r\n", "\t", "\u00a0", "\u3000", "\x0b", "\x85", "\u2028", "\x1c", "\u200b"]
+    for _ in range(400):
+        text = "".join(
+            "".join(rng.choices(blanks[: rng.randint(1, 12)], k=rng.randint(0, 30))) + rng.choice(["", "a", "été", "1", ".", "'s", "x y"])
+            for _ in range(rng.randint(1, 6))
+        )
+        assert tokens.token_ids(text, long_run=3) == encoder.encode_ordinary(text)
+    frame = spark.createDataFrame([(1, " " * 1_000_000), (2, "a" + "\n" * 1_000_000 + "b")], "doc_id long, text string")
+    found = {r["doc_id"]: r["doc_tokens"] for r in tokens.count(frame, fields=()).collect()}
+    assert found[1] >= 1_000_000 and found[2] > 2
+
+
+def test_executors_need_no_copy_of_the_package(tmp_path):
+    """A driver that alone knows where the package lies; what it sends to Python workers must do."""
+    program = f"""
+import sys
+sys.path.insert(0, {str(pathlib.Path(corpus_pipeline.__file__).parent)!r})
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2").getOrCreate()
+from pyspark.sql import functions as F
+from pruefspur.llm import jaccard, langid, linededup, tokens
+seen = spark.range(1).mapInPandas(lambda fs: (f.assign(id=int(__import__("importlib").util.find_spec("pruefspur") is not None)) for f in fs), "id long")
+assert seen.head()[0] == 0
+docs = spark.createDataFrame([(i, "line %d of a text in words\\nwith a second line of some words" % i, "en") for i in range(4)], "doc_id long, text string, lang string")
+assert tokens.count(docs, fields=()).count() == 12
+assert langid.predict(docs, langid.fit(docs)).count() == 4
+assert linededup.report(docs).count() == 8
+assert jaccard.join(docs).count() == 4
+print("done")
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    run = subprocess.run([sys.executable, "-c", program], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=600)
+    assert "done" in run.stdout, run.stderr[-2000:]
+
+
 def test_tokens(docs, nothing):
     pytest.importorskip("tiktoken")
     encoder, _ = tokens._encoder(tokens.VOCABULARY)
