@@ -158,6 +158,27 @@ def _side(rows: DataFrame, x: str, *more: str) -> DataFrame:
     return rows.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("bits").alias(f"q{x}"), *more)
 
 
+def _band(percent: int) -> Column:
+    """The size band of a set of ``n`` shingles.  Bands are a little wider than the threshold's ratio, so
+    that rounding puts no partners two bands apart."""
+    step = max(math.log(100 / percent), 0.01) * (1 + 1e-6)
+    return F.floor(F.log(F.col("n")) / step).cast("int")
+
+
+def met(nodes: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Cell, node and n of the nodes that may have a partner in a cell: another node of their own size
+    band or of one beside it.  A cell is summed up as its number of nodes and a bit per band, so that the
+    many chance meetings of unlike sizes end here.  (Bands 64 apart share a bit, which only keeps more.)"""
+    cells = nodes.select("node", "n", _band(percent).alias("band"), F.explode("prefix").alias("cell"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod("band", F.lit(64)).cast("int"))
+    bands = cells.groupBy("cell").agg(F.count(F.lit(1)).alias("size"), F.bit_or(bit).alias("bands"))
+    repeated = F.bit_count("bands") < F.col("size")
+    beside = F.shiftleft("bands", 1).bitwiseOR(F.shiftrightunsigned("bands", 63))
+    shared = bands.filter((F.col("size") > 1) & (repeated | (F.col("bands").bitwiseAND(beside) != 0)))
+    has = lambda by: F.getbit(F.col("bands"), F.pmod(F.col("band") + by, F.lit(64)).cast("int")) == 1
+    return cells.join(shared, "cell").filter(repeated | has(1) | has(63)).select("cell", "node", "n")
+
+
 def led(members: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Pairs of nodes with leaders of their cells that the sizes allow, a few per node: the leader that
     most cells have in common, and in about eight of a node's cells one drawn for that cell.
@@ -183,9 +204,7 @@ def tiled(rows: DataFrame, signs: DataFrame, percent: int = PERCENT, tile: int =
 
     Partners' sizes lie in one band or in two neighbouring ones.  A cell's rows of a band are dealt to
     parts of about ``tile`` rows, and any two parts that must meet are one join key."""
-    # A little wider than the threshold's ratio, so that rounding puts no partners two bands apart.
-    step = max(math.log(100 / percent), 0.01) * (1 + 1e-6)
-    rows = rows.withColumn("band", F.floor(F.log(F.col("n")) / step).cast("int"))
+    rows = rows.withColumn("band", _band(percent))
     size = F.count(F.lit(1))
     parts = rows.groupBy("cell", "band").agg(F.ceil(size / tile).cast("int").alias("parts"), (size == 1).alias("alone"))
     near = lambda by, name: parts.select("cell", (F.col("band") - by).alias("band"), F.col("parts").alias(name))
@@ -254,9 +273,7 @@ def join(
     nodes = written(nodes.select("node", "n", "t1", "t2", "bits", "prefix"), "nodes")
     texts = numbered.select("t1", "t2", "_text").filter(F.col("_text").isNotNull())
 
-    cells = nodes.select("node", "n", F.explode("prefix").alias("cell"))
-    crowded = cells.groupBy("cell").agg(F.min("node").alias("low"), F.max("node").alias("high"))
-    members = written(cells.join(crowded.filter("low < high").select("cell"), "cell"), "members")
+    members = written(met(nodes, percent), "members")
     signs = nodes.select("node", "n", "bits")
     pairs = led(members, percent).join(_side(signs, "a"), "a").join(_side(signs, "b"), "b").filter(_may_link(percent))
     links = reliable(_links(written(pairs.select("a", "b"), "led"), nodes, texts, percent))

@@ -113,6 +113,18 @@ def test_tiles_lose_no_pair(spark, percent):
     assert got == want
 
 
+@pytest.mark.parametrize("percent", [50, 90])
+def test_cells_keep_all_that_may_have_a_partner(spark, percent):
+    rng = random.Random(percent)
+    rows = [(i, rng.randint(1, 3000), sorted(rng.sample(range(300), 4))) for i in range(120)]
+    frame = spark.createDataFrame(rows, "node long, n long, prefix array<long>")
+    got = {(r["cell"], r["node"]) for r in jaccard.met(frame, percent).collect()}
+    every = {(c, i) for i, _, p in rows for c in p}
+    near = lambda a, b: 100 * a >= percent * b and 100 * b >= percent * a
+    need = {(c, i) for i, n, p in rows for c in p if any(c in q and j != i and near(n, m) for j, m, q in rows)}
+    assert need <= got < every
+
+
 def test_prefixes_and_bit_counts_never_miss():
     rng = np.random.default_rng(3)
     counts = rng.integers(0, 50, 1 << jaccard.PLACE_BITS)
