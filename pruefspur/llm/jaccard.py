@@ -31,6 +31,9 @@ BITS = 1024
 #: Texts (16 bytes of keys each) up to which the keys of those wanted go to every task; more of them
 #: are joined by a shuffle.
 BROADCAST_KEYS = 500_000
+#: Shingles from which a set also has a wide signature, of about a bit per shingle: the narrow one's bits are
+#: hit so often then that unlike sets no longer differ by enough of them.
+WIDE_FROM = 2048
 #: Rows of one cell, size band and side that meet in one tile.
 TILE = 1024
 _TEXT_BYTES_AT_ONCE = 1 << 24
@@ -69,20 +72,26 @@ def prefix(shingles: np.ndarray, rank: np.ndarray, percent: int = PERCENT) -> np
     return np.sort(np.partition(keys, size - 1)[:size])
 
 
-def parity(shingles: np.ndarray) -> np.ndarray:
-    """The signature of a set."""
-    bit = (mix(shingles ^ U(0x3C3C3C3C)) & U(BITS - 1)).astype(np.int64)
-    return np.packbits(np.bincount(bit, minlength=BITS).astype(np.uint8) & 1).view(np.int64)
+def parity(shingles: np.ndarray, bits: int = BITS) -> np.ndarray:
+    """The signature of a set.  One of half the bits is the exclusive or of its halves."""
+    bit = (mix(shingles ^ U(0x3C3C3C3C)) & U(bits - 1)).astype(np.int64)
+    return np.packbits((np.bincount(bit, minlength=bits) & 1).astype(np.uint8)).view(np.int64)
+
+
+def wide_parity(shingles: np.ndarray) -> np.ndarray | None:
+    """The signature of a large set, as many bits as the highest power of two in its size."""
+    return parity(shingles, 1 << (len(shingles).bit_length() - 1)) if len(shingles) >= WIDE_FROM else None
 
 
 def _signed(rank: np.ndarray, percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, prints, signatures, firsts, ends = [], [], [], [], [0]
+            sizes, prints, signatures, wides, firsts, ends = [], [], [], [], [], [0]
             for s in _sets(batch.column(4)):
                 sizes.append(len(s))
                 prints += [mix(s ^ U(k)).sum(dtype=np.uint64) for k in (0x1111, 0x2222)]
                 signatures.append(parity(s))
+                wides.append(wide_parity(s))
                 firsts.append(prefix(s, rank, percent) if len(s) else s)
                 ends.append(ends[-1] + len(firsts[-1]))
             n, width = len(sizes), BITS // 64
@@ -95,9 +104,10 @@ def _signed(rank: np.ndarray, percent: int) -> Callable[[Iterator[pa.RecordBatch
                     pa.array(both[:, 0].copy()),
                     pa.array(both[:, 1].copy()),
                     lists(np.arange(n + 1) * width, np.concatenate([np.empty(0, np.int64), *signatures])),
+                    pa.array(wides, pa.list_(pa.int64())),
                     lists(ends, np.concatenate([np.empty(0, np.uint64), *firsts]).view(np.int64)),
                 ],
-                names=[*batch.schema.names[:4], "n", "p1", "p2", "bits", "prefix"],
+                names=[*batch.schema.names[:4], "n", "p1", "p2", "bits", "wide", "prefix"],
             )
 
     return run
@@ -136,12 +146,36 @@ def _may_link(percent: int) -> Column:
     differing = F.lit(0)
     for i in range(BITS // 64):
         differing = differing + F.bit_count(F.col("qa")[i].bitwiseXOR(F.col("qb")[i]))
+    return _sizes_fit(percent) & _room(differing, percent)
+
+
+def _room(differing: Column, percent: int) -> Column:
+    """Whether so many differing bits leave enough overlap for the threshold."""
     both = F.col("na") + F.col("nb")
-    return _sizes_fit(percent) & ((100 + percent) * (both - differing) >= 2 * percent * both)
+    return (100 + percent) * (both - differing) >= 2 * percent * both
+
+
+def finer(pairs: DataFrame, nodes: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The pairs that wide signatures allow too; a pair without two of them stays."""
+    wide = nodes.filter(F.col("wide").isNotNull())
+    side = lambda x: wide.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("wide").alias(f"w{x}"))
+    met = pairs.join(side("a"), "a", "left").join(side("b"), "b", "left")
+    half = lambda w: (F.size(w) / 2).cast("int")
+    folded = lambda w: F.zip_with(
+        F.slice(w, F.lit(1), half(w)), F.slice(w, half(w) + 1, half(w)), lambda x, y: x.bitwiseXOR(y)
+    )
+    # Sizes that the threshold allows lie less than two powers of two apart.
+    longer = lambda w, v: F.when(F.size(w) > F.size(v), folded(w)).otherwise(w)
+    a, b = F.col("wa"), F.col("wb")
+    ones = F.zip_with(longer(a, b), longer(b, a), lambda x, y: F.bit_count(x.bitwiseXOR(y)).cast("bigint"))
+    differing = F.aggregate(ones, F.lit(0).cast("bigint"), lambda n, x: n + F.coalesce(x, F.lit(0)))
+    judged = (a.isNull() | b.isNull()) | _room(differing, percent)
+    return met.filter(judged).select("a", "b")
 
 
 def _links(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """The pairs of nodes that hold on their full sets; only their texts are moved."""
+    pairs = reliable(finer(pairs, nodes, percent))
     needed = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     # A node's text is found by its content, which is the same in every scan.
     of = reliable(nodes.select("node", "t1", "t2").join(needed, "node"))
@@ -265,12 +299,12 @@ def join(
         return spark.read.parquet(f"{folder}/{name}")
 
     kind = dict(numbered.dtypes)["_id"]
-    made = f"_row bigint, _id {kind}, t1 bigint, t2 bigint, n bigint, p1 bigint, p2 bigint, bits array<bigint>, prefix array<bigint>"
+    made = f"_row bigint, _id {kind}, t1 bigint, t2 bigint, n bigint, p1 bigint, p2 bigint, bits array<bigint>, wide array<bigint>, prefix array<bigint>"
     signed = written(numbered.mapInArrow(_signed(order_of_places(counts), percent), made), "signed")
     same = ["p1", "p2", "n"]
     alike = signed.filter(F.col("n") > 0).groupBy(same).agg(F.min("_row").alias("node"), F.min("_id").alias("first"))
     nodes = signed.join(alike.select(F.col("node").alias("_row")), "_row").withColumnRenamed("_row", "node")
-    nodes = written(nodes.select("node", "n", "t1", "t2", "bits", "prefix"), "nodes")
+    nodes = written(nodes.select("node", "n", "t1", "t2", "bits", "wide", "prefix"), "nodes")
     texts = numbered.select("t1", "t2", "_text").filter(F.col("_text").isNotNull())
 
     members = written(met(nodes, percent), "members")

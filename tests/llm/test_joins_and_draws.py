@@ -140,6 +140,21 @@ def test_prefixes_and_bit_counts_never_miss():
             assert len(np.intersect1d(jaccard.prefix(a, rank), jaccard.prefix(b, rank)))
 
 
+def test_wide_signatures_drop_unlike_sets_only(spark):
+    rng = np.random.default_rng(4)
+    universe = kernels.mix(np.arange(60_000, dtype=np.uint64))
+    sets = [np.sort(rng.choice(universe, n, replace=False)) for n in (4000, 4200, 4096, 7900, 9000, 100, 2048)]
+    sets += [np.union1d(s[k:], rng.choice(universe, k)) for s, k in zip(sets[:5], (90, 30, 3, 200, 470), strict=True)]
+    rows = [(i, len(s), None if (w := jaccard.wide_parity(s)) is None else w.tolist()) for i, s in enumerate(sets)]
+    nodes = spark.createDataFrame(rows, "node long, n long, wide array<long>")
+    size = lambda i, j: 100 * len(sets[i]) >= 90 * len(sets[j]) and 100 * len(sets[j]) >= 90 * len(sets[i])
+    pairs = [(i, j) for i, j in itertools.combinations(range(len(sets)), 2) if size(i, j)]
+    got = {tuple(r) for r in jaccard.finer(spark.createDataFrame(pairs, "a long, b long"), nodes).collect()}
+    common = lambda i, j: len(np.intersect1d(sets[i], sets[j]))
+    links = {(i, j) for i, j in pairs if 100 * common(i, j) >= 90 * (len(sets[i]) + len(sets[j]) - common(i, j))}
+    assert len(links) == 5 and links == got
+
+
 def plain_features(text, longest):
     words = re.findall(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").encode().lower())
     return len(words), [b" ".join(words[i : i + n]) for n in range(1, longest + 1) for i in range(len(words) - n + 1)]
