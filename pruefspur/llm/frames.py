@@ -13,6 +13,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def quoted(name: str) -> str:
+    """A column's name as it is written in an expression, whatever characters it has."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def once(df: DataFrame, **columns: Column) -> DataFrame:
     """Add columns that are computed once per row.  The optimizer copies a projected expression
     into every later use, also into the body of a lambda; it does not copy one through a

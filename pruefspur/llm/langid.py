@@ -16,7 +16,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from .frames import quoted
 from .kernels import U, mix, spans_of
 
 #: Letters of an n-gram; a word's border counts as one at either end.
@@ -204,9 +206,11 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
                 scores += [float(share[r, i]) if ok else 0.0 for r, (i, ok) in enumerate(zip(best, known_text, strict=True))]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[1:], pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
-                names=[*batch.schema.names[1:], "lang_pred", "score"],
+                names=names,
             )
 
-    work = docs.select(F.col(text_col).alias("_text"), *[F.col(f"`{c}`") for c in kept])
-    schema = ", ".join(f"`{c}` {t}" for c, t in work.dtypes[1:])
-    return work.mapInArrow(judged, f"{schema}{', ' if schema else ''}lang_pred string, score double")
+    # Inside the tasks columns go by number: an input column may have any name.
+    names = [*[f"c{i}" for i in range(len(kept))], "lang_pred", "score"]
+    work = docs.select(F.col(text_col), *[F.col(quoted(c)) for c in kept]).toDF("text", *names[:-2])
+    schema = T.StructType(work.schema.fields[1:]).add("lang_pred", "string").add("score", "double")
+    return work.mapInArrow(judged, schema).toDF(*kept, "lang_pred", "score")

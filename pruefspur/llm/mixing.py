@@ -16,13 +16,13 @@ from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 from fractions import Fraction
 from itertools import islice
-from math import gcd, lcm
+from math import gcd, isfinite, lcm
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..hadoop import fresh_folder
-from .frames import packed
+from .frames import packed, quoted
 
 #: Documents of a block.
 BLOCK = 16
@@ -95,10 +95,11 @@ def phases(blocks: Mapping[str, int], weights: Mapping[str, float]) -> list[Phas
     made, slot = [], 0
     done = dict.fromkeys(blocks, 0)
     while left := {s: n - done[s] for s, n in sorted(blocks.items()) if n > done[s]}:
-        names = tuple(left)
-        rest = list(left.values())
+        # Sources without a weight wait for all others and then share equally.
+        names = tuple(s for s in left if weights[s] > 0) or tuple(left)
+        rest = [left[s] for s in names]
         order = array("H" if len(names) <= 1 << 16 else "L")
-        parts = whole({s: weights[s] for s in names})
+        parts = whole({s: weights[s] or 1 for s in names})
         for s in islice(turns(parts), sum(rest)):
             if not rest[s]:
                 break
@@ -161,8 +162,9 @@ def mix(
     """All documents with their columns and ``mix_slot`` (the block's place in the mix) and
     ``mix_position`` (the document's; unique, with gaps only behind a source's short last block).
 
-    ``weights`` maps sources to target weights; a source it lacks gets the smallest of them, and
-    without it weights are the square roots of the sources' sizes.  A null source is the source
+    ``weights`` maps sources to target weights; a source it lacks gets the smallest of them above 0, and
+    sources of weight 0 follow when all others have run out.  A weight below 0, or not a finite number,
+    is a ValueError.  Without weights they are the square roots of the sources' sizes.  A null source is the source
     ``""``.  Documents of a source are taken in the order of a hash of the id, ties by the id itself and then
     by a hash of all columns; repeated rows are documents of their own.  An empty table gives an empty mix.
     The driver holds the sources and two bytes per block (four and more beyond 65,536 sources), never
@@ -170,20 +172,24 @@ def mix(
     """
     spark = docs.sparkSession
     name = F.coalesce(F.col(source_col).cast("string"), F.lit(""))
-    plain = [c for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]
+    plain = [quoted(c) for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]
+    tie = F.xxhash64(*plain)
+    # Rows without an id would all have one hash and end in one task.
     work = packed(
         docs,
         _name=name,
         _id=F.col(id_col),
-        _hash=F.xxhash64(F.col(id_col).cast("string")),
-        _tie=F.xxhash64(*plain),
+        _hash=F.when(F.col(id_col).isNull(), tie).otherwise(F.xxhash64(F.col(id_col).cast("string"))),
+        _tie=tie,
     )
     sizes = work.groupBy("_name").agg(F.count(F.lit(1)).alias("n")).collect()
     counts = {r["_name"]: r["n"] for r in sizes}
     if not counts:
         return docs.withColumn("mix_slot", F.lit(0).cast("bigint")).withColumn("mix_position", F.lit(0).cast("bigint"))
     goal = dict(weights) if weights else tempered(counts)
-    least = min(goal.values())
+    if not all(isfinite(w) and w >= 0 for w in goal.values()):
+        raise ValueError("weights are finite numbers from 0 on")
+    least = min((w for w in goal.values() if w > 0), default=1)
     goal = {s: goal.get(s, least) for s in counts}
     blocks = {s: -(-n // block) for s, n in counts.items()}
     plan = phases(blocks, goal)
@@ -207,7 +213,7 @@ def mix(
     ranked = ranked.withColumn("_run", F.floor(number / RUN).cast("bigint")).withColumn("_turn", (number % RUN).cast("int"))
     placed = ranked.join(_timetable(spark, plan, held), ["_name", "_run"])
     slot = F.get("_slots", F.col("_turn"))
-    own = [F.col(f"_in.`{c}`") for c in docs.columns if c.lower() not in ("mix_slot", "mix_position")]
+    own = [F.col(f"_in.{quoted(c)}") for c in docs.columns if c.lower() not in ("mix_slot", "mix_position")]
     return placed.withColumn("_slot", slot.cast("bigint")).select(
         *own,
         F.col("_slot").alias("mix_slot"),

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ..hadoop import reliable
 from .components import components
+from .frames import packed, quoted
 from .kernels import U, mix, shingle_sets, spans_of, super_minhash
 
 #: A pair links when 100 * intersection >= PERCENT * union.
@@ -132,11 +133,11 @@ def group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 
     Shingles are five lower-cased words.  A null or empty text has no shingles and is linked with
     nothing; a text of fewer words has its whole sequence.  Ids are whole numbers; rows that share one are
-    one document, linked where any of its texts is.  A null id is tied to nothing and kept, its
-    component is null.  Other columns are not read.  An empty table gives an empty result.  Nothing
+    one document, linked where any of its texts is.  A null id, or one that is no whole number, is tied to
+    nothing, null in the result and kept, its component null.  Other columns are not read.  An empty table gives an empty result.  Nothing
     but counts comes to the driver.
     """
-    texts = docs.select(F.col(id_col).cast("bigint").alias("_id"), F.col(text_col).alias("_text"))
+    texts = docs.select(F.col(id_col).try_cast("bigint").alias("_id"), F.col(text_col).alias("_text"))
     signed = reliable(
         texts.mapInArrow(
             _signatures,
@@ -194,6 +195,8 @@ def group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 
 
 def filtered(docs: DataFrame) -> DataFrame:
-    """One document of each group, with all its columns; documents without an id stay."""
-    dropped = group(docs).filter(~F.col("kept")).select(F.col("doc_id").alias("_dropped")).distinct()
-    return docs.join(dropped, docs["doc_id"].cast("bigint") == F.col("_dropped"), "left_anti")
+    """One document of each group, with all its columns; documents without an id (or with one that is
+    no whole number) stay."""
+    dropped = group(docs).filter(~F.col("kept")).select("doc_id").distinct()
+    work = packed(docs, doc_id=F.col("doc_id").try_cast("bigint")).join(dropped, "doc_id", "left_anti")
+    return work.select(*[F.col(f"_in.{quoted(c)}") for c in docs.columns])

@@ -6,7 +6,7 @@ texts and not as hashes, spans are found by joins on words.
 
 from __future__ import annotations
 
-from .licenses import COVERAGE, DRIFT, TEMPLATES
+from .licenses import COVERAGE, TEMPLATES, band
 
 # The words of the rules: the white space of ASCII parts them.
 QUALITY = r"""
@@ -60,16 +60,17 @@ from f
 """
 
 _TEMPLATES = ",\n    ".join(
-    f"({number}, '{t.label}', {str(t.base).lower()}, '{t.words}')" for number, t in enumerate(TEMPLATES)
+    f"({number}, '{t.label}', {str(t.base).lower()}, {band(len(t.words.split(' ')), t.base)}, '{t.words}')"
+    for number, t in enumerate(TEMPLATES)
 )
 
 LICENSES = rf"""
-with tpl(template, t_label, t_base, t_text) as (
+with tpl(template, t_label, t_base, t_band, t_text) as (
   values {_TEMPLATES}
 ),
 tw as (select *, string_split(t_text, ' ') as tw from tpl),
 ti as (select *, unnest(range(1, len(tw))) as j from tw),
-tp as (select template, t_label, t_base, len(tw) as t_words, j - 1 as t_pos, tw[j] as a, tw[j + 1] as b from ti),
+tp as (select template, t_label, t_base, t_band, len(tw) as t_words, j - 1 as t_pos, tw[j] as a, tw[j + 1] as b from ti),
 d as (
   select row_number() over () as r, doc_id,
     regexp_extract_all(
@@ -79,28 +80,21 @@ d as (
 ),
 p as (select r, words, unnest(range(1, len(words))) as i from d),
 dp as (select r, i - 1 as pos, words[i] as a, words[i + 1] as b from p),
-votes as (
-  select r, template, t_label, t_base, t_words, pos - t_pos as diagonal, count(*) as votes,
-    min(t_pos) as low, max(t_pos) as high
-  from dp join tp using (a, b)
+hits as (select r, template, t_label, t_base, t_band, t_words, t_pos, pos, pos - t_pos as diagonal from dp join tp using (a, b)),
+bands as (select distinct r, template, diagonal as band from hits),
+firsts as (
+  select r, template, t_label, t_base, t_words, band, t_pos, min(pos) as place
+  from bands join hits using (r, template)
+  where diagonal between band and band + t_band
   group by all
 ),
-marked as (
-  select *, case when t_base or coalesce(
-      diagonal - lag(diagonal) over (partition by r, template order by diagonal) > {DRIFT}, true)
-    then 1 else 0 end as fresh
-  from votes
-),
-numbered as (
-  select *, sum(fresh) over (partition by r, template order by diagonal rows unbounded preceding) as span
-  from marked
-),
-merged as (
-  select r, template, t_label, t_base, t_words, span, sum(votes) as votes, min(diagonal + low) as start
-  from numbered group by all
+held as (
+  select r, template, t_label, t_base, t_words, band, list(place order by t_pos) as places from firsts group by all
 ),
 scored as (
-  select *, least(100, floor(100.0 * votes / (t_words - 1))) as coverage from merged
+  select *, len(list_filter(places, lambda x, i: i = 1 or x > list_max(places[1:i - 1]))) as votes,
+    list_min(places) as start, floor(100.0 * votes / (t_words - 1)) as coverage
+  from held
 ),
 spans as (
   select * from scored

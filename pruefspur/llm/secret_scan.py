@@ -122,29 +122,33 @@ def findings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     and one row with a null kind for a document without any.
 
     Base findings are always reported.  A weak part is reported when, in its scope and at most
-    ``NEAR`` characters away, stands a part that completes it.  A null or empty text has no findings;
+    ``NEAR`` characters away, stands a part that completes it and shares no character with it.  A null or empty text has no findings;
     repeated rows are scanned each for itself; a null id stays null.  Other columns are not read.
     """
     work = docs.select(F.monotonically_increasing_id().alias("_row"), F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     id_type = dict(work.dtypes)["_id"]
     found = work.mapInArrow(_parts, f"_row bigint, _id {id_type}, parts array<{PART}>")
     rows = found.select("_row", "_id", F.inline_outer("parts"))
-    by = Window.partitionBy("_row", "scope").orderBy("start", "stop", "kind")
+    # Each part begins and ends; seen from its begin the parts that ended before, and from its end
+    # those that begin after it, lie beside it and not within it.
+    ends = F.explode(F.array(F.struct(F.col("start").alias("at"), F.lit(1).alias("begins")), F.struct(F.col("stop").alias("at"), F.lit(0).alias("begins"))))
+    rows = rows.repartition("_row").select("*", ends.alias("_end")).select("*", "_end.*")
+    by = Window.partitionBy("_row", "scope").orderBy("at", "begins")
     left, right = by.rowsBetween(Window.unboundedPreceding, -1), by.rowsBetween(1, Window.unboundedFollowing)
+    begins = F.col("begins") == 1
 
     def near(*parts: str):
         is_one = F.col("part").isin(*parts)
-        before = F.max(F.when(is_one, F.col("stop"))).over(left)
-        after = F.min(F.when(is_one, F.col("start"))).over(right)
-        return F.coalesce(F.col("start") - before <= NEAR, F.lit(False)) | F.coalesce(
-            after - F.col("stop") <= NEAR, F.lit(False)
-        )
-
-    linked = (
-        F.when(F.col("part") == "secret", near("identifier", "endpoint"))
-        .otherwise(near("secret"))
+        before = F.col("at") - F.max(F.when(is_one & ~begins, F.col("at"))).over(left)
+        after = F.min(F.when(is_one & begins, F.col("at"))).over(right) - F.col("at")
+        return F.coalesce(F.when(begins, before).otherwise(after) <= NEAR, F.lit(False))
+
+    linked = F.when(F.col("part") == "secret", near("identifier", "endpoint")).otherwise(near("secret"))
+    told = (
+        rows.withColumn("_linked", linked)
+        .groupBy("_row", "_id", "kind", "start", "stop")
+        .agg(F.max("_linked").alias("_linked"))
     )
-    told = rows.repartition("_row").withColumn("_linked", linked)
     return told.select(
         "_row",
         F.col("_id").alias(id_col),

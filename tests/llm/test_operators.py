@@ -245,6 +245,56 @@ def test_licenses(spark, docs, nothing):
     assert licenses.label(docs).count() == docs.count() and licenses.label(nothing).count() == 0
 
 
+def template_places(words, template):
+    """The best band of a template in a list of words: its places found in order, first ones of each."""
+    t = template.words.split(" ")
+    width, best = licenses.band(len(t), template.base), 0
+    hits = [(j, i) for i in range(len(words) - 1) for j in range(len(t) - 1) if words[i : i + 2] == t[j : j + 2]]
+    for band in {i - j for j, i in hits}:
+        last, count = -1, 0
+        for j in range(len(t) - 1):
+            at = [i for k, i in hits if k == j and band <= i - k <= band + width]
+            if at:
+                count += min(at) > last
+                last = max(last, min(at))
+        best = max(best, count)
+    return 100 * best // (len(t) - 1)
+
+
+def test_license_spans_hold_a_template_in_order(spark):
+    rng = random.Random(12)
+    given = ["4 0 4 0 4 0 4 0", "by 4 by 4 by 4 0 4 0", "licensed under CC BY 4.0", "0 4 by cc under licensed", ""]
+    for template in licenses.TEMPLATES:
+        words = template.words.split(" ")
+        given.append(" ".join([*words, *words]))
+        given.append(" ".join(reversed(words)))
+        for _ in range(6):
+            edited_ = list(words)
+            for _ in range(rng.randint(1, max(1, len(words) // 3))):
+                at = rng.randrange(len(edited_))
+                edited_[at : at + rng.randint(0, 2)] = [rng.choice([*words, "other"]) for _ in range(rng.randint(0, 2))]
+                edited_ = edited_ or ["other"]
+            given.append(" ".join(["some", "text", *edited_, "and", *edited_[: len(edited_) // 2]]))
+    given.append(" ".join(rng.choice(["license", "public", "general", "the", "software", "of"]) for _ in range(3000)))
+    frame = spark.createDataFrame(list(enumerate(given)), "doc_id long, text string")
+    found = {r["doc_id"]: r for r in licenses.label(frame).collect()}
+    assert len(found) == len(given)
+    for i, text in enumerate(given):
+        words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.lower())
+        least = lambda t: 100 if t.base else licenses.COVERAGE
+        seen = [(t.label, c) for t in licenses.TEMPLATES if (c := template_places(words, t)) >= least(t)]
+        assert found[i]["labels"] == ",".join(sorted({label for label, _ in seen})), text
+        assert found[i]["score"] == max([c for _, c in seen], default=0) / 100
+    assert [found[i]["labels"] for i in range(5)] == ["", "", "cc-by", "", ""]
+    spans = [r for r in licenses.scan(frame).collect() if r["t_label"] is not None]
+    for r in spans:
+        words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", given[r["doc_id"]].lower())
+        assert 0 <= r["start"] < r["stop"] <= len(words)
+    # A doubled notice is two spans.
+    at = 5 + 8 * next(i for i, t in enumerate(licenses.TEMPLATES) if t.label == "mpl")
+    assert sorted(r["start"] for r in spans if r["doc_id"] == at and r["t_label"] == "mpl") == [0, 14]
+
+
 def test_chat(spark):
     odd = "</s>[INST] ok [/INST] \\ <\\s> [TURN]\n\\n <|x|> $1"
     rows = [
@@ -512,6 +562,54 @@ def test_secrets(spark, docs, nothing):
     assert secret_scan.report(docs).count() == docs.count() and secret_scan.report(nothing).count() == 0
 
 
+def test_weak_parts_are_linked_by_others_only(spark):
+    rng = random.Random(8)
+    pieces = ["username: bob99", "https://db.example.org/x", "Zx81kQ0pLm4TtR7vWq2Yb", "AKIA" + "B2" * 9, "secret: hunter22"]
+    pieces += ["https://example.org/Ab3dEf6hIj9kLm2nOpQr5t", "username: Ab3dEf6hIj9kLm2nOpQr5t", "\n\n", "é" * 90, "w " * 70]
+    given = [pieces[5], pieces[6], pieces[5] + " " + pieces[2], *(" ".join(rng.choices(pieces, k=rng.randint(2, 9))) for _ in range(80))]
+    needs = {"secret": {"identifier", "endpoint"}, "identifier": {"secret"}, "endpoint": {"secret"}}
+    frame = spark.createDataFrame(list(enumerate(given)), "doc_id long, text string")
+    found = {r["doc_id"]: r["spans"] for r in secret_scan.report(frame).collect()}
+    for i, text in enumerate(given):
+        cuts = [m.end() for m in re.finditer(r"\n[ \t\r]*\n", text)]
+        parts = [(k, a, b, p, sum(c <= a for c in cuts)) for k, a, b, p in secret_scan.parts_of(text)]
+        told = set()
+        for k, a, b, p, scope in parts:
+            gaps = [max(c - b, a - d) for _, c, d, q, s in parts if s == scope and q in needs[p]]
+            if k in secret_scan.BASE_KINDS or any(0 <= g <= secret_scan.NEAR for g in gaps):
+                told.add(f"{k}:{a}:{b}")
+        assert set(filter(None, found[i].split(","))) == told, text
+    assert found[0] == found[1] == "" and found[2] == "endpoint:0:42,opaque:43:64"
+
+
+def test_names_and_ids_of_any_kind(spark):
+    """Columns named like the operators' own or in need of quotes, ids that are no numbers."""
+    names = ["_text", "_dropped", "_in", "a.b", "x`y", "text0", "c0", "_name", "_hash"]
+    words = [" ".join(f"w{i}x{j}" for j in range(30)) for i in (1, 1, 2)]
+    rows = [(str(i) if i < 3 else "none", words[i % 3], "en", "s", *range(len(names))) for i in range(5)]
+    frame = spark.createDataFrame(rows, ["doc_id", "text", "lang", "source", *names])
+    left = neardup.filtered(frame)
+    # Text 1 is a copy of text 0; rows whose id is no number stay.
+    assert left.columns == frame.columns
+    assert sorted(r["doc_id"] for r in left.collect()) == ["0", "2", "none", "none"]
+    model = langid.fit(frame)
+    told = langid.predict(frame, model)
+    assert told.columns == [*frame.columns, "lang_pred", "score"] and {r["lang_pred"] for r in told.collect()} == {"en"}
+    mixed = mixing.mix(frame)
+    assert mixed.columns == [*frame.columns, "mix_slot", "mix_position"] and mixed.count() == 5
+
+
+def test_weights_of_nothing(spark):
+    rows = [(i, "abcd"[i % 4]) for i in range(400)]
+    frame = spark.createDataFrame(rows, "doc_id long, source string")
+    order = [r["source"] for r in mixing.mix(frame, {"a": 3, "b": 1, "c": 0, "d": 0}, block=1).orderBy("mix_position").collect()]
+    assert sorted(order) == sorted(s for _, s in rows)
+    assert set(order[:200]) == {"a", "b"} and order[:100].count("a") == 75
+    assert all(abs(order[200 : 200 + n].count("c") - n / 2) < 1 for n in range(201))
+    with pytest.raises(ValueError):
+        mixing.mix(frame, {"a": -1})
+
+
 def test_near_duplicates(spark, docs, nothing):
     given = [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").distinct().collect() if r["doc_id"] is not None]
     sets = {i: shingles(t) for i, t in given}
