@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import re
+import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
+import pyarrow as pa
 from pyspark.sql import SparkSession
 
 
@@ -99,14 +103,43 @@ def delete(spark: SparkSession, path: str) -> None:
         fs.delete(p, True)
 
 
-def join_parts(spark: SparkSession, parts: list[str], target: str) -> None:
-    """Append the parts, in order, to one new file.  Streams; callers bound the total size."""
+def _written_at(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Copy each part to its place in the target.  A task that runs again writes the same bytes to
+    the same place."""
+    for batch in batches:
+        for source, target, offset in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            with open(source, "rb") as part, open(target, "r+b") as out:
+                out.seek(offset)
+                shutil.copyfileobj(part, out, 1 << 23)
+        yield batch.select([2])
+
+
+def _join_in_tasks(spark: SparkSession, parts: list[StoredFile], target: str) -> None:
+    """One file on a mounted file system: the sums of the parts' sizes say where each begins, and
+    tasks write them there side by side."""
+    local = lambda path: _resolve(spark, path)[1].toUri().getPath()
+    place = local(target)
+    offsets = list(accumulate((p.size for p in parts), initial=0))
+    with open(place, "wb") as out:
+        out.truncate(offsets[-1])
+    rows = [(local(p.path), place, at) for p, at in zip(parts, offsets, strict=False) if p.size]
+    if not rows:
+        return
+    tasks = spark.createDataFrame(rows, "source string, target string, at bigint").repartition(len(rows), "source")
+    tasks.mapInArrow(_written_at, "at bigint").write.format("noop").mode("overwrite").save()
+
+
+def join_parts(spark: SparkSession, parts: list[StoredFile], target: str) -> None:
+    """The parts, in order, as one new file: written by tasks where the file system is mounted, and
+    elsewhere streamed through the driver, a buffer at a time."""
     fs, out_path = _resolve(spark, target)
+    if fs.getUri().getScheme() == "file":
+        return _join_in_tasks(spark, parts, target)
     conf = spark._jsc.hadoopConfiguration()
     out = fs.create(out_path, True)
     try:
         for part in parts:
-            stream = fs.open(_resolve(spark, part)[1])
+            stream = fs.open(_resolve(spark, part.path)[1])
             spark._jvm.org.apache.hadoop.io.IOUtils.copyBytes(stream, out, conf, False)
             stream.close()
     finally:

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions.names import normalised, snake_case
 
 IMPORT_REPORT = "table_name string, row_count bigint, status string"
 FILE_REPORT = (
@@ -73,13 +77,69 @@ class ImportResult:
         return self
 
     def save(self, database: str | None = None, fmt: str = "parquet") -> "ImportResult":
-        """Write every table into the catalog, replacing tables of the same name."""
-        for name in self.tables:
-            target = "`" + name.replace("`", "``") + "`"
-            target = f"`{database}`.{target}" if database else target
-            self.tables[name].write.mode("overwrite").format(fmt).saveAsTable(target)
+        """Write every table into the catalog, replacing tables of the same name; all or none.
+
+        Each table is first written whole under a name of its own.  Only when all are there do they
+        take their places; if one cannot be written, or cannot take its place, the catalog is left
+        with the tables it had, and the error is raised as ``SaveFailed`` with the table's name.
+        Names that catalogs refuse (other characters than A-Z, digits and ``_``) are normalised like
+        column names, and numbered where they collide.
+        """
+        mark = uuid.uuid4().hex[:8]
+        names = list(self.tables)
+        plain = dict(zip(names, normalised(self.spark, names, _catalog_name), strict=True))
+
+        def called(name: str, form: str = "") -> str:
+            return (f"`{database}`." if database else "") + f"`{plain[name]}{form}`"
+
+        new = {n: called(n, f"__new_{mark}") for n in names}
+        old = {n: called(n, f"__old_{mark}") for n in names}
+        results = side_by_side(
+            self.spark,
+            [
+                lambda n=n: self.tables[n].write.format(fmt).mode("overwrite").saveAsTable(new[n])
+                for n in names
+            ],
+        )
+        steps: list[tuple[str, str]] = []
+        try:
+            for n, result in zip(names, results, strict=True):
+                if isinstance(result, Exception):
+                    raise SaveFailed(n) from result
+            for n in names:
+                moves = [(called(n), old[n])] if self.spark.catalog.tableExists(called(n)) else []
+                for move in [*moves, (new[n], called(n))]:
+                    try:
+                        self._rename(*move)
+                    except Exception as error:
+                        raise SaveFailed(n) from error
+                    steps.append(move)
+        except SaveFailed:
+            for source, target in reversed(steps):
+                self._rename(target, source)
+            for n in names:
+                self.spark.sql(f"drop table if exists {new[n]}")
+            raise
+        for n in names:
+            self.spark.sql(f"drop table if exists {old[n]}")
         return self
 
+    def _rename(self, source: str, target: str) -> None:
+        self.spark.sql(f"alter table {source} rename to {target}")
+
+
+def _catalog_name(name: Column) -> Column:
+    plain = F.when(name.rlike("^[A-Za-z0-9_]+$"), F.lower(name)).otherwise(snake_case(name))
+    return F.coalesce(F.nullif(plain, F.lit("")), F.lit("unnamed"))
+
+
+class SaveFailed(Exception):
+    """A table that could not be saved; no table was replaced."""
+
+    def __init__(self, table: str):
+        super().__init__(f"table {table} could not be saved, and no table was replaced")
+        self.table = table
+
 
 def side_by_side(spark: SparkSession, tasks: list[Callable]) -> list:
     """Run independent jobs concurrently; results in order.  An exception becomes the result, so

@@ -152,6 +152,18 @@ select l_orderkey, l_partkey, l_suppkey, cast(l_linenumber as bigint) as l_linen
        l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus,
        cast(cast(l_shipdate as date) as varchar) as l_shipdate
 from lineitem""",
+    "export_single": """
+select o_orderkey || ';' || o_custkey || ';' || o_orderstatus || ';'
+       || replace(cast(cast(o_totalprice as decimal(18,2)) as varchar), '.', ',') || ';'
+       || strftime(o_orderdate, '%d.%m.%Y') || ';' || o_orderpriority as value, 'orders.txt' as file
+from orders""",
+    "saved_tables": """
+select t.*, cast(3 as bigint) as tables, 'Aufträge' as refused from (
+  select 'nation' as table_name, cast(n_nationkey as bigint) as key, n_name as value from nation
+  union all
+  select 'kunden', c_custkey, cast(cast(c_acctbal as decimal(18,2)) as varchar) from customer
+  union all
+  select 'auftrage', o_orderkey, cast(cast(o_orderdate as date) as varchar) from orders) as t""",
     "import_export_dir": """
 select n_name, o_orderstatus, count(*) as orders,
        cast(sum(cast(o_totalprice as decimal(18,2))) as double) as total,
@@ -243,6 +255,7 @@ union all select '../Oben', 0, 'Path traversal in table URL: ../Oben.txt'""",
     "import_folder_tsv": _ORDER_RESULT.format(key_cast=""),
     "import_folder_parquet": _ORDER_RESULT.format(key_cast=""),
     "import_folder_json": _ORDER_RESULT.format(key_cast=""),
+    "import_folder_other": _ORDER_RESULT.format(key_cast=""),
     "import_folder_xlsx": _ORDER_RESULT.format(key_cast="::double"),
     "folder_options": """
 select c_custkey as key, c_name as name, c_acctbal as balance, 'true' as flag from customer""",

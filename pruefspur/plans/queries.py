@@ -18,6 +18,7 @@ from .. import hadoop
 from ..functions import convert as cv
 from ..functions import names as nm
 from ..operators import checks, infer
+from ..operators.report import IMPORT_REPORT, ImportResult, SaveFailed, report_frame
 from ..sinks.export import export_rows as exported_rows
 from ..sinks.export import export_table
 from ..sources import audit, lines
@@ -369,6 +370,14 @@ def export_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return back.withColumns({**{c: money(c) for c in amounts}, "l_shipdate": day("l_shipdate")})
 
 
+def export_single(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders exported as one file: its lines, of the only data file of the export."""
+    folder = hadoop.fresh_folder(spark, "single")
+    orders = table(spark, sf, "orders").withColumn("o_orderdate", F.col("o_orderdate").cast("date"))
+    export_table(spread(orders, "o_orderkey"), folder, "orders", single_file=True).collect()
+    return spark.read.text(f"{folder}/*.txt").withColumn("file", F.col("_metadata.file_name"))
+
+
 # --- audit import -------------------------------------------------------------------------
 
 
@@ -412,6 +421,45 @@ def import_datev_dir(spark: SparkSession, sf: str) -> DataFrame:
     return kunden.withColumn("c_acctbal", money("c_acctbal"))
 
 
+def saved_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """All tables of an export saved to the catalog, and saved once more from an export in which one
+    cannot be built: the tables of the first time stay."""
+    folder = hadoop.fresh_folder(spark, "saved")
+    database = folder.rsplit("/", 1)[1].replace("-", "_")
+    spark.sql(f"create database {database} location '{folder}'")
+    audit.import_datev_export(spark, _staged_shop(spark, sf)).save(database)
+
+    def broken() -> DataFrame:
+        return spark.read.parquet(f"{folder}/absent")
+
+    again = {n: (lambda n=n: table(spark, sf, n)) for n in ("nation", "customer")}
+    renamed = {"Nation": again["nation"], "Kunden": again["customer"], "Aufträge": broken}
+    try:
+        ImportResult(spark, renamed, report_frame(spark, [], IMPORT_REPORT)).save(database)
+        refused = ""
+    except SaveFailed as error:
+        refused = error.table
+    # Names of columns and types of the export tell its tables from the second ones.
+    shown = {
+        "nation": ("n_nationkey", "n_name"),
+        "kunden": ("c_custkey", "c_acctbal"),
+        "auftrage": ("o_orderkey", "o_orderdate"),
+    }
+    found = spark.sql(f"show tables in {database}").count()
+    return as_union(
+        [
+            spark.table(f"{database}.{name}").select(
+                F.lit(name).alias("table_name"),
+                F.col(key).cast("bigint").alias("key"),
+                F.col(value).cast("string").alias("value"),
+                F.lit(found).cast("bigint").alias("tables"),
+                F.lit(refused).alias("refused"),
+            )
+            for name, (key, value) in shown.items()
+        ]
+    )
+
+
 _CUSTOM_LAYOUT = IndexLayout(
     index_file="schema.xml",
     root="Schema/Tables",
@@ -748,6 +796,20 @@ def import_folder_xlsx(spark: SparkSession, sf: str) -> DataFrame:
     return _order_result(import_folder(spark, folder, "xlsx"))
 
 
+def import_folder_other(spark: SparkSession, sf: str) -> DataFrame:
+    """Files of a type that has no reader of its own are told by that extension and read as text; files of
+    other types beside them are not."""
+    folder = hadoop.fresh_folder(spark, "other")
+    for df, suffix in ((_order_texts(spark, sf), "dat"), (table(spark, sf, "nation"), "csv")):
+        rows = df.select(
+            F.lit("Auf Trag").alias("stem"),
+            F.lit("\t".join(df.columns) + "\n").alias("head"),
+            fx.joined([F.col(f"`{c}`") for c in df.columns], "\t").alias("line"),
+        )
+        fx.write_lines(spread(rows, "line"), folder, suffix)
+    return _order_result(import_folder(spark, folder, "dat"))
+
+
 def folder_options(spark: SparkSession, sf: str) -> DataFrame:
     """Reader options: another delimiter, lines to skip, no type detection."""
     folder = hadoop.fresh_folder(spark, "options")
@@ -874,8 +936,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "export_rows": export_rows,
     "export_index": export_index,
     "export_roundtrip": export_roundtrip,
+    "export_single": export_single,
     "import_export_dir": import_export_dir,
     "import_datev_dir": import_datev_dir,
+    "saved_tables": saved_tables,
     "import_xml_layout": import_xml_layout,
     "charset_pick": charset_pick,
     "charset_candidates": charset_candidates,
@@ -893,6 +957,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "import_folder_parquet": import_folder_parquet,
     "import_folder_json": import_folder_json,
     "import_folder_xlsx": import_folder_xlsx,
+    "import_folder_other": import_folder_other,
     "folder_options": folder_options,
     "booking_batch": booking_batch,
     "booking_report": booking_report,

@@ -130,8 +130,8 @@ def export_table(
     """Write ``<path>/<name>.txt`` and ``<path>/index.xml``; the result is the report.
 
     Rows are written in parallel parts.  With ``single_file`` they become one file ``<name>.txt``,
-    whatever their size: the file system joins them in place where it can, and otherwise they are
-    streamed one after the other.  Without it ``<name>.txt`` is a folder of parts, which every
+    whatever their size: the file system joins them in place where it can, tasks write them to their
+    places where it is mounted, and otherwise they are streamed one after the other.  Without it ``<name>.txt`` is a folder of parts, which every
     import here reads as one table, and the status says so.
     """
     spark = df.sparkSession
@@ -162,7 +162,7 @@ def export_table(
         if single_file:
             places = [p.path for p in parts]
             if not hadoop.concatenate(spark, places, joined):
-                hadoop.join_parts(spark, places, joined)
+                hadoop.join_parts(spark, parts, joined)
             hadoop.replace_by_rename(spark, joined, target)
         hadoop.write_bytes(spark, hadoop.join(folder, "index.xml"), index.encode())
     except Exception as error:  # noqa: BLE001 - reported

@@ -14,6 +14,7 @@ from helpers import (
     table,
     write_export,
 )
+from pruefspur.operators.report import IMPORT_REPORT, ImportResult, SaveFailed, report_frame
 from pruefspur import IndexLayout, import_datev_export, import_export, import_index
 
 D = decimal.Decimal
@@ -74,6 +75,35 @@ def test_saved_tables(spark, sample, tmp_path):
     spark.sql(f"create database if not exists saved location '{tmp_path}/saved'")
     import_export(spark, sample).save("saved")
     assert spark.table("saved.Kunden").count() == 3
+    names = lambda: {r["tableName"] for r in spark.sql("show tables in saved").collect()}
+    before = names()
+
+    def result(**tables):
+        return ImportResult(spark, tables, report_frame(spark, [], IMPORT_REPORT))
+
+    broken = lambda: spark.read.parquet(f"{tmp_path}/absent")
+    late = lambda: spark.range(1).selectExpr("raise_error('late') as x")
+    for fault in (broken, late):
+        with pytest.raises(SaveFailed, match="zuletzt"):
+            result(Kunden=lambda: spark.range(9), zuletzt=fault).save("saved")
+        assert names() == before and spark.table("saved.kunden").count() == 3
+    # A table that cannot take its place: those before it go back.
+    refused = result(Kunden=lambda: spark.range(9), neu=lambda: spark.range(1))
+    rename, refused._rename = refused._rename, None
+
+    def once_refused(source, target):
+        if target.endswith("`neu`"):
+            raise ValueError("no place")
+        rename(source, target)
+
+    refused._rename = once_refused
+    with pytest.raises(SaveFailed, match="neu"):
+        refused.save("saved")
+    assert names() == before and spark.table("saved.kunden").count() == 3
+    odd = {"Kunden": lambda: spark.range(9), "Straße Nr.": lambda: spark.range(1), "--": lambda: spark.range(2)}
+    result(**odd, strasse_nr=lambda: spark.range(4)).save("saved")
+    assert names() == before | {"strasse_nr", "strasse_nr_2", "unnamed"}
+    assert spark.table("saved.kunden").count() == 9 and spark.table("saved.strasse_nr_2").count() == 4
     spark.sql("drop database saved cascade")
 
 
