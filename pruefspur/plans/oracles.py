@@ -269,6 +269,14 @@ select o_totalprice as amount, case when o_orderstatus = 'F' then 'S' else 'H' e
        cast(cast(o_orderdate as date) as varchar) as voucher_date,
        'Größe "' || o_orderpriority || '"' as note,
        cast(year(o_orderdate) as varchar) as file_year
+from orders""",
+    "quoted_lines_batch": """
+select o_totalprice as amount, cast(o_orderkey as varchar) as account,
+       cast(cast(o_orderdate as date) as varchar) as voucher_date,
+       case when o_orderkey % 3 = 0 then 'Größe' || chr(10) || '"' || o_orderpriority || '";' || chr(10) || chr(10) || '1;2'
+         else '5" Rohr' end as note,
+       cast(year(o_orderdate) as varchar) as file_year,
+       count(*) over (partition by year(o_orderdate)) as row_count, 'OK' as status
 from orders""",
     "booking_report": """
 select cast(year(o_orderdate) as varchar) as file_year, 'OK' as status, count(*) as row_count

@@ -835,10 +835,12 @@ _BATCH_HEAD = (
 )
 
 
-def staged_batches(spark: SparkSession, sf: str) -> str:
-    """Orders as booking batches, a file per year and task, in windows-1250."""
+def staged_batches(spark: SparkSession, sf: str, note: Column | None = None) -> str:
+    """Orders as booking batches, a file per year and task, in windows-1250; ``note`` is another text
+    of the bookings, as it stands in the file."""
     folder = hadoop.fresh_folder(spark, "batch")
     year = F.year("o_orderdate").cast("string")
+    priority = F.concat(F.lit('"Größe ""'), F.col("o_orderpriority"), F.lit('"""'))
     cells = [
         german(F.col("o_totalprice")),
         F.when(F.col("o_orderstatus") == "F", '"S"').otherwise('"H"'),
@@ -846,7 +848,7 @@ def staged_batches(spark: SparkSession, sf: str) -> str:
         F.when(F.col("o_custkey") % 2 == 0, german(F.col("o_totalprice") / 3)),
         F.col("o_orderkey"),
         F.date_format("o_orderdate", "dMM"),
-        F.concat(F.lit('"Größe ""'), F.col("o_orderpriority"), F.lit('"""')),
+        priority if note is None else note,
     ]
     rows = table(spark, sf, "orders").select(
         F.concat(F.lit("EXTF_Buchungsstapel_"), year).alias("stem"),
@@ -857,6 +859,25 @@ def staged_batches(spark: SparkSession, sf: str) -> str:
     return folder
 
 
+def quoted_lines_batch(spark: SparkSession, sf: str) -> DataFrame:
+    """Batches with line breaks, separators and quotes within quoted texts, beside what the report says
+    of their year."""
+    lines_ = F.concat(F.lit('"Größe\n""'), F.col("o_orderpriority"), F.lit('"";\n\n1;2"'))
+    note = F.when(F.col("o_orderkey") % 3 == 0, lines_).otherwise(F.lit('5" Rohr'))
+    result = read_booking_batches(spark, staged_batches(spark, sf, note))
+    year = F.regexp_extract("file_name", r"^EXTF_Buchungsstapel_(\d{4})-\d+\.csv$", 1).alias("file_year")
+    said = result.report.groupBy(year).agg(
+        F.sum("row_count").alias("row_count"), F.array_join(F.collect_set("status"), "|").alias("status")
+    )
+    return result.combined.select(
+        money("umsatz_ohne_soll_haben_kz").alias("amount"),
+        F.col("konto").alias("account"),
+        day("belegdatum").alias("voucher_date"),
+        F.col("buchungstext").alias("note"),
+        year,
+    ).join(said, "file_year")
+
+
 def booking_batch(spark: SparkSession, sf: str) -> DataFrame:
     """Booking batches of several years as one frame."""
     result = read_booking_batches(spark, staged_batches(spark, sf))
@@ -961,6 +982,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "folder_options": folder_options,
     "booking_batch": booking_batch,
     "booking_report": booking_report,
+    "quoted_lines_batch": quoted_lines_batch,
     "archive_batch": archive_batch,
     "archive_report": archive_report,
 }

@@ -30,6 +30,7 @@ from ..operators.report import (
 from ..operators.union import stacked
 from . import lines as ln
 from .audit import path_has_traversal
+from .records import records, split_starts
 
 # Fixed values of the file format.
 FILE_PREFIX = "EXTF_Buchungsstapel"
@@ -104,14 +105,28 @@ def batch_profile(spark: SparkSession, paths: list[str], charset: str | None) ->
     )
 
 
+def _rows_of_files(spark: SparkSession, paths: list[str], charset: str) -> DataFrame:
+    return ln.drop_head(ln.text_lines(spark, paths, charset), HEADER_LINES)
+
+
+def booking_starts(spark: SparkSession, paths: list[str], charset: str) -> DataFrame:
+    """Which splits of the files start inside quotes, and which files end with a quote open."""
+    return split_starts(_rows_of_files(spark, paths, charset), ";")
+
+
 def booking_frame(
     spark: SparkSession, paths: list[str], columns: list[str], year: int, charset: str,
-    raw: bool = False,
+    spans: bool = False, raw: bool = False, starts: DataFrame | None = None,
 ) -> DataFrame:
     """Rows of files that share columns, year and charset; ``raw`` adds the text of the typed
-    columns as ``_raw_<name>``, and ``_long_row`` for rows with surplus fields."""
-    scanned = ln.text_lines(spark, paths, charset)
-    body = ln.without_blank_lines(ln.drop_head(scanned, HEADER_LINES), len(columns))
+    columns as ``_raw_<name>``, and ``_long_row`` for rows with surplus fields.  With ``spans`` a
+    quoted field may hold line breaks; ``starts`` are those of the same files, if known."""
+    body = _rows_of_files(spark, paths, charset)
+    if spans:
+        starts = booking_starts(spark, paths, charset) if starts is None else starts
+        joined = records(body, starts, ";")
+        body = joined.withColumn("file_name", F.element_at(F.split("path", "/"), -1))
+    body = ln.without_blank_lines(body, len(columns))
     text = F.col("value")
     if not (cs.is_utf8(charset) or cs.is_wide(charset)):
         text = cs.decoded(text.cast("binary"), charset)
@@ -155,11 +170,12 @@ class BookingResult(ImportResult):
 
 
 def batch_faults(
-    spark: SparkSession, paths: list[str], columns: list[str], year: int, charset: str
+    spark: SparkSession, paths: list[str], columns: list[str], year: int, charset: str,
+    spans: bool = False, starts: DataFrame | None = None,
 ) -> DataFrame:
-    """Per file of a group: rows with surplus fields, and in ``counts`` the values per typed column
-    that were present but did not convert.  One scan; counts are combined before the shuffle."""
-    frame = booking_frame(spark, paths, columns, year, charset, raw=True)
+    """Per file of a group: its rows, those with surplus fields, and in ``counts`` the values per typed
+    column that were present but did not convert.  One scan; counts are combined before the shuffle."""
+    frame = booking_frame(spark, paths, columns, year, charset, spans, raw=True, starts=starts)
     rejected = [
         F.struct(
             F.lit(n).alias("column_name"),
@@ -170,7 +186,7 @@ def batch_faults(
     ]
     counts = F.array(*rejected).cast("array<struct<column_name: string, rejected: bigint>>")
     return frame.groupBy(F.col(frame.columns[-1]).alias("file_name")).agg(
-        F.count_if("_long_row").alias("long_rows"), counts.alias("counts")
+        F.count(F.lit(1)).alias("rows"), F.count_if("_long_row").alias("long_rows"), counts.alias("counts")
     )
 
 
@@ -192,6 +208,8 @@ def read_booking_batches(
     Dates take their year from the start of the batch period, so a period crossing the turn of
     the year gives its later months the earlier year.  Values that do not convert become NULL and
     surplus fields are cut; both are in the status, and ``on_error="fail"`` refuses such a file.
+    Line breaks within quotes are read where a file has open quotes, which takes another scan of
+    it; in a file that ends with a quote open, quotes are taken not to span lines, and it says so.
     """
 
     def only(name: str, status: str) -> BookingResult:
@@ -236,15 +254,24 @@ def read_booking_batches(
         elif not row["named"]:
             report.append((_table(f), f.name, 0, "Failed to parse column names from row 2"))
         else:
-            groups[(row["id"], row["year"], row["charset"])].append(f)
+            groups[(row["id"], row["year"], row["charset"], row["odd_quotes"] > 0)].append(f)
 
     def group(key: tuple, members: list[hadoop.StoredFile]) -> tuple:
         return [hadoop.literal(f.path) for f in members], layouts[key[0]], *key[1:]
 
-    def faults(key: tuple) -> Callable[[], dict]:
-        return lambda: {
-            r["file_name"]: r for r in batch_faults(spark, *group(key, groups[key])).collect()
-        }
+    def faults(key: tuple) -> Callable[[], tuple[dict, set]]:
+        """What was seen in the files of a group, and the names of those that end with a quote open."""
+
+        def run() -> tuple[dict, set]:
+            given = group(key, groups[key])
+            paths, _, _, charset, spans = given
+            starts = booking_starts(spark, paths, charset) if spans else None
+            name = ln.plain_path(F.element_at(F.split("path", "/"), -1)).alias("name")
+            left_open = starts.where("plain").select(name).distinct().collect() if spans else []
+            seen = batch_faults(spark, *given, starts=starts).collect()
+            return {r["file_name"]: r for r in seen}, {r["name"] for r in left_open}
+
+        return run
 
     kept = []
     for key, found in zip(groups, side_by_side(spark, [faults(k) for k in groups])):
@@ -253,7 +280,10 @@ def read_booking_batches(
             if isinstance(found, Exception):
                 report.append((_table(f), f.name, 0, f"Load failed: {short_message(found)}"))
                 continue
-            row, seen = known[f.path], found.get(f.name)
+            row, seen = known[f.path], found[0].get(f.name)
+            count = row["row_count"]
+            if row["odd_quotes"]:
+                count = seen["rows"] if seen else 0
             bad = [c for c in seen["counts"] if c["rejected"]] if seen else []
             rejects += [(_table(f), c["column_name"], c["rejected"]) for c in bad]
             notes = []
@@ -265,10 +295,10 @@ def read_booking_batches(
             if notes and on_error == "fail":
                 report.append((_table(f), f.name, 0, "Load failed: " + "; ".join(notes)))
                 continue
-            if row["odd_quotes"]:
+            if f.name in found[1]:
                 notes.append(f"{row['odd_quotes']} lines with an open quote")
             status = "Warning: " + "; ".join(notes) if notes else "OK"
-            report.append((_table(f), f.name, row["row_count"], status))
+            report.append((_table(f), f.name, count, status))
             builders[_table(f)] = _builder(spark, *group(key, [f]))
             usable.append(f)
         if usable:

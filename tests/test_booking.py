@@ -119,6 +119,28 @@ def test_many_splits(spark, small_splits, tmp_path, charset):
     ]
 
 
+@pytest.mark.parametrize("charset", ["windows-1250", "utf-8", "utf-16-le"])
+def test_quoted_line_breaks(spark, small_splits, tmp_path, charset):
+    """Also where a split begins inside quotes, and beside files that have none or leave one open."""
+    long_text = "".join(f"Zeile {i};Größe\r\n\r\n" for i in range(700))
+    body = [f'{n},5;S;;;1;103;"Müller {n}\r\n""B""; x"' if n % 4 else f"{n},5;S;;;1;103;5\" Rohr" for n in range(600)]
+    write(tmp_path, "EXTF_Buchungsstapel_a.csv", [head(2024), NAMES, *body, f'1;S;;;2;103;"{long_text}"', "", '2;S;;;3;103;"ü"'], charset)
+    write(tmp_path, "EXTF_Buchungsstapel_b.csv", [head(2024), NAMES, *["1,0;S;;;4;103;ü"] * 200], charset)
+    write(tmp_path, "EXTF_Buchungsstapel_c.csv", [head(2024), NAMES, '1,0;S;;;5;103;"offen', "2,0;S;;;5;103;zu"], charset)
+    result = read_booking_batches(spark, str(tmp_path), charset)
+    assert [r[2:] for r in rows(result.report)] == [(602, "OK"), (200, "OK"), (2, "Warning: 1 lines with an open quote")]
+    table = result.tables["EXTF_Buchungsstapel_a"]
+    notes = {(r["konto"], r["umsatz_ohne_soll_haben_kz"]): r["buchungstext"] for r in table.collect()}
+    assert len(notes) == 602 and table.count() == 602
+    for n in range(600):
+        assert notes[("1", D(f"{n}.50"))].replace("\r", "") == (f'Müller {n}\n"B"; x' if n % 4 else '5" Rohr')
+    assert notes[("2", D("1.00"))].replace("\r", "") == long_text.replace("\r", "")
+    assert notes[("3", D("2.00"))] == "ü"
+    assert result.combined.count() == 804 and {r["file_name"] for r in result.combined.collect()} == {
+        f"EXTF_Buchungsstapel_{x}.csv" for x in "abc"
+    }
+
+
 def test_no_files(spark, tmp_path):
     row = read_booking_batches(spark, str(tmp_path)).report.head()
     assert row["table_name"] == "(no files)" and "EXTF_Buchungsstapel*.csv" in row["status"]
