@@ -30,7 +30,7 @@ from ..operators.report import (
 from ..operators.union import stacked
 from . import lines as ln
 from .audit import path_has_traversal
-from .records import records, split_starts
+from .records import Starts, records, split_starts
 
 # Fixed values of the file format.
 FILE_PREFIX = "EXTF_Buchungsstapel"
@@ -105,27 +105,25 @@ def batch_profile(spark: SparkSession, paths: list[str], charset: str | None) ->
     )
 
 
-def _rows_of_files(spark: SparkSession, paths: list[str], charset: str) -> DataFrame:
-    return ln.drop_head(ln.text_lines(spark, paths, charset), HEADER_LINES)
-
-
-def booking_starts(spark: SparkSession, paths: list[str], charset: str) -> DataFrame:
+def booking_starts(spark: SparkSession, paths: list[str], charset: str) -> Starts:
     """Which splits of the files start inside quotes, and which files end with a quote open."""
-    return split_starts(_rows_of_files(spark, paths, charset), ";")
+    return split_starts(ln.text_lines(spark, paths, charset), ";", HEADER_LINES)
 
 
 def booking_frame(
     spark: SparkSession, paths: list[str], columns: list[str], year: int, charset: str,
-    spans: bool = False, raw: bool = False, starts: DataFrame | None = None,
+    spans: bool = False, starts: Starts | None = None, raw: bool = False,
 ) -> DataFrame:
     """Rows of files that share columns, year and charset; ``raw`` adds the text of the typed
     columns as ``_raw_<name>``, and ``_long_row`` for rows with surplus fields.  With ``spans`` a
     quoted field may hold line breaks; ``starts`` are those of the same files, if known."""
-    body = _rows_of_files(spark, paths, charset)
+    body = ln.text_lines(spark, paths, charset)
     if spans:
         starts = booking_starts(spark, paths, charset) if starts is None else starts
-        joined = records(body, starts, ";")
-        body = joined.withColumn("file_name", F.element_at(F.split("path", "/"), -1))
+        joined = records(body, starts, ";", HEADER_LINES)
+        body = joined.withColumn("file_name", F.substring_index("path", "/", -1))
+    else:
+        body = ln.drop_head(body, HEADER_LINES)
     body = ln.without_blank_lines(body, len(columns))
     text = F.col("value")
     if not (cs.is_utf8(charset) or cs.is_wide(charset)):
@@ -171,11 +169,11 @@ class BookingResult(ImportResult):
 
 def batch_faults(
     spark: SparkSession, paths: list[str], columns: list[str], year: int, charset: str,
-    spans: bool = False, starts: DataFrame | None = None,
+    spans: bool = False, starts: Starts | None = None,
 ) -> DataFrame:
     """Per file of a group: its rows, those with surplus fields, and in ``counts`` the values per typed
     column that were present but did not convert.  One scan; counts are combined before the shuffle."""
-    frame = booking_frame(spark, paths, columns, year, charset, spans, raw=True, starts=starts)
+    frame = booking_frame(spark, paths, columns, year, charset, spans, starts, raw=True)
     rejected = [
         F.struct(
             F.lit(n).alias("column_name"),
@@ -259,17 +257,18 @@ def read_booking_batches(
     def group(key: tuple, members: list[hadoop.StoredFile]) -> tuple:
         return [hadoop.literal(f.path) for f in members], layouts[key[0]], *key[1:]
 
-    def faults(key: tuple) -> Callable[[], tuple[dict, set]]:
-        """What was seen in the files of a group, and the names of those that end with a quote open."""
+    def faults(key: tuple) -> Callable[[], tuple[dict, set, Starts | None]]:
+        """What was seen in the files of a group, the names of those that end with a quote open, and
+        where the splits start inside quotes."""
 
-        def run() -> tuple[dict, set]:
+        def run() -> tuple[dict, set, Starts | None]:
             given = group(key, groups[key])
             paths, _, _, charset, spans = given
             starts = booking_starts(spark, paths, charset) if spans else None
             name = ln.plain_path(F.element_at(F.split("path", "/"), -1)).alias("name")
-            left_open = starts.where("plain").select(name).distinct().collect() if spans else []
+            left_open = starts.plain_paths.select(name).collect() if spans else []
             seen = batch_faults(spark, *given, starts=starts).collect()
-            return {r["file_name"]: r for r in seen}, {r["name"] for r in left_open}
+            return {r["file_name"]: r for r in seen}, {r["name"] for r in left_open}, starts
 
         return run
 
@@ -302,7 +301,9 @@ def read_booking_batches(
             builders[_table(f)] = _builder(spark, *group(key, [f]))
             usable.append(f)
         if usable:
-            kept.append(group(key, usable))
+            # A scan of fewer files may split them elsewhere.
+            starts = found[2] if len(usable) == len(groups[key]) else None
+            kept.append((*group(key, usable), starts))
     return BookingResult(
         spark,
         builders,

@@ -121,9 +121,11 @@ def _file_lines(spark: SparkSession, paths: list[str], shape: TextShape) -> Data
     """The lines of files of one shape behind their headers, as ``path`` and text."""
     if shape.multiline or shape.skip or cs.is_wide(shape.charset):
         scanned = ln.text_lines(spark, paths, shape.charset).select("path", "block", "more", "value")
-        body = ln.drop_head(scanned, shape.skip + int(shape.header))
+        skip = shape.skip + int(shape.header)
         if shape.multiline:
-            body = records(body, split_starts(body, shape.sep), shape.sep)
+            body = records(scanned, split_starts(scanned, shape.sep, skip), shape.sep, skip)
+        else:
+            body = ln.drop_head(scanned, skip)
         text = cs.decoded(F.col("value").cast("binary"), shape.charset)
         return body.select("path", text.alias("value"))
     # The reader of delimited text passes over a header line by itself, without any Python.

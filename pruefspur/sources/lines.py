@@ -26,115 +26,165 @@ def plain_path(encoded: Column) -> Column:
     return F.when(F.contains(encoded, F.lit("%")), decoded).otherwise(encoded)
 
 
-def text_lines(spark: SparkSession, paths: list[str], charset: str | None = None) -> DataFrame:
+#: Bytes of splits that one task reads at least, where splits are set to be small.
+LEAST_TASK_BYTES = 16 << 20
+
+
+def text_lines(
+    spark: SparkSession, paths: list[str], charset: str | None = None, cuts: Cuts | None = None
+) -> DataFrame:
     """Lines with their bytes untouched; those of a wide charset are split where it ends lines, and
-    come as text."""
-    wide = cs.is_wide(charset)
-    ends = {"lineSep": "\n\0" if cs.canonical(charset) == "utf-16-le" else "\0\n"} if wide else {}
-    lines = spark.read.options(**ends).text(paths).select(
+    come as text.  ``cuts`` are those of the same files, if known."""
+    if not cs.is_wide(charset):
+        return _scanned(spark, paths, None)
+    cuts = Cuts(spark, paths, charset) if cuts is None else cuts
+    raw = cuts.whole_characters()
+    # Half a character at the end of a file is none.
+    even = F.substring(F.col("value"), F.lit(1), F.octet_length("value") - F.octet_length("value") % 2)
+    return raw.withColumn("value", cs.wide_text(even, charset))
+
+
+def _scanned(spark: SparkSession, paths: list[str], line_end: str | None) -> DataFrame:
+    return spark.read.options(**({"lineSep": line_end} if line_end else {})).text(paths).select(
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("block"),
         continues().alias("more"),
         F.col("_metadata.file_name").alias("file_name"),
         "value",
     )
-    if not wide:
-        return lines
-    raw = lines.withColumn("value", F.col("value").cast("binary"))
-    # Two characters may meet so that a line seems to end between their halves.  Pieces of an odd
-    # size are the sign of it.
-    if not raw.where(F.octet_length("value") % 2 == 1).isEmpty():
-        raw = _whole_characters(raw, ends["lineSep"].encode())
-    # Half a character at the end of a file is none.
-    even = F.substring(F.col("value"), F.lit(1), F.octet_length("value") - F.octet_length("value") % 2)
-    return raw.withColumn("value", cs.wide_text(even, charset))
+
+
+def _fewer_tasks(lines: DataFrame) -> DataFrame:
+    """A scan of very many small splits in tasks that read several of them, one after the other."""
+    spark = lines.sparkSession
+    splits = lines.rdd.getNumPartitions()
+    bound = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
+        spark.conf.get("spark.sql.files.maxPartitionBytes")
+    )
+    least = max(-(-splits * bound // LEAST_TASK_BYTES), 2 * spark.sparkContext.defaultParallelism)
+    return lines.coalesce(least) if least < splits else lines
 
 
 _LINE, _HEAD, _REST = range(3)
 
 
-def _whole_characters(raw: DataFrame, line_end: bytes) -> DataFrame:
-    """Lines of a wide charset put together again where they were cut inside a character.
+class Cuts:
+    """Where lines of a wide charset were cut inside a character, found once for several readings.
 
-    A cut leaves an odd piece, and the next odd piece ends the line.  So a split begins inside a line
-    where the splits before it hold an odd number of odd pieces: one small row per split says so to
-    every task.  Only lines that cross a split are shuffled; they count to the split they end in.
+    Two characters may meet so that a line seems to end between their halves.  A cut leaves an odd piece,
+    and the next odd piece ends the line.  So a split begins inside a line where the splits before it hold
+    an odd number of odd pieces: one small row per split says so to every task.  Only lines that cross a
+    split are shuffled; they count to the split they end in.
     """
-    order = Window.partitionBy("path").orderBy("block")
-    odd = F.count_if(F.octet_length("value") % 2 == 1).alias("odd")
-    before = F.sum("odd").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    starts = hadoop.reliable(
-        raw.groupBy("path", "block").agg(odd).select("path", "block", (F.coalesce(before, F.lit(0)) % 2 == 1).alias("inside"))
-    )
-
-    columns = raw.columns
-    names = [*columns, "kind"]
 
-    def run(batches: Iterable) -> Iterator:
-        import pyarrow as pa
+    def __init__(self, spark: SparkSession, paths: list[str], charset: str):
+        self._line_end = "\n\0" if cs.canonical(charset) == "utf-16-le" else "\0\n"
+        lines = _scanned(spark, paths, self._line_end)
+        self._raw = _fewer_tasks(lines.withColumn("value", F.col("value").cast("binary")))
+        order = Window.partitionBy("path").orderBy("block")
+        odd = F.count_if(F.octet_length("value") % 2 == 1).alias("odd")
+        before = F.sum("odd").over(order.rowsBetween(Window.unboundedPreceding, -1))
+        counted = self._raw.groupBy("path", "block").agg(odd)
+        self._starts = hadoop.reliable(
+            counted.select("path", "block", "odd", (F.coalesce(before, F.lit(0)) % 2 == 1).alias("inside"))
+        )
+        goes_on = F.col("inside") | (F.col("odd") % 2 == 1)
+        self._cut, self._crossed = self._starts.agg(F.count_if(F.col("odd") > 0) > 0, F.count_if(goes_on) > 0).head()
+        self._crossing = hadoop.reliable(self._put_together()) if self._crossed else None
+
+    def whole_characters(self) -> DataFrame:
+        """The lines as they are, each in one piece."""
+        if not self._cut:
+            return self._raw
+        whole = self._parts(False).select(*self._raw.columns)
+        return whole.unionByName(self._crossing) if self._crossed else whole
+
+    def _parts(self, pieces: bool) -> DataFrame:
+        """The lines within splits, or the pieces of the others."""
+        columns = self._raw.columns
+        names = [*columns, "kind"]
+        line_end = self._line_end.encode()
+
+        def run(batches: Iterable) -> Iterator:
+            import numpy as np
+            import pyarrow as pa
+            import pyarrow.compute as pc
+
+            def rows(place, values, kind):
+                n = len(values)
+                values = values if isinstance(values, pa.Array) else pa.array(values, pa.binary())
+                fixed = place.take(pa.array(np.zeros(n, np.int64))).columns[:4]
+                kinds = pa.array([kind] * n, pa.int32())
+                return pa.RecordBatch.from_arrays([*fixed, values.cast(pa.binary()), kinds], names=names)
+
+            current, place, pending, lead, inside = None, None, [], False, False
+            for batch in batches:
+                starts_inside, lines = batch.column("inside"), batch.select(columns)
+                for path, block, _, start, stop in _runs(batch):
+                    if (path, block) != current:
+                        if inside and pieces:
+                            yield rows(place, [line_end.join(pending)], _REST if lead else _HEAD)
+                        current, pending, place = (path, block), [], lines.slice(start, 1)
+                        lead = inside = starts_inside[start].as_py()
+                    values = lines.column("value").slice(start, stop - start)
+                    odd = pc.binary_length(values).to_numpy(zero_copy_only=False) % 2 == 1
+                    after = (np.cumsum(odd) + inside) % 2 == 1
+                    first, last, whole = joined_lines(values, np.append(inside, after[:-1]), after, line_end, not pieces)
+                    inside = bool(after[-1])
+                    if first:
+                        pending += values.slice(0, first).to_pylist()
+                        if first < len(values) or not inside:
+                            if lead == pieces:
+                                yield rows(place, [line_end.join(pending)], _REST if lead else _LINE)
+                            pending, lead = [], False
+                    if whole is not None and len(whole):
+                        yield rows(place, whole, _LINE)
+                    if last < len(values):
+                        pending = values.slice(last).to_pylist()
+            # A line cut at the very end of a file has no other piece.
+            if inside and pieces:
+                yield rows(place, [line_end.join(pending)], _REST if lead else _HEAD)
+
+        kinds = ", ".join(f"{n} {t}" for n, t in self._raw.dtypes)
+        placed = self._raw.join(F.broadcast(self._starts.drop("odd")), ["path", "block"])
+        return placed.select(*columns, "inside").mapInArrow(run, f"{kinds}, kind int")
+
+    def _put_together(self) -> DataFrame:
+        columns, line_end = self._raw.columns, self._line_end.encode()
+        pieces = self._parts(True).withColumn("first", F.col("kind") == _HEAD)
+        # Within a split the rest of an earlier line comes before the head of the next.
+        order = Window.partitionBy("path").orderBy("block", "first")
+        numbered = pieces.withColumn("line", F.count_if("first").over(order))
+        listed = F.array_sort(F.collect_list(F.struct("block", "first", "value")))
+        joined = F.reduce(
+            listed,
+            F.lit(None).cast("binary"),
+            lambda text, p: F.when(text.isNull(), p["value"]).otherwise(F.concat(text, F.lit(line_end), p["value"])),
+        )
+        crossing = numbered.groupBy("path", "line").agg(
+            F.max("block").alias("block"), F.max("more").alias("more"), F.max("file_name").alias("file_name"), joined.alias("value")
+        )
+        return crossing.select(*columns)
 
-        def row(part, value, kind):
-            fixed = [part.column(i).slice(0, 1) for i in range(4)]
-            return pa.RecordBatch.from_arrays(
-                [*fixed, pa.array([value], pa.binary()), pa.array([kind], pa.int32())], names=names
-            )
 
-        def whole(part):
-            kind = pa.array([_LINE] * part.num_rows, pa.int32())
-            return pa.RecordBatch.from_arrays([*part.columns, kind], names=names)
+def _all_bytes(values):
+    """The bytes of an Arrow array of lines, as they lie one after the other."""
+    import numpy as np
+    import pyarrow as pa
 
-        current, place, pending, lead = None, None, [], False
-        for batch in batches:
-            values, starts_inside = batch.column("value"), batch.column("inside")
-            lines = batch.select(columns)
-            for path, block, _, start, stop in _runs(batch):
-                if (path, block) != current:
-                    if pending:
-                        yield row(place, line_end.join(pending), _REST if lead else _HEAD)
-                    current, pending, place = (path, block), [], lines.slice(start, 1)
-                    lead = inside = starts_inside[start].as_py()
-                at = start
-                for i in range(start, stop):
-                    ends = len(values[i].as_buffer()) % 2 == 1
-                    if not inside and not ends:
-                        continue
-                    if i > at:
-                        yield whole(lines.slice(at, i - at))
-                    at = i + 1
-                    pending.append(values[i].as_py())
-                    if inside and ends:
-                        yield row(place, line_end.join(pending), _REST if lead else _LINE)
-                        pending, lead = [], False
-                    inside = inside != ends
-                if stop > at:
-                    yield whole(lines.slice(at, stop - at))
-        if pending:
-            yield row(place, line_end.join(pending), _REST if lead else _HEAD)
-
-    kinds = ", ".join(f"{n} {t}" for n, t in raw.dtypes)
-    parts = raw.join(F.broadcast(starts), ["path", "block"]).select(*columns, "inside")
-    parts = parts.mapInArrow(run, f"{kinds}, kind int")
-    pieces = parts.where(F.col("kind") != _LINE).withColumn("first", F.col("kind") == _HEAD)
-    # Within a split the rest of an earlier line comes before the head of the next.
-    numbered = pieces.withColumn("line", F.count_if("first").over(order.orderBy("block", "first")))
-    listed = F.array_sort(F.collect_list(F.struct("block", "first", "value")))
-    joined = F.reduce(
-        listed,
-        F.lit(None).cast("binary"),
-        lambda text, p: F.when(text.isNull(), p["value"]).otherwise(F.concat(text, F.lit(line_end), p["value"])),
-    )
-    crossing = numbered.groupBy("path", "line").agg(
-        F.max("block").alias("block"), F.max("more").alias("more"), F.max("file_name").alias("file_name"), joined.alias("value")
-    )
-    return parts.where(F.col("kind") == _LINE).select(*columns).unionByName(crossing.select(*columns))
+    filled = values.drop_null().cast(pa.binary())
+    if not len(filled):
+        return b""
+    _, offsets, data = filled.buffers()
+    ends = np.frombuffer(offsets, np.int32)[filled.offset : filled.offset + len(filled) + 1]
+    return memoryview(data)[int(ends[0]) : int(ends[-1])] if data is not None else b""
 
 
 def charset_scores(values, charsets: Sequence[str]) -> list[int]:
     """How well each charset fits an Arrow array of raw lines: a histogram of their bytes, weighed."""
     import numpy as np
 
-    bytes_ = np.frombuffer(b"".join(values.drop_null().to_pylist()), np.uint8)
-    seen = np.bincount(bytes_, minlength=256)[128:]
+    seen = np.bincount(np.frombuffer(_all_bytes(values), np.uint8), minlength=256)[128:]
     return [int(seen @ np.array(cs.byte_weights(c))) for c in charsets]
 
 
@@ -185,6 +235,51 @@ def _runs(batch):
             yield place, int(block[start]), more[start].as_py(), start, stop
 
 
+def without_head(batches: Iterable, count: int) -> Iterator:
+    """The batches of a task without the first ``count`` lines of every file."""
+    import numpy as np
+    import pyarrow as pa
+
+    current, left, open_end = None, 0, False
+    for batch in batches:
+        keep = np.ones(batch.num_rows, dtype=bool)
+        for path, block, more, start, stop in _runs(batch) if count > 0 else ():
+            if (path, block) != current:
+                if left and open_end:
+                    raise _short_head(current[0], count)
+                current, left = (path, block), count if block == 0 else 0
+                open_end = more
+            dropped = min(left, stop - start)
+            keep[start : start + dropped] = False
+            left -= dropped
+        yield batch if keep.all() else batch.filter(pa.array(keep))
+    if left and open_end:
+        raise _short_head(current[0], count)
+
+
+def joined_lines(values, before, after, glue: bytes, whole: bool = True):
+    """Consecutive lines put together, given whether each goes on from the line before it and whether it
+    goes on in the next: the number of lines that belong to what began earlier, the place from which on
+    lines belong to what ends later, and (if ``whole``) what lies between, an array of joined lines."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    n = len(values)
+    firsts = np.flatnonzero(~before)
+    if not len(firsts):
+        return n, n, None
+    first, last = int(firsts[0]), int(firsts[-1]) if after[-1] else n
+    if not whole:
+        return first, last, None
+    ends = np.append(firsts[firsts < last], last) - first
+    between = values.slice(first, last - first)
+    if len(ends) - 1 < last - first:
+        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), between.cast(pa.binary()))
+        between = pc.binary_join(lists, glue)
+    return first, last, between
+
+
 def drop_head(lines: DataFrame, count: int) -> DataFrame:
     """Drop the first ``count`` lines of every file.
 
@@ -196,24 +291,7 @@ def drop_head(lines: DataFrame, count: int) -> DataFrame:
         return lines
 
     def run(batches: Iterable) -> Iterator:
-        import numpy as np
-        import pyarrow as pa
-
-        current, left, open_end = None, 0, False
-        for batch in batches:
-            keep = np.ones(batch.num_rows, dtype=bool)
-            for path, block, more, start, stop in _runs(batch):
-                if (path, block) != current:
-                    if left and open_end:
-                        raise _short_head(current[0], count)
-                    current, left = (path, block), count if block == 0 else 0
-                    open_end = more
-                dropped = min(left, stop - start)
-                keep[start : start + dropped] = False
-                left -= dropped
-            yield batch if keep.all() else batch.filter(pa.array(keep))
-        if left and open_end:
-            raise _short_head(current[0], count)
+        yield from without_head(batches, count)
 
     if "value" not in lines.columns:
         return lines.mapInArrow(run, lines.schema)

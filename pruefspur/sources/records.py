@@ -4,7 +4,7 @@ Whether a split starts inside a quoted field depends on every split before it, s
 steps.  First each task says for its splits in which state they end, once for a start outside and
 once for a start inside quotes; chaining those small rows gives the true start of every split.
 Then each task joins the lines of its splits to records.  Only a record that crosses a split
-boundary is shuffled, as its pieces.
+boundary is shuffled, as its pieces; those records are put together once and kept.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .. import hadoop
-from .lines import _runs
+from .lines import _runs, joined_lines, without_head
 
 # The starts are broadcast, one small row per split; this many splits are 250 TB.
 MAX_SPLITS = 2_000_000
@@ -46,20 +46,80 @@ def ends_inside(line: bytes, inside: bool, sep: bytes) -> bool:
         at = next_sep + 1
 
 
-def _quoted_lines(values) -> list[int]:
+def _line_states(values, sep: bytes):
+    """``ends_inside`` of an Arrow array of lines, once for a start outside and once for one inside quotes."""
     import numpy as np
     import pyarrow.compute as pc
 
-    return np.flatnonzero(pc.match_substring(values, '"').to_numpy(zero_copy_only=False)).tolist()
+    outside, inside = np.zeros(len(values), bool), np.ones(len(values), bool)
+    quoted = pc.match_substring(values, '"').to_numpy(zero_copy_only=False)
+    if not quoted.any():
+        return outside, inside
+    some = values.filter(quoted)
+    if len(sep) == 1 and sep != b'"':
+        s = rf"\x{{{sep[0]:02x}}}"
+        text, end = r'(?:[^"]|"")*', rf'"(?:[^"{s}][^{s}]*)?'
+        later = rf'(?:(?:"{text}{end}|[^"{s}][^{s}]*)?{s})*"{text}\z'
+        tests = rf"\A{later}", rf"\A{text}(?:\z|{end}{s}{later})"
+        found = [pc.match_substring_regex(some, t).to_numpy(zero_copy_only=False) for t in tests]
+    else:
+        texts = some.to_pylist()
+        found = [[ends_inside(t, start, sep) for t in texts] for start in (False, True)]
+    outside[quoted], inside[quoted] = found
+    return outside, inside
+
+
+def _states_after(outside, inside, start: bool):
+    """The state after each of consecutive lines: that of the last one that settled it, flipped as often
+    as later lines flip it."""
+    import numpy as np
+
+    settles = outside == inside
+    last = np.maximum.accumulate(np.where(settles, np.arange(len(settles)), -1))
+    flips = np.cumsum(outside & ~inside)
+    settled = last >= 0
+    flipped = flips - np.where(settled, flips[last], 0)
+    return np.where(settled, outside[last], start) ^ (flipped % 2 == 1)
 
 
 def _as_bytes(lines: DataFrame) -> DataFrame:
     return lines.select("path", "block", "more", F.col("value").cast("binary").alias("value"))
 
 
-def split_starts(lines: DataFrame, sep: str) -> DataFrame:
-    """Per split, whether it starts inside quotes; ``plain`` marks files that end with a quote
-    open, in which quotes are taken not to span lines."""
+class Starts:
+    """``frame``: per split, whether it starts inside quotes; ``plain`` marks files that end with a quote
+    open, in which quotes are taken not to span lines.  The records that cross splits are found once,
+    when they are first asked for."""
+
+    def __init__(self, frame: DataFrame):
+        self.frame = frame
+        self.splits, crossed = frame.agg(
+            F.count(F.lit(1)), F.count_if(F.col("inside") & ~F.col("plain"))
+        ).head()
+        self.crossed = crossed > 0
+        self._crossing: DataFrame | None = None
+
+    @property
+    def plain_paths(self) -> DataFrame:
+        return self.frame.where("plain").select("path").distinct()
+
+    def crossing(self, pieces: DataFrame) -> DataFrame:
+        """Records of more than one split, from their pieces."""
+        if self._crossing is None:
+            # Within a split the rest of an earlier record comes before the start of the next.
+            order = Window.partitionBy("path").orderBy("block", "is_head")
+            headed = pieces.withColumn("is_head", F.col("kind") == HEAD)
+            numbered = headed.withColumn("record", F.count_if("is_head").over(order))
+            listed = F.array_sort(F.collect_list(F.struct("block", "is_head", "value")))
+            joined = numbered.groupBy("path", "record").agg(
+                F.array_join(F.transform(listed, lambda p: p["value"]), "\n").alias("value")
+            )
+            self._crossing = hadoop.reliable(joined.select("path", "value"))
+        return self._crossing
+
+
+def split_starts(lines: DataFrame, sep: str, skip: int = 0) -> Starts:
+    """The starts of the splits of a line frame behind the first ``skip`` lines of every file."""
     mark = sep.encode()
 
     def run(batches: Iterable) -> Iterator:
@@ -75,22 +135,18 @@ def split_starts(lines: DataFrame, sep: str) -> DataFrame:
         )
 
         def row(key, outside, inside):
-            arrays = [pa.array([v], f.type) for v, f in zip((*key, outside, inside), schema)]
+            arrays = [pa.array([bool(v) if f.name[:4] == "from" else v], f.type) for v, f in zip((*key, outside, inside), schema)]
             return pa.RecordBatch.from_arrays(arrays, schema=schema)
 
         current, outside, inside = None, False, True
-        for batch in batches:
+        for batch in without_head(batches, skip):
             for path, block, _, start, stop in _runs(batch):
                 if (path, block) != current:
                     if current is not None:
                         yield row(current, outside, inside)
                     current, outside, inside = (path, block), False, True
-                values = batch.column("value").slice(start, stop - start)
-                for i in _quoted_lines(values):
-                    line = values[i].as_py()
-                    same = outside == inside
-                    outside = ends_inside(line, outside, mark)
-                    inside = outside if same else ends_inside(line, inside, mark)
+                states = _line_states(batch.column("value").slice(start, stop - start), mark)
+                outside, inside = (_states_after(*states, s)[-1] for s in (outside, inside))
         if current is not None:
             yield row(current, outside, inside)
 
@@ -114,47 +170,41 @@ def split_starts(lines: DataFrame, sep: str) -> DataFrame:
         F.coalesce(F.lag("after").over(order), F.lit(False)).alias("inside"),
         F.last("after").over(whole_file).alias("plain"),
     )
-    return hadoop.reliable(starts)
+    return Starts(hadoop.reliable(starts))
 
 
-def records(lines: DataFrame, starts: DataFrame, sep: str) -> DataFrame:
+def records(lines: DataFrame, starts: Starts, sep: str, skip: int = 0) -> DataFrame:
     """Records of a line frame as (path, value), given the starts of its splits."""
-    if starts.count() > MAX_SPLITS:
+    if starts.splits > MAX_SPLITS:
         raise ValueError(
             "too many splits to join quoted lines; raise spark.sql.files.maxPartitionBytes"
         )
     mark = sep.encode()
 
-    def run(batches: Iterable) -> Iterator:
+    def run(batches: Iterable, pieces: bool) -> Iterator:
+        """The records within splits, or the pieces of the others."""
+        import numpy as np
         import pyarrow as pa
 
-        schema = pa.schema(
-            [
-                ("path", pa.string()),
-                ("block", pa.int64()),
-                ("kind", pa.int32()),
-                ("value", pa.binary()),
-            ]
-        )
+        names = ["path", "block", "kind", "value"]
         current, inside, lead, pending = None, False, False, []
 
         def rows(kind: int, values):
             n = len(values)
-            return pa.RecordBatch.from_arrays(
-                [
-                    pa.array([current[0]] * n, pa.string()),
-                    pa.array([current[1]] * n, pa.int64()),
-                    pa.array([kind] * n, pa.int32()),
-                    values if isinstance(values, pa.Array) else pa.array(values, pa.binary()),
-                ],
-                schema=schema,
-            )
+            values = values if isinstance(values, pa.Array) else pa.array(values, pa.binary())
+            columns = [
+                pa.array([current[0]] * n, pa.string()),
+                pa.array([current[1]] * n, pa.int64()),
+                pa.array([kind] * n, pa.int32()),
+                values.cast(pa.binary()),
+            ]
+            return pa.RecordBatch.from_arrays(columns, names=names)
 
-        for batch in batches:
+        for batch in without_head(batches, skip):
             starts_inside, plain = batch.column("inside"), batch.column("plain")
             for path, block, _, start, stop in _runs(batch):
                 if (path, block) != current:
-                    if inside:
+                    if inside and pieces:
                         yield rows(MIDDLE if lead else HEAD, [b"\n".join(pending)])
                     current, pending = (path, block), []
                     inside = starts_inside[start].as_py()
@@ -165,50 +215,32 @@ def records(lines: DataFrame, starts: DataFrame, sep: str) -> DataFrame:
                     lead = inside
                 values = batch.column("value").slice(start, stop - start)
                 if lone_lines:
-                    yield rows(WHOLE, values)
+                    if not pieces:
+                        yield rows(WHOLE, values)
                     continue
-                done, at = [], 0
-                for i in _quoted_lines(values):
-                    line = values[i].as_py()
-                    still = ends_inside(line, inside, mark)
-                    if inside:
-                        pending += values.slice(at, i + 1 - at).to_pylist()
-                        at = i + 1
-                        if not still:
-                            joined = b"\n".join(pending)
-                            if lead:
-                                yield rows(TAIL, [joined])
-                            else:
-                                done.append(joined)
-                            pending, lead = [], False
-                    elif still:
-                        if i > at:
-                            yield rows(WHOLE, values.slice(at, i - at))
-                        pending, at = [line], i + 1
-                    inside = still
-                rest = values.slice(at)
-                if inside:
-                    pending += rest.to_pylist()
-                elif len(rest):
-                    yield rows(WHOLE, rest)
-                if done:
-                    yield rows(WHOLE, done)
-        if inside:
+                after = _states_after(*_line_states(values, mark), inside)
+                first, last, whole = joined_lines(values, np.append(inside, after[:-1]), after, b"\n", not pieces)
+                inside = bool(after[-1])
+                if first:
+                    pending += values.slice(0, first).to_pylist()
+                    if first < len(values) or not inside:
+                        if lead == pieces:
+                            yield rows(TAIL if lead else WHOLE, [b"\n".join(pending)])
+                        pending, lead = [], False
+                if whole is not None and len(whole):
+                    yield rows(WHOLE, whole)
+                if last < len(values):
+                    pending = values.slice(last).to_pylist()
+        if inside and pieces:
             yield rows(MIDDLE if lead else HEAD, [b"\n".join(pending)])
 
-    placed = _as_bytes(lines).join(F.broadcast(starts), ["path", "block"], "left")
-    parts = placed.mapInArrow(run, "path string, block bigint, kind int, value binary").select(
-        "path", "block", "kind", F.col("value").cast("string").alias("value")
-    )
-    whole = parts.where(F.col("kind") == WHOLE).select("path", "value")
-    if starts.where(F.col("inside") & ~F.col("plain")).isEmpty():
-        return whole
-    # Within a split the rest of an earlier record comes before the start of the next.
-    pieces = parts.where(F.col("kind") != WHOLE).withColumn("is_head", F.col("kind") == HEAD)
-    order = Window.partitionBy("path").orderBy("block", "is_head")
-    numbered = pieces.withColumn("record", F.count_if("is_head").over(order))
-    listed = F.array_sort(F.collect_list(F.struct("block", "is_head", "value")))
-    crossing = numbered.groupBy("path", "record").agg(
-        F.array_join(F.transform(listed, lambda p: p["value"]), "\n").alias("value")
-    )
-    return whole.unionByName(crossing.select("path", "value"))
+    placed = _as_bytes(lines).join(F.broadcast(starts.frame), ["path", "block"], "left")
+
+    def parts(pieces: bool) -> DataFrame:
+        found = placed.mapInArrow(
+            lambda batches: run(batches, pieces), "path string, block bigint, kind int, value binary"
+        )
+        return found.withColumn("value", F.col("value").cast("string"))
+
+    whole = parts(False).select("path", "value")
+    return whole.unionByName(starts.crossing(parts(True))) if starts.crossed else whole

@@ -2,13 +2,14 @@ import csv
 import io
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from helpers import column, rows, status, table, write_export
 from pruefspur import import_export, import_folder
 from pruefspur.sources import lines as ln
-from pruefspur.sources.records import ends_inside, records, split_starts
+from pruefspur.sources.records import _line_states, ends_inside, records, split_starts
 
 
 @pytest.mark.parametrize(
@@ -53,6 +54,26 @@ def test_against_one_pass_reading(spark, small_splits, tmp_path, seed):
     assert sorted(got) == sorted(expected)
 
 
+def test_crossing_records_are_kept_and_not_scanned_again(spark, small_splits, tmp_path):
+    (tmp_path / "f.txt").write_text('1;"a\nb"\n' * 2000)
+    frame = ln.text_lines(spark, [str(tmp_path)])
+    starts = split_starts(frame, ";")
+    found = records(frame, starts, ";")
+    assert found._jdf.queryExecution().executedPlan().toString().count("FileScan text") == 1
+    assert [r["value"] for r in found.collect()] == ['1;"a\nb"'] * 2000
+    assert records(frame, starts, ";").count() == 2000
+
+
+@pytest.mark.parametrize("sep", [b";", b"\t", b"]", b"\xa7", b"::"])
+def test_states_of_many_lines(sep):
+    random.seed(5)
+    parts = [b'"', b'"', sep, b"a", b"\xff", b"\r", b"\n", "ü".encode()]
+    lines = [b"".join(random.choices(parts, k=random.randint(0, 9))) for _ in range(3000)]
+    outside, inside = _line_states(pa.array(lines, pa.binary()), sep)
+    assert outside.tolist() == [ends_inside(line, False, sep) for line in lines]
+    assert inside.tolist() == [ends_inside(line, True, sep) for line in lines]
+
+
 def test_a_quote_left_open_does_not_swallow_the_file(spark, small_splits, tmp_path):
     text = "".join(f"{i};a\n" for i in range(1000)) + '5;"open\n' + "".join(
         f"{i};b\n" for i in range(1000)
