@@ -254,6 +254,25 @@ def test_lines_of_wide_charsets(spark, small_splits, tmp_path, charset):
     assert sorted(r["value"] for r in lines.collect()) == sorted(texts)
 
 
+def test_small_splits_of_wide_charsets_share_tasks(spark, small_splits, tmp_path):
+    texts = [f"{i} \u0a13\u0100 \u0a01\u2500" for i in range(20000)]
+    (tmp_path / "w.txt").write_bytes("\n".join(texts).encode("utf-16-le"))
+    lines = ln.text_lines(spark, [str(tmp_path)], "utf-16-le")
+    plan = lines._jdf.queryExecution().executedPlan().toString()
+    assert lines.select("block").distinct().count() > 50 > lines.rdd.getNumPartitions()
+    assert plan.count("FileScan text") == 1
+    assert sorted(r["value"] for r in lines.collect()) == sorted(texts)
+
+
+@pytest.mark.parametrize("size", [4096, 1 << 20])
+def test_half_a_character_at_the_end(spark, small_splits, tmp_path, size):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    texts = [f"{i} ü" for i in range(3000)]
+    (tmp_path / "w.txt").write_bytes("\n".join(texts).encode("utf-16-le") + b"x")
+    lines = ln.text_lines(spark, [str(tmp_path)], "utf-16-le")
+    assert sorted(r["value"] for r in lines.collect()) == sorted(texts)
+
+
 def test_combined(spark, tmp_path):
     (tmp_path / "a 1.csv").write_text("x;y\n1;2,5\n")
     (tmp_path / "b.csv").write_text("x;y\n2;3,5\n")
