@@ -38,7 +38,7 @@ from .records import records, split_starts
 from .workbook import (
     WORKBOOK_TESTS,
     workbook_cells,
-    workbook_header,
+    workbook_headers,
     workbook_texts,
     workbook_verdicts,
 )
@@ -428,16 +428,30 @@ def _workbook_tables(
     """Workbooks, grouped by the names in their first row."""
     all_text = str(options.get("all_varchar", False)).lower() == "true"
 
-    def header_of(f: hadoop.StoredFile) -> Callable[[], Row]:
-        return lambda: workbook_header(workbook_cells(spark, [hadoop.literal(f.path)]))
+    def headers(some: list[hadoop.StoredFile]) -> Callable[[], list[Row]]:
+        """The headers of workbooks, in their order."""
 
+        def run() -> list[Row]:
+            read = workbook_headers(spark, [hadoop.literal(f.path) for f in some])
+            told = {r["path"]: r for r in read.collect()}
+            return [told[f.path] for f in some]
+
+        return run
+
+    try:
+        found = headers(files)()
+    except Exception:  # noqa: BLE001 - one workbook that cannot be read at all must not stop the others
+        alone = side_by_side(spark, [headers([f]) for f in files])
+        found = [one if isinstance(one, Exception) else one[0] for one in alone]
     outcome: Outcome = {}
     groups: dict[tuple, list[hadoop.StoredFile]] = defaultdict(list)
-    for f, found in zip(files, side_by_side(spark, [header_of(f) for f in files])):
-        if isinstance(found, Exception):
-            outcome[f.path] = found
+    for f, row in zip(files, found, strict=True):
+        if isinstance(row, Exception):
+            outcome[f.path] = row
+        elif row["fault"] is not None:
+            outcome[f.path] = ValueError(row["fault"])
         else:
-            groups[found].append(f)
+            groups[row["row_no"], tuple(row["names"])].append(f)
 
     def read(paths: list[str], names: list[str], header_row: int) -> DataFrame:
         return workbook_texts(workbook_cells(spark, paths), names, header_row)

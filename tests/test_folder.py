@@ -273,6 +273,24 @@ def test_half_a_character_at_the_end(spark, small_splits, tmp_path, size):
     assert sorted(r["value"] for r in lines.collect()) == sorted(texts)
 
 
+def test_headers_of_workbooks_are_one_job(spark, tmp_path):
+    """However many workbooks; one that breaks off is reported and the others are read."""
+    for i in range(7):
+        rows_ = f'<row><c t="inlineStr"><is><t>Nr</t></is></c></row><row><c><v>{i}</v></c></row>'
+        end = "" if i == 6 else "</sheetData></worksheet>"
+        with zipfile.ZipFile(tmp_path / f"b{i}.xlsx", "w") as book:
+            book.writestr("xl/worksheets/sheet1.xml", f"<worksheet><sheetData>{rows_}{end}")
+    spark.sparkContext.setJobGroup("workbooks", "")
+    try:
+        result = import_folder(spark, str(tmp_path), "xlsx")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    told = {r["file_name"]: r["status"] for r in result.report.collect()}
+    assert told.pop("b6.xlsx").startswith("Load failed: ExpatError") and set(told.values()) == {"OK"}
+    assert sorted(r["nr"] for r in result.combined.collect()) == list(range(6))
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("workbooks")) < 7
+
+
 def test_combined(spark, tmp_path):
     (tmp_path / "a 1.csv").write_text("x;y\n1;2,5\n")
     (tmp_path / "b.csv").write_text("x;y\n2;3,5\n")
