@@ -18,7 +18,7 @@ from .. import hadoop
 from ..functions import convert as cv
 from ..functions import names as nm
 from ..operators import checks, infer
-from ..operators.report import IMPORT_REPORT, ImportResult, SaveFailed, report_frame
+from ..operators.report import IMPORT_REPORT, ImportResult, SaveFailed, report_frame, side_by_side
 from ..sinks.export import export_rows as exported_rows
 from ..sinks.export import export_table
 from ..sources import audit, lines
@@ -330,13 +330,16 @@ def _flat_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
 def export_index(spark: SparkSession, sf: str) -> DataFrame:
     """Every flat table exported in both forms, and the indexes read back with the rows reported."""
     root = hadoop.fresh_folder(spark, "export-index")
-    reports = [
-        export_table(df, f"{root}/{form}/{n}", n, single_file=form == "file").withColumn(
-            "form", F.lit(form)
-        )
-        for form in ("parts", "file")
-        for n, df in _flat_tables(spark, sf).items()
-    ]
+
+    def exported(df: DataFrame, form: str, name: str) -> Callable[[], DataFrame]:
+        place = f"{root}/{form}/{name}"
+        return lambda: export_table(df, place, name, single_file=form == "file").withColumn("form", F.lit(form))
+
+    # Side by side, so that the last tasks of one export and the joining of its parts leave no cores idle.
+    tables = _flat_tables(spark, sf).items()
+    reports = side_by_side(spark, [exported(df, form, n) for form in ("parts", "file") for n, df in tables])
+    for failed in (r for r in reports if isinstance(r, Exception)):
+        raise failed
     columns = index_catalog(spark, f"{root}/*/*/index.xml").select(
         F.regexp_extract("index_path", "/([a-z]+)/[^/]+/index.xml$", 1).alias("form"),
         "table_name",
@@ -445,7 +448,8 @@ def saved_tables(spark: SparkSession, sf: str) -> DataFrame:
         "kunden": ("c_custkey", "c_acctbal"),
         "auftrage": ("o_orderkey", "o_orderdate"),
     }
-    found = spark.sql(f"show tables in {database}").count()
+    # Views of the session are listed too.
+    found = spark.sql(f"show tables in {database}").where(~F.col("isTemporary")).count()
     return as_union(
         [
             spark.table(f"{database}.{name}").select(

@@ -1,3 +1,4 @@
+import threading
 import datetime
 import decimal
 import xml.etree.ElementTree as ET
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 
 from helpers import rows
 from pruefspur import export_table, import_export
+from pruefspur.plans import queries
 from pruefspur.sinks import export
 
 D = decimal.Decimal
@@ -123,3 +125,21 @@ def test_more_decimals_on_request(spark, tmp_path):
     export_table(df, str(tmp_path), "F", double_scale=4).collect()
     assert (tmp_path / "F.txt").read_text() == "0,1235\n"
     assert rows(import_export(spark, str(tmp_path)).tables["F"]) == [(D("0.1235"),)]
+
+
+def test_tables_of_the_index_are_exported_side_by_side(spark, tmp_path, monkeypatch):
+    """Two exports meet, which they cannot one after the other."""
+    meeting = threading.Barrier(2, timeout=30)
+
+    def export(df, path, name, **options):
+        meeting.wait()
+        return export_table(df, path, name, **options)
+
+    tables = {n: spark.range(3).withColumnRenamed("id", n) for n in ("one", "two")}
+    monkeypatch.setattr(queries, "export_table", export)
+    monkeypatch.setattr(queries, "_flat_tables", lambda *_: tables)
+    found = queries.export_index(spark, "").select("form", "name", "row_count", "status").collect()
+    assert sorted(map(tuple, found)) == [
+        ("file", "one", 3, "OK"), ("file", "two", 3, "OK"),
+        ("parts", "one", 3, "OK (a folder of parts)"), ("parts", "two", 3, "OK (a folder of parts)"),
+    ]
