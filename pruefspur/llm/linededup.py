@@ -61,18 +61,14 @@ def probes(length: int, shorter: int, edits: int = EDITS) -> Iterator[tuple[int,
             yield i, place, size
 
 
-def _keys(index: bool):
-    """Index rows of lines, or the rows that probe: key, line, whether the key is the line's own index
-    key too, signature."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            texts = batch.column(1).to_pylist()
-            for a, b in spans_of([len(t) + 1 for t in texts], _CHARS_AT_ONCE):
-                yield _key_rows(ids[a:b], texts[a:b], index)
-
-    return run
+def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows that lines probe with: key, line, whether the key is the line's own index key too,
+    signature.  Lines that repeat within a batch are taken once."""
+    for batch in batches:
+        once = dict(zip(batch.column(1).to_pylist(), batch.column(0).to_pylist(), strict=True))
+        ids, texts = np.array(list(once.values()), np.int64), list(once)
+        for a, b in spans_of([len(t) + 1 for t in texts], _CHARS_AT_ONCE):
+            yield _key_rows(ids[a:b], texts[a:b])
 
 
 @lru_cache(maxsize=4096)
@@ -86,7 +82,7 @@ def _wanted(length: int, index: bool) -> np.ndarray:
     return np.array([r for r in rows if r[4] or not index], np.int64)
 
 
-def _key_rows(ids: np.ndarray, texts: list[str], index: bool) -> pa.RecordBatch:
+def _key_rows(ids: np.ndarray, texts: list[str], index: bool = False) -> pa.RecordBatch:
     sizes = np.array([len(t) for t in texts], np.int64)
     chars = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32) & np.uint32(0xFFFF)
     begins = np.concatenate([[0], np.cumsum(sizes)[:-1]])
@@ -213,10 +209,12 @@ def line_links(lines: DataFrame) -> DataFrame:
     """
     long_ = lines.filter(F.length("_line") >= LEAST_CHARS).select("_key", "_line")
     schema = "key bigint, line bigint, own boolean, signature int"
-    # The engine keeps each row once; repeats of a line are one node of the join.
-    keyed = lambda index: long_.mapInArrow(_keys(index), schema).repartition(F.col("key")).dropDuplicates(["key", "line", "own"])
-    index = keyed(True).select("key", F.col("line").alias("a"), F.col("signature").alias("sa"))
-    probe = keyed(False).select("key", F.col("line").alias("b"), F.col("signature").alias("sb"), "own")
+    # Repeats of a line are one node of the join.  The index rows are those of the probe's that are a
+    # line's own, so both sides come from one shuffle.
+    keyed = long_.mapInArrow(_keys, schema).repartition(F.col("key")).groupBy("key", "line")
+    keyed = keyed.agg(F.max("own").alias("own"), F.max("signature").alias("signature"))
+    index = keyed.filter("own").select("key", F.col("line").alias("a"), F.col("signature").alias("sa"))
+    probe = keyed.select("key", F.col("line").alias("b"), F.col("signature").alias("sb"), "own")
     near = F.bit_count(F.col("sa").bitwiseXOR(F.col("sb"))) <= 2 * EDITS
     # Two index rows meet twice; one order of them is enough.
     met = index.join(probe, "key").filter((F.col("a") != F.col("b")) & (~F.col("own") | (F.col("a") < F.col("b"))) & near)
