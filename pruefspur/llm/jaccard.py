@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +29,9 @@ SHINGLE, PERCENT = 3, 90
 PLACE_BITS = 16
 #: Bits of a signature: the parity of how many shingles fall on each.
 BITS = 1024
+#: Bits that are enough to tell unlike sets of fewer shingles than ``NARROW_BELOW`` apart, so that no more
+#: are moved where sets of such sizes meet.
+NARROW, NARROW_BELOW = 256, 512
 #: Texts (16 bytes of keys each) up to which the keys of those wanted go to every task; more of them
 #: are joined by a shuffle.
 BROADCAST_KEYS = 500_000
@@ -145,7 +149,9 @@ def _may_link(percent: int) -> Column:
     bits that differ."""
     differing = F.lit(0)
     for i in range(BITS // 64):
-        differing = differing + F.bit_count(F.col("qa")[i].bitwiseXOR(F.col("qb")[i]))
+        # Both are folded alike, so what one is short of, the other is too.
+        both = F.get("qa", F.lit(i)).bitwiseXOR(F.get("qb", F.lit(i)))
+        differing = differing + F.coalesce(F.bit_count(both), F.lit(0))
     return _sizes_fit(percent) & _room(differing, percent)
 
 
@@ -192,20 +198,32 @@ def _side(rows: DataFrame, x: str, *more: str) -> DataFrame:
     return rows.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("bits").alias(f"q{x}"), *more)
 
 
+def _step(percent: int) -> float:
+    return max(math.log(100 / percent), 0.01) * (1 + 1e-6)
+
+
 def _band(percent: int) -> Column:
     """The size band of a set of ``n`` shingles.  Bands are a little wider than the threshold's ratio, so
     that rounding puts no partners two bands apart."""
-    step = max(math.log(100 / percent), 0.01) * (1 + 1e-6)
-    return F.floor(F.log(F.col("n")) / step).cast("int")
+    return F.floor(F.log(F.col("n")) / _step(percent)).cast("int")
+
+
+def _narrowed(band: Column, percent: int) -> Column:
+    """``bits``, folded where sets of a band meet that are small enough."""
+    words, parts = NARROW // 64, BITS // NARROW
+    fold = [reduce(Column.bitwiseXOR, [F.get("bits", F.lit(i + words * p)) for p in range(parts)]) for i in range(words)]
+    return F.when(band < int(math.log(NARROW_BELOW) / _step(percent)), F.array(*fold)).otherwise(F.col("bits"))
 
 
 def met(nodes: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Cell, node and n of the nodes that may have a partner in a cell: another node of their own size
     band or of one beside it.  A cell is summed up as its number of nodes and a bit per band, so that the
     many chance meetings of unlike sizes end here.  (Bands 64 apart share a bit, which only keeps more.)"""
-    cells = nodes.select("node", "n", _band(percent).alias("band"), F.explode("prefix").alias("cell"))
+    # Nearly every cell has one node, so the rows are moved once for both the sums and the join with them.
+    cells = nodes.select("node", "n", F.explode("prefix").alias("cell")).repartition(F.col("cell"))
+    cells = cells.withColumn("band", _band(percent))
     bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod("band", F.lit(64)).cast("int"))
-    bands = cells.groupBy("cell").agg(F.count(F.lit(1)).alias("size"), F.bit_or(bit).alias("bands"))
+    bands = cells.groupBy("cell").agg(F.count("node").alias("size"), F.bit_or(bit).alias("bands"))
     repeated = F.bit_count("bands") < F.col("size")
     beside = F.shiftleft("bands", 1).bitwiseOR(F.shiftrightunsigned("bands", 63))
     shared = bands.filter((F.col("size") > 1) & (repeated | (F.col("bands").bitwiseAND(beside) != 0)))
@@ -240,23 +258,37 @@ def tiled(rows: DataFrame, signs: DataFrame, percent: int = PERCENT, tile: int =
     parts of about ``tile`` rows, and any two parts that must meet are one join key."""
     rows = rows.withColumn("band", _band(percent))
     size = F.count(F.lit(1))
-    parts = rows.groupBy("cell", "band").agg(F.ceil(size / tile).cast("int").alias("parts"), (size == 1).alias("alone"))
-    near = lambda by, name: parts.select("cell", (F.col("band") - by).alias("band"), F.col("parts").alias(name))
-    spread = parts.join(near(1, "above"), ["cell", "band"], "left").join(near(-1, "below"), ["cell", "band"], "left")
-    # What stands alone in its band and beside empty ones has no partner in its cell.
-    spread = spread.filter(~F.col("alone") | F.col("above").isNotNull() | F.col("below").isNotNull())
-    rows = rows.join(spread, ["cell", "band"]).join(signs.select("node", "bits"), "node")
+    parts = rows.groupBy("cell", "band").agg(
+        F.ceil(size / tile).cast("int").alias("parts"), (size == 1).alias("alone"), F.min("n").alias("low"), F.max("n").alias("high")
+    )
+    near = lambda by, name, end: parts.select(
+        "cell", (F.col("band") - by).alias("band"), F.col("parts").alias(name), F.col(end).alias(f"{name}_{end}")
+    )
+    spread = parts.join(near(1, "above", "low"), ["cell", "band"], "left").join(near(-1, "below", "high"), ["cell", "band"], "left")
+    rows = rows.join(spread.drop("low", "high"), ["cell", "band"])
+    # What stands alone in its band does not meet it, nor a band beside it of which all sizes are too unlike.
+    rows = rows.withColumns(
+        {
+            "own": F.when(~F.col("alone"), F.col("parts")),
+            "above": F.when(100 * F.col("n") >= percent * F.col("above_low"), F.col("above")),
+            "below": F.when(100 * F.col("below_high") >= percent * F.col("n"), F.col("below")),
+        }
+    )
+    rows = rows.filter(F.coalesce("own", "above", "below").isNotNull()).join(signs.select("node", "bits"), "node")
     rows = rows.withColumn("part", F.pmod(F.xxhash64("node", "cell"), F.col("parts")).cast("int"))
 
     def meeting(beside: str) -> DataFrame:
         """A row for each part of the own band, and for each of the band beside it."""
-        own = F.struct(F.lit(0).alias("by"), F.col("parts").alias("n"))
+        own = F.struct(F.lit(0).alias("by"), F.col("own").alias("n"))
         other = F.struct(F.lit(1).alias("by"), F.col(beside).alias("n"))
         met = rows.withColumn("_beside", F.explode(F.array(own, other))).filter("_beside.n > 0")
         return met.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_beside.n") - 1))).withColumn("by", F.col("_beside.by"))
 
     left = meeting("above").withColumn("key", F.xxhash64("cell", F.col("band") + F.col("by"), "by", "part", "_other"))
     right = meeting("below").withColumn("key", F.xxhash64("cell", "band", "by", "_other", "part"))
+    # The band of the right side, which both know, settles how many bits are compared.
+    left = left.withColumn("bits", _narrowed(F.col("band") + F.col("by"), percent))
+    right = right.withColumn("bits", _narrowed(F.col("band"), percent))
     left = _side(left, "a", "key", F.col("by").alias("bya"), F.col("component").alias("ca"))
     right = _side(right, "b", "key", F.col("by").alias("byb"), F.col("component").alias("cb"))
     # Within a band each pair meets twice; one order of them is enough.
