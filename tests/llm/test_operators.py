@@ -739,3 +739,16 @@ def test_tokens(docs, nothing):
     assert tokens.count(nothing).count() == 0
 
 
+
+
+def test_keys_of_lines_hold_the_index_rows():
+    """What lines probe with holds what they are indexed by, and a line that repeats is taken once."""
+    import pyarrow as pa
+
+    texts = ["the quick brown fox jumps over it", "another line of enough characters, and more"]
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2] * 3), pa.array(texts * 3)], names=["_key", "_line"])
+    found = pa.Table.from_batches(linededup._keys(iter([batch]))).to_pandas()
+    index = linededup._key_rows(np.array([1, 2]), texts, True).to_pandas()
+    probe = linededup._key_rows(np.array([1, 2]), texts, False).to_pandas()
+    assert len(found) == len(probe)
+    assert set(found[found.own].itertuples(index=False, name=None)) == set(index.itertuples(index=False, name=None))
