@@ -265,3 +265,13 @@ def test_bounds_hold_and_rule_centroids_out():
     exact = ((points[:, None, :] - middle[None]) ** 2).sum(axis=2)
     assert (best == exact.argmin(axis=1)).all() and (distance == exact.min(axis=1)).all()
     assert len(frame.pivots) == centroids.PIVOTS and computed < exact.size / 3
+
+
+def test_cells_are_moved_once(spark):
+    """The sums of cells and the join with them read one shuffle."""
+    rows = [(i, 10 + i % 3, [i // 2, 1000 + i]) for i in range(40)]
+    nodes = spark.createDataFrame(rows, "node long, n long, prefix array<long>")
+    found = jaccard.met(nodes)
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "ReusedExchange" in plan
