@@ -29,6 +29,8 @@ BROADCAST_KEYS = 500_000
 #: Bits of a line's signature: one bit per class of characters, the parity of how often it has them.
 #: An edit changes two of them at most.
 CLASSES = 32
+#: What a line without a word is made of.
+SPACES = " \t\n\x0b\x0c\r"
 _CHARS_AT_ONCE = 1 << 20
 #: Hash value and signature bit of a character; characters beyond the table share its entries by
 #: their low bits, which only adds candidates.
@@ -53,9 +55,14 @@ def segments(length: int, edits: int = EDITS) -> list[tuple[int, int]]:
 def probes(length: int, shorter: int, edits: int = EDITS) -> Iterator[tuple[int, int, int]]:
     """Segment number, place and size of the substrings of a line that a segment of a line with
     ``shorter`` characters less can be: with i segments before it, the left part has at most i edits
-    to spend, and the right part what the other segments leave."""
+    to spend, and the right part what the other segments leave.
+
+    Of lines of one length both probe.  Within two edits, a segment stands further left in the other line
+    only where a character goes before it and one comes after it.  Then the same segment of the other
+    line stands further right in this one, or the last segment is at its place in both; so the places
+    further left are left out."""
     for i, (at, size) in enumerate(segments(length - shorter, edits)):
-        low = max(at - i, at + shorter - (edits - i), 0)
+        low = at if not shorter and edits <= 2 else max(at - i, at + shorter - (edits - i), 0)
         high = min(at + i, at + shorter + (edits - i), length - size)
         for place in range(low, high + 1):
             yield i, place, size
@@ -193,28 +200,36 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Lines with a word: the document as id and hash of its text, the line's number, text and hashes."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    lines = docs.select(
-        F.col(id_col).alias("_id"), F.xxhash64(text).alias("_text_hash"), F.posexplode(F.split(text, "\n")).alias("_no", "_line")
-    )
-    lines = lines.filter(F.col("_line").rlike(WORD))
+    # Hashed before the lines are cut: beside the generator, each line would hash its whole text.
+    texts = docs.select(F.col(id_col).alias("_id"), F.xxhash64(text).alias("_text_hash"), text.alias("_text"))
+    lines = texts.select("_id", "_text_hash", F.posexplode(F.split("_text", "\n")).alias("_no", "_line"))
+    lines = lines.filter(F.ltrim("_line", F.lit(SPACES)) != "")
     return lines.withColumn("_key", F.xxhash64("_line")).withColumn("_key2", F.xxhash64(F.lit(1), "_line"))
 
 
 def line_links(lines: DataFrame) -> DataFrame:
     """Pairs of line keys ``(a, b)`` whose texts differ by 1 to ``EDITS`` edits.
 
-    The rows that share a substring are joined as they are; the signatures are compared within the
-    join, so that only pairs that may be near come out of it.  Nothing is capped: a substring of very
-    many lines is a large join cell, which the engine splits.
+    Keys of one line only, as most are, go first.  The rows of the others are joined as they are; the
+    signatures are compared within the join, so that only pairs that may be near come out of it.  Nothing
+    is capped: a substring of very many lines is a large join cell, which the engine splits.
     """
     long_ = lines.filter(F.length("_line") >= LEAST_CHARS).select("_key", "_line")
-    schema = "key bigint, line bigint, own boolean, signature int"
-    # Repeats of a line are one node of the join.  The index rows are those of the probe's that are a
-    # line's own, so both sides come from one shuffle.
-    keyed = long_.mapInArrow(_keys, schema).repartition(F.col("key")).groupBy("key", "line")
-    keyed = keyed.agg(F.max("own").alias("own"), F.max("signature").alias("signature"))
-    index = keyed.filter("own").select("key", F.col("line").alias("a"), F.col("signature").alias("sa"))
-    probe = keyed.select("key", F.col("line").alias("b"), F.col("signature").alias("sb"), "own")
+    # Never null, so that no side of a join filters for itself, and both sides come from one shuffle.
+    schema = "key bigint not null, line bigint not null, own boolean not null, signature int not null"
+    # One column less to move: the signature, with ``own`` as the lowest bit.
+    mark = F.shiftleft(F.col("signature").cast("bigint"), 1).bitwiseOR(F.col("own").cast("bigint")).alias("mark")
+    own, signature = (F.col("mark").bitwiseAND(1) == 1).alias("own"), F.shiftright("mark", 1).cast("int").alias("signature")
+    keyed = long_.mapInArrow(_keys, schema).select("key", "line", mark).repartition(F.col("key"))
+    keyed = keyed.select("key", "line", own, signature)
+    # Figures of fixed width, and a look-up of each row in what they leave: the rows are moved once, and not
+    # sorted.
+    cells = keyed.groupBy("key").agg(F.min("line").alias("low"), F.max("line").alias("high"), F.max("own").alias("own"))
+    cells = cells.filter((F.col("low") < F.col("high")) & F.col("own")).select("key")
+    # Repeats of a line are one node of the join.
+    shared = reliable(keyed.join(cells.hint("shuffle_hash"), "key", "left_semi").distinct())
+    index = shared.filter("own").select("key", F.col("line").alias("a"), F.col("signature").alias("sa"))
+    probe = shared.select("key", F.col("line").alias("b"), F.col("signature").alias("sb"), "own")
     near = F.bit_count(F.col("sa").bitwiseXOR(F.col("sb"))) <= 2 * EDITS
     # Two index rows meet twice; one order of them is enough.
     met = index.join(probe, "key").filter((F.col("a") != F.col("b")) & (~F.col("own") | (F.col("a") < F.col("b"))) & near)
@@ -244,18 +259,20 @@ def classify(
     lines = _lines(docs, id_col, text_col)
     links = reliable(line_links(lines))
     degree = links.select(F.explode(F.array("a", "b")).alias("_key")).groupBy("_key").agg(F.count(F.lit(1)).alias("links"))
-    tied = components(links).select(F.col("node").alias("_key"), F.col("component").alias("class"))
-    here = lines.select(
-        F.struct("_id", "_text_hash", "_no").alias("at"), "_key", "_key2", (F.length("_line") >= least_equal).alias("compared")
+    tied = reliable(components(links).select(F.col("node").alias("_key"), F.col("component").alias("class")).join(degree, "_key"))
+    sent = F.broadcast if tied.count() <= BROADCAST_KEYS else lambda df: df
+    # The texts are cut and hashed once for all that follows.
+    here = reliable(
+        lines.select(
+            F.struct("_id", "_text_hash", "_no").alias("at"), "_key", "_key2", (F.length("_line") >= least_equal).alias("compared")
+        )
     )
     compared = here.filter("compared")
-    equal = compared.groupBy("_key", "_key2").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("copies"))
-    equal = equal.join(tied, "_key", "left").join(degree, "_key", "left")
-    own = equal.filter(F.col("class").isNull())
-    shared = equal.filter(F.col("class").isNotNull())
-    lowest = shared.groupBy("class").agg(F.min("first").alias("lowest"))
-    classes = own.select("_key", "_key2", "first", "copies", F.lit(0).cast("bigint").alias("links")).unionByName(
-        shared.join(lowest, "class").select("_key", "_key2", F.col("lowest").alias("first"), "copies", "links")
+    lowest = compared.select("at", "_key").join(sent(tied), "_key").groupBy("class").agg(F.min("at").alias("lowest"))
+    linked = tied.join(lowest, "class").select("_key", "lowest", "links")
+    equal = compared.groupBy("_key", "_key2").agg(F.min("at").alias("lone"), F.count(F.lit(1)).alias("copies"))
+    classes = equal.join(sent(linked), "_key", "left").select(
+        "_key", "_key2", F.coalesce("lowest", "lone").alias("first"), "copies", F.coalesce("links", F.lit(0)).alias("links")
     )
     known = compared.join(classes, ["_key", "_key2"]).select("at", "first", "copies", "links")
     if least_equal <= 0:

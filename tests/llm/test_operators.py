@@ -752,3 +752,53 @@ def test_keys_of_lines_hold_the_index_rows():
     probe = linededup._key_rows(np.array([1, 2]), texts, False).to_pandas()
     assert len(found) == len(probe)
     assert set(found[found.own].itertuples(index=False, name=None)) == set(index.itertuples(index=False, name=None))
+
+
+def test_fewer_keys_of_lines_miss_no_pair():
+    """Of two lines of one length both probe, so one direction of a shift is enough: every pair of short lines
+    within the edits meets, and a line has eleven keys."""
+    import itertools
+
+    for length in (3, 4, 5, 6, 7):
+        lines = ["".join(x) for x in itertools.product("ab" if length > 5 else "abc", repeat=length)]
+        ids = np.arange(len(lines))
+        rows = linededup._key_rows(ids, lines).to_pandas()
+        met = rows[rows.own].merge(rows, on="key")
+        pairs = set(zip(met.line_x, met.line_y, strict=True)) | set(zip(met.line_y, met.line_x, strict=True))
+        for i, j in itertools.combinations(range(len(lines)), 2):
+            assert (i, j) in pairs or not linededup.within(lines[i], lines[j])
+    assert len(linededup._key_rows(np.array([1]), ["a line of enough characters for edits"])) == 11
+
+
+def test_lines_that_share_no_key_are_not_joined(spark, monkeypatch):
+    """Rows of keys that one line has, or that no line is indexed by, are not kept for the join; repeats of a line
+    are one row of a key."""
+    kept = []
+    plain = linededup.reliable
+    monkeypatch.setattr(linededup, "reliable", lambda df: kept.append(plain(df)) or kept[-1])
+    lines = ["the quick brown fox jumps over it", "another line of enough characters", "and a third one that is like none"]
+    rows = [(i, lines[i % 3]) for i in range(12)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert linededup.line_links(linededup._lines(frame, "doc_id", "text")).count() == 0
+    assert set(kept[0].columns) == {"key", "line", "own", "signature"} and kept[0].count() == 0
+    kept.clear()
+    frame = spark.createDataFrame([*rows, (20, lines[0] + "!")], "doc_id long, text string").repartition(4)
+    assert linededup.line_links(linededup._lines(frame, "doc_id", "text")).count() == 1
+    found = kept[0].collect()
+    assert len({r["line"] for r in found}) == 2 and len(found) == len(set(found))
+
+
+def test_a_text_is_hashed_once_not_per_line(spark):
+    frame = spark.createDataFrame([(1, "a\nb")], "doc_id long, text string")
+    plan = linededup._lines(frame, "doc_id", "text").select("_text_hash", "_line")
+    steps = plan._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    generate = next(i for i, x in enumerate(steps) if "Generate" in x)
+    assert not any("xxhash64(" in x for x in steps[:generate])
+
+
+def test_words_tell_lines_apart_from_white_space(spark):
+    texts = [" \t\x0b\x0c\r", "", " ", "\x1c", " x", " ", "\x00", None, "\n\n.\n "]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {(r["_id"], r["_no"]) for r in linededup._lines(frame, "doc_id", "text").collect()}
+    word = re.compile(r"[^\x20\x09-\x0D]")
+    assert found == {(i, n) for i, t in enumerate(texts) for n, x in enumerate((t or "").split("\n")) if word.search(x)}
