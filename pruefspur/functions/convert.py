@@ -19,6 +19,7 @@ SPACES = (
 CONTROL_CHARS = r"[\x00-\x1F\x7F-\x9F]"
 
 _GERMAN_DATE = r"^\d{1,2}\.\d{1,2}\.\d{4}$"
+_USUAL_GERMAN_DATE = r"^\d\d\.\d\d\.(?:1[6-9]|[2-9]\d)\d\d\z"
 _SPACED_GERMAN_DATE = rf"^[{SPACES}]*(\d{{1,2}}\.\d{{1,2}}\.\d{{4}})[{SPACES}]*$"
 _PLAIN_DOUBLE = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
@@ -73,9 +74,13 @@ def to_date(c: Column | str) -> Column:
     c = _as_col(c)
     # Parsing text that is no date is costly, so only text of the right form gets there.
     inner = F.regexp_extract(c, _SPACED_GERMAN_DATE, 1)
-    return F.when(c.rlike(_GERMAN_DATE), F.try_to_date(c, "d.M.yyyy")).when(
+    parts = [F.substring(c, at, n) for at, n in ((7, 4), (4, 2), (1, 2))]
+    # The usual form needs no formatter; what is no date in it is left to the formatter.
+    usual = F.when(c.rlike(_USUAL_GERMAN_DATE), F.concat_ws("-", *parts).try_cast("date"))
+    other = F.when(c.rlike(_GERMAN_DATE), F.try_to_date(c, "d.M.yyyy")).when(
         c.rlike(_SPACED_GERMAN_DATE), F.try_to_date(inner, "d.M.yyyy")
     )
+    return F.coalesce(usual, other)
 
 
 def iso_date(c: Column | str) -> Column:

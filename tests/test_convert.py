@@ -1,5 +1,6 @@
 import datetime
 import decimal
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -177,3 +178,19 @@ def _decodes(code, charset):
     except UnicodeDecodeError:
         return False
     return True
+
+
+def test_usual_dates_are_read_without_a_formatter(spark):
+    """The short way gives what the formatter gives, and leaves to it what it cannot tell."""
+    texts = [f"{d:02}.{m:02}.{y}" for d in range(33) for m in range(14) for y in ("1582", "1599", "1600", "2023", "2024")]
+    texts += ["1.2.2024", " 01.02.2024 ", "01.02.2024\n", "01.02.2024x", "01.02.24", "٠١.٠٢.٢٠٢٤", "1T.02.2024", "", None]
+    read = spark.createDataFrame([(x,) for x in texts], "t string").select("t", cv.to_date("t").alias("got"))
+    for text, got in read.collect():
+        found = re.fullmatch(r"[ ]*([0-9]{1,2})\.([0-9]{1,2})\.([0-9]{4})[ ]*", text or "")
+        try:
+            wanted = datetime.date(int(found[3]), int(found[2]), int(found[1])) if found else None
+        except ValueError:
+            wanted = None
+        assert got == wanted
+    plan = read._jdf.queryExecution().optimizedPlan().toString()
+    assert "concat_ws(-" in plan
